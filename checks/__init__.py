@@ -1,0 +1 @@
+"""Registered queries over the driver's tables, and the SQL they must equal."""

@@ -1,0 +1,292 @@
+"""The SQL each registered query must equal, over the same tables."""
+
+from __future__ import annotations
+
+from checks.queries import REPLACE_FROM, REPLACE_UNTIL, SINCE, UPSERT_FROM, UPSERT_UNTIL
+from checks.standins import CODES
+from wattloom.functions.holidays import EASTER_DAYS, FIXED_DAYS
+from wattloom.functions.regions import ALSACE_MOSELLE, ALSACE_MOSELLE_REGION, REGIONS
+from wattloom.sources.calendars import DIM_DATE_ROWS, DIM_DATE_START
+
+
+def _region(column: str) -> str:
+    return f"([{', '.join(map(str, CODES))}])[CAST({column} % {len(CODES)} AS INTEGER) + 1]"
+
+
+def _whole(column: str, scale: int = 10_000) -> str:
+    return f"floor({column} * CAST({scale} AS DOUBLE) + 0.5)"
+
+
+def _mean(column: str) -> str:
+    return f"floor(avg({column}) + 0.5)"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _with(*parts: str) -> str:
+    return "WITH " + ",\n".join(parts)
+
+
+HALF_HOUR = "time_bucket(INTERVAL '30 minutes', ts)"
+
+
+def _readings(condition: str = "event_type = 'purchase'") -> str:
+    return f"""readings AS (
+  SELECT {HALF_HOUR} AS date_heure,
+         strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%d') AS local_day,
+         {_region("user_id")} AS region_code,
+         event_type AS nature,
+         {_whole("value")} AS consommation
+  FROM events WHERE {condition})"""
+
+
+ALL_READINGS = _readings("TRUE")
+
+WEATHER = f"""weather AS (
+  SELECT {_region("user_id")} AS region_code,
+         date_trunc('hour', ts) AS date_heure,
+         CASE WHEN event_type = 'view' THEN {_whole("value")} END AS temperature_2m,
+         CASE WHEN event_type = 'click' THEN {_whole("value")} END AS precipitation
+  FROM events WHERE event_type IN ('view', 'click'))"""
+
+HOURS = f"""instants AS (
+  SELECT region_code, date_heure, {_mean("consommation")} AS consommation FROM readings GROUP BY ALL),
+hours AS (
+  SELECT region_code, date_trunc('hour', date_heure) AS date_heure, {_mean("consommation")} AS consommation
+  FROM instants GROUP BY ALL)"""
+
+WEATHER_HOURS = f"""weather_hours AS (
+  SELECT region_code, date_heure, {_mean("temperature_2m")} AS temperature_2m, {_mean("precipitation")} AS precipitation
+  FROM weather GROUP BY ALL)"""
+
+# Reads `years` (year) and `regions` (region_code).
+HOLIDAYS = f"""terms AS (
+  SELECT year, year % 19 AS a, year // 100 AS b, year % 100 AS c FROM years),
+moon AS (
+  SELECT *, (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30 AS h FROM terms),
+week AS (
+  SELECT *, (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7 AS l FROM moon),
+sundays AS (
+  SELECT year, h + l - 7 * ((a + 11 * h + 22 * l) // 451) + 114 AS n FROM week),
+easter AS (
+  SELECT year, make_date(CAST(year AS BIGINT), CAST(n // 31 AS BIGINT), CAST(n % 31 + 1 AS BIGINT)) AS sunday FROM sundays),
+rules(name, month, day, shift, local) AS (VALUES
+  {", ".join(f"({_text(name)}, {month}, {day}, NULL, {zone == ALSACE_MOSELLE})" for name, month, day, zone in FIXED_DAYS)},
+  {", ".join(f"({_text(name)}, NULL, NULL, {shift}, {zone == ALSACE_MOSELLE})" for name, shift, zone in EASTER_DAYS)}),
+named_days AS (
+  SELECT name, local,
+         CASE WHEN shift IS NULL THEN make_date(CAST(year AS BIGINT), CAST(month AS BIGINT), CAST(day AS BIGINT))
+              ELSE sunday + CAST(shift AS INTEGER) END AS date
+  FROM easter, rules),
+holidays AS (
+  SELECT region_code, CAST(date AS DATE) AS date, string_agg(name, ', ' ORDER BY name) AS jour_ferie, CAST(1 AS INTEGER) AS is_holiday
+  FROM named_days, regions WHERE NOT local OR region_code = {ALSACE_MOSELLE_REGION} GROUP BY 1, 2)"""
+
+EVENT_YEARS = f"""years AS (SELECT DISTINCT year(ts) AS year FROM events),
+regions(region_code) AS (VALUES {", ".join(f"({code})" for code in CODES)})"""
+
+ORDER_YEARS = f"""years AS (SELECT DISTINCT year(o_orderdate) AS year FROM orders),
+regions AS (SELECT DISTINCT {_region("o_custkey")} AS region_code FROM orders)"""
+
+
+def _silver(holidays: bool, condition: str = "TRUE") -> str:
+    flag = "CAST(coalesce(d.is_holiday, 0) AS INTEGER)" if holidays else "CAST(0 AS INTEGER)"
+    join = "LEFT JOIN holidays d ON d.region_code = c.region_code AND d.date = CAST(c.date_heure AS DATE)" if holidays else ""
+    return f"""silver AS (
+  SELECT c.date_heure, c.region_code, c.consommation, w.temperature_2m, w.precipitation,
+         {flag} AS is_holiday, CAST(year(c.date_heure) AS INTEGER) AS year
+  FROM hours c
+  LEFT JOIN weather_hours w ON w.region_code = c.region_code AND w.date_heure = c.date_heure
+  {join}
+  WHERE {condition})"""
+
+
+PLAIN_SILVER = _with(_readings(), WEATHER, HOURS, WEATHER_HOURS, _silver(False))
+HOLIDAY_SILVER = _with(_readings(), WEATHER, HOURS, WEATHER_HOURS, EVENT_YEARS, HOLIDAYS, _silver(True))
+
+FACT = f"""{HOLIDAY_SILVER},
+windowed AS (
+  SELECT *, avg(consommation) OVER (
+      PARTITION BY region_code ORDER BY date_heure
+      RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS conso_moyenne_mobile_7j
+  FROM silver),
+fact AS (
+  SELECT w.date_heure, CAST(w.date_heure AS DATE) AS date_key, w.region_code, w.consommation, w.temperature_2m,
+         w.precipitation, w.is_holiday, w.conso_moyenne_mobile_7j, e.consommation AS conso_j_moins_7
+  FROM windowed w
+  LEFT JOIN silver e ON e.region_code = w.region_code AND e.date_heure = w.date_heure - INTERVAL 7 DAY)"""
+
+LAG = f"""{_with(ALL_READINGS, HOURS)}
+SELECT h.region_code, h.date_heure, h.consommation, e.consommation AS conso_j_moins_7
+FROM hours h LEFT JOIN hours e ON e.region_code = h.region_code AND e.date_heure = h.date_heure - INTERVAL 7 DAY"""
+
+
+def _merged(prelude: str, table: str, columns: list[str], updates: list[str]) -> str:
+    chosen = [
+        f"CASE WHEN s.date_heure IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}"
+        if c in updates
+        else f"coalesce(t.{c}, s.{c}) AS {c}"
+        for c in columns
+    ]
+    return f"""{prelude},
+target AS (SELECT * FROM {table} WHERE date_heure < '{UPSERT_UNTIL}'),
+source AS (
+  SELECT * REPLACE (CASE WHEN consommation > 2000000 THEN NULL ELSE consommation + 1 END AS consommation)
+  FROM {table} WHERE date_heure >= '{UPSERT_FROM}')
+SELECT {", ".join(chosen)}
+FROM target t FULL JOIN source s ON t.date_heure = s.date_heure AND t.region_code = s.region_code"""
+
+
+SILVER_COLUMNS = ["date_heure", "region_code", "consommation", "temperature_2m", "precipitation", "is_holiday", "year"]
+FACT_COLUMNS = [
+    "date_heure", "date_key", "region_code", "consommation", "temperature_2m", "precipitation", "is_holiday",
+    "conso_moyenne_mobile_7j", "conso_j_moins_7",
+]
+MEASURES = ["consommation", "temperature_2m", "precipitation", "is_holiday"]
+UPSERT_SILVER = _merged(PLAIN_SILVER, "silver", SILVER_COLUMNS, MEASURES)
+UPSERT_GOLD = _merged(FACT, "fact", FACT_COLUMNS, MEASURES + ["conso_moyenne_mobile_7j", "conso_j_moins_7"])
+
+BRONZE_WEATHER = _with(WEATHER, WEATHER_HOURS) + """,
+bronze AS (
+  SELECT date_heure AS time, temperature_2m, precipitation, region_code,
+         CAST(year(date_heure) AS INTEGER) AS year, CAST(month(date_heure) AS INTEGER) AS month,
+         CAST(day(date_heure) AS INTEGER) AS day
+  FROM weather_hours)"""
+
+YEARS = "SELECT unnest(range(min(year(o_orderdate)) + 1, max(year(o_orderdate)) + 1)) AS y FROM orders"
+
+INSTANTS = f"""instants AS (
+  SELECT {HALF_HOUR} AS date_heure, {_region("user_id")} AS region_code, event_type, value FROM events)"""
+
+
+def _gaps(table: str, series: str, time: str) -> str:
+    return f"""SELECT * FROM (
+  SELECT {series}, {time}, date_diff('hour', lag({time}) OVER (PARTITION BY {series} ORDER BY {time}), {time}) AS ecart_h
+  FROM {table}) WHERE ecart_h > 2"""
+
+
+ORACLE = {
+    "bronze_calendar_parts": f"""{_with(ALL_READINGS)}
+SELECT date_heure, CAST(local_day AS DATE) AS date, CAST(region_code AS VARCHAR) AS code_insee_region,
+       'region ' || region_code AS libelle_region, nature, consommation,
+       CAST(year(CAST(local_day AS DATE)) AS INTEGER) AS year, CAST(month(CAST(local_day AS DATE)) AS INTEGER) AS month,
+       CAST(day(CAST(local_day AS DATE)) AS INTEGER) AS day
+FROM readings""",
+    "time_bucket_hour": f"""SELECT event_type, date_trunc('hour', ts) AS ts, avg({_whole("value")}) AS mean_value
+FROM events GROUP BY ALL""",
+    "time_bucket_day": f"""SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, max({_whole("value")}) AS max_value
+FROM events GROUP BY ALL""",
+    "dedupe_then_hourly": f"{_with(ALL_READINGS, HOURS)} SELECT * FROM hours",
+    "weather_dedupe": f"{_with(WEATHER, WEATHER_HOURS)} SELECT * FROM weather_hours",
+    "silver_join": f"{PLAIN_SILVER} SELECT * FROM silver",
+    "silver_holidays": f"""WITH readings AS (
+  SELECT o_orderdate AS date_heure, {_region("o_custkey")} AS region_code, {_whole("o_totalprice", 100)} AS consommation FROM orders),
+weather AS (
+  SELECT {_region("o_custkey")} AS region_code, o_orderdate AS date_heure,
+         CASE WHEN o_orderstatus = 'O' THEN {_whole("o_totalprice", 100)} END AS temperature_2m,
+         CASE WHEN o_orderstatus = 'F' THEN {_whole("o_totalprice", 100)} END AS precipitation
+  FROM orders),
+{HOURS}, {WEATHER_HOURS}, {ORDER_YEARS}, {HOLIDAYS}, {_silver(True)}
+SELECT * FROM silver""",
+    "silver_since": f"{HOLIDAY_SILVER} SELECT * FROM silver WHERE date_heure >= '{SINCE}'",
+    "gold_rolling_7d": f"""{_with(ALL_READINGS, HOURS)}
+SELECT *, avg(consommation) OVER (
+    PARTITION BY region_code ORDER BY date_heure
+    RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS conso_moyenne_mobile_7j
+FROM hours""",
+    "gold_lag_7d": LAG,
+    "gold_lag_7d_join": LAG,
+    "gold_fact": f"{FACT} SELECT * FROM fact",
+    "gold_fact_since": f"{FACT} SELECT * FROM fact WHERE date_heure >= '{SINCE}'",
+    "upsert_silver": UPSERT_SILVER,
+    "upsert_silver_stored": UPSERT_SILVER,
+    "upsert_gold": UPSERT_GOLD,
+    "upsert_empty_source": f"{PLAIN_SILVER} SELECT * FROM silver",
+    "append_by_name": f"""{BRONZE_WEATHER}
+SELECT * FROM bronze WHERE time < '{SINCE}'
+UNION ALL
+SELECT time, temperature_2m, NULL, region_code, year, month, day FROM bronze WHERE time >= '{SINCE}'""",
+    "partition_replace": f"""{BRONZE_WEATHER}
+SELECT * FROM bronze WHERE time < '{REPLACE_UNTIL}'
+  AND (region_code, year, month, day) NOT IN
+      (SELECT (region_code, year, month, day) FROM bronze WHERE time >= '{REPLACE_FROM}')
+UNION ALL
+SELECT * REPLACE (temperature_2m * 2 AS temperature_2m) FROM bronze WHERE time >= '{REPLACE_FROM}'""",
+    "touched_partitions": f"""{BRONZE_WEATHER}
+SELECT DISTINCT region_code, year, month, day FROM bronze WHERE time >= '{REPLACE_FROM}'""",
+    "replace_keys": f"""{_with(ALL_READINGS)},
+target AS (SELECT date_heure, region_code, consommation FROM readings WHERE date_heure < '{UPSERT_UNTIL}'),
+source AS (
+  SELECT date_heure, region_code, consommation + 1 AS consommation FROM readings
+  WHERE date_heure >= '{UPSERT_FROM}' AND consommation > 100000),
+stored AS (
+  SELECT * FROM target t WHERE NOT EXISTS (
+    SELECT 1 FROM source s WHERE s.date_heure = t.date_heure AND s.region_code = t.region_code)
+  UNION ALL SELECT * FROM source)
+SELECT date_heure, CAST(region_code AS VARCHAR) AS code_insee_region, consommation FROM stored""",
+    "flat_copy": f"{BRONZE_WEATHER} SELECT * FROM bronze",
+    "high_watermark": f"{_with(ALL_READINGS)} SELECT max(CAST(local_day AS DATE)) AS watermark FROM readings",
+    "high_watermark_by_region": f"""{_with(WEATHER)}
+SELECT region_code, CAST(max(date_heure) AS DATE) AS watermark FROM weather GROUP BY ALL""",
+    "year_bounds": f"SELECT CAST(y AS INTEGER) AS year FROM ({YEARS})",
+    "year_range": f"""SELECT CAST(y AS INTEGER) AS year, make_date(y, 1, 1) AS start_date,
+       CASE WHEN y = 2001 THEN DATE '2001-07-14' ELSE make_date(y, 12, 31) END AS end_date
+FROM ({YEARS})""",
+    "year_slice": """SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE year(o_orderdate) = 1998 AND o_orderdate < '1998-09-02'""",
+    "increment_slice": f"""{_with(ALL_READINGS)}
+SELECT date_heure, local_day AS date, CAST(region_code AS VARCHAR) AS code_insee_region,
+       'region ' || region_code AS libelle_region, nature, consommation
+FROM readings
+WHERE date_heure < '2024-01-29'
+  AND date_heure >= (SELECT max(CAST(local_day AS DATE)) FROM readings WHERE local_day < '2024-01-21') - INTERVAL 1 DAY""",
+    "increment_slice_by_region": f"""{_with(WEATHER)},
+marks AS (
+  SELECT region_code, max(CAST(date_heure AS DATE)) AS newest FROM weather
+  WHERE date_heure < '2024-01-15' AND temperature_2m > 1000000 GROUP BY ALL)
+SELECT w.region_code, w.date_heure AS time, w.temperature_2m, w.precipitation
+FROM weather w JOIN marks m USING (region_code)
+WHERE CAST(w.date_heure AS DATE) >= m.newest AND w.date_heure < '2024-01-29'""",
+    "weather_json_rows": f"""{_with(WEATHER, WEATHER_HOURS)}
+SELECT region_code, date_heure AS time, temperature_2m, precipitation FROM weather_hours WHERE date_heure < '2024-01-28'""",
+    "holiday_calendar": f"""WITH {ORDER_YEARS}, {HOLIDAYS}
+SELECT h.region_code, h.date, h.jour_ferie, h.is_holiday, count(o.o_orderkey) AS nb_orders
+FROM holidays h
+LEFT JOIN orders o ON {_region("o.o_custkey")} = h.region_code AND CAST(o.o_orderdate AS DATE) = h.date
+GROUP BY ALL""",
+    "dim_date": f"""WITH days AS (
+  SELECT CAST(DATE '{DIM_DATE_START}' + CAST(i AS INTEGER) AS DATE) AS date_key FROM range({DIM_DATE_ROWS}) t(i)),
+counted AS (SELECT CAST(ts AS DATE) AS date_key, count(*) AS nb FROM events GROUP BY ALL)
+SELECT date_key, CAST(year(date_key) AS INTEGER) AS annee, CAST(month(date_key) AS INTEGER) AS mois,
+       CAST(day(date_key) AS INTEGER) AS jour, left(dayname(date_key), 3) AS jour_semaine, coalesce(nb, 0) AS nb
+FROM days LEFT JOIN counted USING (date_key)""",
+    "dim_region": f"""WITH regions(region_code, region_nom, latitude, longitude) AS (VALUES
+  {", ".join(f"({code}, {_text(name)}, CAST({lat} AS DOUBLE), CAST({lon} AS DOUBLE))" for code, name, lat, lon in REGIONS)})
+SELECT region_code, region_nom, latitude, longitude, count(c_custkey) AS nb_customers
+FROM regions LEFT JOIN customer ON {_region("c_custkey")} = region_code
+GROUP BY ALL""",
+    "dq_duplicates": f"""{_with(INSTANTS)}
+SELECT date_heure, region_code, count(*) AS nb FROM instants GROUP BY ALL HAVING count(*) > 1""",
+    "dq_gaps": _gaps("events", "user_id", "ts"),
+    "dq_freshness": """SELECT user_id, max(ts) AS derniere_donnee FROM events GROUP BY user_id
+HAVING date_diff('hour', max(ts), TIMESTAMP '2024-01-31 00:00:00') > 24""",
+    "dq_outliers": """SELECT event_id, ts, user_id, value FROM events
+WHERE value IS NULL OR value < 0.1 OR value > 300""",
+    "dq_keys": f"""{_with(INSTANTS)},
+keyed AS (SELECT date_heure, CASE WHEN event_type <> 'error' THEN region_code END AS region_code FROM instants)
+SELECT date_heure, region_code, count(*) AS nb,
+       CASE WHEN region_code IS NULL THEN 'null' ELSE 'duplicate' END AS problem
+FROM keyed GROUP BY date_heure, region_code HAVING region_code IS NULL OR count(*) > 1""",
+    "dq_foreign_keys": """SELECT o_custkey, count(*) AS nb FROM orders
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) GROUP BY ALL""",
+    "dq_summary": f"""{_with(INSTANTS)}
+SELECT 'duplicates' AS "check", count(*) AS violations FROM (
+  SELECT 1 FROM instants GROUP BY date_heure, region_code HAVING count(*) > 1)
+UNION ALL SELECT 'gaps', count(*) FROM ({_gaps("instants", "region_code", "date_heure")})
+UNION ALL SELECT 'freshness', count(*) FROM (
+  SELECT 1 FROM instants GROUP BY region_code
+  HAVING date_diff('hour', max(date_heure), TIMESTAMP '2024-02-02 00:00:00') > 48)
+UNION ALL SELECT 'outliers', count(*) FROM instants WHERE value IS NULL OR value < 0.1 OR value > 300""",
+}

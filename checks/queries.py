@@ -1,0 +1,383 @@
+"""One query per operator, each over whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.standins import (
+    half_hour,
+    order_readings,
+    order_weather,
+    readings,
+    region_of,
+    rounded_mean,
+    table,
+    weather,
+    whole,
+)
+from wattloom.operators import quality, series, slices, tables
+from wattloom.plans.bronze import bronze_consumption, bronze_weather
+from wattloom.plans.gold import build_fact
+from wattloom.plans.silver import build_silver, clean_consumption, clean_weather
+from wattloom.schemas import BRONZE_WEATHER, FACT_UPDATES, RAW_WEATHER, SILVER, SILVER_UPDATES
+from wattloom.session import scratch_path
+from wattloom.sources import calendars
+from wattloom.sources.tables import available_years, high_watermark, high_watermarks, read_table, year_ranges
+from wattloom.sources.weather import select_documents, weather_rows
+
+SINCE = "2024-01-20"
+UPSERT_FROM, UPSERT_UNTIL = "2024-01-21", "2024-01-26"
+REPLACE_FROM, REPLACE_UNTIL = "2024-01-20", "2024-01-25"
+
+
+# --- bronze and time buckets -------------------------------------------------------
+
+
+def bronze_calendar_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze_consumption(readings(spark, sf_dir, event_type=None))
+
+
+def _valued_events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_type", "ts", whole("value").alias("value"))
+
+
+def time_bucket_hour(spark, sf_dir):
+    return series.time_bucket(_valued_events(spark, sf_dir), ["event_type"], "value", time="ts", alias="mean_value")
+
+
+def time_bucket_day(spark, sf_dir):
+    events = _valued_events(spark, sf_dir)
+    return series.time_bucket(events, ["event_type"], "value", "ts", "day", agg=F.max, alias="max_value")
+
+
+def dedupe_then_hourly(spark, sf_dir):
+    return clean_consumption(readings(spark, sf_dir, event_type=None), mean=rounded_mean)
+
+
+def weather_dedupe(spark, sf_dir):
+    return clean_weather(weather(spark, sf_dir), mean=rounded_mean)
+
+
+# --- silver ------------------------------------------------------------------------
+
+
+def _silver(spark, sf_dir, **options):
+    return build_silver(readings(spark, sf_dir), weather(spark, sf_dir), mean=rounded_mean, **options)
+
+
+def silver_join(spark, sf_dir):
+    return _silver(spark, sf_dir)
+
+
+def silver_since(spark, sf_dir):
+    return _silver(spark, sf_dir, holidays=_event_holidays(spark, sf_dir), since=SINCE)
+
+
+def _event_holidays(spark, sf_dir):
+    """The calendar of the years that events fall in."""
+    events = table(spark, sf_dir, "events")
+    years = events.select(F.year("ts").alias("year")).distinct()
+    return calendars.holidays_of(years, calendars.dim_region(spark))
+
+
+def _order_holidays(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    years = orders.select(F.year("o_orderdate").alias("year")).distinct()
+    regions = orders.select(region_of("o_custkey").alias("region_code")).distinct()
+    return calendars.holidays_of(years, regions)
+
+
+def silver_holidays(spark, sf_dir):
+    holidays = _order_holidays(spark, sf_dir)
+    return build_silver(order_readings(spark, sf_dir), order_weather(spark, sf_dir), holidays, mean=rounded_mean)
+
+
+# --- gold --------------------------------------------------------------------------
+
+
+def _hours(spark, sf_dir):
+    return clean_consumption(readings(spark, sf_dir, event_type=None), mean=rounded_mean)
+
+
+def gold_rolling_7d(spark, sf_dir):
+    return series.with_trailing_features(_hours(spark, sf_dir), ["region_code"], "consommation", lag_as=None)
+
+
+def gold_lag_7d(spark, sf_dir):
+    return series.with_trailing_features(_hours(spark, sf_dir), ["region_code"], "consommation", mean_as=None)
+
+
+def gold_lag_7d_join(spark, sf_dir):
+    return series.lag_by_join(_hours(spark, sf_dir), ["region_code"], "consommation")
+
+
+def gold_fact(spark, sf_dir):
+    return build_fact(_silver(spark, sf_dir, holidays=_event_holidays(spark, sf_dir)))
+
+
+def gold_fact_since(spark, sf_dir):
+    return build_fact(_silver(spark, sf_dir, holidays=_event_holidays(spark, sf_dir)), since=SINCE)
+
+
+# --- stored tables -----------------------------------------------------------------
+
+
+def _upsert_sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows up to a day, and a later overlapping delivery with changed and lost values."""
+    changed = F.when(F.col("consommation") > 2_000_000, F.lit(None)).otherwise(F.col("consommation") + 1)
+    target = rows.filter(F.col("date_heure") < UPSERT_UNTIL)
+    source = rows.filter(F.col("date_heure") >= UPSERT_FROM).withColumn("consommation", changed)
+    return target, source
+
+
+def upsert_silver(spark, sf_dir):
+    target, source = _upsert_sides(_silver(spark, sf_dir))
+    return tables.merged(target, source, SILVER.key, SILVER_UPDATES)
+
+
+def upsert_silver_stored(spark, sf_dir):
+    target, source = _upsert_sides(_silver(spark, sf_dir))
+    path = scratch_path(spark, "upsert-silver")
+    tables.overwrite_table(target, SILVER, path)
+    tables.upsert_table(source, SILVER, path, SILVER_UPDATES)
+    return read_table(spark, SILVER, path)
+
+
+def upsert_gold(spark, sf_dir):
+    target, source = _upsert_sides(gold_fact(spark, sf_dir))
+    return tables.merged(target, source, SILVER.key, FACT_UPDATES)
+
+
+def upsert_empty_source(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    path = scratch_path(spark, "upsert-empty")
+    tables.overwrite_table(silver, SILVER, path)
+    tables.upsert_table(silver.filter(F.col("region_code").isNull()), SILVER, path, SILVER_UPDATES)
+    return read_table(spark, SILVER, path)
+
+
+def _bronze_weather(spark, sf_dir):
+    hours = clean_weather(weather(spark, sf_dir), mean=rounded_mean)
+    return bronze_weather(hours.withColumnRenamed("date_heure", "time"))
+
+
+def append_by_name(spark, sf_dir):
+    rows = _bronze_weather(spark, sf_dir)
+    path = scratch_path(spark, "append")
+    tables.overwrite_table(rows.filter(F.col("time") < SINCE), BRONZE_WEATHER, path)
+    delivered = rows.filter(F.col("time") >= SINCE).select(
+        F.col("day").alias("DAY"),
+        F.col("month").alias("Month"),
+        F.col("year").alias("YEAR"),
+        F.col("region_code").cast("string").alias("REGION_CODE"),
+        F.lit("not a table column").alias("comment"),
+        F.col("temperature_2m").alias("Temperature_2M"),
+        F.col("time").alias("TIME"),
+    )
+    tables.append_by_name(delivered, BRONZE_WEATHER, path)
+    return read_table(spark, BRONZE_WEATHER, path)
+
+
+def _replacement(rows: DataFrame) -> DataFrame:
+    later = rows.filter(F.col("time") >= REPLACE_FROM)
+    return later.withColumn("temperature_2m", F.col("temperature_2m") * 2)
+
+
+def partition_replace(spark, sf_dir):
+    rows = _bronze_weather(spark, sf_dir)
+    path = scratch_path(spark, "replace")
+    tables.overwrite_table(rows.filter(F.col("time") < REPLACE_UNTIL), BRONZE_WEATHER, path)
+    tables.replace_partitions(_replacement(rows), BRONZE_WEATHER, path)
+    return read_table(spark, BRONZE_WEATHER, path)
+
+
+def touched_partitions(spark, sf_dir):
+    return tables.touched_partitions(_replacement(_bronze_weather(spark, sf_dir)), BRONZE_WEATHER.partition_by)
+
+
+def replace_keys(spark, sf_dir):
+    """A delivery with repeated instants over the rows already stored."""
+    rows = readings(spark, sf_dir, event_type=None).select("date_heure", "code_insee_region", "consommation")
+    target = rows.filter(F.col("date_heure") < UPSERT_UNTIL)
+    source = rows.filter(F.col("date_heure") >= UPSERT_FROM)
+    source = source.filter(F.col("consommation") > 100_000).withColumn("consommation", F.col("consommation") + 1)
+    return tables.keys_replaced(target, source, ["date_heure", "code_insee_region"])
+
+
+def flat_copy(spark, sf_dir):
+    path = scratch_path(spark, "flat")
+    tables.flat_copy(_bronze_weather(spark, sf_dir), path)
+    return spark.read.schema(BRONZE_WEATHER.schema).parquet(path)
+
+
+# --- watermarks and increments -----------------------------------------------------
+
+
+def newest_partition(spark, sf_dir):
+    return high_watermarks(bronze_consumption(readings(spark, sf_dir, event_type=None)))
+
+
+def newest_partition_by_region(spark, sf_dir):
+    return high_watermarks(bronze_weather(weather(spark, sf_dir)), ["region_code"])
+
+
+def year_bounds(spark, sf_dir):
+    return available_years(table(spark, sf_dir, "orders"), "o_orderdate")
+
+
+def year_range(spark, sf_dir):
+    return year_ranges(year_bounds(spark, sf_dir), "2001-07-15")
+
+
+def year_slice(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    return slices.year_slice(orders, "o_orderdate", 1998, "1998-09-02")
+
+
+def increment_slice(spark, sf_dir):
+    landed = readings(spark, sf_dir, event_type=None)
+    ingested = bronze_consumption(landed.filter(F.col("date") < "2024-01-21"))
+    return slices.increment_slice(landed, "date_heure", high_watermark(ingested), "2024-01-29")
+
+
+def increment_slice_by_region(spark, sf_dir):
+    landed = weather(spark, sf_dir)
+    ingested = landed.filter((F.col("time") < "2024-01-15") & (F.col("temperature_2m") > 1_000_000))
+    marks = high_watermarks(bronze_weather(ingested), ["region_code"])
+    return slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-29")
+
+
+def weather_json_rows(spark, sf_dir):
+    """Hours rendered as JSON documents of one region and day, then read back."""
+    hours = clean_weather(weather(spark, sf_dir), mean=rounded_mean)
+    name = F.when(F.col("day") < "2024-01-28", F.date_format("day", "yyyyMMdd")).otherwise(F.lit("daily"))
+    hour = F.struct(
+        F.date_format("date_heure", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature_2m", "precipitation"
+    )
+    arrays = [F.col(f"hours.{field}").alias(field) for field in ("time", "temperature_2m", "precipitation")]
+    by_day = (
+        hours.groupBy("region_code", F.to_date("date_heure").alias("day"))
+        .agg(F.array_sort(F.collect_list(hour)).alias("hours"))
+        .select(
+            F.concat(F.lit("openmeteo-"), "region_code", F.lit("-"), name, F.lit(".json")).alias("file_name"),
+            F.to_json(F.struct(F.struct(*arrays).alias("hourly"))).alias("text"),
+        )
+    )
+    parsed = F.from_json("text", RAW_WEATHER, {"mode": "FAILFAST"})
+    documents = by_day.select("file_name", parsed["hourly"].alias("hourly"))
+    return weather_rows(select_documents(documents, daily=False))
+
+
+# --- dimensions --------------------------------------------------------------------
+
+
+def holiday_calendar(spark, sf_dir):
+    """Holidays of the ordered years in the ordering regions, with their orders."""
+    orders = table(spark, sf_dir, "orders")
+    ordered = orders.groupBy(
+        region_of("o_custkey").alias("region_code"), F.to_date("o_orderdate").alias("date")
+    ).agg(F.count(F.lit(1)).alias("nb_orders"))
+    counted = _order_holidays(spark, sf_dir).join(ordered, ["region_code", "date"], "left")
+    return counted.fillna({"nb_orders": 0})
+
+
+def dim_date(spark, sf_dir):
+    """Every day of the dimension with the events of that day."""
+    days = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("date_key")).agg(F.count(F.lit(1)).alias("nb"))
+    return calendars.dim_date(spark).join(days, "date_key", "left").fillna({"nb": 0})
+
+
+def dim_region(spark, sf_dir):
+    """Every region with the customers assigned to it."""
+    customers = table(spark, sf_dir, "customer").groupBy(region_of("c_custkey").alias("region_code"))
+    counted = customers.agg(F.count(F.lit(1)).alias("nb_customers"))
+    return calendars.dim_region(spark).join(counted, "region_code", "left").fillna({"nb_customers": 0})
+
+
+# --- data quality ------------------------------------------------------------------
+
+
+def _instants(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(
+        half_hour("ts").alias("date_heure"), region_of("user_id").alias("region_code"), "event_type", "value"
+    )
+
+
+def dq_duplicates(spark, sf_dir):
+    return quality.duplicate_keys(_instants(spark, sf_dir), ["date_heure", "region_code"])
+
+
+def dq_gaps(spark, sf_dir):
+    return series.series_gaps(table(spark, sf_dir, "events"), ["user_id"], "ts")
+
+
+def dq_freshness(spark, sf_dir):
+    return quality.stale_series(table(spark, sf_dir, "events"), ["user_id"], "ts", as_of="2024-01-31 00:00:00", max_hours=24)
+
+
+def dq_outliers(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    return quality.outliers(events, "value", low=0.1, high=300)
+
+
+def dq_keys(spark, sf_dir):
+    rows = _instants(spark, sf_dir)
+    known = F.when(F.col("event_type") != "error", F.col("region_code"))
+    return quality.key_violations(rows.withColumn("region_code", known), ["date_heure", "region_code"])
+
+
+def dq_foreign_keys(spark, sf_dir):
+    """Orders of customers that are not among those in credit."""
+    in_credit = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+    return quality.orphan_keys(table(spark, sf_dir, "orders"), "o_custkey", in_credit, "c_custkey")
+
+
+def dq_summary(spark, sf_dir):
+    return quality.series_summary(
+        _instants(spark, sf_dir), ["region_code"], as_of="2024-02-02 00:00:00", value="value", low=0.1, high=300
+    )
+
+
+QUERIES = {
+    "bronze_calendar_parts": bronze_calendar_parts,
+    "time_bucket_hour": time_bucket_hour,
+    "time_bucket_day": time_bucket_day,
+    "dedupe_then_hourly": dedupe_then_hourly,
+    "weather_dedupe": weather_dedupe,
+    "silver_join": silver_join,
+    "silver_holidays": silver_holidays,
+    "silver_since": silver_since,
+    "gold_rolling_7d": gold_rolling_7d,
+    "gold_lag_7d": gold_lag_7d,
+    "gold_lag_7d_join": gold_lag_7d_join,
+    "gold_fact": gold_fact,
+    "gold_fact_since": gold_fact_since,
+    "upsert_silver": upsert_silver,
+    "upsert_silver_stored": upsert_silver_stored,
+    "upsert_gold": upsert_gold,
+    "upsert_empty_source": upsert_empty_source,
+    "append_by_name": append_by_name,
+    "partition_replace": partition_replace,
+    "touched_partitions": touched_partitions,
+    "replace_keys": replace_keys,
+    "flat_copy": flat_copy,
+    "high_watermark": newest_partition,
+    "high_watermark_by_region": newest_partition_by_region,
+    "year_bounds": year_bounds,
+    "year_range": year_range,
+    "year_slice": year_slice,
+    "increment_slice": increment_slice,
+    "increment_slice_by_region": increment_slice_by_region,
+    "weather_json_rows": weather_json_rows,
+    "holiday_calendar": holiday_calendar,
+    "dim_date": dim_date,
+    "dim_region": dim_region,
+    "dq_duplicates": dq_duplicates,
+    "dq_gaps": dq_gaps,
+    "dq_freshness": dq_freshness,
+    "dq_outliers": dq_outliers,
+    "dq_keys": dq_keys,
+    "dq_foreign_keys": dq_foreign_keys,
+    "dq_summary": dq_summary,
+}

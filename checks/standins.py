@@ -1,0 +1,83 @@
+"""The driver's tables in the shape of the library's inputs.
+
+Events stand in for readings: purchases for consumption, views and clicks for the two
+weather measures; orders stand in for a day-grain series. Values become whole numbers
+(ten-thousandths) and means are rounded to whole numbers, so that sums of doubles are
+exact in any order and two engines must agree to the last bit.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wattloom.functions.regions import REGIONS
+from wattloom.session import pin_utc
+
+CODES = [row[0] for row in REGIONS]
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def region_of(id_column: str) -> Column:
+    """Spread ids over the twelve region codes."""
+    codes = F.array(*[F.lit(code) for code in CODES])
+    return F.element_at(codes, (F.col(id_column) % len(CODES)).cast("int") + 1)
+
+
+def whole(value: str, scale: int = 10_000) -> Column:
+    return F.floor(F.col(value) * float(scale) + 0.5).cast("double")
+
+
+def rounded_mean(value: str) -> Column:
+    return F.floor(F.avg(value) + 0.5).cast("double")
+
+
+def half_hour(time: str) -> Column:
+    return F.window(time, "30 minutes")["start"]
+
+
+def readings(spark: SparkSession, sf_dir: str, event_type: str | None = "purchase") -> DataFrame:
+    """Raw consumption rows; half-hour instants, so that instants repeat. The local day
+    is one hour ahead of the UTC day, as in winter."""
+    events = table(spark, sf_dir, "events")
+    if event_type:
+        events = events.filter(F.col("event_type") == event_type)
+    return events.select(
+        half_hour("ts").alias("date_heure"),
+        F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd").alias("date"),
+        region_of("user_id").cast("string").alias("code_insee_region"),
+        F.concat(F.lit("region "), region_of("user_id")).alias("libelle_region"),
+        F.col("event_type").alias("nature"),
+        whole("value").alias("consommation"),
+    )
+
+
+def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw weather rows: one measure each, several per hour."""
+    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
+    return events.select(
+        region_of("user_id").alias("region_code"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time"),
+        F.when(F.col("event_type") == "view", whole("value")).alias("temperature_2m"),
+        F.when(F.col("event_type") == "click", whole("value")).alias("precipitation"),
+    )
+
+
+def order_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").alias("date_heure"),
+        region_of("o_custkey").cast("string").alias("code_insee_region"),
+        whole("o_totalprice", 100).alias("consommation"),
+    )
+
+
+def order_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        region_of("o_custkey").alias("region_code"),
+        F.col("o_orderdate").alias("time"),
+        F.when(F.col("o_orderstatus") == "O", whole("o_totalprice", 100)).alias("temperature_2m"),
+        F.when(F.col("o_orderstatus") == "F", whole("o_totalprice", 100)).alias("precipitation"),
+    )
