@@ -245,7 +245,7 @@ WHERE date_heure < '2024-01-29'
     "increment_slice_by_region": f"""{_with(WEATHER)},
 marks AS (
   SELECT region_code, max(CAST(date_heure AS DATE)) AS newest FROM weather
-  WHERE date_heure < '2024-01-15' AND temperature_2m > 1000000 GROUP BY ALL)
+  WHERE date_heure < DATE '2024-01-10' + CAST(region_code // 10 AS INTEGER) GROUP BY ALL)
 SELECT w.region_code, w.date_heure AS time, w.temperature_2m, w.precipitation
 FROM weather w JOIN marks m USING (region_code)
 WHERE CAST(w.date_heure AS DATE) >= m.newest AND w.date_heure < '2024-01-29'""",

@@ -243,7 +243,7 @@ def increment_slice(spark, sf_dir):
 
 def increment_slice_by_region(spark, sf_dir):
     landed = weather(spark, sf_dir)
-    ingested = landed.filter((F.col("time") < "2024-01-15") & (F.col("temperature_2m") > 1_000_000))
+    ingested = landed.filter(F.col("time") < F.expr("date_add(date '2024-01-10', cast(region_code div 10 as int))"))
     marks = high_watermarks(bronze_weather(ingested), ["region_code"])
     return slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-29")
 

@@ -1,0 +1,71 @@
+from datetime import timedelta
+
+import pytest
+from conftest import rows, ts
+
+from wattloom.operators import quality
+
+START = ts("2024-01-01 00:00")
+SCHEMA = "region_code int, date_heure timestamp_ntz, consommation double"
+
+
+def table(spark, *points):
+    return spark.createDataFrame([(r, None if h is None else START + timedelta(hours=h), v) for r, h, v in points], SCHEMA)
+
+
+def test_duplicates(spark):
+    df = table(spark, (11, 0, 1.0), (11, 0, 2.0), (44, 0, 1.0))
+    assert rows(quality.duplicate_keys(df, ["date_heure", "region_code"])) == [(START, 11, 2)]
+
+
+def test_freshness_counts_hour_boundaries(spark):
+    df = table(spark, (11, 0, 1.0), (11, 0.9, 1.0), (44, 1, 1.0))
+    # 48 boundaries are still fresh, 49 are not
+    assert rows(quality.stale_series(df, ["region_code"], as_of="2024-01-03 00:59:00")) == []
+    assert rows(quality.stale_series(df, ["region_code"], as_of="2024-01-03 01:00:00"), "region_code") == [(11,)]
+    assert quality.stale_series(df, ["region_code"]).count() == 2
+
+
+def test_outliers(spark):
+    df = table(spark, (11, 0, None), (11, 1, -0.1), (11, 2, 0.0), (11, 3, 50000.0), (11, 4, 50000.1))
+    assert rows(quality.outliers(df), "consommation") == [(-0.1,), (50000.1,), (None,)]
+    assert quality.outliers(df, low=-1, high=10).count() == 3
+
+
+def test_keys(spark):
+    df = table(spark, (11, 0, 1.0), (11, 0, 1.0), (None, 1, 1.0), (44, 0, 1.0), (44, None, 1.0))
+    found = rows(quality.key_violations(df, ["region_code", "date_heure"]), "region_code", "nb", "problem")
+    assert found == [(11, 2, "duplicate"), (44, 1, "null"), (None, 1, "null")]
+
+
+def test_orphans(spark):
+    fact = table(spark, (11, 0, 1.0), (99, 0, 1.0), (99, 1, 1.0), (None, 0, 1.0))
+    regions = spark.createDataFrame([(11,), (44,)], "code int")
+    assert rows(quality.orphan_keys(fact, "region_code", regions, "code")) == [(99, 2)]
+
+
+@pytest.mark.parametrize("value", [None, "consommation"])
+def test_summary_from_one_scan_equals_the_checks(spark, value):
+    points = [(11, h, float(h)) for h in (0, 0, 1, 5, 5.5, 9, 9, 9)] + [(44, 100, None), (44, 100, -1.0)]
+    df = table(spark, *points)
+    as_of = "2024-01-04 00:00:00"
+    by_check = quality.violation_counts(quality.series_checks(df, ["region_code"], as_of=as_of, value=value))
+    single = quality.series_summary(df, ["region_code"], as_of=as_of, value=value)
+    assert rows(single) == rows(by_check)
+    expected = {"duplicates": 3, "gaps": 2, "freshness": 1, "outliers": 2}
+    assert dict(rows(single)) == {k: v for k, v in expected.items() if value or k != "outliers"}
+    plan = single._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_summary_of_nothing_is_clean(spark):
+    summary = quality.series_summary(table(spark, (11, 0, 1.0)).limit(0), ["region_code"])
+    assert rows(summary) == [("duplicates", 0), ("freshness", 0), ("gaps", 0)]
+    quality.enforce(summary)
+
+
+def test_enforce_lists_every_failed_check(spark):
+    df = table(spark, (11, 0, 1.0), (11, 0, 1.0), (11, 9, 1.0))
+    with pytest.raises(quality.DataQualityError, match=r"duplicates: 1 row\(s\), gaps: 1 row\(s\)") as caught:
+        quality.enforce(quality.series_summary(df, ["region_code"], as_of="2024-01-02 00:00:00"))
+    assert "freshness" not in str(caught.value)

@@ -1,0 +1,196 @@
+import os
+
+import pytest
+from conftest import plan_of, rows, ts
+from pyspark.sql import functions as F
+
+from wattloom.operators import tables
+from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, SILVER, SILVER_UPDATES
+from wattloom.sources.tables import read_table
+
+COLUMNS = ["date_heure", "region_code", "consommation", "temperature_2m", "precipitation", "is_holiday", "year"]
+
+
+def silver(spark, *data):
+    """data: (time, region, consumption[, year])"""
+    full = [(ts(t), region, value, 1.0, 0.0, 0, year[0] if year else ts(t).year) for t, region, value, *year in data]
+    return spark.createDataFrame(
+        full,
+        "date_heure timestamp_ntz, region_code int, consommation double, temperature_2m double, precipitation double, is_holiday int, year int",
+    )
+
+
+def stored(spark, path, *columns):
+    return rows(read_table(spark, SILVER, path), *(columns or ["date_heure", "region_code", "consommation"]))
+
+
+@pytest.fixture
+def target(spark, folder):
+    path = f"{folder}/silver"
+    data = silver(
+        spark,
+        ("2022-05-01 00:00", 11, 1.0),
+        ("2023-12-31 22:00", 11, 2.0),
+        ("2023-12-31 23:00", 11, 3.0),
+        ("2023-12-31 23:00", 44, 4.0),
+    )
+    tables.overwrite_table(data, SILVER, path)
+    return path
+
+
+def files_under(path):
+    return sorted(os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_upsert_overwrites_with_null_inserts_and_keeps_the_rest(spark, target):
+    untouched = [f for f in files_under(target) if "region_code=44" in f or "year=2022" in f]
+    source = silver(spark, ("2023-12-31 23:00", 11, None), ("2024-01-01 00:00", 11, 9.0))
+    assert tables.upsert_table(source, SILVER, target, SILVER_UPDATES).count() == 2
+    assert stored(spark, target) == [
+        (ts("2022-05-01 00:00"), 11, 1.0),
+        (ts("2023-12-31 22:00"), 11, 2.0),
+        (ts("2023-12-31 23:00"), 11, None),
+        (ts("2023-12-31 23:00"), 44, 4.0),
+        (ts("2024-01-01 00:00"), 11, 9.0),
+    ]
+    # partitions outside the source are not rewritten
+    assert [f for f in files_under(target) if "region_code=44" in f or "year=2022" in f] == untouched
+
+
+def test_upsert_twice_is_upsert_once(spark, target):
+    source = silver(spark, ("2023-12-31 23:00", 11, 8.0), ("2024-01-01 00:00", 11, 9.0))
+    tables.upsert_table(source, SILVER, target, SILVER_UPDATES)
+    once = stored(spark, target, *COLUMNS)
+    tables.upsert_table(source, SILVER, target, SILVER_UPDATES)
+    assert stored(spark, target, *COLUMNS) == once
+
+
+def test_upsert_of_nothing_changes_nothing(spark, target):
+    before = stored(spark, target, *COLUMNS), files_under(target)
+    nothing = silver(spark, ("2023-12-31 23:00", 11, 8.0)).limit(0)
+    assert tables.upsert_table(nothing, SILVER, target, SILVER_UPDATES).isEmpty()
+    assert (stored(spark, target, *COLUMNS), files_under(target)) == before
+
+
+def test_first_upsert_creates_the_table(spark, folder):
+    path = f"{folder}/new"
+    tables.upsert_table(silver(spark, ("2023-12-31 23:00", 11, 8.0)), SILVER, path, SILVER_UPDATES)
+    assert stored(spark, path) == [(ts("2023-12-31 23:00"), 11, 8.0)]
+
+
+def test_upsert_of_a_repeated_or_null_key_fails_and_changes_nothing(spark, target):
+    before = files_under(target)
+    repeated = silver(spark, ("2023-12-31 23:00", 11, 8.0), ("2023-12-31 23:00", 11, 9.0))
+    with pytest.raises(Exception, match="more than once"):
+        tables.upsert_table(repeated, SILVER, target, SILVER_UPDATES)
+    lost_key = silver(spark, ("2023-12-31 23:00", 11, 8.0)).withColumn("date_heure", F.lit(None).cast("timestamp_ntz"))
+    with pytest.raises(Exception, match="NULL in silver.date_heure"):
+        tables.upsert_table(lost_key, SILVER, target, SILVER_UPDATES)
+    with pytest.raises(Exception, match="NULL in a key column"):
+        tables.merged(read_table(spark, SILVER, target), lost_key, SILVER.key, SILVER_UPDATES).collect()
+    assert files_under(target) == before
+
+
+def test_merged_updates_repeats_in_the_target_and_leaves_other_columns(spark):
+    target = silver(spark, ("2023-12-31 23:00", 11, 1.0, 7), ("2023-12-31 23:00", 11, 2.0, 7))
+    source = silver(spark, ("2023-12-31 23:00", 11, 5.0))
+    merged = tables.merged(target, source, SILVER.key, SILVER_UPDATES)
+    assert rows(merged, "consommation", "year") == [(5.0, 7), (5.0, 7)]
+
+
+def test_duplicate_check_of_an_upsert_adds_no_shuffle(spark):
+    target = silver(spark, ("2023-12-31 23:00", 11, 1.0))
+    plan = plan_of(tables.merged(target, target, SILVER.key, SILVER_UPDATES).hint("merge"))
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_replacement_by_key_keeps_repeats_of_the_source(spark):
+    target = silver(spark, ("2023-12-31 22:00", 11, 1.0), ("2023-12-31 23:00", 11, 2.0), ("2023-12-31 23:00", 11, 3.0))
+    source = silver(spark, ("2023-12-31 23:00", 11, 5.0), ("2023-12-31 23:00", 11, 6.0), ("2024-01-01 00:00", 11, 7.0))
+    once = tables.keys_replaced(target, source, SILVER.key)
+    assert rows(once, "consommation") == [(1.0,), (5.0,), (6.0,), (7.0,)]
+    assert rows(tables.keys_replaced(once, source, SILVER.key)) == rows(once)
+
+
+def test_many_touched_partitions_are_joined_instead_of_listed(spark, target, monkeypatch):
+    table = read_table(spark, SILVER, target)
+    touched = table.filter("year = 2023").select("region_code", "year").distinct()
+    listed = tables.in_touched(table, touched, SILVER.partition_by)
+    assert "PartitionFilters: [concat_ws" in plan_of(listed)
+    monkeypatch.setattr(tables, "LISTED_PARTITIONS", 1)
+    joined = tables.in_touched(table, touched, SILVER.partition_by)
+    assert "LeftSemi" in plan_of(joined)
+    assert rows(joined, *COLUMNS) == rows(listed, *COLUMNS)
+    assert listed.count() == 3
+
+
+def test_rows_without_a_partition_value_survive_an_increment(spark, folder):
+    schema = "date_heure timestamp_ntz, date date, code_insee_region string, libelle_region string, nature string, consommation double, year int, month int, day int"
+    undated = spark.createDataFrame([(ts(f"2024-01-01 0{h}:00"), None, "11", "r", "n", 1.0, None, None, None) for h in (0, 1)], schema)
+    tables.overwrite_table(undated, BRONZE_CONSUMPTION, folder)
+    tables.replace_by_key(undated.filter("date_heure = '2024-01-01 01:00'"), BRONZE_CONSUMPTION, folder)
+    assert read_table(spark, BRONZE_CONSUMPTION, folder).count() == 2
+
+
+def test_partition_replacement(spark, target):
+    complete = silver(spark, ("2023-06-01 00:00", 11, 5.0))
+    touched = tables.replace_partitions(complete, SILVER, target)
+    assert rows(touched) == [(11, 2023)]
+    assert stored(spark, target) == [
+        (ts("2022-05-01 00:00"), 11, 1.0),
+        (ts("2023-12-31 23:00"), 44, 4.0),
+        (ts("2023-06-01 00:00"), 11, 5.0),
+    ]
+    assert rows(tables.replace_partitions(complete.limit(0), SILVER, target)) == []
+    assert len(stored(spark, target)) == 3
+
+
+def test_overwrite_replaces_everything(spark, target):
+    tables.overwrite_table(silver(spark, ("2020-06-01 00:00", 93, 5.0)), SILVER, target)
+    assert stored(spark, target) == [(ts("2020-06-01 00:00"), 93, 5.0)]
+
+
+def test_a_partition_is_written_together(spark, folder):
+    scattered = silver(spark, *[(f"2023-01-{d:02d} 00:00", region, 1.0) for d in range(1, 29) for region in (11, 44)])
+    tables.overwrite_table(scattered.repartition(8), SILVER, f"{folder}/s")
+    assert len(files_under(f"{folder}/s")) == 2
+
+
+def test_append_by_name(spark, folder):
+    path = f"{folder}/weather"
+    schema = "TIME timestamp_ntz, Region_Code string, comment string, day int, month int, year int, PRECIPITATION string"
+    delivered = spark.createDataFrame([(ts("2024-01-01 00:00"), "11", "x", 1, 1, 2024, "0.5")], schema)
+    tables.append_by_name(delivered, BRONZE_WEATHER, path)
+    tables.append_by_name(delivered, BRONZE_WEATHER, path)
+    found = rows(read_table(spark, BRONZE_WEATHER, path))
+    assert found == [(ts("2024-01-01 00:00"), None, 0.5, 11, 2024, 1, 1)] * 2
+
+
+def test_append_fails_on_the_first_bad_row(spark, folder):
+    good = spark.createDataFrame([(ts("2024-01-01 00:00"), "11")], "time timestamp_ntz, region_code string")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.append_by_name(good.withColumn("region_code", F.lit("2A")), BRONZE_WEATHER, folder)
+    with pytest.raises(Exception, match="NULL in bronze_weather.time"):
+        tables.append_by_name(good.withColumn("time", F.lit(None)), BRONZE_WEATHER, folder)
+    with pytest.raises(ValueError, match="needs a column 'time'"):
+        tables.append_by_name(good.drop("time"), BRONZE_WEATHER, folder)
+    with pytest.raises(ValueError, match="differ only in case"):
+        tables.conform(good.select("*", F.lit(1).alias("Time")), BRONZE_WEATHER)
+    assert files_under(folder) == []
+
+
+def test_flat_copy_keeps_partition_columns(spark, target, folder):
+    flat = f"{folder}/flat"
+    tables.flat_copy(read_table(spark, SILVER, target), flat)
+    assert set(spark.read.parquet(flat).columns) == set(COLUMNS)
+    assert rows(spark.read.parquet(flat), *COLUMNS) == stored(spark, target, *COLUMNS)
+    tables.flat_copy(spark.range(1000).repartition(12), flat, max_files=8)
+    assert len(files_under(flat)) <= 8
+
+
+def test_partition_columns_follow_from_keys(spark):
+    # one key must never span two partitions, or an upsert would miss its old row
+    assert set(SILVER.partition_by) == {"region_code", "year"}
+    assert set(BRONZE_CONSUMPTION.partition_by) == {"year", "month", "day"}
+    for dataset in (SILVER, BRONZE_CONSUMPTION, BRONZE_WEATHER):
+        assert dataset.columns[-len(dataset.partition_by) :] == list(dataset.partition_by)

@@ -63,7 +63,8 @@ def overwrite_table(df: DataFrame, dataset: Dataset, path: str) -> None:
 def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
     """Replace every partition that occurs in ``df``, which must hold all of its rows.
 
-    Returns the touched partitions. An empty ``df`` changes nothing.
+    Returns the touched partitions. An empty ``df`` changes nothing. Unlike the upserts
+    this does not stage: ``df`` must not read the table it replaces.
     """
     conformed = conform(df, dataset)
     _writer(conformed, dataset.partition_by, "overwrite", "dynamic").parquet(path)
@@ -145,39 +146,41 @@ def in_touched(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -
     Up to ``LISTED_PARTITIONS`` the partitions are listed in a predicate over partition
     columns, which prunes folders; beyond that they are semi-joined within their range.
     """
-    parts = list(partition_by)
-    listed = touched.select(*parts).limit(LISTED_PARTITIONS + 1).collect()
+    folder = F.concat_ws("/", *[F.coalesce(F.col(name).cast("string"), F.lit("none")) for name in partition_by])
+    names = touched.select(folder.alias("_folder"))
+    listed = [row[0] for row in names.limit(LISTED_PARTITIONS + 1).collect()]
     if len(listed) <= LISTED_PARTITIONS:
-        folders = ["/".join(str(value) for value in row) for row in listed]
-        return df.filter(F.concat_ws("/", *parts).isin(folders))
-    leading = parts[0]
+        return df.filter(folder.isin(listed))
+    leading = F.col(partition_by[0])
     low, high = touched.agg(F.min(leading), F.max(leading)).first()
-    return df.filter(F.col(leading).between(low, high)).join(touched, parts, "left_semi").select(*df.columns)
+    near = df.filter(leading.isNull() | leading.between(low, high))
+    return near.withColumn("_folder", folder).join(names, "_folder", "left_semi").select(*df.columns)
 
 
-def _rewrite_touched(df: DataFrame, dataset: Dataset, path: str, combine) -> bool:
+def _rewrite_touched(df: DataFrame, dataset: Dataset, path: str, combine) -> DataFrame:
     """Stage ``df``, combine it with the partitions it touches, replace only those."""
     spark = df.sparkSession
     staged_path = scratch_path(spark, f"staged-{dataset.name}")
     overwrite_table(df, dataset, staged_path)
     staged = read_table(spark, dataset, staged_path)
-    if staged.isEmpty():
-        return False
-    touched = touched_partitions(staged, dataset.partition_by)
-    target = in_touched(read_table_or_empty(spark, dataset, path), touched, dataset.partition_by)
-    _writer(combine(target.select(*dataset.columns), staged), dataset.partition_by, "overwrite", "dynamic").parquet(path)
-    return True
+    if not staged.isEmpty():
+        touched = touched_partitions(staged, dataset.partition_by)
+        near = in_touched(read_table_or_empty(spark, dataset, path), touched, dataset.partition_by)
+        combined = combine(near.select(*dataset.columns), staged)
+        _writer(combined, dataset.partition_by, "overwrite", "dynamic").parquet(path)
+    return staged
 
 
-def upsert_table(df: DataFrame, dataset: Dataset, path: str, updates: Sequence[str]) -> bool:
-    """``merged`` into the stored table by its key; False where ``df`` has no rows.
+def upsert_table(df: DataFrame, dataset: Dataset, path: str, updates: Sequence[str]) -> DataFrame:
+    """``merged`` into the stored table by its key. No rows, no change.
 
     The source is written once to the shared scratch folder, so it is computed once
     and its partitions are known; only those partitions are read and replaced.
+    Returns the staged rows, which stay as they were when the table moves on.
     """
     return _rewrite_touched(df, dataset, path, lambda target, source: merged(target, source, dataset.key, updates))
 
 
-def replace_by_key(df: DataFrame, dataset: Dataset, path: str) -> bool:
-    """``keys_replaced`` in the stored table; False where ``df`` has no rows."""
+def replace_by_key(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
+    """``keys_replaced`` in the stored table. No rows, no change. Returns the staged rows."""
     return _rewrite_touched(df, dataset, path, lambda target, source: keys_replaced(target, source, dataset.key))

@@ -92,9 +92,8 @@ def increment_consumption(spark: SparkSession, lake: Lake, raw: str | list[str],
     pin_utc(spark)
     watermark = high_watermark(read_table(spark, BRONZE_CONSUMPTION, lake.consumption))
     landed = increment_slice(read_raw_consumption(spark, raw), "date_heure", watermark, as_of)
-    rows = bronze_consumption(landed)
-    replace_by_key(rows, BRONZE_CONSUMPTION, lake.consumption)
-    return touched_partitions(rows, BRONZE_CONSUMPTION.partition_by)
+    delivered = replace_by_key(bronze_consumption(landed), BRONZE_CONSUMPTION, lake.consumption)
+    return touched_partitions(delivered, BRONZE_CONSUMPTION.partition_by)
 
 
 def increment_weather(
@@ -105,11 +104,10 @@ def increment_weather(
     pin_utc(spark)
     marks = high_watermarks(read_table(spark, BRONZE_WEATHER, lake.weather), ["region_code"])
     landed = increment_slice_by_series(read_raw_weather(spark, raw, daily=True), marks, ["region_code"], "time", as_of)
-    rows = bronze_weather(landed)
-    replace_by_key(rows, BRONZE_WEATHER, lake.weather)
+    delivered = replace_by_key(bronze_weather(landed), BRONZE_WEATHER, lake.weather)
     if flat_path:
-        flat_copy(rows, flat_path)
-    return touched_partitions(rows, BRONZE_WEATHER.partition_by)
+        flat_copy(delivered, flat_path)
+    return touched_partitions(delivered, BRONZE_WEATHER.partition_by)
 
 
 def build_holidays(spark: SparkSession, lake: Lake, first_year: int = HOLIDAY_YEARS[0], last_year: int = HOLIDAY_YEARS[1]) -> None:
