@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import REPLACE_FROM, REPLACE_UNTIL, SINCE, UPSERT_FROM, UPSERT_UNTIL
+from checks.queries import REPLACE_FROM, SINCE, UPSERT_FROM, UPSERT_UNTIL
 from checks.standins import CODES
 from wattloom.functions.holidays import EASTER_DAYS, FIXED_DAYS
 from wattloom.functions.regions import ALSACE_MOSELLE, ALSACE_MOSELLE_REGION, REGIONS
@@ -208,12 +208,16 @@ FROM hours""",
 SELECT * FROM bronze WHERE time < '{SINCE}'
 UNION ALL
 SELECT time, temperature_2m, NULL, region_code, year, month, day FROM bronze WHERE time >= '{SINCE}'""",
-    "partition_replace": f"""{BRONZE_WEATHER}
-SELECT * FROM bronze WHERE time < '{REPLACE_UNTIL}'
-  AND (region_code, year, month, day) NOT IN
-      (SELECT (region_code, year, month, day) FROM bronze WHERE time >= '{REPLACE_FROM}')
-UNION ALL
-SELECT * REPLACE (temperature_2m * 2 AS temperature_2m) FROM bronze WHERE time >= '{REPLACE_FROM}'""",
+    "partition_replace": f"""{_with(ALL_READINGS, HOURS)},
+dated AS (
+  SELECT date_heure, CAST(date_heure + INTERVAL 1 HOUR AS DATE) AS date, CAST(region_code AS VARCHAR) AS code_insee_region,
+         CAST(NULL AS VARCHAR) AS libelle_region, 'hourly' AS nature, consommation FROM hours),
+stored AS (
+  SELECT * FROM dated WHERE date < '{REPLACE_FROM}'
+  UNION ALL
+  SELECT * REPLACE (consommation * 2 AS consommation) FROM dated WHERE date >= '{REPLACE_FROM}')
+SELECT *, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, CAST(day(date) AS INTEGER) AS day
+FROM stored""",
     "touched_partitions": f"""{BRONZE_WEATHER}
 SELECT DISTINCT region_code, year, month, day FROM bronze WHERE time >= '{REPLACE_FROM}'""",
     "replace_keys": f"""{_with(ALL_READINGS)},

@@ -20,7 +20,7 @@ from wattloom.operators import quality, series, slices, tables
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
 from wattloom.plans.gold import build_fact
 from wattloom.plans.silver import build_silver, clean_consumption, clean_weather
-from wattloom.schemas import BRONZE_WEATHER, FACT_UPDATES, RAW_WEATHER, SILVER, SILVER_UPDATES
+from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, FACT_UPDATES, RAW_WEATHER, SILVER, SILVER_UPDATES
 from wattloom.session import scratch_path
 from wattloom.sources import calendars
 from wattloom.sources.tables import available_years, high_watermark, high_watermarks, read_table, year_ranges
@@ -180,20 +180,36 @@ def append_by_name(spark, sf_dir):
 
 
 def _replacement(rows: DataFrame) -> DataFrame:
-    later = rows.filter(F.col("time") >= REPLACE_FROM)
-    return later.withColumn("temperature_2m", F.col("temperature_2m") * 2)
+    """The last days, complete, with other values."""
+    return rows.filter(F.col("date") >= REPLACE_FROM).withColumn("consommation", F.col("consommation") * 2)
+
+
+def _bronze_consumption(spark, sf_dir):
+    """Hourly values as bronze rows, dated by the local day."""
+    hours = _hours(spark, sf_dir)
+    local_day = F.date_format(F.col("date_heure") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd")
+    raw = hours.select(
+        "date_heure",
+        local_day.alias("date"),
+        F.col("region_code").cast("string").alias("code_insee_region"),
+        F.lit(None).cast("string").alias("libelle_region"),
+        F.lit("hourly").alias("nature"),
+        "consommation",
+    )
+    return bronze_consumption(raw)
 
 
 def partition_replace(spark, sf_dir):
-    rows = _bronze_weather(spark, sf_dir)
+    rows = _bronze_consumption(spark, sf_dir)
     path = scratch_path(spark, "replace")
-    tables.overwrite_table(rows.filter(F.col("time") < REPLACE_UNTIL), BRONZE_WEATHER, path)
-    tables.replace_partitions(_replacement(rows), BRONZE_WEATHER, path)
-    return read_table(spark, BRONZE_WEATHER, path)
+    tables.overwrite_table(rows.filter(F.col("date") < REPLACE_UNTIL), BRONZE_CONSUMPTION, path)
+    tables.replace_partitions(_replacement(rows), BRONZE_CONSUMPTION, path)
+    return read_table(spark, BRONZE_CONSUMPTION, path)
 
 
 def touched_partitions(spark, sf_dir):
-    return tables.touched_partitions(_replacement(_bronze_weather(spark, sf_dir)), BRONZE_WEATHER.partition_by)
+    later = _bronze_weather(spark, sf_dir).filter(F.col("time") >= REPLACE_FROM)
+    return tables.touched_partitions(later, BRONZE_WEATHER.partition_by)
 
 
 def replace_keys(spark, sf_dir):

@@ -3,7 +3,7 @@ from datetime import timedelta
 from conftest import day, rows
 from pyspark.sql import functions as F
 
-from wattloom.functions.holidays import easter_sunday
+from wattloom.functions.holidays import with_easter
 from wattloom.sources.calendars import dim_date, dim_region, holiday_calendar, holidays_of
 
 # Published Easter Sundays.
@@ -17,7 +17,7 @@ EASTER = {
 
 def test_easter(spark):
     years = spark.createDataFrame([(y,) for y in EASTER], "year int")
-    found = {r["year"]: r["easter"].isoformat() for r in years.select("year", easter_sunday("year").alias("easter")).collect()}
+    found = {r["year"]: r["easter"].isoformat() for r in with_easter(years).collect()}
     assert found == EASTER
 
 

@@ -1,8 +1,8 @@
-"""French public-holiday rules as date arithmetic on a year column."""
+"""French public-holiday rules as date arithmetic on year rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.regions import ALSACE_MOSELLE, METROPOLE
@@ -28,23 +28,26 @@ EASTER_DAYS = [
 ]
 
 
-def easter_sunday(year: str) -> Column:
-    """Gregorian Easter by the published Meeus/Jones/Butcher congruences."""
-    century = f"({year} div 100)"
-    golden = f"({year} % 19)"
-    solar = f"(({century} - ({century} + 8) div 25 + 1) div 3)"
-    epact = f"((19 * {golden} + {century} - {century} div 4 - {solar} + 15) % 30)"
-    weekday = f"((32 + 2 * ({century} % 4) + 2 * ({year} % 100 div 4) - {epact} - {year} % 4) % 7)"
-    late = f"(({golden} + 11 * {epact} + 22 * {weekday}) div 451)"
-    offset = f"({epact} + {weekday} - 7 * {late} + 114)"
-    return F.expr(f"make_date({year}, cast({offset} div 31 as int), cast({offset} % 31 + 1 as int))")
+def with_easter(years: DataFrame) -> DataFrame:
+    """Add ``easter`` to ``year`` rows by the published Meeus/Jones/Butcher congruences.
+
+    Step by step, so that each intermediate value is computed once.
+    """
+    terms = years.withColumns({"_golden": F.expr("year % 19"), "_century": F.expr("year div 100"), "_short": F.expr("year % 100")})
+    moon = terms.withColumn(
+        "_moon",
+        F.expr("(19 * _golden + _century - _century div 4 - (_century - (_century + 8) div 25 + 1) div 3 + 15) % 30"),
+    )
+    week = moon.withColumn("_week", F.expr("(32 + 2 * (_century % 4) + 2 * (_short div 4) - _moon - _short % 4) % 7"))
+    offset = week.withColumn("_offset", F.expr("_moon + _week - 7 * ((_golden + 11 * _moon + 22 * _week) div 451) + 114"))
+    easter = F.expr("make_date(year, cast(_offset div 31 as int), cast(_offset % 31 + 1 as int))")
+    return offset.select(*years.columns, easter.alias("easter"))
 
 
-def holiday_rules(year: str) -> Column:
-    """Array of (jour_ferie, date, zone) for the year; 11 everywhere plus 2 local."""
-    y = F.col(year)
-    easter = easter_sunday(year)
-    days = [(name, F.make_date(y, F.lit(m), F.lit(d)), zone) for name, m, d, zone in FIXED_DAYS]
+def holiday_rules() -> Column:
+    """Array of (jour_ferie, date, zone) for ``year`` and ``easter``; 11 everywhere, 2 local."""
+    year, easter = F.col("year"), F.col("easter")
+    days = [(name, F.make_date(year, F.lit(m), F.lit(d)), zone) for name, m, d, zone in FIXED_DAYS]
     days += [(name, F.date_add(easter, offset), zone) for name, offset, zone in EASTER_DAYS]
     return F.array(
         *[F.struct(F.lit(name).alias("jour_ferie"), day.alias("date"), F.lit(zone).alias("zone")) for name, day, zone in days]

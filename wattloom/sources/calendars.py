@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.functions.holidays import holiday_rules
+from wattloom.functions.holidays import holiday_rules, with_easter
 from wattloom.functions.regions import REGIONS, holiday_zones
 from wattloom.schemas import DIM_REGION
 
@@ -16,7 +16,9 @@ HOLIDAY_YEARS = (2013, 2030)
 
 
 def dim_region(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REGIONS, DIM_REGION.schema)
+    # literals, whose size Spark knows: a local list would count as unbounded in joins
+    rows = [F.struct(*[F.lit(value) for value in row]) for row in REGIONS]
+    return spark.range(1).select(F.inline(F.array(*rows)).alias(*DIM_REGION.columns))
 
 
 def dim_date(spark: SparkSession, start: str = DIM_DATE_START, days: int = DIM_DATE_ROWS) -> DataFrame:
@@ -41,7 +43,7 @@ def holidays_of(years: DataFrame, regions: DataFrame) -> DataFrame:
     Two holidays on one day share a row with both names, so that joining by day
     never repeats an hour.
     """
-    days = years.select(F.inline(holiday_rules("year")))
+    days = with_easter(years.select("year")).select(F.inline(holiday_rules()))
     observed = regions.select("region_code", F.explode(holiday_zones("region_code")).alias("zone"))
     return (
         observed.join(days, "zone")
