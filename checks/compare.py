@@ -16,8 +16,9 @@ from wattloom.session import build_session
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for file in sorted(os.listdir(sf_dir)):
-        name = file.removesuffix(".parquet")
-        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{file}'")
+        path = f"{sf_dir}/{file}"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        connection.sql(f"CREATE VIEW {file.removesuffix('.parquet')} AS SELECT * FROM '{files}'")
     return connection
 
 

@@ -60,7 +60,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
     return events.select(
         region_of("user_id").alias("region_code"),
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("time"),
+        F.window("ts", "1 hour")["start"].alias("time"),
         F.when(F.col("event_type") == "view", whole("value")).alias("temperature_2m"),
         F.when(F.col("event_type") == "click", whole("value")).alias("precipitation"),
     )

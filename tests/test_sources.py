@@ -6,6 +6,7 @@ from conftest import day, plan_of, rows, ts
 from pyspark.sql import functions as F
 
 from wattloom.functions.regions import parse_region_code, region_from_file_name
+from wattloom.functions.timeparts import parse_day
 from wattloom.operators import slices
 from wattloom.operators.tables import overwrite_table
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
@@ -177,10 +178,29 @@ def test_increment_by_series_uses_each_watermark(spark):
         slices.increment_slice_by_series(landed, marks.filter("region_code = 11"), ["region_code"], "time", "2024-01-09").collect()
 
 
-def test_large_watermark_tables_are_not_broadcast(spark):
-    marks = spark.range(5)
-    assert slices.broadcast_if_small(marks, rows=4) is marks
-    assert slices.broadcast_if_small(marks, rows=5) is not marks
+def test_many_watermarks_are_joined_instead_of_broadcast(spark, monkeypatch):
+    landed = spark.createDataFrame([(11, ts("2024-01-05 00:00")), (44, ts("2024-01-01 00:00"))], "region_code int, time timestamp_ntz")
+    marks = spark.createDataFrame([(11, day("2024-01-05")), (44, day("2024-01-02"))], "region_code int, watermark date")
+    few = slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-09")
+    monkeypatch.setattr(slices, "LISTED_SERIES", 1)
+    many = slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-09")
+    assert "BroadcastHashJoin" in plan_of(few) and "SortMergeJoin" in plan_of(many)
+    assert rows(few) == rows(many) == [(11, ts("2024-01-05 00:00"))]
+
+
+def test_no_watermarks_fail(spark):
+    landed = spark.createDataFrame([(11, ts("2024-01-05 00:00"))], "region_code int, time timestamp_ntz")
+    marks = spark.createDataFrame([], "region_code int, watermark date")
+    with pytest.raises(ValueError, match="backfill"):
+        slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-09")
+
+
+@pytest.mark.parametrize("text", ["2024-1-5", "2024", "2024-01-5 ", "2024-13-01", "x"])
+def test_days_are_parsed_strictly(spark, text):
+    good = spark.createDataFrame([("2024-02-29",), (None,)], "d string")
+    assert {r[0] for r in good.select(parse_day("d")).collect()} == {None, day("2024-02-29")}
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|CAST_INVALID_INPUT|UPGRADE"):
+        spark.createDataFrame([(text,)], "d string").select(parse_day("d")).collect()
 
 
 def test_resolve_start():

@@ -11,7 +11,11 @@ from pyspark.sql.types import TimestampNTZType
 
 
 def parse_day(col: Column | str) -> Column:
-    return F.to_date(col, "yyyy-MM-dd")
+    """Strict ``2024-07-01`` text. A plain cast reads well-formed text several times
+    faster than a format does; anything else goes to the format, which rejects it."""
+    col = F.col(col) if isinstance(col, str) else col
+    well_formed = col.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")
+    return F.when(well_formed, col.cast("date")).otherwise(F.to_date(col, "yyyy-MM-dd"))
 
 
 def parse_instant(col: Column | str) -> Column:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from wattloom.functions.timeparts import instant
 from wattloom.sources.tables import since
 
-# A broadcast of one short row per series stays under a few MB up to this many.
-BROADCAST_ROWS = 100_000
+# One short row per series stays under a few MB up to this many.
+LISTED_SERIES = 50_000
 
 
 def between(df: DataFrame, time: str, start: str | date | Column, end: str | date | Column) -> DataFrame:
@@ -36,29 +36,29 @@ def increment_slice(df: DataFrame, time: str, watermark: date, as_of: str | date
     return rows.filter(F.col(time) < instant(as_of))
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a frame of short rows once it is counted to be small; else leave it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def increment_slice_by_series(
     df: DataFrame, watermarks: DataFrame, by: list[str], time: str, as_of: str | date | Column
 ) -> DataFrame:
     """Rows from each series' own watermark day up to yesterday, both days inclusive.
 
-    ``watermarks`` holds ``by`` and ``watermark``, one row per series. A series without
-    a watermark was never backfilled, and fails. The oldest watermark also bounds the
-    scan itself.
+    ``watermarks`` holds ``by`` and ``watermark``, one row per series. Up to
+    ``LISTED_SERIES`` they are read once, here, and broadcast; more are joined by
+    shuffle. A series without a watermark was never backfilled, and fails; so there is
+    no lower bound on the scan, which could hide such a series.
     """
-    oldest = watermarks.agg(F.min("watermark")).first()[0]
-    if oldest is None:
+    watermarks = watermarks.select(*by, "watermark")
+    listed = watermarks.limit(LISTED_SERIES + 1).collect()
+    if not listed:
         raise ValueError("no partitions found: run the backfill of this table before an increment")
+    if len(listed) <= LISTED_SERIES:
+        known = F.broadcast(df.sparkSession.createDataFrame(listed, watermarks.schema))
+    else:
+        known = watermarks
     rows = df.filter(F.col(time) < instant(as_of))
-    known = watermarks.withColumn("_known", F.lit(True))
-    joined = rows.join(broadcast_if_small(known), by, "left")
+    joined = rows.join(known, by, "left")
     message = F.concat(F.lit("no partitions found for series "), F.concat_ws("/", *by))
     reached = F.to_date(time) >= F.col("watermark")
-    wanted = F.when(F.col("_known").isNull(), F.raise_error(message).cast("boolean")).otherwise(reached)
+    wanted = F.when(F.col("watermark").isNull(), F.raise_error(message).cast("boolean")).otherwise(reached)
     return joined.filter(wanted).select(*df.columns)
 
 

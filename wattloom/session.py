@@ -42,8 +42,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     On a cluster it lies under ``spark.checkpoint.dir``, which every executor can
     reach. Only where that is unset (local tests) is a temporary folder used.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or os.path.join(tempfile.gettempdir(), "wattloom")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = os.path.join(tempfile.gettempdir(), "wattloom")
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
