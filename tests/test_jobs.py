@@ -155,12 +155,15 @@ def test_rolling_run_equals_a_rebuild_and_keeps_earlier_rows(spark, lake, folder
     # two new days arrive, and the last week is delivered again with other values
     land_consumption(spark, f"{folder}/daily", "2024-01-01", "2024-01-05", version=3)
     jobs.increment_consumption(spark, lake, f"{folder}/daily", as_of="2024-01-05")
-    jobs.rolling_run(spark, lake, as_of=day("2024-01-05"))
+    jobs.rolling_run(spark, lake, as_of=day("2024-01-05"), flat_path=f"{folder}/flat-silver")
+    # from 29 December on: the last week up to the day before
+    assert spark.read.parquet(f"{folder}/flat-silver").count() == 7 * 24 * 2
     rolled = rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))
     assert len(rolled[0]) == 16 * 24 * 2
     jobs.rolling_run(spark, lake, as_of=day("2024-01-05"), target="2023-12-30")
     assert (rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))) == rolled
-    jobs.rebuild(spark, lake, as_of="2024-01-05")
+    jobs.rebuild(spark, lake, as_of="2024-01-05", flat_path=f"{folder}/flat-silver")
+    assert rows(spark.read.parquet(f"{folder}/flat-silver")) == rolled[0]
     assert (rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))) == rolled
 
 

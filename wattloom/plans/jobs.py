@@ -144,12 +144,18 @@ def _stored_fact(fact: DataFrame) -> DataFrame:
 
 
 def rebuild(
-    spark: SparkSession, lake: Lake, as_of: str | date | datetime | None = None, calendar_tz: str | None = None
+    spark: SparkSession,
+    lake: Lake,
+    as_of: str | date | datetime | None = None,
+    calendar_tz: str | None = None,
+    flat_path: str | None = None,
 ) -> None:
     """Silver and gold anew from all of bronze; gold only where silver passes the gate."""
     pin_utc(spark)
     overwrite_table(_silver_plan(spark, lake, None, calendar_tz), SILVER, lake.silver)
     silver = read_silver(spark, lake)
+    if flat_path:
+        flat_copy(silver, flat_path)
     enforce(series_summary(silver, ["region_code"], as_of=as_of))
     overwrite_table(_stored_fact(build_fact(silver)), FACT, lake.fact)
 
@@ -161,15 +167,18 @@ def rolling_run(
     target: str | None = None,
     days: int = 7,
     calendar_tz: str | None = None,
+    flat_path: str | None = None,
 ) -> None:
     """Reprocess the last ``days`` days, or from ``target`` on, and upsert both layers.
 
     Earlier rows stay as they are. Gold reads the stored silver, which holds the week
-    before the window that its first rows need.
+    before the window that its first rows need. A flat copy holds the reprocessed rows.
     """
     pin_utc(spark)
     start = resolve_start(as_of, days, target)
-    upsert_table(_silver_plan(spark, lake, start, calendar_tz), SILVER, lake.silver, SILVER_UPDATES)
+    delivered = upsert_table(_silver_plan(spark, lake, start, calendar_tz), SILVER, lake.silver, SILVER_UPDATES)
+    if flat_path:
+        flat_copy(delivered.select(*SILVER_COLUMNS), flat_path)
     silver = read_silver(spark, lake)
     enforce(series_summary(silver, ["region_code"], as_of=as_of))
     upsert_table(_stored_fact(build_fact(silver, since=start)), FACT, lake.fact, FACT_UPDATES)
