@@ -107,16 +107,15 @@ PLAIN_SILVER = _with(_readings(), WEATHER, HOURS, WEATHER_HOURS, _silver(False))
 HOLIDAY_SILVER = _with(_readings(), WEATHER, HOURS, WEATHER_HOURS, EVENT_YEARS, HOLIDAYS, _silver(True))
 
 FACT = f"""{HOLIDAY_SILVER},
-windowed AS (
+means AS (
   SELECT *, avg(consommation) OVER (
       PARTITION BY region_code ORDER BY date_heure
       RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND CURRENT ROW) AS conso_moyenne_mobile_7j
   FROM silver),
 fact AS (
-  SELECT w.date_heure, CAST(w.date_heure AS DATE) AS date_key, w.region_code, w.consommation, w.temperature_2m,
-         w.precipitation, w.is_holiday, w.conso_moyenne_mobile_7j, e.consommation AS conso_j_moins_7
-  FROM windowed w
-  LEFT JOIN silver e ON e.region_code = w.region_code AND e.date_heure = w.date_heure - INTERVAL 7 DAY)"""
+  SELECT m.*, CAST(m.date_heure AS DATE) AS date_key, e.consommation AS conso_j_moins_7
+  FROM means m
+  LEFT JOIN silver e ON e.region_code = m.region_code AND e.date_heure = m.date_heure - INTERVAL 7 DAY)"""
 
 LAG = f"""{_with(ALL_READINGS, HOURS)}
 SELECT h.region_code, h.date_heure, h.consommation, e.consommation AS conso_j_moins_7
@@ -198,8 +197,8 @@ SELECT *, avg(consommation) OVER (
 FROM hours""",
     "gold_lag_7d": LAG,
     "gold_lag_7d_join": LAG,
-    "gold_fact": f"{FACT} SELECT * FROM fact",
-    "gold_fact_since": f"{FACT} SELECT * FROM fact WHERE date_heure >= '{SINCE}'",
+    "gold_fact": f"{FACT} SELECT * EXCLUDE (year) FROM fact",
+    "gold_fact_since": f"{FACT} SELECT * EXCLUDE (year) FROM fact WHERE date_heure >= '{SINCE}'",
     "upsert_silver": UPSERT_SILVER,
     "upsert_silver_stored": UPSERT_SILVER,
     "upsert_gold": UPSERT_GOLD,

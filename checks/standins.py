@@ -12,13 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions.regions import REGIONS
-from wattloom.session import pin_utc
+from wattloom.session import pin_session
 
 CODES = [row[0] for row in REGIONS]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return pin_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def region_of(id_column: str) -> Column:

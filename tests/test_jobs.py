@@ -77,6 +77,9 @@ def test_backfill(spark, lake, folder):
     assert stored.count() == 14 * 2 * 25
     assert rows(stored.filter("date_heure = '2024-01-02 23:00'"), "day", "code_insee_region") == [(3, "11"), (3, "44")]
     assert spark.read.parquet(f"{folder}/flat").count() == stored.count()
+    before = bronze(spark, lake)
+    jobs.backfill_consumption(spark, lake, f"{folder}/yearly", day_ordered=True)
+    assert bronze(spark, lake) == before
     assert read_table(spark, BRONZE_WEATHER, lake.weather).count() == 14 * 24
     assert read_table(spark, HOLIDAYS, lake.holidays).count() == 2412
     assert read_table(spark, DIM_DATE, lake.dates).count() == 7000

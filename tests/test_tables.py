@@ -5,7 +5,8 @@ from conftest import plan_of, rows, ts
 from pyspark.sql import functions as F
 
 from wattloom.operators import tables
-from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, SILVER, SILVER_UPDATES
+from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, DIM_REGION, SILVER, SILVER_UPDATES
+from wattloom.session import pin_session
 from wattloom.sources.tables import read_table
 
 COLUMNS = ["date_heure", "region_code", "consommation", "temperature_2m", "precipitation", "is_holiday", "year"]
@@ -154,6 +155,29 @@ def test_a_partition_is_written_together(spark, folder):
     scattered = silver(spark, *[(f"2023-01-{d:02d} 00:00", region, 1.0) for d in range(1, 29) for region in (11, 44)])
     tables.overwrite_table(scattered.repartition(8), SILVER, f"{folder}/s")
     assert len(files_under(f"{folder}/s")) == 2
+    tables.overwrite_table(scattered.repartition(4), SILVER, f"{folder}/s", gather=False)
+    assert len(files_under(f"{folder}/s")) == 8
+    assert len(stored(spark, f"{folder}/s")) == 56
+
+
+def test_upsert_needs_partitions(spark, folder):
+    region = spark.createDataFrame([(11, "x", 0.0, 0.0)], DIM_REGION.schema)
+    with pytest.raises(ValueError, match="no partitions"):
+        tables.upsert_table(region, DIM_REGION, folder, ["region_nom"])
+
+
+def test_results_do_not_depend_on_the_session_it_was_given(spark):
+    # another zone and lenient casts, as a session built elsewhere may have
+    before = {key: spark.conf.get(key) for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        pin_session(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_append_by_name(spark, folder):

@@ -24,9 +24,8 @@ def time_bucket(
     alias: str | None = None,
 ) -> DataFrame:
     """Aggregate ``value`` per series and truncated instant."""
-    return (
-        df.withColumn(time, truncated(df, time, granularity)).groupBy(*by, time).agg(agg(value).alias(alias or value))
-    )
+    bucket = truncated(df, time, granularity).alias(time)
+    return df.groupBy(*by, bucket).agg(agg(value).alias(alias or value))
 
 
 def per_instant(

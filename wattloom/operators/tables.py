@@ -21,8 +21,8 @@ from wattloom.sources.tables import read_table, read_table_or_empty
 LISTED_PARTITIONS = 5_000
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str], mode: str, overwrite: str = "static"):
-    if partition_by:
+def _writer(df: DataFrame, partition_by: Sequence[str], mode: str, overwrite: str = "static", gather: bool = True):
+    if partition_by and gather:
         # Brings the rows of a partition together, so that tasks do not each write a
         # sliver of every partition, and lets AQE split a large one over several tasks.
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
@@ -55,9 +55,14 @@ def conform(df: DataFrame, dataset: Dataset) -> DataFrame:
     return df.select(*selected)
 
 
-def overwrite_table(df: DataFrame, dataset: Dataset, path: str) -> None:
-    """Rebuild the whole table. Whatever increments wrote since is replaced."""
-    _writer(conform(df, dataset), dataset.partition_by, "overwrite").parquet(path)
+def overwrite_table(df: DataFrame, dataset: Dataset, path: str, gather: bool = True) -> None:
+    """Rebuild the whole table. Whatever increments wrote since is replaced, and a job
+    that fails must be run again, as the old files are gone by then.
+
+    ``gather=False`` writes rows from the tasks that read them, without a shuffle: for
+    input whose files already hold few partitions each, such as files in day order.
+    """
+    _writer(conform(df, dataset), dataset.partition_by, "overwrite", gather=gather).parquet(path)
 
 
 def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
@@ -159,6 +164,8 @@ def in_touched(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -
 
 def _rewrite_touched(df: DataFrame, dataset: Dataset, path: str, combine) -> DataFrame:
     """Stage ``df``, combine it with the partitions it touches, replace only those."""
+    if not dataset.partition_by:
+        raise ValueError(f"{dataset.name} has no partitions to replace: use overwrite_table")
     spark = df.sparkSession
     staged_path = scratch_path(spark, f"staged-{dataset.name}")
     overwrite_table(df, dataset, staged_path)

@@ -25,7 +25,7 @@ from wattloom.schemas import (
     SILVER,
     SILVER_UPDATES,
 )
-from wattloom.session import pin_utc
+from wattloom.session import pin_session
 from wattloom.sources.calendars import HOLIDAY_YEARS, dim_date, dim_region, holiday_calendar
 from wattloom.sources.consumption import read_raw_consumption
 from wattloom.sources.tables import high_watermark, high_watermarks, read_table, read_table_or_empty
@@ -70,17 +70,21 @@ class Lake:
         return self.path("gold/dim_region")
 
 
-def backfill_consumption(spark: SparkSession, lake: Lake, raw: str | list[str], flat_path: str | None = None) -> None:
-    """Rebuild bronze consumption from all landed files."""
-    pin_utc(spark)
-    overwrite_table(bronze_consumption(read_raw_consumption(spark, raw)), BRONZE_CONSUMPTION, lake.consumption)
+def backfill_consumption(
+    spark: SparkSession, lake: Lake, raw: str | list[str], flat_path: str | None = None, day_ordered: bool = False
+) -> None:
+    """Rebuild bronze consumption from all landed files; without a shuffle where the
+    files are known to be ``day_ordered``."""
+    pin_session(spark)
+    rows = bronze_consumption(read_raw_consumption(spark, raw))
+    overwrite_table(rows, BRONZE_CONSUMPTION, lake.consumption, gather=not day_ordered)
     if flat_path:
         flat_copy(read_table(spark, BRONZE_CONSUMPTION, lake.consumption), flat_path)
 
 
 def backfill_weather(spark: SparkSession, lake: Lake, raw: str | list[str], flat_path: str | None = None) -> None:
     """Rebuild bronze weather from all landed documents but the daily ones."""
-    pin_utc(spark)
+    pin_session(spark)
     overwrite_table(bronze_weather(read_raw_weather(spark, raw)), BRONZE_WEATHER, lake.weather)
     if flat_path:
         flat_copy(read_table(spark, BRONZE_WEATHER, lake.weather), flat_path)
@@ -89,7 +93,7 @@ def backfill_weather(spark: SparkSession, lake: Lake, raw: str | list[str], flat
 def increment_consumption(spark: SparkSession, lake: Lake, raw: str | list[str], as_of: str | date) -> DataFrame:
     """Bring bronze consumption up to the day before ``as_of``; returns the partitions
     it touched. Re-running it, or landing overlapping files, changes nothing."""
-    pin_utc(spark)
+    pin_session(spark)
     watermark = high_watermark(read_table(spark, BRONZE_CONSUMPTION, lake.consumption))
     landed = increment_slice(read_raw_consumption(spark, raw), "date_heure", watermark, as_of)
     delivered = replace_by_key(bronze_consumption(landed), BRONZE_CONSUMPTION, lake.consumption)
@@ -101,7 +105,7 @@ def increment_weather(
 ) -> DataFrame:
     """Bring bronze weather up to the day before ``as_of`` from the daily documents,
     each region from its own newest day on; returns the partitions it touched."""
-    pin_utc(spark)
+    pin_session(spark)
     marks = high_watermarks(read_table(spark, BRONZE_WEATHER, lake.weather), ["region_code"])
     landed = increment_slice_by_series(read_raw_weather(spark, raw, daily=True), marks, ["region_code"], "time", as_of)
     delivered = replace_by_key(bronze_weather(landed), BRONZE_WEATHER, lake.weather)
@@ -151,7 +155,7 @@ def rebuild(
     flat_path: str | None = None,
 ) -> None:
     """Silver and gold anew from all of bronze; gold only where silver passes the gate."""
-    pin_utc(spark)
+    pin_session(spark)
     overwrite_table(_silver_plan(spark, lake, None, calendar_tz), SILVER, lake.silver)
     silver = read_silver(spark, lake)
     if flat_path:
@@ -174,7 +178,7 @@ def rolling_run(
     Earlier rows stay as they are. Gold reads the stored silver, which holds the week
     before the window that its first rows need. A flat copy holds the reprocessed rows.
     """
-    pin_utc(spark)
+    pin_session(spark)
     start = resolve_start(as_of, days, target)
     delivered = upsert_table(_silver_plan(spark, lake, start, calendar_tz), SILVER, lake.silver, SILVER_UPDATES)
     if flat_path:

@@ -45,8 +45,9 @@ def add_holidays(df: DataFrame, holidays: DataFrame, calendar_tz: str | None = N
     below the threshold, and joins by shuffle otherwise.
     """
     clock = F.convert_timezone(F.lit("UTC"), F.lit(calendar_tz), "date_heure") if calendar_tz else F.col("date_heure")
-    dated = df.withColumn("date", F.to_date(clock))
-    return dated.join(clean_holidays(holidays), ["date", "region_code"], "left").drop("date")
+    flags = clean_holidays(holidays).withColumnsRenamed({"region_code": "_region", "date": "_day"})
+    of_the_day = (F.col("region_code") == F.col("_region")) & (F.to_date(clock) == F.col("_day"))
+    return df.join(flags, of_the_day, "left").drop("_region", "_day")
 
 
 def build_silver(

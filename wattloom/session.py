@@ -29,10 +29,15 @@ def build_session(app_name: str = "wattloom", master: str | None = None, conf: d
     return builder.getOrCreate()
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """All instants are UTC: truncation, day keys and casts follow the session zone."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+def pin_session(spark: SparkSession) -> SparkSession:
+    """Settings that results depend on, also in a session built elsewhere.
+
+    All instants are UTC: truncation, day keys and casts follow the session zone. And a
+    value that does not fit its type fails instead of becoming NULL.
+    """
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        if spark.conf.get(key).lower() != DEFAULTS[key].lower():
+            spark.conf.set(key, DEFAULTS[key])
     return spark
 
 
