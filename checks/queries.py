@@ -179,18 +179,15 @@ def append_by_name(spark, sf_dir):
     return read_table(spark, BRONZE_WEATHER, path)
 
 
-def _replacement(rows: DataFrame) -> DataFrame:
-    """The last days, complete, with other values."""
-    return rows.filter(F.col("date") >= REPLACE_FROM).withColumn("consommation", F.col("consommation") * 2)
+def _local_time():
+    return F.expr("date_heure + INTERVAL 1 HOUR")
 
 
-def _bronze_consumption(spark, sf_dir):
+def _bronze_consumption(hours: DataFrame) -> DataFrame:
     """Hourly values as bronze rows, dated by the local day."""
-    hours = _hours(spark, sf_dir)
-    local_day = F.date_format(F.col("date_heure") + F.expr("INTERVAL 1 HOUR"), "yyyy-MM-dd")
     raw = hours.select(
         "date_heure",
-        local_day.alias("date"),
+        F.date_format(_local_time(), "yyyy-MM-dd").alias("date"),
         F.col("region_code").cast("string").alias("code_insee_region"),
         F.lit(None).cast("string").alias("libelle_region"),
         F.lit("hourly").alias("nature"),
@@ -200,10 +197,15 @@ def _bronze_consumption(spark, sf_dir):
 
 
 def partition_replace(spark, sf_dir):
-    rows = _bronze_consumption(spark, sf_dir)
+    """Days up to one, then the last days, overlapping and complete, with other values."""
+    hours = _hours(spark, sf_dir)
+    stored = _bronze_consumption(hours.filter(_local_time() < REPLACE_UNTIL))
+    replacement = _bronze_consumption(hours.filter(_local_time() >= REPLACE_FROM))
     path = scratch_path(spark, "replace")
-    tables.overwrite_table(rows.filter(F.col("date") < REPLACE_UNTIL), BRONZE_CONSUMPTION, path)
-    tables.replace_partitions(_replacement(rows), BRONZE_CONSUMPTION, path)
+    tables.overwrite_table(stored, BRONZE_CONSUMPTION, path)
+    tables.replace_partitions(
+        replacement.withColumn("consommation", F.col("consommation") * 2), BRONZE_CONSUMPTION, path
+    )
     return read_table(spark, BRONZE_CONSUMPTION, path)
 
 

@@ -7,9 +7,10 @@ replaced before others while the commit runs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -21,13 +22,37 @@ from wattloom.sources.tables import read_table, read_table_or_empty
 LISTED_PARTITIONS = 5_000
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str], mode: str, overwrite: str = "static", gather: bool = True):
-    if partition_by and gather:
+@contextmanager
+def _spread_over_all_cores(spark: SparkSession) -> Iterator[None]:
+    """AQE otherwise packs up to a megabyte of rows into one task, and a table of many
+    small partitions would be written folder after folder: that costs files, not bytes."""
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1b")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _write(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    path: str,
+    mode: str,
+    overwrite: str = "static",
+    gather: bool = True,
+) -> None:
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    if gather:
         # Brings the rows of a partition together, so that tasks do not each write a
         # sliver of every partition, and lets AQE split a large one over several tasks.
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
-    writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite)
-    return writer.partitionBy(*partition_by) if partition_by else writer
+    writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*partition_by)
+    with _spread_over_all_cores(df.sparkSession):
+        writer.parquet(path)
 
 
 def conform(df: DataFrame, dataset: Dataset) -> DataFrame:
@@ -62,7 +87,7 @@ def overwrite_table(df: DataFrame, dataset: Dataset, path: str, gather: bool = T
     ``gather=False`` writes rows from the tasks that read them, without a shuffle: for
     input whose files already hold few partitions each, such as files in day order.
     """
-    _writer(conform(df, dataset), dataset.partition_by, "overwrite", gather=gather).parquet(path)
+    _write(conform(df, dataset), dataset.partition_by, path, "overwrite", gather=gather)
 
 
 def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
@@ -72,7 +97,7 @@ def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
     this does not stage: ``df`` must not read the table it replaces.
     """
     conformed = conform(df, dataset)
-    _writer(conformed, dataset.partition_by, "overwrite", "dynamic").parquet(path)
+    _write(conformed, dataset.partition_by, path, "overwrite", "dynamic")
     return touched_partitions(conformed, dataset.partition_by)
 
 
@@ -93,7 +118,7 @@ def flat_copy(df: DataFrame, path: str, max_files: int | None = None) -> None:
 def append_by_name(df: DataFrame, dataset: Dataset, path: str) -> None:
     """Append rows as ``conform`` shapes them. Not idempotent: increments that may be
     re-run belong in ``replace_by_key`` or ``upsert_table``."""
-    _writer(conform(df, dataset), dataset.partition_by, "append").parquet(path)
+    _write(conform(df, dataset), dataset.partition_by, path, "append")
 
 
 def _checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -174,7 +199,7 @@ def _rewrite_touched(df: DataFrame, dataset: Dataset, path: str, combine) -> Dat
         touched = touched_partitions(staged, dataset.partition_by)
         near = in_touched(read_table_or_empty(spark, dataset, path), touched, dataset.partition_by)
         combined = combine(near.select(*dataset.columns), staged)
-        _writer(combined, dataset.partition_by, "overwrite", "dynamic").parquet(path)
+        _write(combined, dataset.partition_by, path, "overwrite", "dynamic")
     return staged
 
 
