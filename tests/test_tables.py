@@ -218,3 +218,25 @@ def test_partition_columns_follow_from_keys(spark):
     assert set(BRONZE_CONSUMPTION.partition_by) == {"year", "month", "day"}
     for dataset in (SILVER, BRONZE_CONSUMPTION, BRONZE_WEATHER):
         assert dataset.columns[-len(dataset.partition_by) :] == list(dataset.partition_by)
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, folder):
+    # one partition holds nearly all rows
+    hours = spark.range(200_000).selectExpr(
+        "timestamp_ntz'2023-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) date_heure",
+        "if(id < 10, 44, 11) region_code",
+        "rand(1) consommation",
+        "rand(2) temperature_2m",
+        "rand(3) precipitation",
+        "0 is_holiday",
+        "2023 year",
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "512KB")
+    try:
+        tables.overwrite_table(hours.repartition(8), SILVER, folder)
+    finally:
+        spark.conf.set(key, before)
+    assert len([f for f in files_under(folder) if "region_code=11" in f]) > 1
+    assert read_table(spark, SILVER, folder).count() == 200_000
