@@ -10,7 +10,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks.queries import QUERIES  # noqa: E402
+from wattloom_checks.queries import QUERIES  # noqa: E402
 from wattloom.session import build_session  # noqa: E402
 
 HEADLINE = [

@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as spark_entry
-from checks.compare import connect, same
+from wattloom_checks.compare import connect, same
 
 SF_DIR = "/root/testdata/sf0.001"
 

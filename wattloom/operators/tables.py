@@ -170,15 +170,22 @@ def keys_replaced(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
-def in_touched(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of the touched partitions, read from those folders only.
+def _folder(partition_by: Sequence[str]) -> Column:
+    return F.concat_ws("/", *[F.coalesce(F.col(name).cast("string"), F.lit("none")) for name in partition_by])
+
+
+def in_touched(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame | None:
+    """Rows of the touched partitions, read from those folders only; None if no
+    partition is touched.
 
     Up to ``LISTED_PARTITIONS`` the partitions are listed in a predicate over partition
     columns, which prunes folders; beyond that they are semi-joined within their range.
     """
-    folder = F.concat_ws("/", *[F.coalesce(F.col(name).cast("string"), F.lit("none")) for name in partition_by])
+    folder = _folder(partition_by)
     names = touched.select(folder.alias("_folder"))
     listed = [row[0] for row in names.limit(LISTED_PARTITIONS + 1).collect()]
+    if not listed:
+        return None
     if len(listed) <= LISTED_PARTITIONS:
         return df.filter(folder.isin(listed))
     leading = F.col(partition_by[0])
@@ -195,9 +202,9 @@ def _rewrite_touched(df: DataFrame, dataset: Dataset, path: str, combine) -> Dat
     staged_path = scratch_path(spark, f"staged-{dataset.name}")
     overwrite_table(df, dataset, staged_path)
     staged = read_table(spark, dataset, staged_path)
-    if not staged.isEmpty():
-        touched = touched_partitions(staged, dataset.partition_by)
-        near = in_touched(read_table_or_empty(spark, dataset, path), touched, dataset.partition_by)
+    touched = touched_partitions(staged, dataset.partition_by)
+    near = in_touched(read_table_or_empty(spark, dataset, path), touched, dataset.partition_by)
+    if near is not None:
         combined = combine(near.select(*dataset.columns), staged)
         _write(combined, dataset.partition_by, path, "overwrite", "dynamic")
     return staged

@@ -1,4 +1,4 @@
-"""Run every registered query against its SQL: python -m checks.compare [sf_dir] [name ...]"""
+"""Run every registered query against its SQL: python -m wattloom_checks.compare [sf_dir] [name ...]"""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ import time
 
 import duckdb
 
-from checks.oracle import ORACLE
-from checks.queries import QUERIES
+from wattloom_checks.oracle import ORACLE
+from wattloom_checks.queries import QUERIES
 from wattloom.session import build_session
 
 

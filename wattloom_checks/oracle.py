@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from checks.queries import REPLACE_FROM, SINCE, UPSERT_FROM, UPSERT_UNTIL
-from checks.standins import CODES
+from wattloom_checks.queries import REPLACE_FROM, SINCE, UPSERT_FROM, UPSERT_UNTIL
+from wattloom_checks.standins import CODES
 from wattloom.functions.holidays import EASTER_DAYS, FIXED_DAYS
 from wattloom.functions.regions import ALSACE_MOSELLE, ALSACE_MOSELLE_REGION, REGIONS
 from wattloom.sources.calendars import DIM_DATE_ROWS, DIM_DATE_START

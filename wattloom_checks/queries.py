@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.standins import (
+from wattloom_checks.standins import (
     half_hour,
     order_readings,
     order_weather,
