@@ -164,7 +164,7 @@ def keys_replaced(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     """Target rows whose key the source lacks, plus all source rows.
 
     Unlike ``merged`` the source may repeat a key; repeats are kept. Running it again
-    with the same source changes nothing.
+    with the same source changes nothing. Only the source's distinct keys are joined.
     """
     kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
