@@ -23,3 +23,12 @@ def test_entry(spark):
 def test_query_equals_its_sql(spark, connection, name):
     equal, detail = same(spark_entry.queries()[name](spark, SF_DIR), connection.sql(spark_entry.oracle_sql()[name]))
     assert equal, detail
+
+
+@pytest.mark.parametrize("name", ["gold_fact", "weather_json_rows", "dq_gaps", "time_bucket_day"])
+def test_queries_in_a_session_of_another_zone(spark, connection, name):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    other.conf.set("spark.sql.ansi.enabled", "false")
+    equal, detail = same(spark_entry.queries()[name](other, SF_DIR), connection.sql(spark_entry.oracle_sql()[name]))
+    assert equal, detail

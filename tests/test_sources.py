@@ -126,6 +126,25 @@ def test_scoped_read_prunes_partitions_and_pushes_the_filter(spark, folder):
     assert since(table, "date_heure", None) is table
 
 
+def test_scoped_read_keeps_undated_rows(spark, folder):
+    raw = [(ts("2024-01-10 12:00"), d, "11", "x", "n", 1.0) for d in (None, "2024-01-10")]
+    overwrite_table(bronze_consumption(spark.createDataFrame(raw, RAW)), BRONZE_CONSUMPTION, folder)
+    table = read_table(spark, BRONZE_CONSUMPTION, folder)
+    assert since(table, "date_heure", "2024-01-10").count() == 2
+    assert since(table.drop("month", "day"), "date_heure", "2024-01-10").count() == 2
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_bounds_on_either_timestamp_type(spark, folder, kind):
+    times = [(ts(t),) for t in ("2024-01-09 23:59", "2024-01-10 00:00", "2024-01-11 00:00")]
+    spark.createDataFrame(times, "t timestamp_ntz").select(F.col("t").cast(kind)).write.parquet(f"{folder}/t")
+    table = spark.read.parquet(f"{folder}/t")
+    assert since(table, "t", "2024-01-10").count() == 2
+    scoped = slices.between(table, "t", day("2024-01-10"), ts("2024-01-11 00:00"))
+    assert scoped.count() == 1
+    assert "GreaterThanOrEqual(t" in plan_of(scoped)
+
+
 def test_watermark_is_the_newest_partition(spark, folder):
     table = _bronze(spark, folder, ["2023-12-31", "2024-01-09", "2024-02-01"])
     assert high_watermark(table) == day("2024-02-01")

@@ -33,16 +33,17 @@ def since(df: DataFrame, time: str, start: str | date | Column | None, slack_day
     Spark pushes the timestamp filter to row groups but cannot derive a partition
     filter from it, so tables laid out by year/month/day, or by year, also get one.
     ``slack_days`` covers partitions named after a local day that differs from the
-    UTC day; the timestamp filter alone decides which rows are returned.
+    UTC day, and undated rows are read as well; the timestamp filter alone decides which
+    rows are returned.
     """
     if start is None:
         return df
     bound = instant(start)
     first_day = F.date_sub(F.to_date(bound), slack_days)
-    if has_columns(df, ["year", "month", "day"]):
-        df = df.filter(F.make_date("year", "month", "day") >= first_day)
-    elif has_columns(df, ["year"]):
-        df = df.filter(F.col("year") >= F.year(first_day))
+    if has_columns(df, ["year"]):
+        dated = has_columns(df, ["month", "day"])
+        recent = F.make_date("year", "month", "day") >= first_day if dated else F.col("year") >= F.year(first_day)
+        df = df.filter(F.col("year").isNull() | recent)
     return df.filter(F.col(time) >= bound)
 
 
