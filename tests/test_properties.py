@@ -27,11 +27,12 @@ def table(spark, mapping, year):
 
 
 @random_inputs
-@given(keyed, keyed)
-def test_merged(spark, target, source):
-    merged = tables.merged(table(spark, target, 1), table(spark, source, 2), KEYS, ["consommation"])
+@given(keyed, keyed, st.booleans())
+def test_merged(spark, target, source, small_source):
+    merged = tables.merged(table(spark, target, 1), table(spark, source, 2), KEYS, ["consommation"], small_source)
     expected = {**target, **source}
     found = {(r[0], r[1]): (r[2], r[3]) for r in merged.collect()}
+    assert merged.count() == len(expected)
     assert found == {
         (START + timedelta(hours=h), r): (v, 1 if (h, r) in target else 2) for (h, r), v in expected.items()
     }

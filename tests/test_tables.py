@@ -92,6 +92,31 @@ def test_upsert_of_a_repeated_or_null_key_fails_and_changes_nothing(spark, targe
     assert files_under(target) == before
 
 
+def test_small_delivery_leaves_the_target_unshuffled(spark, target, folder):
+    tables.overwrite_table(silver(spark, ("2023-12-31 23:00", 11, 5.0), ("2023-12-31 23:30", 11, 6.0)), SILVER, f"{folder}/d")
+    table, delivery = read_table(spark, SILVER, target), read_table(spark, SILVER, f"{folder}/d")
+    looked_up = tables.merged(table, delivery, SILVER.key, SILVER_UPDATES, small_source=True)
+    assert rows(looked_up) == rows(tables.merged(table, delivery, SILVER.key, SILVER_UPDATES))
+    plan = plan_of(looked_up)
+    assert "LeftOuter, BuildRight" in plan and "LeftSemi, BuildRight" in plan and "FullOuter" not in plan
+
+
+@pytest.mark.parametrize("small", [0, 10])
+def test_upsert_forms_agree(spark, target, small, monkeypatch):
+    monkeypatch.setattr(tables, "SMALL_SOURCE_ROWS", small)
+    source = silver(spark, ("2023-12-31 23:00", 11, None), ("2024-01-01 00:00", 11, 9.0))
+    tables.upsert_table(source, SILVER, target, SILVER_UPDATES)
+    assert stored(spark, target, "consommation") == [(1.0,), (2.0,), (4.0,), (9.0,), (None,)]
+
+
+@pytest.mark.parametrize("small_source", [False, True])
+def test_repeated_source_keys_fail_in_either_form(spark, small_source):
+    target = silver(spark, ("2023-12-31 23:00", 11, 1.0))
+    repeated = silver(spark, ("2023-12-31 23:00", 11, 8.0), ("2023-12-31 23:00", 11, 9.0))
+    with pytest.raises(Exception, match="more than once"):
+        tables.merged(target, repeated, SILVER.key, SILVER_UPDATES, small_source).collect()
+
+
 def test_merged_updates_repeats_in_the_target_and_leaves_other_columns(spark):
     target = silver(spark, ("2023-12-31 23:00", 11, 1.0, 7), ("2023-12-31 23:00", 11, 2.0, 7))
     source = silver(spark, ("2023-12-31 23:00", 11, 5.0))

@@ -20,6 +20,8 @@ from wattloom.sources.tables import read_table, read_table_or_empty
 
 # Partition names up to this many are short text worth a predicate.
 LISTED_PARTITIONS = 5_000
+# Measures and keys of this many rows stay under Spark's default broadcast threshold.
+SMALL_SOURCE_ROWS = 100_000
 
 
 @contextmanager
@@ -140,14 +142,17 @@ def merged(
     source: DataFrame,
     keys: Sequence[str],
     updates: Sequence[str],
+    small_source: bool = False,
 ) -> DataFrame:
     """Target rows with the ``updates`` columns taken from the source row of the same
     key, also where that is NULL, plus the source rows whose key the target lacks.
 
     One full outer join on the key; the source's duplicate check shares its shuffle.
+    With ``small_source`` target rows look their new values up instead: Spark can then
+    broadcast the source and leaves the target where it is, reading its keys once more.
     """
-    checked = _checked_source(source.select(*target.columns), keys).withColumn("_in_source", F.lit(True))
-    t, s = target.withColumn("_in_target", F.lit(True)).alias("t"), checked.alias("s")
+    checked = _checked_source(source.select(*target.columns), keys)
+    t, s = target.withColumn("_in_target", F.lit(True)).alias("t"), checked.withColumn("_in_source", F.lit(True)).alias("s")
     same_key = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys]
     in_source, in_target = F.col("s._in_source").isNotNull(), F.col("t._in_target").isNotNull()
 
@@ -157,7 +162,12 @@ def merged(
             return F.when(in_source, theirs).otherwise(ours).alias(name)
         return F.when(in_target, ours).otherwise(theirs).alias(name)
 
-    return t.join(s, same_key, "full_outer").select(*[outcome(name) for name in target.columns])
+    joined = t.join(s, same_key, "left" if small_source else "full_outer")
+    rows = joined.select(*[outcome(name) for name in target.columns])
+    if not small_source:
+        return rows
+    matched = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    return rows.unionByName(checked.join(matched, list(keys), "left_anti"))
 
 
 def keys_replaced(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -217,7 +227,12 @@ def upsert_table(df: DataFrame, dataset: Dataset, path: str, updates: Sequence[s
     and its partitions are known; only those partitions are read and replaced.
     Returns the staged rows, which stay as they were when the table moves on.
     """
-    return _rewrite_touched(df, dataset, path, lambda target, source: merged(target, source, dataset.key, updates))
+
+    def combine(target: DataFrame, staged: DataFrame) -> DataFrame:
+        # a count of stored rows reads file footers only
+        return merged(target, staged, dataset.key, updates, staged.count() <= SMALL_SOURCE_ROWS)
+
+    return _rewrite_touched(df, dataset, path, combine)
 
 
 def replace_by_key(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
