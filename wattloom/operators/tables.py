@@ -8,7 +8,7 @@ replaced before others while the commit runs.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,7 +53,7 @@ def _write(
         # sliver of every partition, and lets AQE split a large one over several tasks.
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
     writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*partition_by)
-    with _spread_over_all_cores(df.sparkSession):
+    with _spread_over_all_cores(df.sparkSession) if gather else nullcontext():
         writer.parquet(path)
 
 
@@ -215,8 +215,12 @@ def _rewrite_touched(df: DataFrame, dataset: Dataset, path: str, combine) -> Dat
     touched = touched_partitions(staged, dataset.partition_by)
     near = in_touched(read_table_or_empty(spark, dataset, path), touched, dataset.partition_by)
     if near is not None:
-        combined = combine(near.select(*dataset.columns), staged)
-        _write(combined, dataset.partition_by, path, "overwrite", "dynamic")
+        # A count of stored rows reads file footers only. Beside a small delivery the
+        # target is not shuffled at all: its rows leave from the tasks that read them,
+        # which hold the rows of few partitions as they were stored.
+        small = staged.count() <= SMALL_SOURCE_ROWS
+        combined = combine(near.select(*dataset.columns), staged, small)
+        _write(combined, dataset.partition_by, path, "overwrite", "dynamic", gather=not small)
     return staged
 
 
@@ -228,13 +232,16 @@ def upsert_table(df: DataFrame, dataset: Dataset, path: str, updates: Sequence[s
     Returns the staged rows, which stay as they were when the table moves on.
     """
 
-    def combine(target: DataFrame, staged: DataFrame) -> DataFrame:
-        # a count of stored rows reads file footers only
-        return merged(target, staged, dataset.key, updates, staged.count() <= SMALL_SOURCE_ROWS)
+    def combine(target: DataFrame, staged: DataFrame, small: bool) -> DataFrame:
+        return merged(target, staged, dataset.key, updates, small)
 
     return _rewrite_touched(df, dataset, path, combine)
 
 
 def replace_by_key(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
     """``keys_replaced`` in the stored table. No rows, no change. Returns the staged rows."""
-    return _rewrite_touched(df, dataset, path, lambda target, source: keys_replaced(target, source, dataset.key))
+
+    def combine(target: DataFrame, staged: DataFrame, small: bool) -> DataFrame:
+        return keys_replaced(target, staged, dataset.key)
+
+    return _rewrite_touched(df, dataset, path, combine)
