@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import bpe, chat, decontaminate, language_id, quality_rules, simhash, suffix_dedup, url_reputation
+from wattloom.llm import backoff, bpe, chat, decontaminate, language_id, quality_rules, simhash, suffix_dedup, token_files, url_reputation
 from wattloom.llm.oracle import ORACLE as ORACLE
 
 
@@ -48,6 +48,10 @@ def op3_language_filters(spark, sf_dir):
     return predicted.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_backoff_scores(spark, sf_dir):
+    return backoff.scores(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -86,13 +90,20 @@ def op9_word_bpe(spark, sf_dir):
     return bpe.encoding_digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op10_token_counts(spark, sf_dir):
+    blocks = token_files.flatten_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+    return token_files.document_lengths(blocks).select("doc_id", "n_tokens")
+
+
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_chat_masks": op2_chat_masks,
     "op3_language_filters": op3_language_filters,
+    "op4_backoff_scores": op4_backoff_scores,
     "op5_quality_rules": op5_quality_rules,
     "op6_url_reputation": op6_url_reputation,
     "op7_benchmark_windows": op7_benchmark_windows,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_word_bpe": op9_word_bpe,
+    "op10_token_counts": op10_token_counts,
 }
