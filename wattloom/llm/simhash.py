@@ -19,8 +19,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import Window
 
-from wattloom.llm.common import ASCII_LOWER, stored, utf8_slices, word_sequence
+from wattloom.llm.common import ASCII_LOWER, fresh, stored, utf8_slices, word_sequence
 from wattloom.llm.components import components
 
 SEED = 42
@@ -36,20 +38,34 @@ def fingerprint(text: bytes, size: int = 3) -> int:
     words = word_sequence(text.translate(ASCII_LOWER))
     if not words:
         return 0
+    hashes = shingle_hashes(words, size)
+    votes = np.zeros(64, np.int64)
+    # blocks keep the unpacked bits of very long texts small
+    for at in range(0, len(hashes), 65_536):
+        votes += bit_votes(hashes[at : at + 65_536])
+    return majority(votes, len(hashes))
+
+
+def bit_votes(hashes: np.ndarray) -> np.ndarray:
+    """How many hashes set each bit."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def majority(votes: np.ndarray, total: int) -> int:
+    return sum(1 << bit for bit in np.flatnonzero(2 * votes > total).tolist())
+
+
+def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
+    """XXH64 of every run of ``size`` words, or of all words if there are fewer."""
     line = b" ".join(words)
     digest = xxhash.xxh64_intdigest
     if len(words) <= size:
-        return digest(line, SEED)
+        return np.array([digest(line, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1])).tolist()
-    stops = (ends[size - 1 :] - 1).tolist()
-    total, votes = len(stops), np.zeros(64, np.int64)
-    # blocks keep the unpacked bits of very long texts small
-    for at in range(0, total, 65_536):
-        part = [digest(line[a:b], SEED) for a, b in zip(starts[at : at + 65_536], stops[at : at + 65_536])]
-        bits = np.unpackbits(np.array(part, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        votes += bits.sum(axis=0, dtype=np.int64)
-    return sum(1 << bit for bit in np.flatnonzero(2 * votes > total).tolist())
+    hashed = (digest(line[a:b], SEED) for a, b in zip(starts, (ends[size - 1 :] - 1).tolist()))
+    return np.fromiter(hashed, np.uint64, len(words) - size + 1)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
@@ -212,3 +228,157 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def hex16(column: str):
     """16 lower-case hex digits of a signed long taken as 64 bits."""
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
+
+
+# --- near copies by similarity -----------------------------------------------------
+
+# Minima of a sketch, cut into bands; four bits of each minimum estimate the similarity.
+SKETCH_BANDS, SKETCH_ROWS = 20, 6
+MINIMA = SKETCH_BANDS * SKETCH_ROWS
+# At a similarity of 0.8 SimHash fingerprints of the test corpora differ in 4 to 16 bits.
+NEAR_BITS = 20
+_RANDOM = np.random.default_rng(20)
+_FACTORS = _RANDOM.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def sketch(text: bytes, size: int) -> tuple[bytes, int, bytes, list[int]]:
+    """Digest of the words, fingerprint, packed minima and band keys of a text."""
+    words = word_sequence(text.translate(ASCII_LOWER))
+    node = xxhash.xxh128_digest(b" ".join(words))
+    hashes = shingle_hashes(words, size)
+    votes, minima = np.zeros(64, np.int64), np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 8_192):
+        part = hashes[at : at + 8_192]
+        votes += bit_votes(part)
+        for number, factor in enumerate(_FACTORS):
+            mixed = (part ^ (part >> np.uint64(32))) * factor
+            minima[number] = min(minima[number], mixed.min())
+    mark = majority(votes, len(hashes))
+    nibbles = (minima >> np.uint64(20)).astype(np.uint8) & 15
+    keys = [xxhash.xxh64_intdigest(band.tobytes(), number) for number, band in enumerate(minima.reshape(SKETCH_BANDS, SKETCH_ROWS))]
+    return node, mark, nibbles.tobytes(), keys
+
+
+def similarity(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Estimated Jaccard similarity of shingle sets; equal bits by chance are taken out."""
+    return ((sketches == one).mean(axis=1) - 1 / 16) / (15 / 16)
+
+
+def similar_links(prints: list[int], sketches: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links that connect what similarities of ``least`` or more connect in a shard.
+
+    The walk goes outwards from unreached members; a BK-tree over the unreached, built
+    anew whenever half of them are gone, gives those whose fingerprint is near enough.
+    """
+    found: list[tuple[int, int]] = []
+    unreached = list(range(len(prints)))
+    reached = [False] * len(prints)
+    tree, members = BKTree(prints), unreached
+    for start in range(len(prints)):
+        if reached[start]:
+            continue
+        reached[start], frontier = True, [start]
+        while frontier:
+            at = frontier.pop()
+            near = [m for m in (members[i] for i in tree.within(prints[at], NEAR_BITS)) if not reached[m]]
+            if not near:
+                continue
+            alike = similarity(sketches[near], sketches[at]) >= least
+            for other in np.array(near)[alike].tolist():
+                reached[other] = True
+                found.append((at, other))
+                frontier.append(other)
+            left = [m for m in members if not reached[m]]
+            if 2 * len(left) < len(members):
+                tree, members = BKTree([prints[m] for m in left]), left
+    return found
+
+
+def sketch_links(classes: DataFrame, least: float) -> DataFrame:
+    """``a`` and ``b``: digests of similar texts, enough links to connect each group.
+
+    ``classes`` has ``node``, ``print``, ``sketch`` and ``bands``, one row per distinct
+    word sequence. Texts that share a band, all of its minima, form a shard.
+    """
+    dealt = classes.select(F.posexplode("bands").alias("band", "key"), "node", "print", "sketch")
+    dealt = dealt.repartition("band", "key").sortWithinPartitions("band", "key", "node")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard_key, held = None, []
+
+        def close(found: list) -> None:
+            if len(held) > 1:
+                sketches = np.array([np.frombuffer(row[2], np.uint8) for row in held])
+                pairs = similar_links([row[1] & 0xFFFFFFFFFFFFFFFF for row in held], sketches, least)
+                found.extend((held[a][0], held[b][0]) for a, b in pairs)
+
+        def rows(found: list) -> pa.RecordBatch:
+            a, b = zip(*found) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+        for batch in batches:
+            band, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = (np.flatnonzero((band[1:] != band[:-1]) | (key[1:] != key[:-1])) + 1).tolist()
+            found: list = []
+            for a, b in zip([0, *cuts], [*cuts, len(key)]):
+                if a == b:
+                    continue
+                here = (int(band[a]), int(key[a]))
+                if here != shard_key:
+                    close(found)
+                    shard_key, held = here, []
+                part = batch.slice(a, b - a)
+                held.extend(zip(*[part.column(i).to_pylist() for i in (2, 3, 4)]))
+            yield rows(found)
+        last: list = []
+        close(last)
+        yield rows(last)
+
+    return dealt.mapInArrow(search, "a binary, b binary")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, all columns, less all but one of each group of near copies.
+
+    Texts whose sets of ``size``-word shingles have an estimated Jaccard similarity of
+    ``least`` or more are linked, and what links connect is a group. Fingerprints of 64
+    bits are too far apart at such a similarity for shards of agreeing bits, so shards
+    come from min-hash bands: 20 bands of 6 minima miss one link of similarity 0.8 in
+    500; BK-trees over the fingerprints search the shards. The row with the smallest id
+    stays, of repeated rows one; rows without an id only stay if their group has no
+    other. Texts without words are one group.
+    """
+    node, key = fresh(docs, "near_node", "near_key")
+    schema = T.StructType([*docs.schema.fields, T.StructField(node, T.BinaryType())])
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8_slices(batch.column(batch.schema.get_field_index(text_col)))
+            nodes = [xxhash.xxh128_digest(b" ".join(word_sequence(t.translate(ASCII_LOWER)))) for t in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=[*batch.schema.names, node])
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            drawn = [sketch(text, size) for text in utf8_slices(batch.column(1))]
+            nodes, prints, minima, bands = zip(*drawn) if drawn else ((), (), (), ())
+            arrays = [
+                batch.column(0),
+                pa.array(nodes, pa.binary()),
+                pa.array(np.array(prints, np.uint64).view(np.int64)),
+                pa.array(minima, pa.binary()),
+                pa.array([np.array(b, np.uint64).view(np.int64) for b in bands], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "node", "print", "sketch", "bands"])
+
+    # the largest long stands for no id, and so loses to every other
+    ids = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
+    texts = docs.select(ids.alias("id"), F.col(text_col).cast("string").alias("text"))
+    drawn = stored(texts.mapInArrow(draw, "id long, node binary, print long, sketch binary, bands array<long>"), "near-sketches")
+    classes = drawn.groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("print", "sketch", "bands")])
+    classes = stored(classes, "near-classes")
+    roots = components(sketch_links(classes, least))
+    grouped = classes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stays = grouped.groupBy("root").agg(F.min(F.struct("id", "node")).alias("one")).select(F.col("one.node").alias(node), F.col("one.id").alias(key))
+    rows = docs.mapInArrow(digest, schema).join(stays, node).filter(ids == F.col(key))
+    first = fresh(rows, "near_copy")[0]
+    return rows.withColumn(first, F.row_number().over(Window.partitionBy(node).orderBy(key))).filter(F.col(first) == 1).select(*docs.columns)
