@@ -104,7 +104,8 @@ def series_summary(
     low: float = LOWEST,
     high: float = HIGHEST,
 ) -> DataFrame:
-    """``violation_counts(series_checks(...))`` from a single scan.
+    """``violation_counts(series_checks(...))`` from a single scan, and ``empty``, which
+    counts one violation where there are no rows at all.
 
     Rows are reduced to instants, then to clock hours, then to series, each before its
     shuffle, and every check is a count on the way.
@@ -132,8 +133,9 @@ def series_summary(
         F.sum("gaps").alias("gaps"),
         F.count_if("stale").alias("freshness"),
         F.sum("outliers").alias("outliers"),
+        (F.count(F.lit(1)) == 0).cast("long").alias("empty"),
     )
-    names = ["duplicates", "gaps", "freshness"] + (["outliers"] if value else [])
+    names = ["duplicates", "gaps", "freshness", "empty"] + (["outliers"] if value else [])
     pairs = [F.struct(F.lit(name).alias("check"), F.coalesce(name, F.lit(0).cast("long")).alias("violations")) for name in names]
     return totals.select(F.inline(F.array(*pairs)))
 

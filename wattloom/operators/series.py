@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,29 +12,15 @@ from wattloom.functions.timeparts import day_index, hour_index, truncated
 BUCKET_DAYS = 56
 
 
-def time_bucket(
-    df: DataFrame,
-    by: list[str],
-    value: str,
-    time: str = "date_heure",
-    granularity: str = "hour",
-    agg: Callable[[str], Column] = F.avg,
-    alias: str | None = None,
-) -> DataFrame:
-    """Aggregate ``value`` per series and truncated instant."""
-    bucket = truncated(df, time, granularity).alias(time)
-    return df.groupBy(*by, bucket).agg(agg(value).alias(alias or value))
+def time_bucket(df: DataFrame, by: list[str], measure: Column, *, time: str = "date_heure", unit: str = "hour") -> DataFrame:
+    """``measure``, a named aggregate such as ``F.avg("x").alias("x")``, per series and
+    per ``unit`` of ``time``."""
+    return df.groupBy(*by, truncated(df, time, unit).alias(time)).agg(measure)
 
 
-def per_instant(
-    df: DataFrame,
-    by: list[str],
-    values: list[str],
-    time: str = "date_heure",
-    agg: Callable[[str], Column] = F.avg,
-) -> DataFrame:
-    """Collapse repeated readings of one series at one instant."""
-    return df.groupBy(*by, time).agg(*[agg(value).alias(value) for value in values])
+def per_instant(df: DataFrame, by: list[str], measures: list[Column], *, time: str = "date_heure") -> DataFrame:
+    """Repeated readings of one series at one instant as one row of named aggregates."""
+    return df.groupBy(*by, time).agg(*measures)
 
 
 def _quoted(names: list[str]) -> str:

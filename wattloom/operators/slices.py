@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from wattloom.functions.timeparts import instant
 from wattloom.sources.tables import since
 
-# One short row per series stays under a few MB up to this many.
-LISTED_SERIES = 50_000
-
 
 def between(df: DataFrame, time: str, start: str | date | Column, end: str | date | Column) -> DataFrame:
     """Half-open ``[start, end)``, which reaches the parquet scan."""
@@ -41,25 +38,19 @@ def increment_slice_by_series(
 ) -> DataFrame:
     """Rows from each series' own watermark day up to yesterday, both days inclusive.
 
-    ``watermarks`` holds ``by`` and ``watermark``, one row per series. Up to
-    ``LISTED_SERIES`` they are read once, here, and broadcast; more are joined by
-    shuffle. A series without a watermark was never backfilled, and fails; so there is
-    no lower bound on the scan, which could hide such a series.
+    ``watermarks`` holds ``by`` and ``watermark``, one row per series. Nothing older than
+    the oldest watermark is read. Rows of a series without one are left out:
+    ``unknown_series`` finds those.
     """
-    watermarks = watermarks.select(*by, "watermark")
-    listed = watermarks.limit(LISTED_SERIES + 1).collect()
-    if not listed:
-        raise ValueError("no partitions found: run the backfill of this table before an increment")
-    if len(listed) <= LISTED_SERIES:
-        known = F.broadcast(df.sparkSession.createDataFrame(listed, watermarks.schema))
-    else:
-        known = watermarks
-    rows = df.filter(F.col(time) < instant(as_of))
-    joined = rows.join(known, by, "left")
-    message = F.concat(F.lit("no partitions found for series "), F.concat_ws("/", *by))
-    reached = F.to_date(time) >= F.col("watermark")
-    wanted = F.when(F.col("watermark").isNull(), F.raise_error(message).cast("boolean")).otherwise(reached)
-    return joined.filter(wanted).select(*df.columns)
+    marks = watermarks.select(*by, "watermark")
+    oldest = marks.agg(F.min("watermark").cast("timestamp_ntz")).scalar()
+    rows = df.filter((F.col(time) < instant(as_of)) & (F.col(time) >= oldest))
+    return rows.join(marks, by).filter(F.to_date(time) >= F.col("watermark")).select(*df.columns)
+
+
+def unknown_series(df: DataFrame, watermarks: DataFrame, by: list[str]) -> DataFrame:
+    """Series of ``df`` without a watermark, that is, never backfilled."""
+    return df.select(*by).distinct().join(watermarks.select(*by), by, "left_anti")
 
 
 def resolve_start(as_of: date | datetime, days: int = 7, target: str | None = None) -> str:

@@ -2,40 +2,26 @@
 
 Parquet folders have no transactions. A write replaces the touched partitions at job
 commit: a failed job leaves them as they were, but readers may see some partitions
-replaced before others while the commit runs.
+replaced before others while the commit runs. A whole table is written beside the old
+one, which it takes the place of by renaming.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager, nullcontext
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from wattloom.schemas import Dataset
-from wattloom.session import scratch_path
+from wattloom.session import delete_path, hadoop_path, scratch
 from wattloom.sources.tables import read_table, read_table_or_empty
 
-# Partition names up to this many are short text worth a predicate.
-LISTED_PARTITIONS = 5_000
-# Measures and keys of this many rows stay under Spark's default broadcast threshold.
-SMALL_SOURCE_ROWS = 100_000
-
-
-@contextmanager
-def _spread_over_all_cores(spark: SparkSession) -> Iterator[None]:
-    """AQE otherwise packs up to a megabyte of rows into one task, and a table of many
-    small partitions would be written folder after folder: that costs files, not bytes."""
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "1b")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
 
 def _write(
     df: DataFrame,
@@ -52,9 +38,7 @@ def _write(
         # Brings the rows of a partition together, so that tasks do not each write a
         # sliver of every partition, and lets AQE split a large one over several tasks.
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
-    writer = df.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*partition_by)
-    with _spread_over_all_cores(df.sparkSession) if gather else nullcontext():
-        writer.parquet(path)
+    df.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*partition_by).parquet(path)
 
 
 def conform(df: DataFrame, dataset: Dataset) -> DataFrame:
@@ -82,25 +66,54 @@ def conform(df: DataFrame, dataset: Dataset) -> DataFrame:
     return df.select(*selected)
 
 
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder beside ``path`` that takes its place when the block ends, and is removed
+    if the block fails. The old folder is put back if the new one cannot be renamed."""
+    mark = uuid.uuid4().hex
+    new, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    try:
+        yield new
+        fs, place = hadoop_path(spark, path)
+        _, new_place = hadoop_path(spark, new)
+        _, old_place = hadoop_path(spark, old)
+        had = fs.exists(place)
+        if not had:
+            fs.mkdirs(place.getParent())
+        elif not fs.rename(place, old_place):
+            raise OSError(f"cannot move {path}")
+        if not fs.rename(new_place, place):
+            if had:
+                fs.rename(old_place, place)
+            raise OSError(f"cannot move {new} to {path}")
+    except BaseException:
+        delete_path(spark, new)
+        raise
+    delete_path(spark, old)
+    spark.catalog.refreshByPath(path)
+
+
 def overwrite_table(df: DataFrame, dataset: Dataset, path: str, gather: bool = True) -> None:
-    """Rebuild the whole table. Whatever increments wrote since is replaced, and a job
-    that fails must be run again, as the old files are gone by then.
+    """Rebuild the whole table. Whatever increments wrote since is replaced; a job that
+    fails leaves the old table. ``df`` may read the table it replaces.
 
     ``gather=False`` writes rows from the tasks that read them, without a shuffle: for
     input whose files already hold few partitions each, such as files in day order.
     """
-    _write(conform(df, dataset), dataset.partition_by, path, "overwrite", gather=gather)
+    with replacing(df.sparkSession, path) as new:
+        _write(conform(df, dataset), dataset.partition_by, new, "overwrite", gather=gather)
 
 
 def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
     """Replace every partition that occurs in ``df``, which must hold all of its rows.
 
-    Returns the touched partitions. An empty ``df`` changes nothing. Unlike the upserts
-    this does not stage: ``df`` must not read the table it replaces.
+    Returns the touched partitions. An empty ``df`` changes nothing. ``df`` is computed
+    once, into the scratch folder, so it may read the table it replaces.
     """
-    conformed = conform(df, dataset)
-    _write(conformed, dataset.partition_by, path, "overwrite", "dynamic")
-    return touched_partitions(conformed, dataset.partition_by)
+    with _staged(df, dataset) as (staged, touched):
+        if touched:
+            _write(staged, dataset.partition_by, path, "overwrite", "dynamic")
+    return _as_frame(df.sparkSession, touched, dataset)
 
 
 def touched_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -137,19 +150,11 @@ def _checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.withColumn("_seen", seen).filter(problem).drop("_seen")
 
 
-def merged(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    updates: Sequence[str],
-    small_source: bool = False,
-) -> DataFrame:
+def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], updates: Sequence[str]) -> DataFrame:
     """Target rows with the ``updates`` columns taken from the source row of the same
     key, also where that is NULL, plus the source rows whose key the target lacks.
 
     One full outer join on the key; the source's duplicate check shares its shuffle.
-    With ``small_source`` target rows look their new values up instead: Spark can then
-    broadcast the source and leaves the target where it is, reading its keys once more.
     """
     checked = _checked_source(source.select(*target.columns), keys)
     t, s = target.withColumn("_in_target", F.lit(True)).alias("t"), checked.withColumn("_in_source", F.lit(True)).alias("s")
@@ -162,12 +167,7 @@ def merged(
             return F.when(in_source, theirs).otherwise(ours).alias(name)
         return F.when(in_target, ours).otherwise(theirs).alias(name)
 
-    joined = t.join(s, same_key, "left" if small_source else "full_outer")
-    rows = joined.select(*[outcome(name) for name in target.columns])
-    if not small_source:
-        return rows
-    matched = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
-    return rows.unionByName(checked.join(matched, list(keys), "left_anti"))
+    return t.join(s, same_key, "full_outer").select(*[outcome(name) for name in target.columns])
 
 
 def keys_replaced(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -180,68 +180,83 @@ def keys_replaced(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
-def _folder(partition_by: Sequence[str]) -> Column:
-    return F.concat_ws("/", *[F.coalesce(F.col(name).cast("string"), F.lit("none")) for name in partition_by])
-
-
 def in_touched(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame | None:
-    """Rows of the touched partitions, read from those folders only; None if no
-    partition is touched.
+    """Rows of the touched partitions; None if no partition is touched.
 
-    Up to ``LISTED_PARTITIONS`` the partitions are listed in a predicate over partition
-    columns, which prunes folders; beyond that they are semi-joined within their range.
+    The least and greatest value of every partition column, and of the date where year,
+    month and day are among them, make a predicate that prunes folders whatever the
+    number of partitions; a semi-join makes it exact.
     """
-    folder = _folder(partition_by)
-    names = touched.select(folder.alias("_folder"))
-    listed = [row[0] for row in names.limit(LISTED_PARTITIONS + 1).collect()]
-    if not listed:
+    columns = {name: F.col(name) for name in partition_by}
+    if {"year", "month", "day"} <= set(partition_by):
+        columns["_date"] = F.make_date("year", "month", "day")
+    extremes = [e for name, c in columns.items() for e in (F.min(c).alias(f"min_{name}"), F.max(c).alias(f"max_{name}"))]
+    bounds = touched.agg(F.count(F.lit(1)).alias("rows"), *extremes).first()
+    if not bounds["rows"]:
         return None
-    if len(listed) <= LISTED_PARTITIONS:
-        return df.filter(folder.isin(listed))
-    leading = F.col(partition_by[0])
-    low, high = touched.agg(F.min(leading), F.max(leading)).first()
-    near = df.filter(leading.isNull() | leading.between(low, high))
-    return near.withColumn("_folder", folder).join(names, "_folder", "left_semi").select(*df.columns)
+    for name, column in columns.items():
+        low, high = bounds[f"min_{name}"], bounds[f"max_{name}"]
+        near = column.isNull() if low is None else column.isNull() | column.between(F.lit(low), F.lit(high))
+        df = df.filter(near)
+    renamed = touched.select(*[F.col(name).alias(f"_touched_{name}") for name in partition_by]).distinct()
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"_touched_{name}")) for name in partition_by])
+    return df.join(renamed, same, "left_semi")
 
 
-def _rewrite_touched(df: DataFrame, dataset: Dataset, path: str, combine) -> DataFrame:
-    """Stage ``df``, combine it with the partitions it touches, replace only those."""
+@contextmanager
+def _staged(df: DataFrame, dataset: Dataset) -> Iterator[tuple[DataFrame, list]]:
+    """``df`` written once to scratch, which is removed afterwards, and the partitions
+    it touches: as many short rows as the write has folders to commit."""
     if not dataset.partition_by:
         raise ValueError(f"{dataset.name} has no partitions to replace: use overwrite_table")
     spark = df.sparkSession
-    staged_path = scratch_path(spark, f"staged-{dataset.name}")
-    overwrite_table(df, dataset, staged_path)
-    staged = read_table(spark, dataset, staged_path)
-    touched = touched_partitions(staged, dataset.partition_by)
-    near = in_touched(read_table_or_empty(spark, dataset, path), touched, dataset.partition_by)
-    if near is not None:
-        # A count of stored rows reads file footers only. Beside a small delivery the
-        # target is not shuffled at all: its rows leave from the tasks that read them,
-        # which hold the rows of few partitions as they were stored.
-        small = staged.count() <= SMALL_SOURCE_ROWS
-        combined = combine(near.select(*dataset.columns), staged, small)
-        _write(combined, dataset.partition_by, path, "overwrite", "dynamic", gather=not small)
-    return staged
-
-
-def upsert_table(df: DataFrame, dataset: Dataset, path: str, updates: Sequence[str]) -> DataFrame:
+    with scratch(spark, f"staged-{dataset.name}") as folder:
+        path = f"{folder}/rows"
+        _write(conform(df, dataset), dataset.partition_by, path, "overwrite")
+        staged = read_table(spark, dataset, path)
+        yield staged, touched_partitions(staged, dataset.partition_by).collect()
+
+
+def _as_frame(spark: SparkSession, touched: list, dataset: Dataset) -> DataFrame:
+    fields = [dataset.schema[name] for name in dataset.partition_by]
+    return spark.createDataFrame(touched, type(dataset.schema)(fields))
+
+
+def _rewrite_touched(
+    df: DataFrame, dataset: Dataset, path: str, combine: Callable[[DataFrame, DataFrame], DataFrame], flat_path: str | None
+) -> DataFrame:
+    """Stage ``df``, combine it with the partitions it touches, replace only those."""
+    spark = df.sparkSession
+    with _staged(df, dataset) as (staged, touched):
+        partitions = touched_partitions(staged, dataset.partition_by)
+        near = in_touched(read_table_or_empty(spark, dataset, path), partitions, dataset.partition_by) if touched else None
+        if near is not None:
+            combined = combine(near.select(*dataset.columns), staged)
+            _write(combined, dataset.partition_by, path, "overwrite", "dynamic")
+        if flat_path:
+            flat_copy(staged, flat_path)
+    return _as_frame(spark, touched, dataset)
+
+
+def upsert_table(df: DataFrame, dataset: Dataset, path: str, updates: Sequence[str], flat_path: str | None = None) -> DataFrame:
     """``merged`` into the stored table by its key. No rows, no change.
 
     The source is written once to the shared scratch folder, so it is computed once
     and its partitions are known; only those partitions are read and replaced.
-    Returns the staged rows, which stay as they were when the table moves on.
+    Returns the touched partitions; ``flat_path`` gets a flat copy of the source.
     """
 
-    def combine(target: DataFrame, staged: DataFrame, small: bool) -> DataFrame:
-        return merged(target, staged, dataset.key, updates, small)
+    def combine(target: DataFrame, staged: DataFrame) -> DataFrame:
+        return merged(target, staged, dataset.key, updates)
 
-    return _rewrite_touched(df, dataset, path, combine)
+    return _rewrite_touched(df, dataset, path, combine, flat_path)
 
 
-def replace_by_key(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
-    """``keys_replaced`` in the stored table. No rows, no change. Returns the staged rows."""
+def replace_by_key(df: DataFrame, dataset: Dataset, path: str, flat_path: str | None = None) -> DataFrame:
+    """``keys_replaced`` in the stored table. No rows, no change. Returns the touched
+    partitions; ``flat_path`` gets a flat copy of the source."""
 
-    def combine(target: DataFrame, staged: DataFrame, small: bool) -> DataFrame:
+    def combine(target: DataFrame, staged: DataFrame) -> DataFrame:
         return keys_replaced(target, staged, dataset.key)
 
-    return _rewrite_touched(df, dataset, path, combine)
+    return _rewrite_touched(df, dataset, path, combine, flat_path)

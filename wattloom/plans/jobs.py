@@ -1,4 +1,7 @@
-"""Jobs over a lake of stored layers: backfills, increments, rebuild and rolling run."""
+"""Jobs over a lake of stored layers: backfills, increments, rebuild and rolling run.
+
+A job works in a session of its own beside the caller's (``session.job_session``).
+"""
 
 from __future__ import annotations
 
@@ -9,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.operators.quality import enforce, series_summary
-from wattloom.operators.slices import increment_slice, increment_slice_by_series, resolve_start
-from wattloom.operators.tables import flat_copy, overwrite_table, replace_by_key, touched_partitions, upsert_table
+from wattloom.operators.slices import increment_slice, increment_slice_by_series, resolve_start, unknown_series
+from wattloom.operators.tables import flat_copy, overwrite_table, replace_by_key, replacing, upsert_table
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
 from wattloom.plans.gold import FACT_COLUMNS, build_fact
 from wattloom.plans.silver import SILVER_COLUMNS, build_silver
@@ -25,10 +28,11 @@ from wattloom.schemas import (
     SILVER,
     SILVER_UPDATES,
 )
-from wattloom.session import pin_session
+from wattloom.session import job_session
 from wattloom.sources.calendars import HOLIDAY_YEARS, dim_date, dim_region, holiday_calendar
 from wattloom.sources.consumption import read_raw_consumption
-from wattloom.sources.tables import high_watermark, high_watermarks, read_table, read_table_or_empty
+from wattloom.sources.tables import high_watermark, high_watermarks, partition_years, read_table
+from wattloom.sources.tables import since as rows_since
 from wattloom.sources.weather import read_raw_weather
 
 
@@ -75,7 +79,7 @@ def backfill_consumption(
 ) -> None:
     """Rebuild bronze consumption from all landed files; without a shuffle where the
     files are known to be ``day_ordered``."""
-    pin_session(spark)
+    spark = job_session(spark)
     rows = bronze_consumption(read_raw_consumption(spark, raw))
     overwrite_table(rows, BRONZE_CONSUMPTION, lake.consumption, gather=not day_ordered)
     if flat_path:
@@ -84,7 +88,7 @@ def backfill_consumption(
 
 def backfill_weather(spark: SparkSession, lake: Lake, raw: str | list[str], flat_path: str | None = None) -> None:
     """Rebuild bronze weather from all landed documents but the daily ones."""
-    pin_session(spark)
+    spark = job_session(spark)
     overwrite_table(bronze_weather(read_raw_weather(spark, raw)), BRONZE_WEATHER, lake.weather)
     if flat_path:
         flat_copy(read_table(spark, BRONZE_WEATHER, lake.weather), flat_path)
@@ -93,43 +97,56 @@ def backfill_weather(spark: SparkSession, lake: Lake, raw: str | list[str], flat
 def increment_consumption(spark: SparkSession, lake: Lake, raw: str | list[str], as_of: str | date) -> DataFrame:
     """Bring bronze consumption up to the day before ``as_of``; returns the partitions
     it touched. Re-running it, or landing overlapping files, changes nothing."""
-    pin_session(spark)
-    watermark = high_watermark(read_table(spark, BRONZE_CONSUMPTION, lake.consumption))
+    spark = job_session(spark)
+    watermark = high_watermark(spark, lake.consumption)
     landed = increment_slice(read_raw_consumption(spark, raw), "date_heure", watermark, as_of)
-    delivered = replace_by_key(bronze_consumption(landed), BRONZE_CONSUMPTION, lake.consumption)
-    return touched_partitions(delivered, BRONZE_CONSUMPTION.partition_by)
+    return replace_by_key(bronze_consumption(landed), BRONZE_CONSUMPTION, lake.consumption)
 
 
 def increment_weather(
     spark: SparkSession, lake: Lake, raw: str | list[str], as_of: str | date, flat_path: str | None = None
 ) -> DataFrame:
     """Bring bronze weather up to the day before ``as_of`` from the daily documents,
-    each region from its own newest day on; returns the partitions it touched."""
-    pin_session(spark)
-    marks = high_watermarks(read_table(spark, BRONZE_WEATHER, lake.weather), ["region_code"])
-    landed = increment_slice_by_series(read_raw_weather(spark, raw, daily=True), marks, ["region_code"], "time", as_of)
-    delivered = replace_by_key(bronze_weather(landed), BRONZE_WEATHER, lake.weather)
-    if flat_path:
-        flat_copy(delivered, flat_path)
-    return touched_partitions(delivered, BRONZE_WEATHER.partition_by)
+    each region from its own newest day on; returns the partitions it touched. A region
+    that was never backfilled fails."""
+    spark = job_session(spark)
+    marks = high_watermarks(spark, lake.weather, BRONZE_WEATHER)
+    documents = read_raw_weather(spark, raw, daily=True)
+    unknown = [row[0] for row in unknown_series(documents, marks, ["region_code"]).limit(20).collect()]
+    if unknown:
+        raise ValueError(f"no partitions found for regions {unknown}: run the backfill of this table first")
+    landed = increment_slice_by_series(documents, marks, ["region_code"], "time", as_of)
+    return replace_by_key(bronze_weather(landed), BRONZE_WEATHER, lake.weather, flat_path)
 
 
 def build_holidays(spark: SparkSession, lake: Lake, first_year: int = HOLIDAY_YEARS[0], last_year: int = HOLIDAY_YEARS[1]) -> None:
     """Replace the holiday table; 134 short rows a year fit one file."""
-    overwrite_table(holiday_calendar(spark, first_year, last_year), HOLIDAYS, lake.holidays)
+    overwrite_table(holiday_calendar(job_session(spark), first_year, last_year), HOLIDAYS, lake.holidays)
 
 
 def build_dimensions(spark: SparkSession, lake: Lake) -> None:
     """Replace both dimensions, so a re-run repeats no row."""
+    spark = job_session(spark)
     overwrite_table(dim_date(spark).orderBy("date_key"), DIM_DATE, lake.dates)
     overwrite_table(dim_region(spark), DIM_REGION, lake.regions)
 
 
-def _silver_plan(spark: SparkSession, lake: Lake, since: str | None, calendar_tz: str | None) -> DataFrame:
+def _calendar(spark: SparkSession, lake: Lake, since: str | None) -> DataFrame:
+    """The stored holidays, which must hold every year that silver will."""
+    holidays = read_table(spark, HOLIDAYS, lake.holidays)
+    held = {row[0] for row in holidays.select(F.year("date")).distinct().collect()}
+    first = int(since[:4]) if since else 0
+    missing = [year for year in partition_years(spark, lake.consumption) if year >= first and year not in held]
+    if missing:
+        raise ValueError(f"the holiday calendar lacks the years {missing}: run build_holidays for them")
+    return holidays
+
+
+def _silver_plan(spark: SparkSession, lake: Lake, since: str | None, calendar_tz: str | None, holidays: bool) -> DataFrame:
     return build_silver(
         read_table(spark, BRONZE_CONSUMPTION, lake.consumption),
         read_table(spark, BRONZE_WEATHER, lake.weather),
-        read_table_or_empty(spark, HOLIDAYS, lake.holidays),
+        _calendar(spark, lake, since) if holidays else None,
         since=since,
         calendar_tz=calendar_tz,
     )
@@ -150,20 +167,39 @@ def _stored_fact(fact: DataFrame) -> DataFrame:
 def rebuild(
     spark: SparkSession,
     lake: Lake,
-    as_of: str | date | datetime | None = None,
+    now: str | datetime | None = None,
     calendar_tz: str | None = None,
     flat_path: str | None = None,
+    holidays: bool = True,
 ) -> None:
-    """Silver and gold anew from all of bronze; gold only where silver passes the gate."""
-    pin_session(spark)
-    overwrite_table(_silver_plan(spark, lake, None, calendar_tz), SILVER, lake.silver)
+    """Silver and gold anew from all of bronze.
+
+    The new silver takes the place of the old one only if it passes the gate, an empty
+    one never does, and gold follows it; a run that fails leaves the table it was at as
+    it was. ``now`` is the clock of the freshness check, by default the current time.
+    """
+    spark = job_session(spark)
+    with replacing(spark, lake.silver) as new:
+        overwrite_table(_silver_plan(spark, lake, None, calendar_tz, holidays), SILVER, new)
+        enforce(series_summary(read_table(spark, SILVER, new), ["region_code"], as_of=now))
     silver = read_silver(spark, lake)
     if flat_path:
         flat_copy(silver, flat_path)
-    enforce(series_summary(silver, ["region_code"], as_of=as_of))
     overwrite_table(_stored_fact(build_fact(silver)), FACT, lake.fact)
 
 
+def _upsert_layers(
+    spark: SparkSession, lake: Lake, start: str | None, now, calendar_tz: str | None, flat_path: str | None, holidays: bool
+) -> None:
+    plan = _silver_plan(spark, lake, start, calendar_tz, holidays)
+    upsert_table(plan, SILVER, lake.silver, SILVER_UPDATES)
+    silver = read_silver(spark, lake)
+    if flat_path:
+        flat_copy(silver if start is None else rows_since(silver, "date_heure", start), flat_path)
+    enforce(series_summary(silver, ["region_code"], as_of=now))
+    upsert_table(_stored_fact(build_fact(silver, since=start)), FACT, lake.fact, FACT_UPDATES)
+
+
 def rolling_run(
     spark: SparkSession,
     lake: Lake,
@@ -172,17 +208,29 @@ def rolling_run(
     days: int = 7,
     calendar_tz: str | None = None,
     flat_path: str | None = None,
+    now: str | datetime | None = None,
+    holidays: bool = True,
 ) -> None:
     """Reprocess the last ``days`` days, or from ``target`` on, and upsert both layers.
 
     Earlier rows stay as they are. Gold reads the stored silver, which holds the week
-    before the window that its first rows need. A flat copy holds the reprocessed rows.
+    before the window that its first rows need. A flat copy holds the stored rows of the
+    window. ``as_of`` places the window only; the freshness check goes by ``now``, by
+    default the current time.
     """
-    pin_session(spark)
-    start = resolve_start(as_of, days, target)
-    delivered = upsert_table(_silver_plan(spark, lake, start, calendar_tz), SILVER, lake.silver, SILVER_UPDATES)
-    if flat_path:
-        flat_copy(delivered.select(*SILVER_COLUMNS), flat_path)
-    silver = read_silver(spark, lake)
-    enforce(series_summary(silver, ["region_code"], as_of=as_of))
-    upsert_table(_stored_fact(build_fact(silver, since=start)), FACT, lake.fact, FACT_UPDATES)
+    _upsert_layers(job_session(spark), lake, resolve_start(as_of, days, target), now, calendar_tz, flat_path, holidays)
+
+
+def merge_run(
+    spark: SparkSession,
+    lake: Lake,
+    now: str | datetime | None = None,
+    calendar_tz: str | None = None,
+    flat_path: str | None = None,
+    holidays: bool = True,
+) -> None:
+    """Reprocess all of bronze and upsert both layers: a full run that deletes no row.
+
+    Equals ``rebuild`` where bronze holds everything that silver does.
+    """
+    _upsert_layers(job_session(spark), lake, None, now, calendar_tz, flat_path, holidays)

@@ -18,24 +18,24 @@ SILVER_COLUMNS = ["date_heure", "region_code", "consommation", "temperature_2m",
 Mean = Callable[[str], Column]
 
 
-def clean_consumption(df: DataFrame, on_bad_code: str = "fail", mean: Mean = F.avg) -> DataFrame:
+def demand_by_hour(readings: DataFrame, on_bad_code: str = "fail", mean: Mean = F.avg) -> DataFrame:
     """Hourly consumption as a mean of per-instant means: an instant that was delivered
     twice weighs as much as any other."""
-    coded = df.withColumn("region_code", parse_region_code("code_insee_region", on_bad_code))
-    instants = per_instant(coded, ["region_code"], ["consommation"], agg=mean)
-    return time_bucket(instants, ["region_code"], "consommation", agg=mean)
+    coded = readings.withColumn("region_code", parse_region_code("code_insee_region", on_bad_code))
+    measure = mean("consommation").alias("consommation")
+    return time_bucket(per_instant(coded, ["region_code"], [measure]), ["region_code"], measure)
 
 
-def clean_weather(df: DataFrame, mean: Mean = F.avg) -> DataFrame:
+def weather_by_instant(rows: DataFrame, mean: Mean = F.avg) -> DataFrame:
     """Both measures per (region, instant); instants are not truncated."""
-    renamed = df.withColumnRenamed("time", "date_heure")
-    return per_instant(renamed, ["region_code"], ["temperature_2m", "precipitation"], agg=mean)
+    measures = [mean(name).alias(name) for name in ("temperature_2m", "precipitation")]
+    return per_instant(rows.withColumnRenamed("time", "date_heure"), ["region_code"], measures)
 
 
-def clean_holidays(df: DataFrame) -> DataFrame:
+def holiday_days(calendar: DataFrame) -> DataFrame:
     """One flag per (region, day), without names. A day listed twice stays one row."""
-    flags = df.select(F.col("region_code").cast("int").alias("region_code"), "date", "is_holiday")
-    return flags.groupBy("region_code", "date").agg(F.max("is_holiday").alias("is_holiday"))
+    region = F.col("region_code").cast("int").alias("region_code")
+    return calendar.groupBy(region, "date").agg(F.max("is_holiday").alias("is_holiday"))
 
 
 def add_holidays(df: DataFrame, holidays: DataFrame, calendar_tz: str | None = None) -> DataFrame:
@@ -45,7 +45,7 @@ def add_holidays(df: DataFrame, holidays: DataFrame, calendar_tz: str | None = N
     below the threshold, and joins by shuffle otherwise.
     """
     clock = F.convert_timezone(F.lit("UTC"), F.lit(calendar_tz), "date_heure") if calendar_tz else F.col("date_heure")
-    flags = clean_holidays(holidays).withColumnsRenamed({"region_code": "_region", "date": "_day"})
+    flags = holiday_days(holidays).withColumnsRenamed({"region_code": "_region", "date": "_day"})
     of_the_day = (F.col("region_code") == F.col("_region")) & (F.to_date(clock) == F.col("_day"))
     return df.join(flags, of_the_day, "left").drop("_region", "_day")
 
@@ -64,8 +64,8 @@ def build_silver(
     ``since`` is a day; the result equals the full result from that day on. The join
     follows the aggregations' own partitioning and adds no shuffle.
     """
-    hours = clean_consumption(rows_since(consumption, "date_heure", since), on_bad_code, mean)
-    measured = clean_weather(rows_since(weather, "time", since), mean)
+    hours = demand_by_hour(rows_since(consumption, "date_heure", since), on_bad_code, mean)
+    measured = weather_by_instant(rows_since(weather, "time", since), mean)
     joined = hours.join(measured, ["date_heure", "region_code"], "left")
     if holidays is None:
         flagged = joined.withColumn("is_holiday", F.lit(0))

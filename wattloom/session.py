@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,15 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+# Settings that results depend on.
+PINNED = {key: DEFAULTS[key] for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
+
+# AQE otherwise packs up to a megabyte of rows into one task, and a table of many small
+# partitions would be written folder after folder: that costs files, not bytes.
+JOB_SETTINGS = {**PINNED, "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+
+_sessions: WeakKeyDictionary[SparkSession, SparkSession] = WeakKeyDictionary()
+
 
 def build_session(app_name: str = "wattloom", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -29,33 +39,52 @@ def build_session(app_name: str = "wattloom", master: str | None = None, conf: d
     return builder.getOrCreate()
 
 
-def pin_session(spark: SparkSession) -> SparkSession:
-    """Settings that results depend on, also in a session built elsewhere.
+def job_session(spark: SparkSession, settings: dict[str, str] | None = None) -> SparkSession:
+    """A session beside ``spark`` with its settings, but all instants in UTC and values
+    that do not fit their type failing. The caller's own session is left as it is, so
+    jobs may also run at the same time."""
+    settings = JOB_SETTINGS if settings is None else settings
+    if all(spark.conf.get(key).lower() == value.lower() for key, value in settings.items()):
+        return spark
+    if spark not in _sessions:
+        _sessions[spark] = spark.newSession()
+    own = _sessions[spark]
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        changeable = key == "spark.checkpoint.dir" or (key.startswith("spark.sql.") and own.conf.isModifiable(key))
+        if changeable and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    return own
 
-    All instants are UTC: truncation, day keys and casts follow the session zone. And a
-    value that does not fit its type fails instead of becoming NULL.
-    """
-    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
-        if spark.conf.get(key).lower() != DEFAULTS[key].lower():
-            spark.conf.set(key, DEFAULTS[key])
-    return spark
 
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, whatever its scheme, and the path itself."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder for a staged table, removed when the application ends.
 
-    On a cluster it lies under ``spark.checkpoint.dir``, which every executor can
-    reach. Only where that is unset (local tests) is a temporary folder used.
-    """
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder for a staged table under ``spark.checkpoint.dir``, which every
+    executor can reach; removed when the application ends."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        base = os.path.join(tempfile.gettempdir(), "wattloom")
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(hadoop_path)
-    fs.deleteOnExit(hadoop_path)
+    fs, place = hadoop_path(spark, path)
+    fs.mkdirs(place)
+    fs.deleteOnExit(place)
     return path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, place = hadoop_path(spark, path)
+    fs.delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """``scratch_path`` for the time of a block."""
+    path = scratch_path(spark, label)
+    try:
+        yield path
+    finally:
+        delete_path(spark, path)

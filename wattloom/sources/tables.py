@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.timeparts import has_columns, instant
 from wattloom.schemas import Dataset
+from wattloom.session import hadoop_path
 
 
 def read_table(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
@@ -47,22 +48,61 @@ def since(df: DataFrame, time: str, start: str | date | Column | None, slack_day
     return df.filter(F.col(time) >= bound)
 
 
-def high_watermarks(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The newest year/month/day partition, per ``by`` group, as ``watermark``.
+NO_PARTITIONS = "no partitions found: run the backfill of this table before an increment"
+
+
+def _subfolders(spark: SparkSession, path: str, column: str) -> list[tuple[str, str]]:
+    """Values of a partition column and their folders; folders without a value are left out."""
+    fs, place = hadoop_path(spark, path)
+    if not fs.exists(place):
+        return []
+    names = [(status.getPath().getName(), status.getPath().toString()) for status in fs.listStatus(place) if status.isDirectory()]
+    values = [(name.partition("=")[2], folder) for name, folder in names if name.startswith(f"{column}=")]
+    return [pair for pair in values if pair[0] != "__HIVE_DEFAULT_PARTITION__"]
+
+
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    fs, place = hadoop_path(spark, path)
+    return any(status.isFile() and status.getPath().getName()[0] not in "._" for status in fs.listStatus(place))
 
-    Only partition columns are used, so no data column is read, and a date is a
-    fixed-width maximum that needs no sorting.
-    """
-    newest = F.max(F.make_date("year", "month", "day")).alias("watermark")
-    return df.groupBy(*(by or [])).agg(newest)
 
+def _newest_day(spark: SparkSession, path: str, columns: tuple[str, ...] = ("year", "month", "day")) -> list[int] | None:
+    if not columns:
+        return [] if _holds_files(spark, path) else None
+    for value, folder in sorted(((int(v), f) for v, f in _subfolders(spark, path, columns[0])), reverse=True):
+        found = _newest_day(spark, folder, columns[1:])
+        if found is not None:
+            return [value, *found]
+    return None
 
-def high_watermark(df: DataFrame) -> date:
-    """The newest partition day. A table without partitions fails: backfill it first."""
-    watermark = high_watermarks(df).first()["watermark"]
-    if watermark is None:
-        raise ValueError("no partitions found: run the backfill of this table before an increment")
-    return watermark
+
+def partition_years(spark: SparkSession, path: str) -> list[int]:
+    """Years with a folder in a table laid out by year first."""
+    return sorted(int(value) for value, _ in _subfolders(spark, path, "year"))
+
+
+def high_watermark(spark: SparkSession, path: str) -> date:
+    """The newest day of a table laid out by year, month and day.
+
+    Three listings of folder names, however long the history; no file is opened. A
+    table without partitions fails: backfill it first.
+    """
+    newest = _newest_day(spark, path)
+    if newest is None:
+        raise ValueError(NO_PARTITIONS)
+    return date(*newest)
+
+
+def high_watermarks(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+    """``watermark`` per value of the table's first partition column, below which it is
+    laid out by year, month and day. A table without partitions fails."""
+    by = dataset.schema[dataset.partition_by[0]]
+    kind = int if by.dataType.typeName() in ("integer", "long") else str
+    newest = [(kind(value), _newest_day(spark, folder)) for value, folder in _subfolders(spark, path, by.name)]
+    rows = [(value, date(*day)) for value, day in newest if day is not None]
+    if not rows:
+        raise ValueError(NO_PARTITIONS)
+    return spark.createDataFrame(rows, f"`{by.name}` {by.dataType.simpleString()}, watermark date")
 
 
 def available_years(df: DataFrame, time: str) -> DataFrame:

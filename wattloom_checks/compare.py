@@ -39,7 +39,7 @@ def same(spark_frame, relation) -> tuple[bool, str]:
 
 
 def main(sf_dir: str = "/root/testdata/sf0.01", *names: str) -> int:
-    spark = build_session(master="local[8]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    spark = build_session(master="local[4]", conf={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     failures = 0

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattloom_checks.standins import (
@@ -10,18 +12,21 @@ from wattloom_checks.standins import (
     order_readings,
     order_weather,
     readings,
+    meter,
     region_of,
     rounded_mean,
+    session,
     table,
     weather,
     whole,
 )
 from wattloom.operators import quality, series, slices, tables
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
-from wattloom.plans.gold import build_fact
-from wattloom.plans.silver import build_silver, clean_consumption, clean_weather
-from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, FACT_UPDATES, RAW_WEATHER, SILVER, SILVER_UPDATES
-from wattloom.session import scratch_path
+from wattloom.plans.gold import FACT_COLUMNS, build_fact
+from wattloom.plans.silver import build_silver, demand_by_hour, weather_by_instant
+from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, DIM_DATE, DIM_REGION, FACT, FACT_UPDATES, HOLIDAYS, RAW_WEATHER, SILVER, SILVER_UPDATES
+from wattloom.plans import jobs
+from wattloom.session import hadoop_path, scratch_path
 from wattloom.sources import calendars
 from wattloom.sources.tables import available_years, high_watermark, high_watermarks, read_table, year_ranges
 from wattloom.sources.weather import select_documents, weather_rows
@@ -35,7 +40,7 @@ REPLACE_FROM, REPLACE_UNTIL = "2024-01-20", "2024-01-25"
 
 
 def bronze_calendar_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_consumption(readings(spark, sf_dir, event_type=None))
+    return bronze_consumption(readings(spark, sf_dir))
 
 
 def _valued_events(spark, sf_dir):
@@ -43,20 +48,20 @@ def _valued_events(spark, sf_dir):
 
 
 def time_bucket_hour(spark, sf_dir):
-    return series.time_bucket(_valued_events(spark, sf_dir), ["event_type"], "value", time="ts", alias="mean_value")
+    return series.time_bucket(_valued_events(spark, sf_dir), ["event_type"], F.avg("value").alias("mean_value"), time="ts")
 
 
 def time_bucket_day(spark, sf_dir):
     events = _valued_events(spark, sf_dir)
-    return series.time_bucket(events, ["event_type"], "value", "ts", "day", agg=F.max, alias="max_value")
+    return series.time_bucket(events, ["event_type"], F.max("value").alias("max_value"), time="ts", unit="day")
 
 
 def dedupe_then_hourly(spark, sf_dir):
-    return clean_consumption(readings(spark, sf_dir, event_type=None), mean=rounded_mean)
+    return demand_by_hour(readings(spark, sf_dir), mean=rounded_mean)
 
 
 def weather_dedupe(spark, sf_dir):
-    return clean_weather(weather(spark, sf_dir), mean=rounded_mean)
+    return weather_by_instant(weather(spark, sf_dir), mean=rounded_mean)
 
 
 # --- silver ------------------------------------------------------------------------
@@ -97,7 +102,7 @@ def silver_holidays(spark, sf_dir):
 
 
 def _hours(spark, sf_dir):
-    return clean_consumption(readings(spark, sf_dir, event_type=None), mean=rounded_mean)
+    return demand_by_hour(readings(spark, sf_dir), mean=rounded_mean)
 
 
 def gold_rolling_7d(spark, sf_dir):
@@ -138,12 +143,21 @@ def upsert_silver(spark, sf_dir):
 
 def upsert_silver_stored(spark, sf_dir):
     target, source = _upsert_sides(_silver(spark, sf_dir))
-    path = scratch_path(spark, "upsert-silver")
+    path = scratch_path(session(spark), "upsert-silver")
     tables.overwrite_table(target, SILVER, path)
     tables.upsert_table(source, SILVER, path, SILVER_UPDATES)
     return read_table(spark, SILVER, path)
 
 
+def upsert_gold_stored(spark, sf_dir):
+    fact = gold_fact(spark, sf_dir).withColumn("year", F.year("date_heure"))
+    target, source = _upsert_sides(fact)
+    path = scratch_path(session(spark), "upsert-gold")
+    tables.overwrite_table(target, FACT, path)
+    tables.upsert_table(source, FACT, path, FACT_UPDATES)
+    return read_table(spark, FACT, path).select(*FACT_COLUMNS)
+
+
 def upsert_gold(spark, sf_dir):
     target, source = _upsert_sides(gold_fact(spark, sf_dir))
     return tables.merged(target, source, SILVER.key, FACT_UPDATES)
@@ -151,20 +165,20 @@ def upsert_gold(spark, sf_dir):
 
 def upsert_empty_source(spark, sf_dir):
     silver = _silver(spark, sf_dir)
-    path = scratch_path(spark, "upsert-empty")
+    path = scratch_path(session(spark), "upsert-empty")
     tables.overwrite_table(silver, SILVER, path)
     tables.upsert_table(silver.filter(F.col("region_code").isNull()), SILVER, path, SILVER_UPDATES)
     return read_table(spark, SILVER, path)
 
 
 def _bronze_weather(spark, sf_dir):
-    hours = clean_weather(weather(spark, sf_dir), mean=rounded_mean)
+    hours = weather_by_instant(weather(spark, sf_dir), mean=rounded_mean)
     return bronze_weather(hours.withColumnRenamed("date_heure", "time"))
 
 
 def append_by_name(spark, sf_dir):
     rows = _bronze_weather(spark, sf_dir)
-    path = scratch_path(spark, "append")
+    path = scratch_path(session(spark), "append")
     tables.overwrite_table(rows.filter(F.col("time") < SINCE), BRONZE_WEATHER, path)
     delivered = rows.filter(F.col("time") >= SINCE).select(
         F.col("day").alias("DAY"),
@@ -201,7 +215,7 @@ def partition_replace(spark, sf_dir):
     hours = _hours(spark, sf_dir)
     stored = _bronze_consumption(hours.filter(_local_time() < REPLACE_UNTIL))
     replacement = _bronze_consumption(hours.filter(_local_time() >= REPLACE_FROM))
-    path = scratch_path(spark, "replace")
+    path = scratch_path(session(spark), "replace")
     tables.overwrite_table(stored, BRONZE_CONSUMPTION, path)
     tables.replace_partitions(
         replacement.withColumn("consommation", F.col("consommation") * 2), BRONZE_CONSUMPTION, path
@@ -210,21 +224,20 @@ def partition_replace(spark, sf_dir):
 
 
 def touched_partitions(spark, sf_dir):
-    later = _bronze_weather(spark, sf_dir).filter(F.col("time") >= REPLACE_FROM)
-    return tables.touched_partitions(later, BRONZE_WEATHER.partition_by)
+    return tables.touched_partitions(_bronze_weather(spark, sf_dir), BRONZE_WEATHER.partition_by)
 
 
 def replace_keys(spark, sf_dir):
     """A delivery with repeated instants over the rows already stored."""
-    rows = readings(spark, sf_dir, event_type=None).select("date_heure", "code_insee_region", "consommation")
+    rows = readings(spark, sf_dir).select("date_heure", "code_insee_region", "consommation")
     target = rows.filter(F.col("date_heure") < UPSERT_UNTIL)
     source = rows.filter(F.col("date_heure") >= UPSERT_FROM)
-    source = source.filter(F.col("consommation") > 100_000).withColumn("consommation", F.col("consommation") + 1)
+    source = source.withColumn("consommation", F.col("consommation") + 1)
     return tables.keys_replaced(target, source, ["date_heure", "code_insee_region"])
 
 
 def flat_copy(spark, sf_dir):
-    path = scratch_path(spark, "flat")
+    path = scratch_path(session(spark), "flat")
     tables.flat_copy(_bronze_weather(spark, sf_dir), path)
     return spark.read.schema(BRONZE_WEATHER.schema).parquet(path)
 
@@ -232,12 +245,25 @@ def flat_copy(spark, sf_dir):
 # --- watermarks and increments -----------------------------------------------------
 
 
+def _stored_consumption(spark, sf_dir, rows):
+    path = scratch_path(session(spark), "consumption")
+    tables.overwrite_table(bronze_consumption(rows), BRONZE_CONSUMPTION, path)
+    return path
+
+
+def _stored_weather(spark, sf_dir, rows):
+    path = scratch_path(session(spark), "weather")
+    tables.overwrite_table(bronze_weather(rows), BRONZE_WEATHER, path)
+    return path
+
+
 def newest_partition(spark, sf_dir):
-    return high_watermarks(bronze_consumption(readings(spark, sf_dir, event_type=None)))
+    newest = high_watermark(spark, _stored_consumption(spark, sf_dir, readings(spark, sf_dir)))
+    return spark.createDataFrame([(newest,)], "watermark date")
 
 
 def newest_partition_by_region(spark, sf_dir):
-    return high_watermarks(bronze_weather(weather(spark, sf_dir)), ["region_code"])
+    return high_watermarks(spark, _stored_weather(spark, sf_dir, weather(spark, sf_dir)), BRONZE_WEATHER)
 
 
 def year_bounds(spark, sf_dir):
@@ -254,21 +280,21 @@ def year_slice(spark, sf_dir):
 
 
 def increment_slice(spark, sf_dir):
-    landed = readings(spark, sf_dir, event_type=None)
-    ingested = bronze_consumption(landed.filter(F.col("date") < "2024-01-21"))
-    return slices.increment_slice(landed, "date_heure", high_watermark(ingested), "2024-01-29")
+    landed = readings(spark, sf_dir)
+    ingested = _stored_consumption(spark, sf_dir, landed.filter(F.col("date") < "2024-01-21"))
+    return slices.increment_slice(landed, "date_heure", high_watermark(spark, ingested), "2024-01-29")
 
 
 def increment_slice_by_region(spark, sf_dir):
     landed = weather(spark, sf_dir)
     ingested = landed.filter(F.col("time") < F.expr("date_add(date '2024-01-10', cast(region_code div 10 as int))"))
-    marks = high_watermarks(bronze_weather(ingested), ["region_code"])
+    marks = high_watermarks(session(spark), _stored_weather(spark, sf_dir, ingested), BRONZE_WEATHER)
     return slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-29")
 
 
 def weather_json_rows(spark, sf_dir):
     """Hours rendered as JSON documents of one region and day, then read back."""
-    hours = clean_weather(weather(spark, sf_dir), mean=rounded_mean)
+    hours = weather_by_instant(weather(spark, sf_dir), mean=rounded_mean)
     name = F.when(F.col("day") < "2024-01-28", F.date_format("day", "yyyyMMdd")).otherwise(F.lit("daily"))
     hour = F.struct(
         F.date_format("date_heure", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature_2m", "precipitation"
@@ -346,9 +372,10 @@ def dq_keys(spark, sf_dir):
 
 
 def dq_foreign_keys(spark, sf_dir):
-    """Orders of customers that are not among those in credit."""
-    in_credit = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
-    return quality.orphan_keys(table(spark, sf_dir, "orders"), "o_custkey", in_credit, "c_custkey")
+    """Orders, every seventh of which names a customer that does not exist."""
+    lost = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_custkey") + 1_000_000_000).otherwise(F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").withColumn("o_custkey", lost)
+    return quality.orphan_keys(orders, "o_custkey", table(spark, sf_dir, "customer"), "c_custkey")
 
 
 def dq_summary(spark, sf_dir):
@@ -357,6 +384,160 @@ def dq_summary(spark, sf_dir):
     )
 
 
+# --- jobs --------------------------------------------------------------------------
+
+
+def _lake(spark: SparkSession) -> jobs.Lake:
+    return jobs.Lake(scratch_path(session(spark), "lake"))
+
+
+def _land_consumption(hours: DataFrame, folder: str) -> str:
+    """Hours as a landed file, with zone-aware instants as some feeds have them."""
+    raw = hours.select(
+        F.col("date_heure").cast("timestamp").alias("date_heure"),
+        F.date_format(_local_time(), "yyyy-MM-dd").alias("date"),
+        F.col("region_code").cast("string").alias("code_insee_region"),
+        F.concat(F.lit("region "), "region_code").alias("libelle_region"),
+        F.lit("hourly").alias("nature"),
+        "consommation",
+    )
+    raw.write.parquet(folder)
+    return folder
+
+
+def _land_weather(spark: SparkSession, hours: DataFrame, folder: str, label: str) -> str:
+    """Hours as one JSON document per region and label; returns their glob."""
+    hour = F.struct(F.date_format("date_heure", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature_2m", "precipitation")
+    arrays = [F.col(f"hours.{field}").alias(field) for field in ("time", "temperature_2m", "precipitation")]
+    name = F.concat(F.lit("openmeteo-"), "region_code", F.lit(f"-{label}.json"))
+    documents = (
+        hours.groupBy(name.alias("name"))
+        .agg(F.array_sort(F.collect_list(hour)).alias("hours"))
+        .select("name", F.to_json(F.struct(F.struct(*arrays).alias("hourly"))).alias("value"))
+    )
+    documents.repartition("name").write.partitionBy("name").text(f"{folder}/{label}")
+    # Spark names its files itself: give each document the name that says its region
+    fs, place = hadoop_path(spark, f"{folder}/{label}")
+    for status in fs.listStatus(place):
+        if not status.isDirectory():
+            continue
+        target = status.getPath().getName().partition("=")[2]
+        for file in fs.listStatus(status.getPath()):
+            if file.getPath().getName().startswith("part-"):
+                fs.rename(file.getPath(), hadoop_path(spark, f"{folder}/{target}")[1])
+    return f"{folder}/openmeteo-*.json"
+
+
+def _days(spark, sf_dir):
+    """The meter's hours, its last day, and the day before."""
+    hours = meter(spark, sf_dir)
+    last = hours.agg(F.to_date(F.max("date_heure"))).first()[0]
+    return hours, last, last - timedelta(days=1)
+
+
+def job_backfill_consumption(spark, sf_dir):
+    lake = _lake(spark)
+    raw = _land_consumption(meter(spark, sf_dir), lake.path("landed"))
+    jobs.backfill_consumption(spark, lake, raw)
+    return read_table(session(spark), BRONZE_CONSUMPTION, lake.consumption)
+
+
+def job_backfill_weather(spark, sf_dir):
+    lake = _lake(spark)
+    raw = _land_weather(spark, meter(spark, sf_dir), lake.path("landed"), "2024")
+    jobs.backfill_weather(spark, lake, raw)
+    return read_table(session(spark), BRONZE_WEATHER, lake.weather)
+
+
+def _filled(spark, sf_dir):
+    """A lake with all but the last days, and then with those as increments."""
+    lake = _lake(spark)
+    hours, last, middle = _days(spark, sf_dir)
+    early, late = hours.filter(F.col("date_heure") < F.lit(middle)), hours.filter(F.col("date_heure") >= F.lit(middle - timedelta(days=1)))
+    jobs.backfill_consumption(spark, lake, _land_consumption(early, lake.path("landed")))
+    jobs.backfill_weather(spark, lake, _land_weather(spark, early, lake.path("documents"), "2024"))
+
+    def increments():
+        after = last + timedelta(days=1)
+        jobs.increment_consumption(spark, lake, _land_consumption(late, lake.path("landed-late")), as_of=after)
+        jobs.increment_weather(spark, lake, _land_weather(spark, late, lake.path("documents"), "daily"), as_of=after)
+
+    return lake, last, increments
+
+
+def job_increment_consumption(spark, sf_dir):
+    lake, _, increments = _filled(spark, sf_dir)
+    increments()
+    return read_table(session(spark), BRONZE_CONSUMPTION, lake.consumption)
+
+
+def job_increment_weather(spark, sf_dir):
+    lake, _, increments = _filled(spark, sf_dir)
+    increments()
+    return read_table(session(spark), BRONZE_WEATHER, lake.weather)
+
+
+def job_holidays(spark, sf_dir):
+    """Stored holidays with the orders of their day and region, by day and month."""
+    lake = _lake(spark)
+    jobs.build_holidays(spark, lake, 1995, 2001)
+    orders = table(spark, sf_dir, "orders").groupBy(region_of("o_custkey").alias("region_code"), F.to_date("o_orderdate").alias("date"))
+    stored = read_table(session(spark), HOLIDAYS, lake.holidays)
+    return stored.join(orders.agg(F.count(F.lit(1)).alias("nb_orders")), ["region_code", "date"], "left").fillna({"nb_orders": 0})
+
+
+def job_dimensions(spark, sf_dir):
+    """Events by the stored dimensions."""
+    lake = _lake(spark)
+    jobs.build_dimensions(spark, lake)
+    events = table(spark, sf_dir, "events").select(F.to_date("ts").alias("date_key"), region_of("user_id").alias("region_code"))
+    dates = read_table(session(spark), DIM_DATE, lake.dates)
+    regions = read_table(session(spark), DIM_REGION, lake.regions)
+    joined = events.join(dates, "date_key").join(regions, "region_code")
+    return joined.groupBy("region_nom", "jour_semaine", "annee", "mois").agg(F.count(F.lit(1)).alias("nb"))
+
+
+def holidays_in_order(spark, sf_dir):
+    """Where a holiday stands in the calendar, with the orders of that day."""
+    placed = calendars.holiday_calendar(session(spark), 1995, 2001).withColumn("_at", F.monotonically_increasing_id())
+    position = F.row_number().over(Window.orderBy("_at"))
+    orders = table(spark, sf_dir, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.count(F.lit(1)).alias("nb_orders"))
+    counted = placed.select("region_code", "date", position.alias("position")).join(orders, "date", "left")
+    return counted.fillna({"nb_orders": 0})
+
+
+def _clock(last):
+    return f"{last.isoformat()} 23:00:00"
+
+
+def job_rebuild(spark, sf_dir):
+    lake, last, increments = _filled(spark, sf_dir)
+    increments()
+    jobs.build_holidays(spark, lake)
+    jobs.rebuild(spark, lake, now=_clock(last))
+    return jobs.read_fact(session(spark), lake)
+
+
+def job_rolling_run(spark, sf_dir):
+    """Rebuilt without the last days, which then arrive and are rolled in."""
+    lake, last, increments = _filled(spark, sf_dir)
+    jobs.build_holidays(spark, lake)
+    jobs.rebuild(spark, lake, now=_clock(last))
+    increments()
+    jobs.rolling_run(spark, lake, as_of=last + timedelta(days=1), days=5, now=_clock(last))
+    return jobs.read_fact(session(spark), lake)
+
+
+def job_merge_run(spark, sf_dir):
+    """As the rolling run, but with all of bronze."""
+    lake, last, increments = _filled(spark, sf_dir)
+    jobs.build_holidays(spark, lake)
+    jobs.rebuild(spark, lake, now=_clock(last))
+    increments()
+    jobs.merge_run(spark, lake, now=_clock(last))
+    return jobs.read_fact(session(spark), lake)
+
+
 QUERIES = {
     "bronze_calendar_parts": bronze_calendar_parts,
     "time_bucket_hour": time_bucket_hour,
@@ -374,6 +555,7 @@ QUERIES = {
     "upsert_silver": upsert_silver,
     "upsert_silver_stored": upsert_silver_stored,
     "upsert_gold": upsert_gold,
+    "upsert_gold_stored": upsert_gold_stored,
     "upsert_empty_source": upsert_empty_source,
     "append_by_name": append_by_name,
     "partition_replace": partition_replace,
@@ -398,4 +580,14 @@ QUERIES = {
     "dq_keys": dq_keys,
     "dq_foreign_keys": dq_foreign_keys,
     "dq_summary": dq_summary,
+    "job_backfill_consumption": job_backfill_consumption,
+    "job_backfill_weather": job_backfill_weather,
+    "job_increment_consumption": job_increment_consumption,
+    "job_increment_weather": job_increment_weather,
+    "job_holidays": job_holidays,
+    "job_dimensions": job_dimensions,
+    "holidays_in_order": holidays_in_order,
+    "job_rebuild": job_rebuild,
+    "job_rolling_run": job_rolling_run,
+    "job_merge_run": job_merge_run,
 }
