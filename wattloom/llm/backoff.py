@@ -15,7 +15,6 @@ Counts leave out the scored document itself, or every n-gram would have been see
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +27,8 @@ from wattloom.llm.common import ASCII_LOWER, stored, utf8_slices, word_sequence
 BACKOFF = 0.4
 # A word that no other document has counts as half an occurrence.
 UNSEEN = 0.5
-# Text of one group, which one task holds as hashes.
-GROUP_BYTES = 16 << 20
+# Text of one group, which one task holds, and holds as hashes.
+GROUP_BYTES = 12 << 20
 
 
 def word_hashes(text: bytes) -> np.ndarray:
@@ -49,51 +48,52 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return value ^ (value >> np.uint64(31))
 
 
-class GroupGrams:
-    """N-grams of a group's documents, numbered in order of hash."""
+def counted_grams(hashed: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group's distinct n-grams of one size in order of hash, and their counts."""
+    grams = [gram_hashes(words, size) for words in hashed]
+    return np.unique(np.concatenate(grams) if grams else np.empty(0, np.uint64), return_counts=True)
 
-    def __init__(self, texts: list[bytes], order: int):
-        hashed = [word_hashes(text) for text in texts]
-        self.n_words = np.array([len(h) for h in hashed], np.int64)
-        self.hashes, self.times, self.number, self.own, self.doc = [], [], [], [], []
-        for size in range(1, order + 1):
-            grams = [gram_hashes(h, size) for h in hashed]
-            doc = np.repeat(np.arange(len(texts)), [len(g) for g in grams])
-            flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-            hashes, number, times = np.unique(flat, return_inverse=True, return_counts=True)
-            _, pair, own = np.unique(doc * max(1, len(hashes)) + number, return_inverse=True, return_counts=True)
-            self.hashes.append(hashes)
-            self.times.append(times)
-            self.number.append(number)
-            self.own.append(own[pair])
-            self.doc.append(doc)
-
-    def score(self, totals: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Per document the sum of log scores short of the ``log N`` terms, and how many
-        of those there are. ``totals`` are corpus counts, in order of hash, by size."""
-        size = len(totals)
-        others = [total[number] - own for total, number, own in zip(totals, self.number, self.own)]
-        starts = np.cumsum(self.n_words) - self.n_words
-        docs = len(self.n_words)
-        value, settled = np.zeros(self.n_words.sum()), np.zeros(self.n_words.sum(), bool)
-        penalty = np.zeros(len(value))
-        for k in range(size, 1, -1):
-            # the k-gram that ends at a word, and its history, which ends at the word before
-            per_doc = np.maximum(self.n_words - k + 1, 0)
-            within = np.arange(per_doc.sum()) - np.repeat(np.cumsum(per_doc) - per_doc, per_doc)
-            word = np.repeat(starts, per_doc) + within + k - 1
-            per_shorter = np.maximum(self.n_words - k + 2, 0)
-            history = np.repeat(np.cumsum(per_shorter) - per_shorter, per_doc) + within
-            seen, before = others[k - 1], others[k - 2][history]
-            now = (seen > 0) & ~settled[word]
-            value[word[now]] = np.log(seen[now]) - np.log(before[now])
-            settled[word[now]] = True
-            penalty[word[~settled[word]]] += math.log(BACKOFF)
-        rest = ~settled
-        value[rest] = np.log(np.maximum(others[0][rest], UNSEEN))
-        value += penalty
-        owner = self.doc[0]
-        return np.bincount(owner, weights=value, minlength=docs), np.bincount(owner[rest], minlength=docs)
+
+def other_counts(hashed: list[np.ndarray], size: int, totals: np.ndarray) -> np.ndarray:
+    """For every n-gram of every text in order, its count in all other documents.
+
+    ``totals`` are the corpus counts of ``counted_grams``' n-grams, in that order.
+    """
+    grams = [gram_hashes(words, size) for words in hashed]
+    flat = np.concatenate(grams) if grams else np.empty(0, np.uint64)
+    number = np.unique(flat, return_inverse=True)[1].astype(np.int32)
+    del flat
+    others = totals[number]
+    at = 0
+    for part in grams:
+        # what the text itself contributes
+        own = number[at : at + len(part)]
+        _, kind, times = np.unique(own, return_inverse=True, return_counts=True)
+        others[at : at + len(part)] -= times[kind]
+        at += len(part)
+    return others
+
+
+def score_texts(n_words: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Per text the sum of log scores short of the ``log N`` terms, and how many of
+    those there are. ``others`` are ``other_counts`` by size."""
+    starts = np.cumsum(n_words) - n_words
+    value, settled = np.zeros(n_words.sum()), np.zeros(n_words.sum(), bool)
+    for k in range(len(others), 1, -1):
+        # the k-gram that ends at a word, and its history, which ends at the word before
+        per_text = np.maximum(n_words - k + 1, 0)
+        within = np.arange(per_text.sum()) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+        word = np.repeat(starts, per_text) + within + k - 1
+        per_shorter = np.maximum(n_words - k + 2, 0)
+        history = np.repeat(np.cumsum(per_shorter) - per_shorter, per_text) + within
+        now = np.flatnonzero((others[k - 1] > 0) & ~settled[word])
+        value[word[now]] += np.log(others[k - 1][now]) - np.log(others[k - 2][history[now]])
+        settled[word[now]] = True
+        value[word[~settled[word]]] += math.log(BACKOFF)
+    rest = ~settled
+    value[rest] += np.log(np.maximum(others[0][rest], UNSEEN))
+    owner = np.repeat(np.arange(len(n_words)), n_words)
+    return np.bincount(owner, weights=value, minlength=len(n_words)), np.bincount(owner[rest], minlength=len(n_words))
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
@@ -113,22 +113,21 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     deal = F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.substring("text", 1, 64)), F.lit(groups)).cast("int")
     dealt = picked.withColumn("grp", deal).repartition(groups, "grp")
 
-    def grams_of(table: pa.Table) -> tuple[pa.Table, GroupGrams]:
-        # both passes must number the n-grams alike; rows of equal text are alike too
-        rows = table.append_column("row", pa.array(np.arange(table.num_rows)))
-        return rows, GroupGrams(list(utf8_slices(rows.column("text"))), order)
+    def hashes_of(table: pa.Table) -> list[np.ndarray]:
+        return [word_hashes(text) for text in utf8_slices(table.column("text"))]
 
     def explode(table: pa.Table) -> pa.Table:
-        _, grams = grams_of(table)
+        hashed = hashes_of(table)
         number = table.column("grp")[0].as_py()
+        # equal ranges of the hash, one for each partition of the count table
+        cuts = np.array([(i << 64) // groups for i in range(1, groups)], np.uint64)
         rows = []
-        for k, (hashes, times) in enumerate(zip(grams.hashes, grams.times), 1):
-            # equal ranges of the hash, one for each partition of the count table
-            cuts = [(i << 64) // groups for i in range(1, groups)]
-            edges = [0, *np.searchsorted(hashes, np.array(cuts, np.uint64)).tolist(), len(hashes)]
+        for size in range(1, order + 1):
+            hashes, times = counted_grams(hashed, size)
+            edges = [0, *np.searchsorted(hashes, cuts).tolist(), len(hashes)]
             for part, (a, b) in enumerate(zip(edges, edges[1:])):
                 if a < b:
-                    rows.append((k, part, number, hashes[a:b].view(np.int64), times[a:b].astype(np.int32)))
+                    rows.append((size, part, number, hashes[a:b].view(np.int64), times[a:b].astype(np.int32)))
         return _table(rows, TABLE)
 
     def add_up(table: pa.Table) -> pa.Table:
@@ -143,15 +142,17 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
         return _table(list(rows), TOTALS)
 
     def sum_up(table: pa.Table, totals: pa.Table) -> pa.Table:
-        rows, grams = grams_of(table)
-        counted = []
+        hashed = hashes_of(table)
         ordered = totals.sort_by([("size", "ascending"), ("part", "ascending")])
-        sizes = ordered.column("size").to_numpy()
-        for k in range(1, order + 1):
-            part = ordered.filter(pa.array(sizes == k)).column("totals").combine_chunks()
-            counted.append(part.flatten().to_numpy() if len(part) else np.empty(0, np.int64))
-        value, terms = grams.score(counted)
-        return pa.table({"doc_id": rows.column("doc_id"), "n_words": pa.array(grams.n_words), "value": pa.array(value), "terms": pa.array(terms.astype(np.int64))})
+        sizes, others = ordered.column("size").to_numpy(), []
+        for size in range(1, order + 1):
+            part = ordered.filter(pa.array(sizes == size)).column("totals").combine_chunks()
+            counts = part.flatten().to_numpy() if len(part) else np.empty(0, np.int64)
+            others.append(other_counts(hashed, size, counts))
+        n_words = np.array([len(words) for words in hashed], np.int64)
+        value, terms = score_texts(n_words, others)
+        columns = [table.column("doc_id"), pa.array(n_words), pa.array(value), pa.array(terms.astype(np.int64))]
+        return pa.table(columns, names=["doc_id", "n_words", "value", "terms"])
 
     kind = dict(picked.dtypes)["doc_id"]
     exploded = dealt.groupBy("grp").applyInArrow(explode, "size int, part int, grp int, hashes array<long>, times array<int>")
