@@ -10,7 +10,7 @@ from wattloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "wattloom-tests",
         master="local[4]",
@@ -19,6 +19,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('scratch')}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -112,7 +112,7 @@ def test_increment_keeps_the_first_hours_of_the_newest_day(spark, lake, folder):
 
 def test_increment_needs_a_backfill(spark, folder):
     land_consumption(spark, f"{folder}/daily", "2024-01-03", "2024-01-04")
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    with pytest.raises(ValueError, match="run the backfill"):
         jobs.increment_consumption(spark, jobs.Lake(f"{folder}/none"), f"{folder}/daily", as_of="2024-01-04")
 
 
@@ -128,7 +128,7 @@ def test_weather_increment(spark, lake, folder):
 
 
 def test_rebuild(spark, lake):
-    jobs.rebuild(spark, lake, as_of="2024-01-03")
+    jobs.rebuild(spark, lake, now="2024-01-03")
     silver = {(r["date_heure"], r["region_code"]): r for r in jobs.read_silver(spark, lake).collect()}
     assert len(silver) == 14 * 24 * 2
     five = ts("2024-01-01 05:00")
@@ -154,29 +154,29 @@ def test_rebuild(spark, lake):
 
 
 def test_rolling_run_equals_a_rebuild_and_keeps_earlier_rows(spark, lake, folder):
-    jobs.rebuild(spark, lake, as_of="2024-01-03")
+    jobs.rebuild(spark, lake, now="2024-01-03")
     # two new days arrive, and the last week is delivered again with other values
     land_consumption(spark, f"{folder}/daily", "2024-01-01", "2024-01-05", version=3)
     jobs.increment_consumption(spark, lake, f"{folder}/daily", as_of="2024-01-05")
-    jobs.rolling_run(spark, lake, as_of=day("2024-01-05"), flat_path=f"{folder}/flat-silver")
+    jobs.rolling_run(spark, lake, as_of=day("2024-01-05"), now="2024-01-05", flat_path=f"{folder}/flat-silver")
     # from 29 December on: the last week up to the day before
     assert spark.read.parquet(f"{folder}/flat-silver").count() == 7 * 24 * 2
     rolled = rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))
     assert len(rolled[0]) == 16 * 24 * 2
-    jobs.rolling_run(spark, lake, as_of=day("2024-01-05"), target="2023-12-30")
+    jobs.rolling_run(spark, lake, as_of=day("2024-01-05"), now="2024-01-05", target="2023-12-30")
     assert (rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))) == rolled
-    jobs.rebuild(spark, lake, as_of="2024-01-05", flat_path=f"{folder}/flat-silver")
+    jobs.rebuild(spark, lake, now="2024-01-05", flat_path=f"{folder}/flat-silver")
     assert rows(spark.read.parquet(f"{folder}/flat-silver")) == rolled[0]
     assert (rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))) == rolled
 
 
 def test_failed_gate_leaves_gold_alone(spark, lake, folder):
-    jobs.rebuild(spark, lake, as_of="2024-01-03")
+    jobs.rebuild(spark, lake, now="2024-01-03")
     before = rows(jobs.read_fact(spark, lake))
     land_consumption(spark, f"{folder}/daily", "2024-01-03 12:00", "2024-01-05")
     jobs.increment_consumption(spark, lake, f"{folder}/daily", as_of="2024-01-05")
     with pytest.raises(DataQualityError, match=r"gaps: 2 row\(s\)$"):
-        jobs.rolling_run(spark, lake, as_of=day("2024-01-05"))
+        jobs.rolling_run(spark, lake, as_of=day("2024-01-05"), now="2024-01-05")
     assert rows(jobs.read_fact(spark, lake)) == before
     with pytest.raises(DataQualityError, match="freshness"):
         jobs.rebuild(spark, lake)
@@ -211,3 +211,67 @@ def test_a_holiday_listed_twice_repeats_no_hour(spark, lake):
     once = build_silver(consumption, weather, holidays)
     assert rows(build_silver(consumption, weather, holidays.unionByName(holidays))) == rows(once)
     assert rows(build_silver(consumption, weather).agg({"is_holiday": "max"})) == [(0,)]
+
+
+def test_a_run_needs_the_calendar_of_its_years(spark, lake, folder):
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    before = rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))
+    jobs.build_holidays(spark, lake, 2024, 2030)
+    with pytest.raises(ValueError, match=r"lacks the years \[2023\]"):
+        jobs.rebuild(spark, lake, now="2024-01-03")
+    bare = jobs.Lake(f"{folder}/bare")
+    jobs.backfill_consumption(spark, bare, f"{folder}/yearly")
+    jobs.backfill_weather(spark, bare, f"{folder}/weather/openmeteo-*.json")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.rebuild(spark, bare, now="2024-01-03")
+    jobs.rebuild(spark, bare, now="2024-01-03", holidays=False)
+    assert rows(jobs.read_silver(spark, bare).agg({"is_holiday": "max"})) == [(0,)]
+    with pytest.raises(ValueError, match="lacks"):
+        jobs.rolling_run(spark, lake, as_of=day("2024-01-03"), now="2024-01-03")
+    assert (rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))) == before
+
+
+def test_an_empty_bronze_replaces_nothing(spark, lake, folder):
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    before = rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))
+    spark.createDataFrame([], RAW).write.parquet(f"{folder}/empty")
+    jobs.backfill_consumption(spark, lake, f"{folder}/empty")
+    with pytest.raises(DataQualityError, match="empty"):
+        jobs.rebuild(spark, lake, now="2024-01-03")
+    assert (rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))) == before
+
+
+def test_a_merging_full_run_equals_a_rebuild_and_deletes_nothing(spark, lake, folder):
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    before = rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))
+    jobs.merge_run(spark, lake, now="2024-01-03")
+    assert (rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))) == before
+    land_consumption(spark, f"{folder}/fewer", "2024-01-01", "2024-01-03")
+    jobs.backfill_consumption(spark, lake, f"{folder}/fewer")
+    jobs.merge_run(spark, lake, now="2024-01-03")
+    assert jobs.read_silver(spark, lake).count() == len(before[0])
+
+
+def test_freshness_goes_by_the_clock(spark, lake):
+    # the newest hour is 2024-01-02 23:00
+    jobs.rebuild(spark, lake, now="2024-01-04 23:00:00")
+    with pytest.raises(DataQualityError, match="freshness"):
+        jobs.rebuild(spark, lake, now="2024-01-05 00:00:00")
+    with pytest.raises(DataQualityError, match="freshness"):
+        jobs.rolling_run(spark, lake, as_of=day("2024-01-03"))
+
+
+def test_an_unknown_region_fails(spark, lake, folder):
+    land_weather(f"{folder}/weather", "2024-01-02", "2024-01-05", "daily")
+    os.rename(f"{folder}/weather/openmeteo-11-daily.json", f"{folder}/weather/openmeteo-93-daily.json")
+    with pytest.raises(ValueError, match=r"regions \[93\]"):
+        jobs.increment_weather(spark, lake, f"{folder}/weather/openmeteo-*.json", as_of="2024-01-04")
+
+
+def test_jobs_leave_the_callers_settings_and_scratch_alone(spark, lake):
+    before = dict(spark.conf.getAll)
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    jobs.rolling_run(spark, lake, as_of=day("2024-01-03"), now="2024-01-03")
+    assert dict(spark.conf.getAll) == before
+    scratch = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    assert [f for f in os.listdir(scratch) if f.startswith("staged-")] == []

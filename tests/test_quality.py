@@ -51,17 +51,18 @@ def test_summary_from_one_scan_equals_the_checks(spark, value):
     as_of = "2024-01-04 00:00:00"
     by_check = quality.violation_counts(quality.series_checks(df, ["region_code"], as_of=as_of, value=value))
     single = quality.series_summary(df, ["region_code"], as_of=as_of, value=value)
-    assert rows(single) == rows(by_check)
-    expected = {"duplicates": 3, "gaps": 2, "freshness": 1, "outliers": 2}
+    assert rows(single.filter("check <> 'empty'")) == rows(by_check)
+    expected = {"empty": 0, "duplicates": 3, "gaps": 2, "freshness": 1, "outliers": 2}
     assert dict(rows(single)) == {k: v for k, v in expected.items() if value or k != "outliers"}
     plan = single._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
 
 
-def test_summary_of_nothing_is_clean(spark):
+def test_nothing_does_not_pass(spark):
     summary = quality.series_summary(table(spark, (11, 0, 1.0)).limit(0), ["region_code"])
-    assert rows(summary) == [("duplicates", 0), ("freshness", 0), ("gaps", 0)]
-    quality.enforce(summary)
+    assert rows(summary) == [("duplicates", 0), ("empty", 1), ("freshness", 0), ("gaps", 0)]
+    with pytest.raises(quality.DataQualityError, match="empty"):
+        quality.enforce(summary)
 
 
 def test_enforce_lists_every_failed_check(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.timeparts import hours_between, instant
 from wattloom.operators.series import lag_by_join, per_instant, series_gaps, time_bucket, with_trailing_features
-from wattloom.plans.silver import clean_consumption, clean_weather
+from wattloom.plans.silver import demand_by_hour, weather_by_instant
 
 START = ts("2024-01-01 00:00")
 
@@ -28,10 +28,10 @@ def test_time_bucket_keeps_the_timestamp_type(spark):
     df = series(spark, [(11, 0.25, 1.0), (11, 0.75, 3.0), (11, 1.0, 10.0)])
     for cast in ("timestamp_ntz", "timestamp"):
         typed = df.withColumn("date_heure", F.col("date_heure").cast(cast))
-        bucketed = time_bucket(typed, ["region_code"], "consommation")
+        bucketed = time_bucket(typed, ["region_code"], F.avg("consommation").alias("consommation"))
         assert bucketed.schema["date_heure"].dataType == typed.schema["date_heure"].dataType
         assert sorted(r["consommation"] for r in bucketed.collect()) == [2.0, 10.0]
-    largest = time_bucket(df, [], "consommation", granularity="day", agg=F.max, alias="top")
+    largest = time_bucket(df, [], F.max("consommation").alias("top"), unit="day")
     assert rows(largest) == [(START, 10.0)]
 
 
@@ -39,7 +39,7 @@ def test_hourly_mean_is_a_mean_of_instant_means(spark):
     raw = [("11", ts("2024-01-01 00:00"), 0.0), ("11", ts("2024-01-01 00:00"), 2.0), ("11", ts("2024-01-01 00:30"), 9.0),
            ("44", ts("2024-01-01 00:00"), None), ("44", ts("2024-01-01 01:00"), None), ("44", ts("2024-01-01 01:00"), 4.0)]
     df = spark.createDataFrame(raw, "code_insee_region string, date_heure timestamp_ntz, consommation double")
-    assert rows(clean_consumption(df)) == [
+    assert rows(demand_by_hour(df)) == [
         (11, ts("2024-01-01 00:00"), 5.0),
         (44, ts("2024-01-01 00:00"), None),
         (44, ts("2024-01-01 01:00"), 4.0),
@@ -49,7 +49,7 @@ def test_hourly_mean_is_a_mean_of_instant_means(spark):
 def test_weather_is_deduplicated_without_truncation(spark):
     raw = [(11, ts("2024-01-01 00:00"), 1.0, None), (11, ts("2024-01-01 00:00"), 3.0, None), (11, ts("2024-01-01 00:30"), 7.0, 1.0)]
     df = spark.createDataFrame(raw, "region_code int, time timestamp_ntz, temperature_2m double, precipitation double")
-    assert rows(clean_weather(df)) == [
+    assert rows(weather_by_instant(df)) == [
         (11, ts("2024-01-01 00:00"), 2.0, None),
         (11, ts("2024-01-01 00:30"), 7.0, 1.0),
     ]
@@ -137,7 +137,7 @@ def test_gaps_across_years(spark):
 
 def test_per_instant_takes_any_aggregate(spark):
     df = series(spark, [(11, 0, 1.0), (11, 0, 5.0)])
-    assert rows(per_instant(df, ["region_code"], ["consommation"], agg=F.max), "consommation") == [(5.0,)]
+    assert rows(per_instant(df, ["region_code"], [F.max("consommation").alias("consommation")]), "consommation") == [(5.0,)]
 
 
 @pytest.mark.parametrize("value", ["2024-01-01", START.date(), START])

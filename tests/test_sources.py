@@ -16,6 +16,7 @@ from wattloom.sources.tables import (
     available_years,
     high_watermark,
     high_watermarks,
+    partition_years,
     read_table,
     read_table_or_empty,
     since,
@@ -146,9 +147,17 @@ def test_bounds_on_either_timestamp_type(spark, folder, kind):
 
 
 def test_watermark_is_the_newest_partition(spark, folder):
-    table = _bronze(spark, folder, ["2023-12-31", "2024-01-09", "2024-02-01"])
-    assert high_watermark(table) == day("2024-02-01")
-    assert "ReadSchema: struct<>" in plan_of(high_watermarks(table))
+    _bronze(spark, folder, ["2023-12-31", "2024-01-09", "2024-02-01", "2024-02-10"])
+    assert high_watermark(spark, folder) == day("2024-02-10")
+    # folder names alone count: files are not opened, and a folder without any is no day
+    newest = f"{folder}/year=2024/month=2"
+    for file in os.listdir(f"{newest}/day=10"):
+        with open(f"{newest}/day=10/{file}", "w") as broken:
+            broken.write("not parquet")
+    os.makedirs(f"{newest}/day=11")
+    os.makedirs(f"{folder}/year=2025/month=1/day=1")
+    assert high_watermark(spark, folder) == day("2024-02-10")
+    assert partition_years(spark, folder) == [2023, 2024, 2025]
 
 
 def test_watermark_by_region(spark, folder):
@@ -157,13 +166,15 @@ def test_watermark_by_region(spark, folder):
         "region_code int, time timestamp_ntz, temperature_2m double, precipitation double",
     )
     overwrite_table(bronze_weather(weather), BRONZE_WEATHER, folder)
-    marks = high_watermarks(read_table(spark, BRONZE_WEATHER, folder), ["region_code"])
+    marks = high_watermarks(spark, folder, BRONZE_WEATHER)
     assert rows(marks) == [(11, day("2024-03-01")), (44, day("2023-12-31"))]
 
 
 def test_watermark_of_an_empty_table_fails(spark, folder):
     with pytest.raises(ValueError, match="backfill"):
-        high_watermark(read_table_or_empty(spark, BRONZE_CONSUMPTION, f"{folder}/none"))
+        high_watermark(spark, f"{folder}/none")
+    with pytest.raises(ValueError, match="backfill"):
+        high_watermarks(spark, f"{folder}/none", BRONZE_WEATHER)
     assert read_table_or_empty(spark, HOLIDAYS, f"{folder}/none").count() == 0
 
 
@@ -193,25 +204,16 @@ def test_increment_by_series_uses_each_watermark(spark):
     marks = spark.createDataFrame([(11, day("2024-01-05")), (44, day("2024-01-01"))], "region_code int, watermark date")
     picked = slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-09")
     assert rows(picked) == [(11, ts("2024-01-05 00:00")), (44, ts("2024-01-01 00:00"))]
-    with pytest.raises(Exception, match="no partitions found for series 44"):
-        slices.increment_slice_by_series(landed, marks.filter("region_code = 11"), ["region_code"], "time", "2024-01-09").collect()
-
+    assert rows(slices.unknown_series(landed, marks.filter("region_code = 11"), ["region_code"])) == [(44,)]
+    assert slices.unknown_series(landed, marks, ["region_code"]).count() == 0
 
-def test_many_watermarks_are_joined_instead_of_broadcast(spark, monkeypatch):
-    landed = spark.createDataFrame([(11, ts("2024-01-05 00:00")), (44, ts("2024-01-01 00:00"))], "region_code int, time timestamp_ntz")
-    marks = spark.createDataFrame([(11, day("2024-01-05")), (44, day("2024-01-02"))], "region_code int, watermark date")
-    few = slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-09")
-    monkeypatch.setattr(slices, "LISTED_SERIES", 1)
-    many = slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-09")
-    assert "BroadcastHashJoin" in plan_of(few) and "SortMergeJoin" in plan_of(many)
-    assert rows(few) == rows(many) == [(11, ts("2024-01-05 00:00"))]
 
-
-def test_no_watermarks_fail(spark):
-    landed = spark.createDataFrame([(11, ts("2024-01-05 00:00"))], "region_code int, time timestamp_ntz")
-    marks = spark.createDataFrame([], "region_code int, watermark date")
-    with pytest.raises(ValueError, match="backfill"):
-        slices.increment_slice_by_series(landed, marks, ["region_code"], "time", "2024-01-09")
+def test_increment_by_series_reads_nothing_older_than_the_oldest_watermark(spark, folder):
+    spark.createDataFrame([(11, ts("2024-01-05 00:00"))], "region_code int, time timestamp_ntz").write.parquet(f"{folder}/l")
+    marks = spark.createDataFrame([(11, day("2024-01-05"))], "region_code int, watermark date")
+    picked = slices.increment_slice_by_series(spark.read.parquet(f"{folder}/l"), marks, ["region_code"], "time", "2024-01-09")
+    assert "GreaterThanOrEqual(time" in plan_of(picked) or "time#" in plan_of(picked).split("DataFilters:")[1].split("]")[0]
+    assert picked.count() == 1
 
 
 @pytest.mark.parametrize("text", ["2024-1-5", "2024", "2024-01-5 ", "2024-13-01", "x"])

@@ -1,12 +1,14 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import plan_of, rows, ts
 from pyspark.sql import functions as F
 
+from wattloom import session
 from wattloom.operators import tables
 from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, DIM_REGION, SILVER, SILVER_UPDATES
-from wattloom.session import pin_session
+from wattloom.session import PINNED, job_session
 from wattloom.sources.tables import read_table
 
 COLUMNS = ["date_heure", "region_code", "consommation", "temperature_2m", "precipitation", "is_holiday", "year"]
@@ -46,7 +48,7 @@ def files_under(path):
 def test_upsert_overwrites_with_null_inserts_and_keeps_the_rest(spark, target):
     untouched = [f for f in files_under(target) if "region_code=44" in f or "year=2022" in f]
     source = silver(spark, ("2023-12-31 23:00", 11, None), ("2024-01-01 00:00", 11, 9.0))
-    assert tables.upsert_table(source, SILVER, target, SILVER_UPDATES).count() == 2
+    assert rows(tables.upsert_table(source, SILVER, target, SILVER_UPDATES)) == [(11, 2023), (11, 2024)]
     assert stored(spark, target) == [
         (ts("2022-05-01 00:00"), 11, 1.0),
         (ts("2023-12-31 22:00"), 11, 2.0),
@@ -92,29 +94,79 @@ def test_upsert_of_a_repeated_or_null_key_fails_and_changes_nothing(spark, targe
     assert files_under(target) == before
 
 
-def test_small_delivery_leaves_the_target_unshuffled(spark, target, folder):
-    tables.overwrite_table(silver(spark, ("2023-12-31 23:00", 11, 5.0), ("2023-12-31 23:30", 11, 6.0)), SILVER, f"{folder}/d")
-    table, delivery = read_table(spark, SILVER, target), read_table(spark, SILVER, f"{folder}/d")
-    looked_up = tables.merged(table, delivery, SILVER.key, SILVER_UPDATES, small_source=True)
-    assert rows(looked_up) == rows(tables.merged(table, delivery, SILVER.key, SILVER_UPDATES))
-    plan = plan_of(looked_up)
-    assert "LeftOuter, BuildRight" in plan and "LeftSemi, BuildRight" in plan and "FullOuter" not in plan
-
-
-@pytest.mark.parametrize("small", [0, 10])
-def test_upsert_forms_agree(spark, target, small, monkeypatch):
-    monkeypatch.setattr(tables, "SMALL_SOURCE_ROWS", small)
-    source = silver(spark, ("2023-12-31 23:00", 11, None), ("2024-01-01 00:00", 11, 9.0))
-    tables.upsert_table(source, SILVER, target, SILVER_UPDATES)
-    assert stored(spark, target, "consommation") == [(1.0,), (2.0,), (4.0,), (9.0,), (None,)]
+def test_daily_upserts_leave_no_more_files_than_one_build(spark, folder):
+    # splits as small as this make every partition span several, as large ones do
+    own = job_session(spark, {**PINNED, "spark.sql.files.maxPartitionBytes": "64k"})
+    hours = own.range(24 * 120).selectExpr("timestamp_ntz'2023-11-01 00:00:00' + make_dt_interval(0, cast(id as int)) date_heure", "id")
+    codes = own.createDataFrame([(11,), (44,), (93,)], "region_code int")
+    data = hours.join(codes, F.col("id") >= 0).selectExpr(
+        "date_heure", "region_code", "cast(id as double) consommation", "1.5D temperature_2m", "0.0D precipitation", "0 is_holiday", "year(date_heure) year"
+    )
+    tables.overwrite_table(data, SILVER, f"{folder}/built")
+    tables.overwrite_table(data.filter("date_heure < '2024-02-10'"), SILVER, f"{folder}/rolled")
+    for last in range(10, 22):
+        window = data.filter(f"date_heure < date'2024-02-{last:02d}' + interval 1 day and date_heure >= date'2024-02-{last:02d}' - interval 6 day")
+        tables.upsert_table(window, SILVER, f"{folder}/rolled", SILVER_UPDATES)
+    tables.upsert_table(data.filter("date_heure >= '2024-02-20'"), SILVER, f"{folder}/rolled", SILVER_UPDATES)
+    assert stored(spark, f"{folder}/rolled") == stored(spark, f"{folder}/built")
+    assert len(files_under(f"{folder}/rolled")) <= len(files_under(f"{folder}/built"))
 
 
-@pytest.mark.parametrize("small_source", [False, True])
-def test_repeated_source_keys_fail_in_either_form(spark, small_source):
+def test_repeated_source_keys_fail(spark):
     target = silver(spark, ("2023-12-31 23:00", 11, 1.0))
     repeated = silver(spark, ("2023-12-31 23:00", 11, 8.0), ("2023-12-31 23:00", 11, 9.0))
     with pytest.raises(Exception, match="more than once"):
-        tables.merged(target, repeated, SILVER.key, SILVER_UPDATES, small_source).collect()
+        tables.merged(target, repeated, SILVER.key, SILVER_UPDATES).collect()
+
+
+def scratch_files(spark):
+    return files_under(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+
+
+def test_scratch_is_empty_and_settings_are_unchanged_after_a_write(spark, target):
+    before = dict(spark.conf.getAll), len(scratch_files(spark))
+    source = silver(spark, ("2023-12-31 23:00", 11, 8.0))
+    tables.upsert_table(source, SILVER, target, SILVER_UPDATES)
+    tables.replace_partitions(source, SILVER, target)
+    with pytest.raises(Exception, match="more than once"):
+        tables.upsert_table(source.union(source), SILVER, target, SILVER_UPDATES)
+    assert (dict(spark.conf.getAll), len(scratch_files(spark))) == before
+
+
+def test_two_writes_at_once(spark, folder):
+    def run(number):
+        own = job_session(spark)
+        rows_of = silver(own, *[(f"2023-01-{d:02d} 00:00", 11, float(number)) for d in range(1, 20)])
+        tables.overwrite_table(rows_of, SILVER, f"{folder}/t{number}")
+
+    before = dict(spark.conf.getAll)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(run, range(4)))
+    assert dict(spark.conf.getAll) == before
+    assert [len(stored(spark, f"{folder}/t{n}")) for n in range(4)] == [19] * 4
+
+
+def test_scratch_must_be_named(spark, monkeypatch):
+    monkeypatch.setattr(session, "scratch_base", lambda spark: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_path(spark, "x")
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, target):
+    before = stored(spark, target)
+    bad = silver(spark, ("2023-12-31 23:00", 11, 8.0)).withColumn("consommation", F.lit("x"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.overwrite_table(bad, SILVER, target)
+    assert stored(spark, target) == before
+    assert [f for f in os.listdir(os.path.dirname(target)) if f != os.path.basename(target)] == []
+
+
+def test_a_replacement_reads_its_input_once_and_may_read_its_own_table(spark, target):
+    doubled = read_table(spark, SILVER, target).withColumn("consommation", F.col("consommation") * 2)
+    touched = tables.replace_partitions(doubled, SILVER, target)
+    assert rows(touched) == [(11, 2022), (11, 2023), (44, 2023)]
+    assert stored(spark, target, "consommation") == [(2.0,), (4.0,), (6.0,), (8.0,)]
+    assert "LocalTableScan" in plan_of(touched) or "LogicalRDD" in plan_of(touched) or "Scan ExistingRDD" in plan_of(touched)
 
 
 def test_merged_updates_repeats_in_the_target_and_leaves_other_columns(spark):
@@ -138,16 +190,27 @@ def test_replacement_by_key_keeps_repeats_of_the_source(spark):
     assert rows(tables.keys_replaced(once, source, SILVER.key)) == rows(once)
 
 
-def test_many_touched_partitions_are_joined_instead_of_listed(spark, target, monkeypatch):
+@pytest.mark.parametrize("many", [1, 6_000])
+def test_touched_partitions_prune_in_one_way(spark, target, many):
     table = read_table(spark, SILVER, target)
-    touched = table.filter("year = 2023").select("region_code", "year").distinct()
-    listed = tables.in_touched(table, touched, SILVER.partition_by)
-    assert "PartitionFilters: [concat_ws" in plan_of(listed)
-    monkeypatch.setattr(tables, "LISTED_PARTITIONS", 1)
-    joined = tables.in_touched(table, touched, SILVER.partition_by)
-    assert "LeftSemi" in plan_of(joined)
-    assert rows(joined, *COLUMNS) == rows(listed, *COLUMNS)
-    assert listed.count() == 3
+    touched = spark.range(many).selectExpr("cast(if(id = 0, 11, 1000 + id) as int) region_code", "2023 year")
+    near = tables.in_touched(table, touched, SILVER.partition_by)
+    filters = plan_of(near).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert filters.count("region_code") == 3 and "year" in filters
+    assert "LeftSemi" in plan_of(near)
+    assert near.count() == 2
+    assert tables.in_touched(table, touched.limit(0), SILVER.partition_by) is None
+
+
+def test_touched_days_prune_by_date(spark, folder):
+    schema = "time timestamp_ntz, temperature_2m double, precipitation double, region_code int, year int, month int, day int"
+    data = [(ts(f"2024-{m:02d}-01 00:00"), 1.0, 0.0, 11, 2024, m, 1) for m in range(1, 13)]
+    tables.overwrite_table(spark.createDataFrame(data, schema), BRONZE_WEATHER, folder)
+    table = read_table(spark, BRONZE_WEATHER, folder)
+    touched = spark.createDataFrame([(11, 2024, 6, 1), (11, 2024, 7, 1)], "region_code int, year int, month int, day int")
+    near = tables.in_touched(table, touched, BRONZE_WEATHER.partition_by)
+    assert "make_date(year" in plan_of(near).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert near.count() == 2
 
 
 def test_rows_without_a_partition_value_survive_an_increment(spark, folder):
@@ -191,18 +254,17 @@ def test_upsert_needs_partitions(spark, folder):
         tables.upsert_table(region, DIM_REGION, folder, ["region_nom"])
 
 
-def test_results_do_not_depend_on_the_session_it_was_given(spark):
+def test_jobs_work_in_a_session_of_their_own(spark):
     # another zone and lenient casts, as a session built elsewhere may have
-    before = {key: spark.conf.get(key) for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")}
-    try:
-        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        spark.conf.set("spark.sql.ansi.enabled", "false")
-        pin_session(spark)
-        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
-        assert spark.conf.get("spark.sql.ansi.enabled") == "true"
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    other.conf.set("spark.sql.ansi.enabled", "false")
+    other.conf.set("spark.sql.shuffle.partitions", "3")
+    own = job_session(other)
+    assert own.conf.get("spark.sql.session.timeZone") == "UTC" and own.conf.get("spark.sql.ansi.enabled") == "true"
+    assert own.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert other.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    assert job_session(other) is own and job_session(own) is own
 
 
 def test_append_by_name(spark, folder):
