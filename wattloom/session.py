@@ -50,8 +50,7 @@ def job_session(spark: SparkSession, settings: dict[str, str] | None = None) ->
         _sessions[spark] = spark.newSession()
     own = _sessions[spark]
     for key, value in {**spark.conf.getAll, **settings}.items():
-        changeable = key == "spark.checkpoint.dir" or (key.startswith("spark.sql.") and own.conf.isModifiable(key))
-        if changeable and own.conf.get(key, None) != value:
+        if key.startswith("spark.sql.") and own.conf.isModifiable(key) and own.conf.get(key, None) != value:
             own.conf.set(key, value)
     return own
 
@@ -62,10 +61,16 @@ def hadoop_path(spark: SparkSession, path: str):
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
+def scratch_base(spark: SparkSession) -> str | None:
+    """The folder that all executors share: ``spark.checkpoint.dir``, or where that is
+    unset what ``SparkContext.setCheckpointDir`` was given."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder for a staged table under ``spark.checkpoint.dir``, which every
-    executor can reach; removed when the application ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder for a staged table in the shared folder, removed when the
+    application ends."""
+    base = scratch_base(spark)
     if not base:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -13,7 +13,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.session import PINNED, job_session
+from wattloom.session import PINNED, job_session, scratch_base
 
 # The twelve region codes, stated here and not taken from the library under test.
 CODES = [11, 24, 27, 28, 32, 44, 52, 53, 75, 76, 84, 93]
@@ -23,10 +23,10 @@ WARM = ("view", "signup", "purchase")
 
 def session(spark: SparkSession) -> SparkSession:
     """Where the caller's session names no scratch folder, a local one gets its own."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
+    if not scratch_base(spark):
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="wattloom-checks-"))
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="wattloom-checks-"))
     return job_session(spark, PINNED)
 
 
