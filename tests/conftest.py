@@ -19,6 +19,8 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
+            # plans are read whole
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('scratch')}",
         },
     )
