@@ -46,7 +46,7 @@ SLICE = 1 << 16
 # Bytes of distinct block text suffix-sorted at a time; a key is never divided.
 SORT_BYTES = 1 << 21
 # Text of one group, which one task holds.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 NO_ID = -(1 << 63)
 
 MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -123,10 +123,14 @@ def parse(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """Slices of ``data`` as a binary array."""
-    offsets = np.concatenate(([0], np.cumsum(lengths)))
-    index = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], lengths)
-    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[index]))]
+    """Slices of ``data`` as a binary array, gathered some at a time."""
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
+    gathered = np.empty(offsets[-1], np.uint8)
+    edges = np.unique(np.append(np.searchsorted(offsets, np.arange(0, offsets[-1], SORT_BYTES)), len(starts)))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        shift = np.repeat(starts[a:b] - offsets[a:b], lengths[a:b])
+        gathered[offsets[a] : offsets[b]] = data[np.arange(offsets[a], offsets[b]) + shift]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(gathered)]
     return pa.Array.from_buffers(pa.large_binary(), len(starts), buffers)
 
 
@@ -197,6 +201,7 @@ def group_blocks(group: Group, keys: np.ndarray, hot: np.ndarray) -> pa.Table:
         first, count, key, echo = first[order], count[order], key[order], echo[order]
     texts = _gather(group.data, first, count + LENGTH - 1)
     new, _ = _first_of_each(texts)
+    texts = texts.filter(pa.array(new)).cast(pa.binary())
     doc, start = group.locate(first)
     # consecutive marks of a document are one
     m_start, m_stop = _runs(doc[~new], start[~new], count[~new])
@@ -208,7 +213,7 @@ def group_blocks(group: Group, keys: np.ndarray, hot: np.ndarray) -> pa.Table:
             "start": pa.array(start[new]),
             "starts": pa.array(count[new]),
             "echo": pa.array(echo[new]),
-            "text": texts.filter(pa.array(new)).cast(pa.binary()),
+            "text": texts,
         }
     )
     marks = pa.table(
@@ -250,33 +255,38 @@ def neighbour_prefixes(windows: np.ndarray, order: np.ndarray) -> np.ndarray:
     return prefixes
 
 
+def _to_nearest_smaller(order: np.ndarray, prefixes: np.ndarray, least: int) -> np.ndarray:
+    """The prefix shared with the next smaller position on, where ``least`` or more.
+
+    ``prefixes`` are shared with the next rank. Every rank points at a later one with
+    only larger positions between; while that one is larger too, the pointer follows
+    its own, so a run of n ranks takes about log n rounds.
+    """
+    n = len(order)
+    value, reach = np.append(order, -1), np.append(prefixes, 0)
+    ahead = np.append(np.arange(1, n + 1), n)
+    rank = np.arange(n)
+    while len(rank):
+        target = ahead[rank]
+        more = (value[target] > value[rank]) & (reach[rank] >= least)
+        rank, target = rank[more], target[more]
+        further, shared = ahead[target], np.minimum(reach[rank], reach[target])
+        ahead[rank], reach[rank] = further, shared
+    return np.where(reach[:n] >= least, reach[:n], 0)
+
+
 def previous_factors(order: np.ndarray, prefixes: np.ndarray, least: int) -> np.ndarray:
     """The LPF array, in text order, where it is ``least`` or more; 0 elsewhere.
 
     The longest earlier factor of a position is shared with the nearest smaller position
     before it, or after it, in suffix order, and is as long as the least common prefix
-    on the way. All positions look outwards together; one stops when it has found its
-    smaller neighbour or the prefix has become shorter than ``least``.
+    on the way. ``prefixes`` are shared with the rank before.
     """
-    n = len(order)
-    longest = np.zeros(n, np.int64)
-    for step in (-1, 1):
-        rank = np.arange(n)
-        common = np.full(n, np.iinfo(np.int64).max)
-        place = rank.copy()
-        while len(rank):
-            # the prefix shared by ranks r - 1 and r is kept at r
-            link = place if step < 0 else place + 1
-            inside = (link > 0) & (link < n)
-            rank, place, common, link = rank[inside], place[inside], common[inside], link[inside]
-            common = np.minimum(common, prefixes[link])
-            place = place + step
-            near = common >= least
-            rank, place, common = rank[near], place[near], common[near]
-            smaller = order[place] < order[rank]
-            found = order[rank[smaller]]
-            longest[found] = np.maximum(longest[found], common[smaller])
-            rank, place, common = rank[~smaller], place[~smaller], common[~smaller]
+    longest = np.zeros(len(order), np.int64)
+    if len(order):
+        after = _to_nearest_smaller(order, np.append(prefixes[1:], 0), least)
+        before = _to_nearest_smaller(order[::-1], np.append(prefixes[1:][::-1], 0), least)[::-1]
+        longest[order] = np.maximum(before, after)
     return longest
 
 
@@ -402,11 +412,13 @@ def _with_spans(docs: DataFrame, id_col: str, text_col: str, finish, schema: str
             yield pa.RecordBatch.from_arrays(arrays, names=["key", "grp", "times"])
 
     def blocks(table: pa.Table, keys: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         wanted = keys.column("key").to_numpy().view(np.uint64)
         order = np.argsort(wanted)
         return group_blocks(_tables(table, key_id, text_col), wanted[order], keys.column("hot").to_numpy()[order])
 
     def apply(table: pa.Table, marks: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         group = _tables(table, key_id, text_col)
         doc, start, stop = [marks.column(name).to_numpy() for name in ("doc", "start", "stop")]
         order = np.argsort(doc, kind="stable")
