@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wattloom.llm.common import utf8_slices
+from wattloom.llm.common import in_parts, utf8_slices
 
-# Encoded chunks that a Python worker remembers, some 150 MB; then it forgets the rare ones.
-CACHED_CHUNKS = 400_000
+# Encoded chunks that a Python worker remembers, some 60 MB; then it forgets the rare ones.
+CACHED_CHUNKS = 150_000
 # Texts are taken in parts of about so many characters, which bounds the words held.
 PART_CHARS = 1 << 20
 # Words up to so many bytes merge together; each size of tree has its own matrix.
@@ -105,7 +105,8 @@ class WordBPE:
         self.made = np.zeros(self.none + 1, np.int64)
         for rank, number in self.merges.values():
             self.made[rank] = number
-        self.normalizer = Tokenizer.from_file(path).normalizer
+        library = Tokenizer.from_file(path)
+        self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         self.cache: dict[str, tuple[int, str, str]] = {}
 
     def normalize(self, text: str) -> str:
@@ -224,13 +225,22 @@ class WordBPE:
             result[i] = self.merge(words[i])
         return result
 
+    def chunk_words(self, chunk: str) -> list[str]:
+        """Words of a chunk. Beyond U+00FF letters and digits depend on the version of
+        Unicode, and the library says what they are."""
+        try:
+            chunk.encode("latin-1")
+        except UnicodeEncodeError:
+            return [chunk[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(chunk)]
+        return [chunk] if chunk.isalpha() else self.words.findall(chunk)
+
     def learn(self, chunks: set[str]) -> None:
         """Encode chunks, runs without white space, that are not in the cache."""
         if len(self.cache) + len(chunks) > CACHED_CHUNKS:
             # what this part uses stays, and with it the frequent chunks
             self.cache = {chunk: self.cache[chunk] for chunk in chunks if chunk in self.cache}
         new = [chunk for chunk in chunks if chunk not in self.cache]
-        parts = [[chunk] if chunk.isalpha() else self.words.findall(chunk) for chunk in new]
+        parts = [self.chunk_words(chunk) for chunk in new]
         words = list(set().union(*parts))
         encoded = dict(zip(words, self.merge_all(words)))
         names = self.names
@@ -251,7 +261,7 @@ class WordBPE:
             if part in self.special:
                 found.append(" " + part)
             elif self.controls.search(part):
-                found.extend(self.words.findall(self.normalize(part)))
+                found.extend(self.words.findall(self.normalize(part)) if part.isascii() else self.chunk_words(self.normalize(part)))
             else:
                 found.extend(self.normalize(part).split())
         return found
@@ -283,7 +293,7 @@ class WordBPE:
         return " ".join(self.names[i] for i in ids if i in self.names)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def word_bpe(path: str) -> WordBPE:
     """One encoder, with its cache of words, for all tasks of a Python worker."""
     return WordBPE(path)
@@ -299,11 +309,11 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             ids, decoded = [], []
             texts = [text.decode("utf-8", "replace") for text in utf8_slices(batch.column(1))]
             for pieces in bpe.pieces(texts):
-                ids.append([int(i) for _, part, _ in pieces for i in part.split(" ") if i])
+                ids.append(np.array(" ".join([p[1] for p in pieces if p[0]]).split(), np.int32))
                 decoded.append(" ".join([p[2] for p in pieces if p[0]]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())], names=["doc_id", "ids", "decoded"])
 
@@ -318,7 +328,7 @@ def encoding_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             counts, ids, decoded = [], [], []
             texts = [text.decode("utf-8", "replace") for text in utf8_slices(batch.column(1))]
             for words in bpe.pieces(texts):

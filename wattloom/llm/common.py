@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.session import scratch_path
+from wattloom.session import scratch_base, scratch_path
+
+
+# Text that a task works on at a time.
+PART_BYTES = 2 << 20
 
 
 def ensure_scratch(spark: SparkSession) -> None:
@@ -18,12 +23,11 @@ def ensure_scratch(spark: SparkSession) -> None:
     A cluster names it in ``spark.checkpoint.dir``; only a local master, whose tasks
     all share this machine, gets a folder of its own.
     """
-    if spark.conf.get("spark.checkpoint.dir", None):
+    if scratch_base(spark):
         return
     if not spark.sparkContext.master.startswith("local["):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix=f"wattloom-{os.getpid()}-")
-    spark.conf.set("spark.checkpoint.dir", f"file://{folder}")
+    spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="wattloom-text-"))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -60,6 +64,20 @@ def utf8_slices(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def in_parts(batches: Iterator[pa.RecordBatch], text: str, limit: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of ``text`` at most, or of one
+    row. What a task makes of a batch, and sends back, is bounded with it."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(text))), 0).to_numpy()
+        part = (np.cumsum(lengths) - lengths) // limit
+        cuts = (np.flatnonzero(part[1:] != part[:-1]) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if b > a:
+                yield batch.slice(a, b - a)
+    # Python workers outlive tasks: what Arrow keeps for later goes back now
+    pa.default_memory_pool().release_unused()
+
+
 def word_sequence(text: bytes) -> list[bytes]:
     """Words between the six ASCII white-space characters, which is what ``split`` splits at."""
     return text.split()

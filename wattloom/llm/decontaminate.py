@@ -20,13 +20,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import utf8_slices
+from wattloom.llm.common import in_parts, utf8_slices
 
 WINDOW = 10
 # Words of windows in one block: some ten MB as a broadcast, whatever the benchmark's size.
 BLOCK_WORDS = 1_000_000
-# Texts are taken in parts of about so many bytes, which bounds the words held.
-PART_BYTES = 1 << 21
 
 # ASCII letters, lower-cased, digits and all bytes beyond ASCII belong to words.
 WORD_BYTES = bytes(
@@ -105,18 +103,6 @@ def _codes(numbers: np.ndarray, base: int, singles: bool) -> tuple[np.ndarray, n
     return np.concatenate([codes, numbers[alone] * base + base - 1]), np.concatenate([pairs, alone])
 
 
-def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
-    part, held = [], 0
-    for text in texts:
-        part.append(text)
-        held += len(text)
-        if held >= PART_BYTES:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
-
-
 class Matcher:
     """One block with its windows keyed by their rarest shingle."""
 
@@ -179,12 +165,12 @@ def _shingle_counts(docs: DataFrame, blocks: list) -> list[dict[int, int]]:
             block = shared.value
             codes = np.unique(block.shingles()[0])
             sums.append((block, codes, np.zeros(len(codes), np.int64), bool((block.lengths == 1).any())))
-        for batch in batches:
-            for texts in _parts(list(utf8_slices(batch.column(0)))):
-                for block, codes, total, singles in sums:
-                    found, _ = _codes(_numbered(texts, block.vocabulary)[0], len(block.vocabulary) + 1, singles)
-                    at = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
-                    total += np.bincount(at[codes[at] == found], minlength=len(codes))
+        for batch in in_parts(batches, "text"):
+            texts = list(utf8_slices(batch.column(0)))
+            for block, codes, total, singles in sums:
+                found, _ = _codes(_numbered(texts, block.vocabulary)[0], len(block.vocabulary) + 1, singles)
+                at = np.minimum(np.searchsorted(codes, found), len(codes) - 1)
+                total += np.bincount(at[codes[at] == found], minlength=len(codes))
         for number, (_, codes, total, _) in enumerate(sums):
             there = np.flatnonzero(total)
             arrays = [pa.array(np.full(len(there), number), pa.int32()), pa.array(codes[there]), pa.array(total[there])]
@@ -232,10 +218,8 @@ def contamination(
     def scan(number: int | None) -> DataFrame:
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = None if number is None else Matcher(blocks[number].value, rarities[number].value)
-            for batch in batches:
-                rows: list[tuple] = []
-                for part in _parts(list(utf8_slices(batch.column(1)))):
-                    rows.extend(_matched(part, matcher, len(blocks) > 1))
+            for batch in in_parts(batches, "text"):
+                rows = _matched(list(utf8_slices(batch.column(1))), matcher, len(blocks) > 1)
                 columns = list(zip(*rows)) if rows else [(), (), (), ()]
                 kinds = [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string())]
                 arrays = [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]]
@@ -324,18 +308,15 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "
     kept = docs
     for block, rarity in zip(blocks, [spark.sparkContext.broadcast(c) for c in counts]):
 
-        def clean(batches: Iterator[pa.RecordBatch], block=block, rarity=rarity) -> Iterator[pa.RecordBatch]:
+        def cleaned(batches: Iterator[pa.RecordBatch], block=block, rarity=rarity) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(block.value, rarity.value)
-            for batch in batches:
-                column = batch.column(batch.schema.get_field_index(text_col))
-                rows: list[bool] = []
-                for part in _parts(list(utf8_slices(column))):
-                    numbers, starts = _numbered(part, matcher.block.vocabulary)
-                    start, _ = matcher.hits(numbers, starts)
-                    hit = np.zeros(len(part), bool)
-                    hit[np.searchsorted(starts, start, "right") - 1] = True
-                    rows.extend((~hit).tolist())
-                yield batch.filter(pa.array(rows, pa.bool_()))
-
-        kept = kept.mapInArrow(clean, docs.schema)
+            for batch in in_parts(batches, text_col):
+                texts = list(utf8_slices(batch.column(batch.schema.get_field_index(text_col))))
+                numbers, starts = _numbered(texts, matcher.block.vocabulary)
+                start, _ = matcher.hits(numbers, starts)
+                clean = np.ones(len(texts), bool)
+                clean[np.searchsorted(starts, start, "right") - 1] = False
+                yield batch.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(cleaned, docs.schema)
     return kept

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from wattloom.llm.common import ASCII_LOWER, fresh, stored, utf8_slices, word_sequence
+from wattloom.llm.common import ASCII_LOWER, fresh, in_parts, stored, utf8_slices, word_sequence
 from wattloom.llm.components import components
 
 SEED = 42
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             prints = np.array([fingerprint(text, size) for text in utf8_slices(batch.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fingerprint"])
 
@@ -343,8 +343,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts whose sets of ``size``-word shingles have an estimated Jaccard similarity of
     ``least`` or more are linked, and what links connect is a group. Fingerprints of 64
     bits are too far apart at such a similarity for shards of agreeing bits, so shards
-    come from min-hash bands: 20 bands of 6 minima miss one link of similarity 0.8 in
-    500; BK-trees over the fingerprints search the shards. The row with the smallest id
+    come from min-hash bands: 20 bands of 6 minima miss one link of similarity 0.8 in about
+    400; BK-trees over the fingerprints search the shards. The row with the smallest id
     stays, of repeated rows one; rows without an id only stay if their group has no
     other. Texts without words are one group.
     """
@@ -352,13 +352,13 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     schema = T.StructType([*docs.schema.fields, T.StructField(node, T.BinaryType())])
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, text_col):
             texts = utf8_slices(batch.column(batch.schema.get_field_index(text_col)))
             nodes = [xxhash.xxh128_digest(b" ".join(word_sequence(t.translate(ASCII_LOWER)))) for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=[*batch.schema.names, node])
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             drawn = [sketch(text, size) for text in utf8_slices(batch.column(1))]
             nodes, prints, minima, bands = zip(*drawn) if drawn else ((), (), (), ())
             arrays = [
