@@ -11,13 +11,21 @@ def test_a_filter_forgets_no_ngram():
     grams = {name: rng.integers(0, 1 << 62, 5000, dtype=np.uint64) for name in ("aa", "bb", "cc")}
     learned = language_id.LanguageFilter.of(grams)
     for bit, name in enumerate(sorted(grams)):
-        assert ((learned.masks(grams[name]) >> np.uint64(bit)) & np.uint64(1)).all()
-    absent = learned.masks(rng.integers(0, 1 << 62, 200_000, dtype=np.uint64))
+        assert ((learned.masks(grams[name])[0] >> np.uint64(bit)) & np.uint64(1)).all()
+    (absent,) = learned.masks(rng.integers(0, 1 << 62, 200_000, dtype=np.uint64))
     for bit in range(3):
         rate = ((absent >> np.uint64(bit)) & np.uint64(1)).mean()
         assert rate == pytest.approx(learned.false_rate[bit], abs=3e-4)
 
 
+def test_more_than_64_languages():
+    grams = {f"l{i:03d}": np.arange(i * 50, i * 50 + 50, dtype=np.uint64) for i in range(130)}
+    learned = language_id.LanguageFilter.of(grams)
+    for number in (0, 63, 64, 129):
+        masks = learned.masks(grams[f"l{number:03d}"])
+        assert masks.shape == (3, 50) and ((masks[number // 64] >> np.uint64(number % 64)) & np.uint64(1)).all()
+
+
 def test_ngrams_hold_letters_and_edges_only():
     codes = language_id.ngrams(language_id._points("Ab, é"))[0]
     same = language_id.ngrams(language_id._points("aB..é"))[0]

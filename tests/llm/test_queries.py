@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from wattloom.llm import queries
+from wattloom_checks.compare import connect, same
 
 
 def test_every_operator_is_registered_once():
@@ -19,3 +20,10 @@ def test_query_returns_a_row_per_input_row(spark, name):
     else:
         expected = spark.read.parquet(f"{sf_dir}/{'pages' if name == 'op6_url_reputation' else 'documents'}.parquet").count()
     assert found.count() == expected
+
+
+@pytest.mark.parametrize("name", queries.ORACLE)
+def test_query_equals_its_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.001"
+    equal, detail = same(spark_entry.queries()[name](spark, sf_dir), connect(sf_dir).sql(spark_entry.oracle_sql()[name]))
+    assert equal, detail

@@ -1,6 +1,6 @@
 """Language identification with bit-sliced Bloom filters over character n-grams.
 
-One array of slots serves all languages: bit ``l`` of a slot belongs to language ``l``,
+One array of slots serves 64 languages: bit ``l`` of a slot belongs to language ``l``,
 and an n-gram sets the bit of its language in ``HASHES`` slots. The AND of an n-gram's
 slots is the mask of all languages that may contain it. Popcounts per language over a
 text, less the false positives that the fill of each slice predicts, decide. A filter
@@ -20,11 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import stored
+from wattloom.llm.common import in_parts, stored
 
 HASHES = 3
-SLOT_BITS = 20  # 2^20 slots of 8 bytes
-MAX_LANGUAGES = 64
+SLOT_BITS = 20  # 2^20 slots of 8 bytes for every 64 languages
 SIZES = (2, 3)
 # A part of a text, in code points; longer texts are taken in parts that overlap.
 PART = 1 << 18
@@ -90,24 +89,26 @@ def _parts(points: np.ndarray) -> Iterator[np.ndarray]:
 @dataclass
 class LanguageFilter:
     languages: list[str]
-    slots: np.ndarray  # uint64 masks
+    slots: np.ndarray  # uint64 masks, a row for every 64 languages
     false_rate: np.ndarray  # chance that an absent n-gram seems present, by language
 
     @staticmethod
     def of(grams: dict[str, np.ndarray]) -> LanguageFilter:
         languages = sorted(grams)
-        slots, rates = np.zeros(1 << SLOT_BITS, np.uint64), []
+        slots, rates = np.zeros((-(-len(languages) // 64), 1 << SLOT_BITS), np.uint64), []
         for number, language in enumerate(languages):
+            row, bit = slots[number // 64], np.uint64(1 << number % 64)
             for turn in range(HASHES):
-                slots[_mixed(grams[language], turn)] |= np.uint64(1 << number)
-            fill = np.count_nonzero(slots & np.uint64(1 << number)) / len(slots)
+                row[_mixed(grams[language], turn)] |= bit
+            fill = np.count_nonzero(row & bit) / len(row)
             rates.append(fill**HASHES)
         return LanguageFilter(languages, slots, np.array(rates))
 
     def masks(self, codes: np.ndarray) -> np.ndarray:
-        found = self.slots[_mixed(codes, 0)]
+        """For every n-gram the languages that may hold it, 64 to a row."""
+        found = self.slots[:, _mixed(codes, 0)]
         for turn in range(1, HASHES):
-            found &= self.slots[_mixed(codes, turn)]
+            found &= self.slots[:, _mixed(codes, turn)]
         return found
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -134,7 +135,7 @@ class LanguageFilter:
             found = self.masks(codes)
             total[:] += np.bincount(owner, minlength=len(texts))
             for number in range(len(self.languages)):
-                bit = (found >> np.uint64(number)) & np.uint64(1)
+                bit = (found[number // 64] >> np.uint64(number % 64)) & np.uint64(1)
                 popcounts[:, number] += np.bincount(owner, weights=bit, minlength=len(texts))
             joined.clear()
             held = 0
@@ -174,18 +175,19 @@ def learn(
 
     At most about ``per_language`` documents of each language are used, chosen by a hash
     of their id; texts are whole. A language keeps the n-grams that occur in at least
-    ``least_share`` of its chosen documents. Above 64 languages the most frequent stay.
+    ``least_share`` of its chosen documents. The languages themselves, distinct labels,
+    are listed on the driver.
     """
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     labelled = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().collect()
     if not sizes:
-        return LanguageFilter([], np.zeros(1 << SLOT_BITS, np.uint64), np.empty(0))
+        return LanguageFilter.of({})
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1_000_000))
-    chosen = F.lit(False)
-    for row in sizes:
-        share = min(1_000_000, -(-per_language * 1_000_000 // row["count"]))
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (draw < share))
+    shares = [(row["lang"], min(1_000_000, -(-per_language * 1_000_000 // row["count"]))) for row in sizes]
+    # a local table, whose size Spark knows, so that texts need not be shuffled to meet it
+    rates = docs.sparkSession.createDataFrame(shares, "lang string, share long")
+    chosen = labelled.join(rates, "lang").filter(draw < F.col("share"))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,11 +198,11 @@ def learn(
             yield pa.RecordBatch.from_arrays([pa.array([lang for lang in batch.column(1).to_pylist()], pa.string()), pa.nulls(len(batch), pa.int64())], names=["lang", "gram"])
 
     # a NULL n-gram counts the documents themselves
-    counted = labelled.filter(chosen).select("text", "lang").mapInArrow(grams, "lang string, gram long").groupBy("lang", "gram").count()
+    counted = chosen.select("text", "lang").mapInArrow(grams, "lang string, gram long").groupBy("lang", "gram").count()
     counted = stored(counted, "language-grams")
     documents = counted.filter("gram IS NULL").select("lang", F.col("count").alias("documents"))
     # a document holds few n-grams on average, so those in a fixed share of all are few
-    common = counted.join(F.broadcast(documents), "lang").filter(F.col("gram").isNotNull() & (F.col("count") >= F.greatest(F.lit(2), F.ceil(F.col("documents") * least_share))))
+    common = counted.join(documents, "lang").filter(F.col("gram").isNotNull() & (F.col("count") >= F.greatest(F.lit(2), F.ceil(F.col("documents") * least_share))))
     found: dict[str, list[int]] = {row["lang"]: [] for row in sizes}
     for lang, gram in common.select("lang", "gram").toLocalIterator():
         found[lang].append(gram)
@@ -218,7 +220,7 @@ def identify(docs: DataFrame, learned: LanguageFilter, id_col: str = "doc_id", t
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         language_filter = shared.value
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             texts = [text or "" for text in batch.column(1).to_pylist()]
             labels, scores = language_filter.predict(texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
