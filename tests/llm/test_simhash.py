@@ -94,6 +94,12 @@ def test_many_near_copies_of_one_text(spark):
     assert [r[0] for r in simhash.drop_near_copies(spark.createDataFrame(data, "doc_id long, text string")).collect()] == [0]
 
 
+@pytest.mark.parametrize("prints", [[5, 5], [5, 5, 5], [5, 5, 5, 4]])
+def test_texts_of_equal_fingerprints_link(prints):
+    sketches = np.zeros((len(prints), simhash.MINIMA), np.uint8)
+    assert {b for _, b in simhash.similar_links(prints, sketches, 0.8)} == set(range(1, len(prints)))
+
+
 def test_edges_of_near_copies(spark):
     text = " ".join(f"w{i}" for i in range(60))
     data = [(2, text), (2, text), (None, text), (7, None), (8, ""), (None, "only one"), (3, " ".join(f"v{i}" for i in range(100_000)))]

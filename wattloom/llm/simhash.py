@@ -269,18 +269,26 @@ def similar_links(prints: list[int], sketches: np.ndarray, least: float) -> list
 
     The walk goes outwards from unreached members; a BK-tree over the unreached, built
     anew whenever half of them are gone, gives those whose fingerprint is near enough.
+    Different texts may share a fingerprint, so a node of the tree holds all its members.
     """
     found: list[tuple[int, int]] = []
-    unreached = list(range(len(prints)))
+    members = list(range(len(prints)))
     reached = [False] * len(prints)
-    tree, members = BKTree(prints), unreached
+
+    def grown() -> tuple[BKTree, list[list[int]]]:
+        holders: dict[int, list[int]] = {}
+        for member in members:
+            holders.setdefault(prints[member], []).append(member)
+        return BKTree(list(holders)), list(holders.values())
+
+    tree, held = grown()
     for start in range(len(prints)):
         if reached[start]:
             continue
         reached[start], frontier = True, [start]
         while frontier:
             at = frontier.pop()
-            near = [m for m in (members[i] for i in tree.within(prints[at], NEAR_BITS)) if not reached[m]]
+            near = [m for i in tree.within(prints[at], NEAR_BITS) for m in held[i] if not reached[m]]
             if not near:
                 continue
             alike = similarity(sketches[near], sketches[at]) >= least
@@ -290,7 +298,8 @@ def similar_links(prints: list[int], sketches: np.ndarray, least: float) -> list
                 frontier.append(other)
             left = [m for m in members if not reached[m]]
             if 2 * len(left) < len(members):
-                tree, members = BKTree([prints[m] for m in left]), left
+                members = left
+                tree, held = grown()
     return found
 
 
