@@ -100,6 +100,23 @@ def test_texts_of_equal_fingerprints_link(prints):
     assert {b for _, b in simhash.similar_links(prints, sketches, 0.8)} == set(range(1, len(prints)))
 
 
+def test_copies_with_a_repeated_phrase(spark):
+    rng = random.Random(15)
+    data = []
+    for i in range(12):
+        text, phrase = (" ".join(f"w{rng.getrandbits(30)}" for _ in range(n)) for n in (1000, 10))
+        data += [(i, text)] + [(100 * times + i, f"{text} {' '.join([phrase] * times)}") for times in (20, 40, 80)]
+    kept = simhash.drop_near_copies(spark.createDataFrame(data, "doc_id long, text string"))
+    assert sorted(r[0] for r in kept.collect()) == list(range(12))
+
+
+def test_radius_follows_the_similarity():
+    assert simhash.differing_bit(0.8) == pytest.approx(0.1875)
+    assert simhash.near_bits(0.8) == 28
+    assert simhash.near_bits(1.0) == 0
+    assert simhash.near_bits(0.6) > 28
+
+
 def test_edges_of_near_copies(spark):
     text = " ".join(f"w{i}" for i in range(60))
     data = [(2, text), (2, text), (None, text), (7, None), (8, ""), (None, "only one"), (3, " ".join(f"v{i}" for i in range(100_000)))]

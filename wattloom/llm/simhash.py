@@ -11,7 +11,9 @@ broadcast, as a broadcast would have to gather all fingerprints first.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -235,17 +237,57 @@ def hex16(column: str):
 # Minima of a sketch, cut into bands; four bits of each minimum estimate the similarity.
 SKETCH_BANDS, SKETCH_ROWS = 20, 6
 MINIMA = SKETCH_BANDS * SKETCH_ROWS
-# At a similarity of 0.8 SimHash fingerprints of the test corpora differ in 4 to 16 bits.
-NEAR_BITS = 20
+# Chance that the radius of the BK-trees misses a pair of just the wanted similarity.
+MISS = 2e-6
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def differing_bit(least: float) -> float:
+    """The greatest chance that a bit of two sets' fingerprints differs, at a similarity
+    of ``least`` or more.
+
+    Votes of large sets are normal, correlated by 2 s / (1 + s) or more; unions of up to
+    12 shingles, where ties and steps count, are gone through one by one.
+    """
+    worst = math.acos(2 * least / (1 + least)) / math.pi
+    half = [np.array([math.comb(n, k) for k in range(n + 1)]) / 2**n for n in range(13)]
+
+    def set_bit(common: int, own: int) -> np.ndarray:
+        """Chance of a set bit by the votes of the common shingles."""
+        votes = np.add.outer(np.arange(common + 1), np.arange(own + 1))
+        return (2 * votes > common + own) @ half[own]
+
+    for union in range(1, 13):
+        for common in range(1, union + 1):
+            if common / union < least:
+                continue
+            for own in range((union - common) // 2 + 1):
+                a, b = set_bit(common, own), set_bit(common, union - common - own)
+                worst = max(worst, float(half[common] @ (a * (1 - b) + b * (1 - a))))
+    return worst
+
+
+@cache
+def near_bits(least: float) -> int:
+    """The radius that a pair of similarity ``least`` or more exceeds with a chance of
+    ``MISS`` at most. It is 28 at 0.8, where a bit differs with a chance of 0.1875 in
+    sets of 4 and 5 shingles and 0.151 in large ones."""
+    chance, missed, bits = differing_bit(least), 1.0, -1
+    while missed > MISS and bits < 64:
+        bits += 1
+        missed = sum(math.comb(64, k) * chance**k * (1 - chance) ** (64 - k) for k in range(bits + 1, 65))
+    return bits
+
+
 def sketch(text: bytes, size: int) -> tuple[bytes, int, bytes, list[int]]:
-    """Digest of the words, fingerprint, packed minima and band keys of a text."""
+    """Digest of the words, fingerprint, packed minima and band keys of a text.
+
+    Each shingle votes once here, so that fingerprints are as near as the sets are alike.
+    """
     words = word_sequence(text.translate(ASCII_LOWER))
     node = xxhash.xxh128_digest(b" ".join(words))
-    hashes = shingle_hashes(words, size)
+    hashes = np.unique(shingle_hashes(words, size))
     votes, minima = np.zeros(64, np.int64), np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 8_192):
         part = hashes[at : at + 8_192]
@@ -272,6 +314,7 @@ def similar_links(prints: list[int], sketches: np.ndarray, least: float) -> list
     Different texts may share a fingerprint, so a node of the tree holds all its members.
     """
     found: list[tuple[int, int]] = []
+    radius = near_bits(least)
     members = list(range(len(prints)))
     reached = [False] * len(prints)
 
@@ -288,7 +331,7 @@ def similar_links(prints: list[int], sketches: np.ndarray, least: float) -> list
         reached[start], frontier = True, [start]
         while frontier:
             at = frontier.pop()
-            near = [m for i in tree.within(prints[at], NEAR_BITS) for m in held[i] if not reached[m]]
+            near = [m for i in tree.within(prints[at], radius) for m in held[i] if not reached[m]]
             if not near:
                 continue
             alike = similarity(sketches[near], sketches[at]) >= least
