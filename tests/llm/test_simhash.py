@@ -117,6 +117,37 @@ def test_radius_follows_the_similarity():
     assert simhash.near_bits(0.6) > 28
 
 
+def exact_groups(texts, least=0.8):
+    """The smallest number of each group of texts of that similarity."""
+    sets, root = [brute.shingles(t) for t in texts], list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= least and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return sorted(set(root))
+
+
+def test_similarities_around_the_threshold(spark):
+    rng = random.Random(16)
+    texts = []
+    for _ in range(25):
+        base = " ".join(f"w{rng.getrandbits(30)}" for _ in range(200))
+        # similarities of 0.70 to 0.90
+        texts += [base] + [" ".join([*base.split()[:-n], *(f"n{rng.getrandbits(30)}" for _ in range(n))]) for n in rng.sample(range(10, 36), 3)]
+    kept = simhash.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(r[0] for r in kept.collect()) == exact_groups(texts)
+
+
+def test_a_refused_link_hides_no_other():
+    # once 0 - 1 is refused, 0 is still compared with all that 1 is linked to
+    sketches = np.zeros((3, simhash.MINIMA), np.uint8)
+    sketches[1:, :18] = 1
+    sketches[2, 18:24] = 1
+    pairs = simhash.shard_pairs([7, 7, 7], sketches, [b"0", b"1", b"1"], 0.8)
+    assert sorted(sorted(pair[:2]) for pair in pairs) == [[0, 1], [0, 2]]
+
+
 def test_edges_of_near_copies(spark):
     text = " ".join(f"w{i}" for i in range(60))
     data = [(2, text), (2, text), (None, text), (7, None), (8, ""), (None, "only one"), (3, " ".join(f"v{i}" for i in range(100_000)))]

@@ -346,13 +346,59 @@ def similar_links(prints: list[int], sketches: np.ndarray, least: float) -> list
     return found
 
 
-def sketch_links(classes: DataFrame, least: float) -> DataFrame:
-    """``a`` and ``b``: digests of similar texts, enough links to connect each group.
+def border(least: float) -> float:
+    """How far from ``least`` an estimate is trusted: four standard deviations.
 
-    ``classes`` has ``node``, ``print``, ``sketch`` and ``bands``, one row per distinct
-    word sequence. Texts that share a band, all of its minima, form a shard.
+    At 0.8 these are 0.152. A pair of just 0.8 is estimated below 0.648 with a chance of
+    1e-4, one below 0.8 at 0.952 or more with a chance of 2.3e-6 at most.
     """
-    dealt = classes.select(F.posexplode("bands").alias("band", "key"), "node", "print", "sketch")
+    equal = least + (1 - least) / 16
+    return 4 * math.sqrt(equal * (1 - equal) / MINIMA) * 16 / 15
+
+
+def unlinked_pairs(labels: np.ndarray, sketches: np.ndarray, lowest: float) -> Iterator[tuple[int, int]]:
+    """Pairs of members of different labels with an estimate of ``lowest`` or more."""
+    _, number, sizes = np.unique(labels, return_inverse=True, return_counts=True)
+    outside = number != sizes.argmax()
+    for at in np.flatnonzero(outside).tolist():
+        # of two members outside of the largest label, the later one comes with the earlier
+        others = np.flatnonzero((number != number[at]) & (~outside | (np.arange(len(number)) > at)))
+        for other in others[similarity(sketches[others], sketches[at]) >= lowest].tolist():
+            yield at, other
+
+
+def shard_pairs(prints: list[int], sketches: np.ndarray, roots: list[bytes | None] | None, least: float) -> list[tuple[int, int, bool, bool]]:
+    """Pairs of a shard's members, whether the estimate makes them sure, and whether they
+    come from the walk.
+
+    Without ``roots``, the walk's links and every pair that may be similar though no
+    link connects it. With them, every pair that may be similar between different roots.
+    """
+    if roots is None:
+        pairs = similar_links(prints, sketches, least)
+        labels = np.arange(len(prints))
+        # links go outwards, so the inner end has its label
+        for inner, outer in pairs:
+            labels[outer] = labels[inner]
+    else:
+        pairs, labels = [], np.unique(np.array(roots, object), return_inverse=True)[1]
+    walked = len(pairs)
+    pairs = pairs + list(unlinked_pairs(labels, sketches, least - border(least)))
+    if not pairs:
+        return []
+    a, b = np.array(pairs).T
+    sure = [bool(similarity(sketches[x][None], sketches[y])[0] >= least + border(least)) for x, y in zip(a, b)]
+    return [(x, y, s, at < walked) for at, ((x, y), s) in enumerate(zip(pairs, sure))]
+
+
+def sketch_pairs(dealt: DataFrame, least: float) -> DataFrame:
+    """``a`` and ``b``, digests of texts that are or may be similar, ``sure``, ``walked``
+    and the shard, as ``shard_pairs`` gives them.
+
+    ``dealt`` has ``band``, ``key``, ``node``, ``print`` and ``sketch``, and ``root`` in
+    later rounds. Texts that share a band, all of its minima, form a shard.
+    """
+    rooted = "root" in dealt.columns
     dealt = dealt.repartition("band", "key").sortWithinPartitions("band", "key", "node")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,12 +407,13 @@ def sketch_links(classes: DataFrame, least: float) -> DataFrame:
         def close(found: list) -> None:
             if len(held) > 1:
                 sketches = np.array([np.frombuffer(row[2], np.uint8) for row in held])
-                pairs = similar_links([row[1] & 0xFFFFFFFFFFFFFFFF for row in held], sketches, least)
-                found.extend((held[a][0], held[b][0]) for a, b in pairs)
+                roots = [row[3] for row in held] if rooted else None
+                pairs = shard_pairs([row[1] & 0xFFFFFFFFFFFFFFFF for row in held], sketches, roots, least)
+                found.extend((*sorted((held[a][0], held[b][0])), sure, walked, *shard_key) for a, b, sure, walked in pairs)
 
         def rows(found: list) -> pa.RecordBatch:
-            a, b = zip(*found) if found else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+            columns = zip(*found) if found else [()] * len(PAIRS)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PAIRS)], schema=PAIRS)
 
         for batch in batches:
             band, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -380,20 +427,79 @@ def sketch_links(classes: DataFrame, least: float) -> DataFrame:
                     close(found)
                     shard_key, held = here, []
                 part = batch.slice(a, b - a)
-                held.extend(zip(*[part.column(i).to_pylist() for i in (2, 3, 4)]))
+                held.extend(zip(*[part.column(i).to_pylist() for i in range(2, part.num_columns)]))
             yield rows(found)
         last: list = []
         close(last)
         yield rows(last)
 
-    return dealt.mapInArrow(search, "a binary, b binary")
+    return dealt.mapInArrow(search, "a binary, b binary, sure boolean, walked boolean, band int, key long")
+
+
+PAIRS = pa.schema(
+    [("a", pa.binary()), ("b", pa.binary()), ("sure", pa.bool_()), ("walked", pa.bool_()), ("band", pa.int32()), ("key", pa.int64())]
+)
+
+
+def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
+    """``node``, the digest of a text's words, and the ``hashes`` of its distinct
+    shingles, one row per different word sequence of ``texts`` (``node``, ``text``)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches, "text"):
+            sets = []
+            for text in utf8_slices(batch.column(1)):
+                words = word_sequence(text.translate(ASCII_LOWER))
+                sets.append(np.unique(shingle_hashes(words, size)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
+
+    return texts.dropDuplicates(["node"]).mapInArrow(scan, "node binary, hashes array<long>")
+
+
+def exact_links(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """``a``, ``b`` and ``alike``: whether the sets of shingle hashes have a Jaccard
+    similarity of ``least`` or more. Read ``pairs`` from a stored table."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = stored(shingle_sets(texts.join(wanted, "node", "left_semi"), size), "near-sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("one")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("other")), "b")
+    shared = F.size(F.array_intersect("one", "other"))
+    joint = F.size("one") + F.size("other") - F.col("shared")
+    counted = both.select("a", "b", shared.alias("shared"), "one", "other")
+    return stored(counted.select("a", "b", (F.col("shared") / joint >= least).alias("alike")), "near-checked")
+
+
+def near_links(classes: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """``a`` and ``b``: digests of similar texts, enough links to connect each group.
+
+    ``classes`` has ``node``, ``print``, ``sketch`` and ``bands``, one row per distinct
+    word sequence; ``texts`` has ``node`` and ``text``. The estimate alone decides far
+    from ``least``; the pairs between are compared exactly. Where that refuses a link
+    that a walk relied on, the shard is gone through once more, without the walk.
+    """
+    dealt = classes.select(F.posexplode("bands").alias("band", "key"), "node", "print", "sketch")
+    found = stored(sketch_pairs(dealt, least), "near-pairs")
+    checked = exact_links(stored(found.filter("not sure").select("a", "b").distinct(), "near-unsure"), texts, size, least)
+    linked = found.filter("sure").select("a", "b").union(checked.filter("alike").select("a", "b"))
+    broken = found.filter("walked and not sure").join(checked.filter("not alike"), ["a", "b"], "left_semi").select("band", "key").distinct()
+    broken = stored(broken, "near-broken")
+    if broken.isEmpty():
+        return linked
+    roots = components(linked)
+    again = dealt.join(broken, ["band", "key"], "left_semi").join(roots, "node", "left")
+    again = again.select("band", "key", "node", "print", "sketch", F.coalesce("root", "node").alias("root"))
+    more = stored(sketch_pairs(again, least), "near-pairs")
+    unsure = more.filter("not sure").select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
+    rest = exact_links(stored(unsure, "near-unsure"), texts, size, least)
+    return linked.union(more.filter("sure").select("a", "b")).union(rest.filter("alike").select("a", "b"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of ``docs``, all columns, less all but one of each group of near copies.
 
-    Texts whose sets of ``size``-word shingles have an estimated Jaccard similarity of
-    ``least`` or more are linked, and what links connect is a group. Fingerprints of 64
+    Texts whose sets of ``size``-word shingles have a Jaccard similarity of ``least`` or
+    more are linked, and what links connect is a group. An estimate decides far from
+    ``least`` (see ``border``), the hash sets themselves near it. Fingerprints of 64
     bits are too far apart at such a similarity for shards of agreeing bits, so shards
     come from min-hash bands: 20 bands of 6 minima miss one link of similarity 0.8 in about
     400; BK-trees over the fingerprints search the shards. The row with the smallest id
@@ -428,7 +534,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     drawn = stored(texts.mapInArrow(draw, "id long, node binary, print long, sketch binary, bands array<long>"), "near-sketches")
     classes = drawn.groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("print", "sketch", "bands")])
     classes = stored(classes, "near-classes")
-    roots = components(sketch_links(classes, least))
+    digested = docs.mapInArrow(digest, schema).select(node, F.col(text_col).cast("string").alias("text")).toDF("node", "text")
+    roots = components(near_links(classes, digested, size, least))
     grouped = classes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stays = grouped.groupBy("root").agg(F.min(F.struct("id", "node")).alias("one")).select(F.col("one.node").alias(node), F.col("one.id").alias(key))
     rows = docs.mapInArrow(digest, schema).join(stays, node).filter(ids == F.col(key))
