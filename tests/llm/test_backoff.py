@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from llm import brute
 
-from wattloom.llm import backoff
+from wattloom.llm import backoff, queries
 
 
 @pytest.mark.parametrize("order", [1, 2, 3])
@@ -27,3 +28,17 @@ def test_repeated_rows_missing_ids_and_no_rows(spark):
     assert backoff.scores(frame.limit(0)).collect() == []
     with pytest.raises(ValueError):
         backoff.scores(frame, order=0)
+
+
+def test_registered_query_scores_with_trigrams(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = queries.table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    found = {r["doc_id"]: r["log_score"] for r in queries.op4_backoff_scores(spark, sf_dir).collect()}
+    for row, score in zip(rows, brute.backoff([r["text"] for r in rows], 3)):
+        assert found[row["doc_id"]] == pytest.approx(score, rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("hashes", [[], [0], [5, 6, 1 << 63, (1 << 64) - 1]])
+def test_packed_hashes(hashes):
+    ordered = np.array(hashes, np.uint64)
+    assert backoff.unpacked_hashes(backoff.packed_hashes(ordered)).tolist() == hashes

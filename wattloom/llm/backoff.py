@@ -48,6 +48,26 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return value ^ (value >> np.uint64(31))
 
 
+def planes(values: np.ndarray) -> bytes:
+    """All first bytes, then all second ones and so on: bytes that are nearly always
+    zero lie together, and shuffles compress them to nothing."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def from_planes(packed: bytes, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def packed_hashes(ordered: np.ndarray) -> bytes:
+    """Ascending hashes as planes of their differences."""
+    return planes(np.diff(ordered, prepend=np.uint64(0)))
+
+
+def unpacked_hashes(packed: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(packed, np.uint64), dtype=np.uint64)
+
+
 def counted_grams(hashed: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
     """The group's distinct n-grams of one size in order of hash, and their counts."""
     grams = [gram_hashes(words, size) for words in hashed]
@@ -96,7 +116,7 @@ def score_texts(n_words: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarr
     return np.bincount(owner, weights=value, minlength=len(n_words)), np.bincount(owner[rest], minlength=len(n_words))
 
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 3) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_words``, ``log_score`` (natural log of the
     product of its words' scores) and ``per_word``, its mean (NULL without words).
 
@@ -127,17 +147,18 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
             edges = [0, *np.searchsorted(hashes, cuts).tolist(), len(hashes)]
             for part, (a, b) in enumerate(zip(edges, edges[1:])):
                 if a < b:
-                    rows.append((size, part, number, hashes[a:b].view(np.int64), times[a:b].astype(np.int32)))
+                    rows.append((size, part, number, packed_hashes(hashes[a:b]), planes(times[a:b].astype(np.int32))))
         return _table(rows, TABLE)
 
     def add_up(table: pa.Table) -> pa.Table:
-        hashes = table.column("hashes").combine_chunks()
-        flat = hashes.flatten().to_numpy().view(np.uint64)
-        times = table.column("times").combine_chunks().flatten().to_numpy()
-        _, number = np.unique(flat, return_inverse=True)
-        total = np.bincount(number, weights=times).astype(np.int64)[number] if len(flat) else np.empty(0, np.int64)
+        hashes = [unpacked_hashes(value.as_py()) for value in table.column("hashes")]
+        times = np.concatenate([from_planes(value.as_py(), np.int32) for value in table.column("times")])
         ends = np.cumsum([len(h) for h in hashes])
-        parts = np.split(total, ends[:-1])
+        flat = np.concatenate(hashes)
+        del hashes
+        _, number = np.unique(flat, return_inverse=True)
+        total = np.bincount(number, weights=times).astype(np.int64)[number]
+        parts = [planes(part) for part in np.split(total, ends[:-1])]
         rows = zip(table.column("size").to_pylist(), table.column("part").to_pylist(), table.column("grp").to_pylist(), parts)
         return _table(list(rows), TOTALS)
 
@@ -146,8 +167,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
         ordered = totals.sort_by([("size", "ascending"), ("part", "ascending")])
         sizes, others = ordered.column("size").to_numpy(), []
         for size in range(1, order + 1):
-            part = ordered.filter(pa.array(sizes == size)).column("totals").combine_chunks()
-            counts = part.flatten().to_numpy() if len(part) else np.empty(0, np.int64)
+            parts = [from_planes(value.as_py(), np.int64) for value in ordered.filter(pa.array(sizes == size)).column("totals")]
+            counts = np.concatenate(parts) if parts else np.empty(0, np.int64)
             others.append(other_counts(hashed, size, counts))
         n_words = np.array([len(words) for words in hashed], np.int64)
         value, terms = score_texts(n_words, others)
@@ -155,8 +176,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
         return pa.table(columns, names=["doc_id", "n_words", "value", "terms"])
 
     kind = dict(picked.dtypes)["doc_id"]
-    exploded = dealt.groupBy("grp").applyInArrow(explode, "size int, part int, grp int, hashes array<long>, times array<int>")
-    totals = exploded.groupBy("size", "part").applyInArrow(add_up, "size int, part int, grp int, totals array<long>")
+    exploded = dealt.groupBy("grp").applyInArrow(explode, "size int, part int, grp int, hashes binary, times binary")
+    totals = exploded.groupBy("size", "part").applyInArrow(add_up, "size int, part int, grp int, totals binary")
     summed = dealt.groupBy("grp").cogroup(totals.groupBy("grp")).applyInArrow(sum_up, f"doc_id {kind}, n_words long, value double, terms long")
     summed = stored(summed, "backoff-sums")
     words = summed.agg(F.sum("n_words")).first()[0] or 1
@@ -164,8 +185,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     return summed.select("doc_id", "n_words", log_score.alias("log_score"), (log_score / F.nullif("n_words", F.lit(0))).alias("per_word"))
 
 
-TABLE = pa.schema([("size", pa.int32()), ("part", pa.int32()), ("grp", pa.int32()), ("hashes", pa.list_(pa.int64())), ("times", pa.list_(pa.int32()))])
-TOTALS = pa.schema([("size", pa.int32()), ("part", pa.int32()), ("grp", pa.int32()), ("totals", pa.list_(pa.int64()))])
+TABLE = pa.schema([("size", pa.int32()), ("part", pa.int32()), ("grp", pa.int32()), ("hashes", pa.binary()), ("times", pa.binary())])
+TOTALS = pa.schema([("size", pa.int32()), ("part", pa.int32()), ("grp", pa.int32()), ("totals", pa.binary())])
 
 
 def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:

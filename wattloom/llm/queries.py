@@ -49,7 +49,7 @@ def op3_language_filters(spark, sf_dir):
 
 
 def op4_backoff_scores(spark, sf_dir):
-    return backoff.scores(table(spark, sf_dir, "documents"))
+    return backoff.scores(table(spark, sf_dir, "documents"), order=3)
 
 
 def op5_quality_rules(spark, sf_dir):
