@@ -2,6 +2,7 @@
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
 
@@ -129,3 +130,66 @@ def backoff(texts, order):
                     score += math.log(0.4)
         scores.append(score)
     return scores
+
+
+def runs(words):
+    """Start, length and smallest period of every run, by comparing at every distance."""
+    n, found = len(words), []
+    for q in range(1, n // 4 + 1):
+        at = 0
+        while at + q < n:
+            if words[at] != words[at + q]:
+                at += 1
+                continue
+            stop = at
+            while stop + q < n and words[stop] == words[stop + q]:
+                stop += 1
+            part = words[at : stop + q]
+            smallest = next(d for d in range(1, q + 1) if all(a == b for a, b in zip(part, part[d:])))
+            if len(part) >= max(6, 4 * q) and smallest == q:
+                found.append((at, len(part), q))
+            at = stop
+    return sorted(found)
+
+
+def collapsed(words, found):
+    gone = {i for start, length, q in found for i in range(start + q, start + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def planted(doc_id, words):
+    """The contract's periodic tails."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def search_terms(text):
+    return re.findall("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", (text or "").translate(LOWER))
+
+
+def search(docs, items, top=50):
+    """(item, rank, doc_id, score) of (id, text) documents and a dict of item terms."""
+    counted = [(i, Counter(search_terms(t))) for i, t in docs]
+    counted = [(i, c) for i, c in counted if c]
+    n_docs, n_terms = len(counted), sum(sum(c.values()) for _, c in counted)
+    holders = Counter(t for _, c in counted for t in c)
+    found = []
+    for item, terms in items.items():
+        scores = []
+        for number, tf in counted:
+            m = 100 - 50 + (50 * sum(tf.values()) * n_docs) // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * holders[t] + 1))) * ((1000000000 * tf[t]) // (1000 * tf[t] + 20 * m))
+                for t in terms
+                if t in tf
+            )
+            if score > 0:
+                scores.append((-score, number is None, number or 0))
+        for rank, (score, missing, number) in enumerate(sorted(scores)[:top], 1):
+            found.append((item, rank, None if missing else number, -score))
+    return found

@@ -7,11 +7,15 @@ from wattloom_checks.compare import connect, same
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert queries.QUERIES.keys() | {"pipeline"} <= spark_entry.queries().keys()
 
 
-@pytest.mark.parametrize("name", queries.QUERIES)
+# these return pieces of documents and rows of items
+OTHER_ROWS = ("op11_packed_windows", "op13_ranked_search")
+
+
+@pytest.mark.parametrize("name", [name for name in queries.QUERIES if name not in OTHER_ROWS])
 def test_query_returns_a_row_per_input_row(spark, name):
     sf_dir = "/root/testdata/sf0.001"
     found = spark_entry.queries()[name](spark, sf_dir)

@@ -54,6 +54,11 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return names
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold dots or other signs, as Spark parses it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def utf8_slices(column: pa.Array) -> Iterator[bytes]:
     """The bytes of every value of a string or binary column; NULL is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -118,4 +118,32 @@ SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS
 FROM docs d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
-ORACLE = {"op2_chat_masks": OP2, "op6_url_reputation": OP6, "op7_benchmark_windows": OP7}
+OP13 = r"""
+WITH doc_terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), lengths AS (
+    SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id
+), corpus AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths
+), times AS (
+    SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM times, corpus GROUP BY term
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM item_terms JOIN times USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), corpus
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLE = {"op2_chat_masks": OP2, "op6_url_reputation": OP6, "op7_benchmark_windows": OP7, "op13_ranked_search": OP13}

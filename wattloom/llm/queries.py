@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import backoff, bpe, chat, decontaminate, language_id, quality_rules, simhash, suffix_dedup, token_files, url_reputation
+from wattloom.llm import (
+    backoff,
+    ball_search,
+    bpe,
+    chat,
+    decontaminate,
+    language_id,
+    packing,
+    periodic,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_files,
+    url_reputation,
+)
 from wattloom.llm.oracle import ORACLE as ORACLE
 
 
@@ -95,6 +109,46 @@ def op10_token_counts(spark, sf_dir):
     return token_files.document_lengths(blocks).select("doc_id", "n_tokens")
 
 
+def op11_packed_windows(spark, sf_dir):
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+
+
+def with_planted_runs(documents):
+    """A tenth of the documents turned periodic from some word on. Part of the contract.
+
+    With h the CRC32 of the id, g = h div 10 and n words, where h is a multiple of 10
+    word i from a = g mod n on becomes word a + (i - a) mod p, p = 1 + (n - a) div (3 + g mod 8).
+    """
+    documents = documents.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    documents = documents.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    documents = documents.withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("int(g % greatest(n, 1))"))
+    documents = documents.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    tail = "slice(flatten(array_repeat(slice(words, a + 1, p), int((n - a) div p + 1))), 1, n - a)"
+    periodic_text = F.expr(f"array_join(concat(slice(words, 1, a), {tail}), ' ')")
+    return documents.select("doc_id", F.when(F.col("n") > 0, periodic_text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic.with_strongest(periodic.periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+    run, line = F.col("strongest"), F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        run["start"].alias("start"),
+        run["length"].alias("length"),
+        run["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ball_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_chat_masks": op2_chat_masks,
@@ -106,4 +160,7 @@ QUERIES = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_word_bpe": op9_word_bpe,
     "op10_token_counts": op10_token_counts,
+    "op11_packed_windows": op11_packed_windows,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_ranked_search": op13_ranked_search,
 }
