@@ -22,16 +22,8 @@ def test_stages_equal_brute_force(spark, folder):
         n_words, _, _, _, repeats = brute.counts(row["text"])
         if n_words < 50 or 100 * repeats > 50 * n_words:
             assert number not in good
-    shingles = {number: brute.shingles(row["text"]) for number, row in good.items()}
-
-    def similarity(a, b):
-        return len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b])
-
-    ids = sorted(shingles)
-    near = {(a, b): similarity(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if shingles[a] & shingles[b]}
-    assert not [pair for pair, s in near.items() if s >= 0.9 and pair[0] in single and pair[1] in single]
-    for number in set(good) - set(single):
-        assert max(s for pair, s in near.items() if number in pair) >= 0.65
+    prints = {number: brute.fingerprint(row["text"]) for number, row in good.items()}
+    assert set(single) == set(brute.groups(prints, 2).values())
     flags = brute.repeats([(number, row["text"]) for number, row in single.items()])
     assert set(cut) == set(single)
     for number, row in single.items():
@@ -60,15 +52,3 @@ def test_run_and_odd_rows(spark):
             if name != "bpe_encoding":
                 assert found.columns == docs.columns
     assert corpus_pipeline.run(spark, SF_DIR).columns == ["doc_id", "ids", "decoded"]
-
-
-def test_near_copies_go_at_a_similarity_of_just_the_threshold(spark, folder):
-    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    corpus_pipeline.good_documents(spark, documents, SF_DIR).write.parquet(f"{folder}/good")
-    good = spark.read.parquet(f"{folder}/good")
-    single = {r["doc_id"] for r in corpus_pipeline.without_near_copies(spark, good, SF_DIR).collect()}
-    shingles = {r["doc_id"]: brute.shingles(r["text"]) for r in good.collect()}
-    ids = sorted(shingles)
-    near = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if len(shingles[a] & shingles[b]) / len(shingles[a] | shingles[b]) >= 0.8]
-    assert not [pair for pair in near if pair[0] in single and pair[1] in single]
-    assert set(ids) - single <= {number for pair in near for number in pair}

@@ -11,9 +11,7 @@ broadcast, as a broadcast would have to gather all fingerprints first.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -21,10 +19,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from wattloom.llm.common import ASCII_LOWER, fresh, in_parts, stored, utf8_slices, word_sequence
+from wattloom.llm.common import ASCII_LOWER, fresh, in_parts, quoted, stored, utf8_slices, word_sequence
 from wattloom.llm.components import components
 
 SEED = 42
@@ -70,16 +67,22 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return np.fromiter(hashed, np.uint64, len(words) - size + 1)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
-    """``doc_id`` and its ``fingerprint`` as a signed long, one row per input row."""
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, longs: Sequence[str] = ()
+) -> DataFrame:
+    """``doc_id`` and its ``fingerprint`` as a signed long, one row per input row, and
+    the long columns named in ``longs``."""
+    picked = docs.select(
+        F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text"), *[F.col(quoted(c)) for c in longs]
+    )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_parts(batches, "text"):
             prints = np.array([fingerprint(text, size) for text in utf8_slices(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fingerprint"])
+            arrays = [batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "fingerprint", *longs])
 
-    return picked.mapInArrow(scan, "doc_id long, fingerprint long")
+    return picked.mapInArrow(scan, ", ".join(["doc_id long", "fingerprint long", *(f"{quoted(c)} long" for c in longs)]))
 
 
 class BKTree:
@@ -197,13 +200,9 @@ def links(classes: DataFrame, radius: int = 2) -> DataFrame:
     return dealt.mapInArrow(search, "a long, b long")
 
 
-def group_by_fingerprint(printed: DataFrame, radius: int = 2) -> DataFrame:
-    """``printed`` (``doc_id``, ``fingerprint``) with ``component_id``, the smallest
-    ``doc_id`` that links reach from the row. Read it from a stored table.
-
-    A row without an id takes part as its fingerprint; where a whole group has no id,
-    its ``component_id`` is NULL.
-    """
+def fingerprint_roots(printed: DataFrame, radius: int = 2) -> DataFrame:
+    """``fingerprint``, ``least`` (the smallest ``doc_id`` that has it) and ``root``, the
+    fingerprint that names what links reach, one row per distinct fingerprint."""
     by_print = printed.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     # classes are named by their fingerprint, which every class has
     classes = stored(by_print, "simhash-classes")
@@ -212,7 +211,17 @@ def group_by_fingerprint(printed: DataFrame, radius: int = 2) -> DataFrame:
     least = classes.join(roots, classes.fingerprint == roots.node, "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
-    least = stored(least, "simhash-roots")
+    return stored(least, "simhash-roots")
+
+
+def group_by_fingerprint(printed: DataFrame, radius: int = 2) -> DataFrame:
+    """``printed`` (``doc_id``, ``fingerprint``) with ``component_id``, the smallest
+    ``doc_id`` that links reach from the row. Read it from a stored table.
+
+    A row without an id takes part as its fingerprint; where a whole group has no id,
+    its ``component_id`` is NULL.
+    """
+    least = fingerprint_roots(printed, radius)
     group_least = least.groupBy("root").agg(F.min("least").alias("component_id"))
     named = least.join(group_least, "root").select("fingerprint", "component_id")
     return printed.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
@@ -232,312 +241,25 @@ def hex16(column: str):
     return F.lower(F.lpad(F.hex(F.col(column)), 16, "0"))
 
 
-# --- near copies by similarity -----------------------------------------------------
-
-# Minima of a sketch, cut into bands; four bits of each minimum estimate the similarity.
-SKETCH_BANDS, SKETCH_ROWS = 20, 6
-MINIMA = SKETCH_BANDS * SKETCH_ROWS
-# Chance that the radius of the BK-trees misses a pair of just the wanted similarity.
-MISS = 2e-6
-_RANDOM = np.random.default_rng(20)
-_FACTORS = _RANDOM.integers(1, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``docs``, all columns, less all but one of each group that links of
+    ``radius`` bits connect.
 
-
-def differing_bit(least: float) -> float:
-    """The greatest chance that a bit of two sets' fingerprints differs, at a similarity
-    of ``least`` or more.
-
-    Votes of large sets are normal, correlated by 2 s / (1 + s) or more; unions of up to
-    12 shingles, where ties and steps count, are gone through one by one.
-    """
-    worst = math.acos(2 * least / (1 + least)) / math.pi
-    half = [np.array([math.comb(n, k) for k in range(n + 1)]) / 2**n for n in range(13)]
-
-    def set_bit(common: int, own: int) -> np.ndarray:
-        """Chance of a set bit by the votes of the common shingles."""
-        votes = np.add.outer(np.arange(common + 1), np.arange(own + 1))
-        return (2 * votes > common + own) @ half[own]
-
-    for union in range(1, 13):
-        for common in range(1, union + 1):
-            if common / union < least:
-                continue
-            for own in range((union - common) // 2 + 1):
-                a, b = set_bit(common, own), set_bit(common, union - common - own)
-                worst = max(worst, float(half[common] @ (a * (1 - b) + b * (1 - a))))
-    return worst
-
-
-@cache
-def near_bits(least: float) -> int:
-    """The radius that a pair of similarity ``least`` or more exceeds with a chance of
-    ``MISS`` at most. It is 28 at 0.8, where a bit differs with a chance of 0.1875 in
-    sets of 4 and 5 shingles and 0.151 in large ones."""
-    chance, missed, bits = differing_bit(least), 1.0, -1
-    while missed > MISS and bits < 64:
-        bits += 1
-        missed = sum(math.comb(64, k) * chance**k * (1 - chance) ** (64 - k) for k in range(bits + 1, 65))
-    return bits
-
-
-def sketch(text: bytes, size: int) -> tuple[bytes, int, bytes, list[int]]:
-    """Digest of the words, fingerprint, packed minima and band keys of a text.
-
-    Each shingle votes once here, so that fingerprints are as near as the sets are alike.
+    The row with the smallest id stays, of rows that share it the one with the smallest
+    digest of its text, of rows equal in both any one. Rows without an id only stay if
+    their group has no other. NULL, empty and wordless texts have fingerprint zero and
+    are one group. An empty table stays empty; clashing column names are left alone.
     """
-    words = word_sequence(text.translate(ASCII_LOWER))
-    node = xxhash.xxh128_digest(b" ".join(words))
-    hashes = np.unique(shingle_hashes(words, size))
-    votes, minima = np.zeros(64, np.int64), np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 8_192):
-        part = hashes[at : at + 8_192]
-        votes += bit_votes(part)
-        for number, factor in enumerate(_FACTORS):
-            mixed = (part ^ (part >> np.uint64(32))) * factor
-            minima[number] = min(minima[number], mixed.min())
-    mark = majority(votes, len(hashes))
-    nibbles = (minima >> np.uint64(20)).astype(np.uint8) & 15
-    keys = [xxhash.xxh64_intdigest(band.tobytes(), number) for number, band in enumerate(minima.reshape(SKETCH_BANDS, SKETCH_ROWS))]
-    return node, mark, nibbles.tobytes(), keys
-
-
-def similarity(sketches: np.ndarray, one: np.ndarray) -> np.ndarray:
-    """Estimated Jaccard similarity of shingle sets; equal bits by chance are taken out."""
-    return ((sketches == one).mean(axis=1) - 1 / 16) / (15 / 16)
-
-
-def similar_links(prints: list[int], sketches: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Links that connect what similarities of ``least`` or more connect in a shard.
-
-    The walk goes outwards from unreached members; a BK-tree over the unreached, built
-    anew whenever half of them are gone, gives those whose fingerprint is near enough.
-    Different texts may share a fingerprint, so a node of the tree holds all its members.
-    """
-    found: list[tuple[int, int]] = []
-    radius = near_bits(least)
-    members = list(range(len(prints)))
-    reached = [False] * len(prints)
-
-    def grown() -> tuple[BKTree, list[list[int]]]:
-        holders: dict[int, list[int]] = {}
-        for member in members:
-            holders.setdefault(prints[member], []).append(member)
-        return BKTree(list(holders)), list(holders.values())
-
-    tree, held = grown()
-    for start in range(len(prints)):
-        if reached[start]:
-            continue
-        reached[start], frontier = True, [start]
-        while frontier:
-            at = frontier.pop()
-            near = [m for i in tree.within(prints[at], radius) for m in held[i] if not reached[m]]
-            if not near:
-                continue
-            alike = similarity(sketches[near], sketches[at]) >= least
-            for other in np.array(near)[alike].tolist():
-                reached[other] = True
-                found.append((at, other))
-                frontier.append(other)
-            left = [m for m in members if not reached[m]]
-            if 2 * len(left) < len(members):
-                members = left
-                tree, held = grown()
-    return found
-
-
-def border(least: float) -> float:
-    """How far from ``least`` an estimate is trusted: four standard deviations.
-
-    At 0.8 these are 0.152. A pair of just 0.8 is estimated below 0.648 with a chance of
-    1e-4, one below 0.8 at 0.952 or more with a chance of 2.3e-6 at most.
-    """
-    equal = least + (1 - least) / 16
-    return 4 * math.sqrt(equal * (1 - equal) / MINIMA) * 16 / 15
-
-
-def unlinked_pairs(labels: np.ndarray, sketches: np.ndarray, lowest: float) -> Iterator[tuple[int, int]]:
-    """Pairs of members of different labels with an estimate of ``lowest`` or more."""
-    _, number, sizes = np.unique(labels, return_inverse=True, return_counts=True)
-    outside = number != sizes.argmax()
-    for at in np.flatnonzero(outside).tolist():
-        # of two members outside of the largest label, the later one comes with the earlier
-        others = np.flatnonzero((number != number[at]) & (~outside | (np.arange(len(number)) > at)))
-        for other in others[similarity(sketches[others], sketches[at]) >= lowest].tolist():
-            yield at, other
-
-
-def shard_pairs(prints: list[int], sketches: np.ndarray, roots: list[bytes | None] | None, least: float) -> list[tuple[int, int, bool, bool]]:
-    """Pairs of a shard's members, whether the estimate makes them sure, and whether they
-    come from the walk.
-
-    Without ``roots``, the walk's links and every pair that may be similar though no
-    link connects it. With them, every pair that may be similar between different roots.
-    """
-    if roots is None:
-        pairs = similar_links(prints, sketches, least)
-        labels = np.arange(len(prints))
-        # links go outwards, so the inner end has its label
-        for inner, outer in pairs:
-            labels[outer] = labels[inner]
-    else:
-        pairs, labels = [], np.unique(np.array(roots, object), return_inverse=True)[1]
-    walked = len(pairs)
-    pairs = pairs + list(unlinked_pairs(labels, sketches, least - border(least)))
-    if not pairs:
-        return []
-    a, b = np.array(pairs).T
-    sure = [bool(similarity(sketches[x][None], sketches[y])[0] >= least + border(least)) for x, y in zip(a, b)]
-    return [(x, y, s, at < walked) for at, ((x, y), s) in enumerate(zip(pairs, sure))]
-
-
-def sketch_pairs(dealt: DataFrame, least: float) -> DataFrame:
-    """``a`` and ``b``, digests of texts that are or may be similar, ``sure``, ``walked``
-    and the shard, as ``shard_pairs`` gives them.
-
-    ``dealt`` has ``band``, ``key``, ``node``, ``print`` and ``sketch``, and ``root`` in
-    later rounds. Texts that share a band, all of its minima, form a shard.
-    """
-    rooted = "root" in dealt.columns
-    dealt = dealt.repartition("band", "key").sortWithinPartitions("band", "key", "node")
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard_key, held = None, []
-
-        def close(found: list) -> None:
-            if len(held) > 1:
-                sketches = np.array([np.frombuffer(row[2], np.uint8) for row in held])
-                roots = [row[3] for row in held] if rooted else None
-                pairs = shard_pairs([row[1] & 0xFFFFFFFFFFFFFFFF for row in held], sketches, roots, least)
-                found.extend((*sorted((held[a][0], held[b][0])), sure, walked, *shard_key) for a, b, sure, walked in pairs)
-
-        def rows(found: list) -> pa.RecordBatch:
-            columns = zip(*found) if found else [()] * len(PAIRS)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PAIRS)], schema=PAIRS)
-
-        for batch in batches:
-            band, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            cuts = (np.flatnonzero((band[1:] != band[:-1]) | (key[1:] != key[:-1])) + 1).tolist()
-            found: list = []
-            for a, b in zip([0, *cuts], [*cuts, len(key)]):
-                if a == b:
-                    continue
-                here = (int(band[a]), int(key[a]))
-                if here != shard_key:
-                    close(found)
-                    shard_key, held = here, []
-                part = batch.slice(a, b - a)
-                held.extend(zip(*[part.column(i).to_pylist() for i in range(2, part.num_columns)]))
-            yield rows(found)
-        last: list = []
-        close(last)
-        yield rows(last)
-
-    return dealt.mapInArrow(search, "a binary, b binary, sure boolean, walked boolean, band int, key long")
-
-
-PAIRS = pa.schema(
-    [("a", pa.binary()), ("b", pa.binary()), ("sure", pa.bool_()), ("walked", pa.bool_()), ("band", pa.int32()), ("key", pa.int64())]
-)
-
-
-def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
-    """``node``, the digest of a text's words, and the ``hashes`` of its distinct
-    shingles, one row per different word sequence of ``texts`` (``node``, ``text``)."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches, "text"):
-            sets = []
-            for text in utf8_slices(batch.column(1)):
-                words = word_sequence(text.translate(ASCII_LOWER))
-                sets.append(np.unique(shingle_hashes(words, size)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "hashes"])
-
-    return texts.dropDuplicates(["node"]).mapInArrow(scan, "node binary, hashes array<long>")
-
-
-def exact_links(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """``a``, ``b`` and ``alike``: whether the sets of shingle hashes have a Jaccard
-    similarity of ``least`` or more. Read ``pairs`` from a stored table."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = stored(shingle_sets(texts.join(wanted, "node", "left_semi"), size), "near-sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("one")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("other")), "b")
-    shared = F.size(F.array_intersect("one", "other"))
-    joint = F.size("one") + F.size("other") - F.col("shared")
-    counted = both.select("a", "b", shared.alias("shared"), "one", "other")
-    return stored(counted.select("a", "b", (F.col("shared") / joint >= least).alias("alike")), "near-checked")
-
-
-def near_links(classes: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
-    """``a`` and ``b``: digests of similar texts, enough links to connect each group.
-
-    ``classes`` has ``node``, ``print``, ``sketch`` and ``bands``, one row per distinct
-    word sequence; ``texts`` has ``node`` and ``text``. The estimate alone decides far
-    from ``least``; the pairs between are compared exactly. Where that refuses a link
-    that a walk relied on, the shard is gone through once more, without the walk.
-    """
-    dealt = classes.select(F.posexplode("bands").alias("band", "key"), "node", "print", "sketch")
-    found = stored(sketch_pairs(dealt, least), "near-pairs")
-    checked = exact_links(stored(found.filter("not sure").select("a", "b").distinct(), "near-unsure"), texts, size, least)
-    linked = found.filter("sure").select("a", "b").union(checked.filter("alike").select("a", "b"))
-    broken = found.filter("walked and not sure").join(checked.filter("not alike"), ["a", "b"], "left_semi").select("band", "key").distinct()
-    broken = stored(broken, "near-broken")
-    if broken.isEmpty():
-        return linked
-    roots = components(linked)
-    again = dealt.join(broken, ["band", "key"], "left_semi").join(roots, "node", "left")
-    again = again.select("band", "key", "node", "print", "sketch", F.coalesce("root", "node").alias("root"))
-    more = stored(sketch_pairs(again, least), "near-pairs")
-    unsure = more.filter("not sure").select("a", "b").distinct().join(checked, ["a", "b"], "left_anti")
-    rest = exact_links(stored(unsure, "near-unsure"), texts, size, least)
-    return linked.union(more.filter("sure").select("a", "b")).union(rest.filter("alike").select("a", "b"))
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, least: float = 0.8) -> DataFrame:
-    """The rows of ``docs``, all columns, less all but one of each group of near copies.
-
-    Texts whose sets of ``size``-word shingles have a Jaccard similarity of ``least`` or
-    more are linked, and what links connect is a group. An estimate decides far from
-    ``least`` (see ``border``), the hash sets themselves near it. Fingerprints of 64
-    bits are too far apart at such a similarity for shards of agreeing bits, so shards
-    come from min-hash bands: 20 bands of 6 minima miss one link of similarity 0.8 in about
-    400; BK-trees over the fingerprints search the shards. The row with the smallest id
-    stays, of repeated rows one; rows without an id only stay if their group has no
-    other. Texts without words are one group.
-    """
-    node, key = fresh(docs, "near_node", "near_key")
-    schema = T.StructType([*docs.schema.fields, T.StructField(node, T.BinaryType())])
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches, text_col):
-            texts = utf8_slices(batch.column(batch.schema.get_field_index(text_col)))
-            nodes = [xxhash.xxh128_digest(b" ".join(word_sequence(t.translate(ASCII_LOWER)))) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=[*batch.schema.names, node])
-
-    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_parts(batches, "text"):
-            drawn = [sketch(text, size) for text in utf8_slices(batch.column(1))]
-            nodes, prints, minima, bands = zip(*drawn) if drawn else ((), (), (), ())
-            arrays = [
-                batch.column(0),
-                pa.array(nodes, pa.binary()),
-                pa.array(np.array(prints, np.uint64).view(np.int64)),
-                pa.array(minima, pa.binary()),
-                pa.array([np.array(b, np.uint64).view(np.int64) for b in bands], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "node", "print", "sketch", "bands"])
-
+    key, mark, place = fresh(docs, "copy_key", "copy_mark", "copy_place")
     # the largest long stands for no id, and so loses to every other
-    ids = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
-    texts = docs.select(ids.alias("id"), F.col(text_col).cast("string").alias("text"))
-    drawn = stored(texts.mapInArrow(draw, "id long, node binary, print long, sketch binary, bands array<long>"), "near-sketches")
-    classes = drawn.groupBy("node").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("print", "sketch", "bands")])
-    classes = stored(classes, "near-classes")
-    digested = docs.mapInArrow(digest, schema).select(node, F.col(text_col).cast("string").alias("text")).toDF("node", "text")
-    roots = components(near_links(classes, digested, size, least))
-    grouped = classes.select("node", "id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    stays = grouped.groupBy("root").agg(F.min(F.struct("id", "node")).alias("one")).select(F.col("one.node").alias(node), F.col("one.id").alias(key))
-    rows = docs.mapInArrow(digest, schema).join(stays, node).filter(ids == F.col(key))
-    first = fresh(rows, "near_copy")[0]
-    return rows.withColumn(first, F.row_number().over(Window.partitionBy(node).orderBy(key))).filter(F.col(first) == 1).select(*docs.columns)
+    ids = F.coalesce(F.col(quoted(id_col)).cast("long"), F.lit((1 << 63) - 1))
+    text = F.col(quoted(text_col)).cast("string")
+    keyed = docs.withColumns({key: ids, mark: F.xxhash64(text)})
+    printed = fingerprints(keyed.select(key, F.col(quoted(text_col)), mark), key, text_col, size, [mark])
+    printed = stored(printed.withColumnRenamed(mark, "mark"), "simhash-prints")
+    roots = fingerprint_roots(printed, radius).select("fingerprint", "root")
+    picked = printed.join(roots, "fingerprint").groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("one"))
+    stays = picked.select(F.col("one.doc_id").alias(key), F.col("one.mark").alias(mark))
+    # before the exchange a partition already gives up all but one of its equal rows
+    single = keyed.withColumn(place, F.row_number().over(Window.partitionBy(key, mark).orderBy(F.lit(0)))).filter(F.col(place) == 1)
+    return single.join(stays, [key, mark], "left_semi").select(*[quoted(c) for c in docs.columns])
