@@ -24,8 +24,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies."""
-    return simhash.drop_near_copies(docs)
+    """One document of each group of SimHash neighbours: three-word shingles, two bits."""
+    return simhash.drop_copies(docs, size=3, radius=2)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
