@@ -1,0 +1,218 @@
+import os
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows, ts
+from test_jobs import RAW, hours, lake, land_consumption, land_weather  # noqa: F401
+
+from wattloom.operators import ranges, tables
+from wattloom.plans import jobs
+from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER
+from wattloom.sources.ledger import landed_files, read_ledger
+from wattloom.sources.tables import read_table
+
+START = datetime(2023, 12, 30)
+
+
+def layers(spark, lake):
+    return rows(jobs.read_silver(spark, lake)), rows(jobs.read_fact(spark, lake))
+
+
+def new_rows(spark, lake, *columns):
+    stored = read_table(spark, BRONZE_CONSUMPTION, lake.consumption)
+    return rows(stored.filter("date_heure >= '2024-01-03'"), *columns)
+
+
+def files_of(path):
+    return {f"{folder}/{name}" for folder, _, names in os.walk(path) for name in names if name.startswith("part-")}
+
+
+def land(spark, path, data):
+    """One parquet file at ``path`` from (instant, region, value)."""
+    raw = [(at, (at + timedelta(hours=1)).date().isoformat(), str(region), f"r{region}", "d", float(v)) for at, region, v in data]
+    spark.createDataFrame(raw, RAW).coalesce(1).write.parquet(f"{path}.written")
+    [part] = files_of(f"{path}.written")
+    os.replace(part, path)
+    return path
+
+
+@pytest.mark.parametrize("reach", [0, 3, 168])
+def test_ranges_equal_brute_force(spark, reach):
+    rng = random.Random(5)
+    data = [(s, START + timedelta(minutes=rng.randrange(60 * 24 * 40))) for s in (1, 2, 3) for _ in range(40)]
+    data += data[:10] + [(None, START), (1, None)]
+    changed = spark.createDataFrame(data, "s int, t timestamp_ntz")
+    found = ranges.affected_ranges(changed, ["s"], "t", reach).collect()
+    covered = {(r["s"], r["start"] + timedelta(hours=n)) for r in found for n in range(int((r["end"] - r["start"]).total_seconds()) // 3600)}
+    expected = {(s, t.replace(minute=0) + timedelta(hours=n)) for s, t in data if s and t for n in range(reach + 1)}
+    assert covered == expected
+    # neither overlapping nor touching
+    assert sum(int((r["end"] - r["start"]).total_seconds()) // 3600 for r in found) == len(expected)
+    starts = {(r["s"], r["start"]) for r in found}
+    assert not starts & {(r["s"], r["end"]) for r in found}
+    assert ranges.affected_ranges(changed.limit(0), ["s"], "t", reach).collect() == []
+
+
+def test_rows_in_ranges(spark, folder):
+    rng = random.Random(6)
+    data = [(s, START + timedelta(minutes=rng.randrange(60 * 24 * 20)), i) for s in (1, 2) for i in range(400)]
+    spans = [(1, START + timedelta(hours=30), START + timedelta(hours=75)), (1, START + timedelta(hours=70), START + timedelta(hours=71))]
+    spans += [(2, START + timedelta(hours=200), START + timedelta(hours=201)), (9, START, START + timedelta(hours=9))]
+    df = spark.createDataFrame(data, "s int, t timestamp_ntz, i int").selectExpr("*", "year(t) as year", "month(t) as month")
+    df.write.partitionBy("s", "year", "month").parquet(f"{folder}/rows")
+    stored = spark.read.schema("t timestamp_ntz, i int, s int, year int, month int").parquet(f"{folder}/rows")
+    wanted = spark.createDataFrame(spans, "s int, start timestamp_ntz, end timestamp_ntz")
+    expected = sorted((s, i) for s, t, i in data if any(s == x and a <= t < b for x, a, b in spans))
+    for frame, folders in ((df, ()), (stored, ("s", "year", "month"))):
+        assert rows(ranges.in_ranges(frame, wanted, ["s"], "t", folders), "s", "i") == sorted(expected, key=repr)
+    assert ranges.in_ranges(stored, wanted.limit(0), ["s"], "t", ("s", "year", "month")).count() == 0
+    late = wanted.filter("s = 2")
+    found = ranges.in_ranges(stored, late, ["s"], "t", ("s", "year", "month"), slack_days=0)
+    # only the folder of that series and month is read
+    scan = found._jdf.queryExecution().executedPlan().toString()
+    assert "2/2024/1" in scan and "1/2023/12" not in scan
+
+
+def test_changed_keys_see_values_repeats_and_nulls(spark):
+    schema = "k int, a int, b int"
+    target = spark.createDataFrame([(1, 1, 1), (2, 1, None), (3, 1, 1), (3, 2, 2), (4, 5, 5), (5, None, 1), (6, 1, 1)], schema)
+    source = spark.createDataFrame([(1, 1, 1), (2, None, 1), (3, 1, 1), (4, 5, 5), (4, 5, 5), (5, None, 1), (7, 0, 0)], schema)
+    assert rows(tables.changed_keys(target, source, ["k"])) == [(2,), (3,), (4,), (7,)]
+    both = spark.createDataFrame([(3, 2, 2), (3, 1, 1)], schema)
+    assert rows(tables.changed_keys(target, both, ["k"])) == []
+
+
+def test_late_rows_reach_silver_and_gold(spark, lake, folder):  # noqa: F811
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    before = layers(spark, lake)
+    late = [(ts("2023-12-21 03:00"), 11, 5000), (ts("2023-12-21 04:00"), 11, 6000), (ts("2023-12-31 22:30"), 44, 7000), (ts("2024-01-02 05:00"), 44, 8000)]
+    land(spark, f"{folder}/late.parquet", late)
+    untouched = files_of(f"{lake.silver}/region_code=11/year=2024")
+    touched = jobs.ingest_consumption(spark, lake, f"{folder}/late.parquet", as_of="2024-01-03")
+    assert rows(touched) == [(2023, 12, 21), (2023, 12, 31), (2024, 1, 2)]
+    found = jobs.propagate(spark, lake, now="2024-01-03")
+    week = timedelta(days=7)
+    # region 44's two ranges overlap, region 11's two hours are one range
+    assert rows(found) == sorted(
+        [(11, ts("2023-12-21 03:00"), ts("2023-12-21 05:00") + week), (44, ts("2023-12-31 22:00"), ts("2024-01-02 06:00") + week)], key=repr
+    )
+    assert files_of(f"{lake.silver}/region_code=11/year=2024") == untouched
+    after = layers(spark, lake)
+    assert after != before
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    assert layers(spark, lake) == after
+
+
+def test_weather_reaches_silver_and_gold(spark, lake, folder):  # noqa: F811
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    land_weather(f"{folder}/weather", "2023-12-24", "2023-12-26", "daily")
+    document = f"{folder}/weather/openmeteo-11-daily.json"
+    with open(document) as file:
+        text = file.read()
+    with open(document, "w") as file:
+        file.write(text.replace('"precipitation": [0.0', '"precipitation": [2.5'))
+    touched = jobs.ingest_weather(spark, lake, f"{folder}/weather/openmeteo-*.json")
+    assert rows(touched) == [(11, 2023, 12, 24), (11, 2023, 12, 25)]
+    # only one of 48 hours says something new
+    found = jobs.propagate(spark, lake, now="2024-01-03")
+    assert rows(found) == [(11, ts("2023-12-24 00:00"), ts("2023-12-31 01:00"))]
+    after = layers(spark, lake)
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    assert layers(spark, lake) == after
+
+
+def test_nothing_new_changes_nothing(spark, lake, folder):  # noqa: F811
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    before, files = layers(spark, lake), files_of(lake.silver)
+    assert jobs.propagate(spark, lake, now="2024-01-03").collect() == []
+    # the same values again: bronze is rewritten, but no hour changed
+    land_consumption(spark, f"{folder}/again", "2023-12-25", "2023-12-26")
+    assert jobs.ingest_consumption(spark, lake, f"{folder}/again").count() == 2
+    assert jobs.propagate(spark, lake, now="2024-01-03").collect() == []
+    assert jobs.ingest_consumption(spark, lake, f"{folder}/again").count() == 0
+    assert layers(spark, lake) == before and files_of(lake.silver) == files
+
+
+def test_a_rebuild_forgets_what_it_holds(spark, lake, folder):  # noqa: F811
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    land(spark, f"{folder}/late.parquet", [(ts("2023-12-21 03:00"), 11, 5000)])
+    jobs.ingest_consumption(spark, lake, f"{folder}/late.parquet")
+    jobs.merge_run(spark, lake, now="2024-01-03")
+    assert jobs.propagate(spark, lake, now="2024-01-03").collect() == []
+
+
+def test_a_failed_run_is_repeated(spark, lake, folder):  # noqa: F811
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    land(spark, f"{folder}/late.parquet", [(ts("2023-12-21 03:00"), 11, 5000)])
+    jobs.ingest_consumption(spark, lake, f"{folder}/late.parquet")
+    with pytest.raises(Exception, match="freshness"):
+        jobs.propagate(spark, lake, now="2025-01-03")
+    assert len(jobs.propagate(spark, lake, now="2024-01-03").collect()) == 1
+    after = layers(spark, lake)
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    assert layers(spark, lake) == after
+
+
+def test_a_read_file_is_not_opened_again(spark, lake, folder):  # noqa: F811
+    os.makedirs(f"{folder}/landed")
+    first, glob = f"{folder}/landed/a.parquet", f"{folder}/landed/*.parquet"
+    land(spark, f"{folder}/a", [(ts("2024-01-03 01:00"), 11, 1)])
+    os.replace(f"{folder}/a", first)
+    assert jobs.ingest_consumption(spark, lake, glob).count() == 1
+    state = os.stat(first)
+    with open(first, "wb") as file:
+        file.write(b"x" * state.st_size)
+    os.utime(first, ns=(state.st_atime_ns, state.st_mtime_ns))
+    land(spark, f"{folder}/b", [(ts("2024-01-03 02:00"), 11, 2)])
+    os.replace(f"{folder}/b", f"{folder}/landed/b.parquet")
+    assert jobs.ingest_consumption(spark, lake, glob).count() == 1
+    assert new_rows(spark, lake, "consommation") == [(1.0,), (2.0,)]
+    # replaced under its name, the first file counts as new
+    os.utime(first)
+    with pytest.raises(Exception, match="parquet|Parquet|PARQUET"):
+        jobs.ingest_consumption(spark, lake, glob)
+    land(spark, f"{folder}/c", [(ts("2024-01-03 01:00"), 11, 3)])
+    os.replace(f"{folder}/c", first)
+    assert jobs.ingest_consumption(spark, lake, glob).count() == 1
+    assert new_rows(spark, lake, "consommation") == [(2.0,), (3.0,)]
+    assert read_ledger(spark, lake.files_read).count() == 3
+
+
+def test_a_file_with_an_unfinished_day_waits(spark, lake, folder):  # noqa: F811
+    data = [(at, 11, 1) for at in hours("2024-01-03", "2024-01-04 05:00")]
+    raw = land(spark, f"{folder}/running.parquet", data)
+    for as_of, count in (("2024-01-04", 24), ("2024-01-04", 24), ("2024-01-05", 29), ("2024-01-05", 29)):
+        touched = jobs.ingest_consumption(spark, lake, raw, as_of=as_of)
+        assert read_table(spark, BRONZE_CONSUMPTION, lake.consumption).filter("date_heure >= '2024-01-03'").count() == count
+    assert touched.count() == 0
+    assert read_ledger(spark, lake.files_read).count() == 1
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_deliveries_in_one_run_or_several(spark, lake, folder, together):  # noqa: F811
+    paths = []
+    at = ts("2024-01-03 05:00")
+    for number, data in enumerate(([(at, 11, 1), (at, 11, 2), (at, 44, 3)], [(at, 11, 4)], [(at + timedelta(hours=1), 11, 5)])):
+        paths.append(land(spark, f"{folder}/delivery-{number}.parquet", data))
+        os.utime(paths[-1], (1_700_000_000 + number, 1_700_000_000 + number))
+    for some in [paths] if together else [paths[:1], paths[:2], paths]:
+        jobs.ingest_consumption(spark, lake, some)
+    assert new_rows(spark, lake, "code_insee_region", "consommation") == [("11", 4.0), ("11", 5.0), ("44", 3.0)]
+
+
+def test_listing_opens_no_file(spark, folder):
+    os.makedirs(f"{folder}/a folder")
+    with open(f"{folder}/a folder/x 1.parquet", "wb") as file:
+        file.write(b"12345")
+    [found] = landed_files(spark, f"{folder}/a folder/*.parquet").collect()
+    assert found["length"] == 5 and found["file_name"] == "x 1.parquet"
+    assert read_ledger(spark, f"{folder}/none").collect() == []
+
+
+def test_weather_documents_are_parsed_once(spark, lake, folder):  # noqa: F811
+    land_weather(f"{folder}/weather", "2024-01-02", "2024-01-05", "daily")
+    raw = f"{folder}/weather/openmeteo-*.json"
+    assert jobs.ingest_weather(spark, lake, raw, as_of="2024-01-05").count() == 3
+    assert jobs.ingest_weather(spark, lake, raw, as_of="2024-01-05").count() == 0
+    assert read_table(spark, BRONZE_WEATHER, lake.weather).filter("time >= '2024-01-03'").count() == 48

@@ -180,6 +180,21 @@ def keys_replaced(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
+def changed_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of ``source`` whose rows differ from the target's rows of that key, or that
+    the target lacks. Rows are counted and their digests summed per key, each side with
+    partial aggregates, so the order of rows does not matter."""
+    columns = [c for c in target.columns if c not in keys]
+
+    def digests(df: DataFrame, prefix: str) -> DataFrame:
+        row = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns]).cast("decimal(38,0)")
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"{prefix}_rows"), F.sum(row).alias(f"{prefix}_digest"))
+
+    both = digests(source, "_s").join(digests(target, "_t"), list(keys), "left")
+    same = F.col("_s_rows").eqNullSafe(F.col("_t_rows")) & F.col("_s_digest").eqNullSafe(F.col("_t_digest"))
+    return both.filter(~same).select(*keys)
+
+
 def in_touched(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame | None:
     """Rows of the touched partitions; None if no partition is touched.
 
@@ -223,7 +238,12 @@ def _as_frame(spark: SparkSession, touched: list, dataset: Dataset) -> DataFrame
 
 
 def _rewrite_touched(
-    df: DataFrame, dataset: Dataset, path: str, combine: Callable[[DataFrame, DataFrame], DataFrame], flat_path: str | None
+    df: DataFrame,
+    dataset: Dataset,
+    path: str,
+    combine: Callable[[DataFrame, DataFrame], DataFrame],
+    flat_path: str | None,
+    changed: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """Stage ``df``, combine it with the partitions it touches, replace only those."""
     spark = df.sparkSession
@@ -231,6 +251,8 @@ def _rewrite_touched(
         partitions = touched_partitions(staged, dataset.partition_by)
         near = in_touched(read_table_or_empty(spark, dataset, path), partitions, dataset.partition_by) if touched else None
         if near is not None:
+            if changed:
+                changed(changed_keys(near.select(*dataset.columns), staged, dataset.key))
             combined = combine(near.select(*dataset.columns), staged)
             _write(combined, dataset.partition_by, path, "overwrite", "dynamic")
         if flat_path:
@@ -252,11 +274,18 @@ def upsert_table(df: DataFrame, dataset: Dataset, path: str, updates: Sequence[s
     return _rewrite_touched(df, dataset, path, combine, flat_path)
 
 
-def replace_by_key(df: DataFrame, dataset: Dataset, path: str, flat_path: str | None = None) -> DataFrame:
+def replace_by_key(
+    df: DataFrame,
+    dataset: Dataset,
+    path: str,
+    flat_path: str | None = None,
+    changed: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
     """``keys_replaced`` in the stored table. No rows, no change. Returns the touched
-    partitions; ``flat_path`` gets a flat copy of the source."""
+    partitions; ``flat_path`` gets a flat copy of the source. ``changed`` is given the
+    ``changed_keys`` before the table is written."""
 
     def combine(target: DataFrame, staged: DataFrame) -> DataFrame:
         return keys_replaced(target, staged, dataset.key)
 
-    return _rewrite_touched(df, dataset, path, combine, flat_path)
+    return _rewrite_touched(df, dataset, path, combine, flat_path, changed)

@@ -5,21 +5,27 @@ A job works in a session of its own beside the caller's (``session.job_session``
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.functions.regions import is_daily_file, parse_region_code, region_from_file_name
+from wattloom.functions.timeparts import instant, truncated
 from wattloom.operators.quality import enforce, series_summary
+from wattloom.operators.ranges import affected_ranges, in_ranges, widened
 from wattloom.operators.slices import increment_slice, increment_slice_by_series, resolve_start, unknown_series
 from wattloom.operators.tables import flat_copy, overwrite_table, replace_by_key, replacing, upsert_table
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
-from wattloom.plans.gold import FACT_COLUMNS, build_fact
+from wattloom.plans.gold import FACT_COLUMNS, REACH_DAYS, build_fact
 from wattloom.plans.silver import SILVER_COLUMNS, build_silver
 from wattloom.schemas import (
     BRONZE_CONSUMPTION,
     BRONZE_WEATHER,
+    CHANGES,
     DIM_DATE,
     DIM_REGION,
     FACT,
@@ -27,11 +33,13 @@ from wattloom.schemas import (
     HOLIDAYS,
     SILVER,
     SILVER_UPDATES,
+    Dataset,
 )
-from wattloom.session import job_session
+from wattloom.session import delete_path, job_session, scratch
 from wattloom.sources.calendars import HOLIDAY_YEARS, dim_date, dim_region, holiday_calendar
 from wattloom.sources.consumption import read_raw_consumption
-from wattloom.sources.tables import high_watermark, high_watermarks, partition_years, read_table
+from wattloom.sources.ledger import add_to_ledger, landed_files, of_newest_file, read_ledger, unread
+from wattloom.sources.tables import high_watermark, high_watermarks, partition_folders, partition_years, read_table
 from wattloom.sources.tables import since as rows_since
 from wattloom.sources.weather import read_raw_weather
 
@@ -57,6 +65,14 @@ class Lake:
     def holidays(self) -> str:
         return self.path("bronze/public_holidays")
 
+    @property
+    def files_read(self) -> str:
+        return self.path("ingested/files")
+
+    @property
+    def changes(self) -> str:
+        return self.path("ingested/changed_hours")
+
     @property
     def silver(self) -> str:
         return self.path("silver/hourly")
@@ -111,14 +127,82 @@ def increment_weather(
     that was never backfilled fails."""
     spark = job_session(spark)
     marks = high_watermarks(spark, lake.weather, BRONZE_WEATHER)
-    documents = read_raw_weather(spark, raw, daily=True)
-    unknown = [row[0] for row in unknown_series(documents, marks, ["region_code"]).limit(20).collect()]
+    # the names say the regions, so no document is opened for them
+    named = landed_files(spark, raw).filter(is_daily_file("file_name"))
+    regions = named.select(parse_region_code(region_from_file_name("file_name")).alias("region_code"))
+    unknown = [row[0] for row in unknown_series(regions, marks, ["region_code"]).limit(20).collect()]
     if unknown:
         raise ValueError(f"no partitions found for regions {unknown}: run the backfill of this table first")
-    landed = increment_slice_by_series(documents, marks, ["region_code"], "time", as_of)
+    landed = increment_slice_by_series(read_raw_weather(spark, raw, daily=True), marks, ["region_code"], "time", as_of)
     return replace_by_key(bronze_weather(landed), BRONZE_WEATHER, lake.weather, flat_path)
 
 
+def _note_changes(lake: Lake, region: str, time: str) -> Callable[[DataFrame], None]:
+    """Store the hours of changed bronze keys, for ``propagate``. Called before bronze is
+    written, so that a run which fails between the two notes too much, never too little."""
+
+    def note(changed: DataFrame) -> None:
+        hours = changed.select(parse_region_code(region).alias("region_code"), truncated(changed, time, "hour").alias("date_heure"))
+        noted = hours.distinct().withColumn("batch", F.lit(uuid.uuid4().hex))
+        noted.write.mode("append").partitionBy(*CHANGES.partition_by).parquet(lake.changes)
+
+    return note
+
+
+def _finished(rows: DataFrame, files: list[Row], time: str, as_of: str | date | None) -> list[Row]:
+    """The files without rows that ``as_of`` holds back."""
+    if as_of is None:
+        return files
+    waiting = {row[0] for row in rows.filter(F.col(time) >= instant(as_of)).select("_file").distinct().collect()}
+    return [file for file in files if file["file"] not in waiting]
+
+
+def _until(rows: DataFrame, time: str, as_of: str | date | None) -> DataFrame:
+    return rows if as_of is None else rows.filter(F.col(time) < instant(as_of))
+
+
+def ingest_consumption(spark: SparkSession, lake: Lake, raw: str | list[str], as_of: str | date | None = None) -> DataFrame:
+    """Bring the rows of landed files that no earlier run has read into bronze, however
+    old the rows are; returns the partitions it touched.
+
+    A key takes the rows of the newest file that holds it. Files are noted as read once
+    their rows are stored; with ``as_of``, rows of that day and later wait, and so does
+    their file. The hours whose readings changed are noted for ``propagate``. A file that
+    is replaced under its name is read again. No new file changes nothing.
+    """
+    spark = job_session(spark)
+    files = unread(landed_files(spark, raw), read_ledger(spark, lake.files_read))
+    if not files:
+        return read_empty(spark, BRONZE_CONSUMPTION)
+    rows = read_raw_consumption(spark, [file["path"] for file in files], file_as="_file")
+    newest = of_newest_file(_until(rows, "date_heure", as_of), files, list(BRONZE_CONSUMPTION.key), "_file")
+    note = _note_changes(lake, "code_insee_region", "date_heure")
+    touched = replace_by_key(bronze_consumption(newest), BRONZE_CONSUMPTION, lake.consumption, changed=note)
+    add_to_ledger(spark, lake.files_read, _finished(rows, files, "date_heure", as_of))
+    return touched
+
+
+def ingest_weather(
+    spark: SparkSession, lake: Lake, raw: str | list[str], as_of: str | date | None = None, daily: bool = True
+) -> DataFrame:
+    """As ``ingest_consumption``, from the daily weather documents, or all others."""
+    spark = job_session(spark)
+    wanted = is_daily_file("file_name") if daily else ~is_daily_file("file_name")
+    files = unread(landed_files(spark, raw).filter(wanted), read_ledger(spark, lake.files_read))
+    if not files:
+        return read_empty(spark, BRONZE_WEATHER)
+    rows = read_raw_weather(spark, [file["path"] for file in files], daily=daily, file_as="_file")
+    newest = of_newest_file(_until(rows, "time", as_of), files, list(BRONZE_WEATHER.key), "_file")
+    touched = replace_by_key(bronze_weather(newest), BRONZE_WEATHER, lake.weather, changed=_note_changes(lake, "region_code", "time"))
+    add_to_ledger(spark, lake.files_read, _finished(rows, files, "time", as_of))
+    return touched
+
+
+def read_empty(spark: SparkSession, dataset: Dataset) -> DataFrame:
+    """No touched partition."""
+    return spark.createDataFrame([], dataset.schema).select(*dataset.partition_by)
+
+
 def build_holidays(spark: SparkSession, lake: Lake, first_year: int = HOLIDAY_YEARS[0], last_year: int = HOLIDAY_YEARS[1]) -> None:
     """Replace the holiday table; 134 short rows a year fit one file."""
     overwrite_table(holiday_calendar(job_session(spark), first_year, last_year), HOLIDAYS, lake.holidays)
@@ -179,6 +263,7 @@ def rebuild(
     it was. ``now`` is the clock of the freshness check, by default the current time.
     """
     spark = job_session(spark)
+    noted = partition_folders(spark, lake.changes, "batch")
     with replacing(spark, lake.silver) as new:
         overwrite_table(_silver_plan(spark, lake, None, calendar_tz, holidays), SILVER, new)
         enforce(series_summary(read_table(spark, SILVER, new), ["region_code"], as_of=now))
@@ -186,6 +271,13 @@ def rebuild(
     if flat_path:
         flat_copy(silver, flat_path)
     overwrite_table(_stored_fact(build_fact(silver)), FACT, lake.fact)
+    _forget(spark, noted)
+
+
+def _forget(spark: SparkSession, noted: list[str]) -> None:
+    """Delete changes that silver and gold now hold; later ones stay."""
+    for folder in noted:
+        delete_path(spark, folder)
 
 
 def _upsert_layers(
@@ -233,4 +325,53 @@ def merge_run(
 
     Equals ``rebuild`` where bronze holds everything that silver does.
     """
-    _upsert_layers(job_session(spark), lake, None, now, calendar_tz, flat_path, holidays)
+    spark = job_session(spark)
+    noted = partition_folders(spark, lake.changes, "batch")
+    _upsert_layers(spark, lake, None, now, calendar_tz, flat_path, holidays)
+    _forget(spark, noted)
+
+
+def propagate(
+    spark: SparkSession,
+    lake: Lake,
+    now: str | datetime | None = None,
+    calendar_tz: str | None = None,
+    flat_path: str | None = None,
+    holidays: bool = True,
+) -> DataFrame:
+    """Bring changed bronze rows of any age into silver and gold; returns ``region_code``,
+    ``start`` and ``end`` (exclusive) of the gold ranges that were computed again.
+
+    Silver is computed for the hours that ``ingest_consumption`` and ``ingest_weather``
+    noted, gold for these and the seven days after them, from the silver of seven more
+    days before. Overlapping ranges are merged first. Only folders that hold such hours
+    are read, and only their (region, year) folders are rewritten. Without changes
+    nothing happens. The result equals ``merge_run``. Changes are forgotten at the end,
+    so a run that fails is repeated whole. A flat copy holds the silver rows computed.
+    """
+    spark = job_session(spark)
+    noted = partition_folders(spark, lake.changes, "batch")
+    series, reach = ["region_code"], 24 * REACH_DAYS
+    if not noted:
+        return affected_ranges(spark.createDataFrame([], CHANGES.schema), series)
+    changed = spark.read.schema(CHANGES.schema).option("basePath", lake.changes).parquet(*noted)
+    with scratch(spark, "changed-ranges") as folder:
+        affected_ranges(changed, series).write.parquet(f"{folder}/hours")
+        affected_ranges(changed, series, reach_hours=reach).write.parquet(f"{folder}/reached")
+        hours, reached = spark.read.parquet(f"{folder}/hours"), spark.read.parquet(f"{folder}/reached")
+        found = spark.createDataFrame(reached.collect(), reached.schema)
+        readings = read_table(spark, BRONZE_CONSUMPTION, lake.consumption).withColumn("region_code", parse_region_code("code_insee_region"))
+        plan = build_silver(
+            in_ranges(readings, hours, series, "date_heure", BRONZE_CONSUMPTION.partition_by),
+            in_ranges(read_table(spark, BRONZE_WEATHER, lake.weather), hours, series, "time", BRONZE_WEATHER.partition_by),
+            _calendar(spark, lake, None) if holidays else None,
+            calendar_tz=calendar_tz,
+        )
+        upsert_table(plan, SILVER, lake.silver, SILVER_UPDATES, flat_path)
+        enforce(series_summary(read_silver(spark, lake), series, as_of=now))
+        read_from = widened(reached, reach)
+        silver = in_ranges(read_table(spark, SILVER, lake.silver), read_from, series, "date_heure", SILVER.partition_by, slack_days=0)
+        fact = in_ranges(build_fact(silver), reached, series)
+        upsert_table(_stored_fact(fact), FACT, lake.fact, FACT_UPDATES)
+    _forget(spark, noted)
+    return found

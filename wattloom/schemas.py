@@ -13,10 +13,12 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
     TimestampNTZType,
+    TimestampType,
 )
 
 _STRING, _INT, _DOUBLE = StringType(), IntegerType(), DoubleType()
@@ -161,6 +163,21 @@ DIM_REGION = Dataset(
     key=("region_code",),
 )
 
+# Landed files that increments have read.
+LEDGER = Dataset(
+    "landed_files",
+    _schema(("file", _STRING, "required"), ("length", LongType(), "required"), ("modified", TimestampType(), "required")),
+    key=("file", "length", "modified"),
+)
+
+# Hours whose bronze rows changed and that silver and gold have not seen.
+CHANGES = Dataset(
+    "changed_hours",
+    _schema(("region_code", _INT, "required"), ("date_heure", _INSTANT, "required"), ("batch", _STRING)),
+    key=("region_code", "date_heure", "batch"),
+    partition_by=("batch",),
+)
+
 # Measures a matched row takes from the source (also when NULL); the rest stays.
 SILVER_UPDATES = ("consommation", "temperature_2m", "precipitation", "is_holiday")
 FACT_UPDATES = SILVER_UPDATES + ("conso_moyenne_mobile_7j", "conso_j_moins_7")

@@ -76,6 +76,11 @@ def _newest_day(spark: SparkSession, path: str, columns: tuple[str, ...] = ("yea
     return None
 
 
+def partition_folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Folders of a table's first partition column; none if the table does not exist."""
+    return [folder for _, folder in _subfolders(spark, path, column)]
+
+
 def partition_years(spark: SparkSession, path: str) -> list[int]:
     """Years with a folder in a table laid out by year first."""
     return sorted(int(value) for value, _ in _subfolders(spark, path, "year"))

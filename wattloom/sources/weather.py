@@ -17,7 +17,7 @@ def read_weather_documents(spark: SparkSession, paths: str | list[str]) -> DataF
     reading it whole is bounded; files are spread over tasks. Broken JSON fails."""
     paths = [paths] if isinstance(paths, str) else paths
     reader = spark.read.schema(RAW_WEATHER).option("multiLine", True).option("mode", "FAILFAST")
-    return reader.json(paths).select(F.col("_metadata.file_name").alias("file_name"), "hourly")
+    return reader.json(paths).select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file"), "hourly")
 
 
 def select_documents(documents: DataFrame, daily: bool) -> DataFrame:
@@ -26,8 +26,9 @@ def select_documents(documents: DataFrame, daily: bool) -> DataFrame:
     return documents.filter(marked if daily else ~marked)
 
 
-def weather_rows(documents: DataFrame) -> DataFrame:
-    """One row per hour: region_code, time, temperature_2m, precipitation.
+def weather_rows(documents: DataFrame, file_as: str | None = None) -> DataFrame:
+    """One row per hour: region_code, time, temperature_2m, precipitation, and the
+    ``file`` of ``documents`` under the name ``file_as``, if that is given.
 
     Arrays of unequal length are cut to the shortest; a measure that is missing
     from the document is NULL; a document without ``hourly`` fails.
@@ -43,10 +44,11 @@ def weather_rows(documents: DataFrame) -> DataFrame:
     checked = documents.filter(F.when(F.col("hourly.time").isNull(), F.raise_error(message).cast("boolean")).otherwise(True))
     hours = checked.select(
         parse_region_code(region_from_file_name("file_name")).alias("region_code"),
+        *([F.col("file").alias(file_as)] if file_as else []),
         F.inline(F.arrays_zip(*cut)).alias("time", *MEASURES),
     )
     return hours.withColumn("time", parse_instant("time"))
 
 
-def read_raw_weather(spark: SparkSession, paths: str | list[str], daily: bool = False) -> DataFrame:
-    return weather_rows(select_documents(read_weather_documents(spark, paths), daily))
+def read_raw_weather(spark: SparkSession, paths: str | list[str], daily: bool = False, file_as: str | None = None) -> DataFrame:
+    return weather_rows(select_documents(read_weather_documents(spark, paths), daily), file_as)

@@ -358,4 +358,6 @@ GROUP BY ALL""",
     "job_rebuild": JOB_FACT,
     "job_rolling_run": JOB_FACT,
     "job_merge_run": JOB_FACT,
+    "increment_by_ledger": JOB_CONSUMPTION,
+    "propagate_late_rows": JOB_FACT,
 }
