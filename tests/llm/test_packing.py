@@ -92,16 +92,25 @@ def test_packer_keeps_every_token(capacity, group):
 @given(st.lists(st.text(alphabet=st.sampled_from("aZéあ \n\x1c.'<|>😀9"), max_size=40), max_size=5))
 def test_tokens_are_the_librarys(texts):
     library = Tokenizer.from_file(PATH)
-    found = [np.frombuffer(t, packing.TOKEN).tolist() for t in packing.chunk_tokens(PATH).encode(texts)]
+    found = [np.frombuffer(t, packing.TOKEN).tolist() for t in packing.word_tokens(PATH).encode(texts)]
     assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_the_latin_pattern_finds_the_same_words():
+    words = packing.word_tokens(PATH)
+    rng = random.Random(34)
+    letters = [chr(c) for c in range(256)]
+    for _ in range(300):
+        text = "".join(rng.choices(letters + ["'s", "'ll", " ", "ab"], k=60))
+        assert words.latin.findall(text) == words.bpe.words.findall(text)
+
+
 def test_special_tokens_and_a_small_cache(monkeypatch):
     library = Tokenizer.from_file(PATH)
     special = next(iter(library.get_added_tokens_decoder().values())).content
-    monkeypatch.setattr(packing, "CACHED_CHUNKS", 3)
-    encoder = packing.ChunkTokens(PATH)
-    for text in (f"one {special} two{special}three", "one two three four five", special, f"{special} {special}"):
+    monkeypatch.setattr(packing, "WORDS", 3)
+    encoder = packing.WordTokens(PATH)
+    for text in ("one two", f"one {special} two{special}three", "one two three four five", special, f"{special} {special}"):
         [tokens] = encoder.encode([text])
         assert np.frombuffer(tokens, packing.TOKEN).tolist() == library.encode(text, add_special_tokens=False).ids
 

@@ -12,22 +12,30 @@ and what is left of the last is cut into powers of two, which need no padding.
 from __future__ import annotations
 
 import heapq
+import re
 from bisect import insort
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.bpe import CACHED_CHUNKS, PART_CHARS, WordBPE
+from wattloom.llm.bpe import WordBPE
 from wattloom.llm.common import in_parts, quoted, utf8_slices
 
 CAPACITY = 4096
 # Windows that are filled together: a million tokens, which a task holds.
 GROUP_WINDOWS = 256
+# Words of one age that a Python worker remembers: some 100 MB for both ages.
+WORDS = 300_000
+# Text that is encoded together: the more, the fewer words come again and again.
+TEXT_BYTES = 4 << 20
 END = 2
 TOKEN = np.dtype("<u4")
 
@@ -135,43 +143,96 @@ def in_powers(window: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, in
             yield part
 
 
-class ChunkTokens:
-    """Whole texts to token bytes; encoded chunks between white space are remembered."""
+class TwoAges:
+    """A bounded memory: what was used since the last change of ages stays, and what
+    was not used for a whole age is forgotten."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def unknown(self, keys: list[str]) -> list[str]:
+        """Of different keys those that are not in memory. All others are young then."""
+        young = self.young
+        missing = [key for key in keys if key not in young]
+        if len(young) + len(missing) > self.size:
+            self.young, self.old, missing = {}, young, keys
+        old = self.old
+        self.young.update({key: old[key] for key in missing if key in old})
+        return [key for key in missing if key not in old]
+
+
+def latin_pattern(pattern: str) -> re.Pattern:
+    """A word pattern of Unicode classes for text up to U+00FF, with the classes written
+    out, which the standard library matches faster."""
+    for name in ("White_Space", "L", "N"):
+        members = "".join(f"\\x{c:02x}" for c in range(256) if regex.match(rf"\p{{{name}}}", chr(c)))
+        pattern = pattern.replace(f"\\p{{{name}}}", members)
+    return re.compile(pattern)
+
+
+class WordTokens:
+    """Whole texts to token bytes. Encoded words are remembered; Arrow finds the different
+    words of many texts and puts their tokens one after another."""
 
     def __init__(self, path: str):
         self.bpe = WordBPE(path)
-        self.special = {f" {token}": np.array([number], TOKEN).tobytes() for token, number in self.bpe.special.items()}
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, chunks: set[str]) -> None:
-        if len(self.known) + len(chunks) > CACHED_CHUNKS:
-            # what this part uses stays, and with it the frequent chunks
-            self.known = {chunk: self.known[chunk] for chunk in chunks if chunk in self.known}
-        new = [chunk for chunk in chunks if chunk not in self.known]
-        parts = [self.bpe.chunk_words(chunk) if chunk not in self.special else [] for chunk in new]
-        words = list(set().union(*parts))
-        tokens = {word: np.array(ids, TOKEN).tobytes() for word, ids in zip(words, self.bpe.merge_all(words))}
-        self.known.update((chunk, b"".join([tokens[w] for w in part])) for chunk, part in zip(new, parts))
-        self.known.update((chunk, self.special[chunk]) for chunk in chunks & self.special.keys())
+        self.special = {token: np.array([number], TOKEN).tobytes() for token, number in self.bpe.special.items()}
+        self.latin = latin_pattern(self.bpe.words.pattern)
+        self.known = TwoAges(WORDS)
+
+    def _words(self, text: str) -> list[str]:
+        """The words of a text without special tokens; none holds white space."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return [word for chunk in self.bpe.split(text) for word in self.bpe.chunk_words(chunk)]
+        return self.latin.findall(self.bpe.normalize(text))
+
+    def _tokens(self, words: list[str]) -> list[bytes]:
+        """The tokens of different words."""
+        new = self.known.unknown(words)
+        merged = self.bpe.merge_all(new)
+        stops = (np.cumsum([0, *map(len, merged)]) * TOKEN.itemsize).tolist()
+        data = np.fromiter(chain.from_iterable(merged), TOKEN).tobytes()
+        young = self.known.young
+        young.update(zip(new, [data[a:b] for a, b in zip(stops, stops[1:])]))
+        return [young[word] for word in words]
+
+    def _with_special(self, text: str) -> bytes:
+        found = []
+        for part in self.bpe.special_split.split(text):
+            words = self._words(part) if part not in self.special else []
+            different = list(set(words))
+            known = dict(zip(different, self._tokens(different)))
+            found.append(self.special.get(part, b""))
+            found.extend(known[word] for word in words)
+        return b"".join(found)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        at = 0
-        while at < len(texts):
-            stop, chars = at, 0
-            while stop < len(texts) and chars < PART_CHARS:
-                chars += len(texts[stop])
-                stop += 1
-            split = [self.bpe.split(text) for text in texts[at:stop]]
-            self._learn(set().union(*split))
-            for chunks in split:
-                yield b"".join(map(self.known.__getitem__, chunks))
-            at = stop
+        """The tokens of each text, in order."""
+        special = {i: self._with_special(text) for i, text in enumerate(texts) if any(token in text for token in self.special)}
+        lines = pa.array([" ".join(self._words(text)) if i not in special else "" for i, text in enumerate(texts)], pa.large_string())
+        by_line = pc.split_pattern(lines, " ")
+        different = by_line.flatten().dictionary_encode()
+        tokens = pa.array(self._tokens(different.dictionary.to_pylist()), pa.large_binary()).take(different.indices)
+        if len(tokens):
+            _, stops, data = tokens.buffers()
+            stops = np.frombuffer(stops, np.int64)[by_line.offsets.to_numpy()].tolist()
+        for i in range(len(texts)):
+            if i in special:
+                yield special[i]
+            elif stops[i] < stops[i + 1]:
+                yield data[stops[i] : stops[i + 1]].to_pybytes()
+            else:
+                yield b""
 
 
 @lru_cache(maxsize=1)
-def chunk_tokens(path: str) -> ChunkTokens:
-    """One encoder, with its cache of chunks, for all tasks of a Python worker."""
-    return ChunkTokens(path)
+def word_tokens(path: str) -> WordTokens:
+    """One encoder, with its memory of words, for all tasks of a Python worker."""
+    return WordTokens(path)
 
 
 class Packer:
@@ -270,8 +331,8 @@ def pack_documents(
             arrays += [pa.array(rest[3], pa.int64()), pa.array(sequences), pa.array(rest[5], pa.int64())]
             return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "length", "tokens", "doc_tokens", "sequence_id", "offset"])
 
-        encoder = chunk_tokens(path)
-        for batch in in_parts(batches, "text"):
+        encoder = word_tokens(path)
+        for batch in in_parts(batches, "text", TEXT_BYTES):
             id_type = batch.schema.field(0).type
             texts = [text.decode("utf-8", "replace") for text in utf8_slices(batch.column(1))]
             found: list[tuple] = []
