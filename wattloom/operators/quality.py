@@ -135,11 +135,25 @@ def series_summary(
         F.sum("outliers").alias("outliers"),
         (F.count(F.lit(1)) == 0).cast("long").alias("empty"),
     )
-    names = ["duplicates", "gaps", "freshness", "empty"] + (["outliers"] if value else [])
+    return check_rows(totals, ["duplicates", "gaps", "freshness", "empty"] + (["outliers"] if value else []))
+
+
+def check_rows(totals: DataFrame, names: list[str]) -> DataFrame:
+    """(check, violations) from one row with a column per check; NULL counts as none."""
     pairs = [F.struct(F.lit(name).alias("check"), F.coalesce(name, F.lit(0).cast("long")).alias("violations")) for name in names]
     return totals.select(F.inline(F.array(*pairs)))
 
 
+def write_counts(keys: list[str], value: str, low: float = LOWEST, high: float = HIGHEST) -> list[Column]:
+    """Aggregates for ``tables.overwrite_table`` to count while it writes: ``nb`` rows,
+    ``null_keys`` and ``outliers``. They need no second look at the table."""
+    has_null = F.lit(False)
+    for key in keys:
+        has_null = has_null | F.col(key).isNull()
+    counts = {"nb": F.count(F.lit(1)), "null_keys": F.count_if(has_null), "outliers": F.count_if(is_outlier(value, low, high))}
+    return [count.alias(name) for name, count in counts.items()]
+
+
 def enforce(summary: DataFrame) -> None:
     """Fail with all checks that found rows. The summary has one row per check."""
     failed = [row for row in summary.collect() if row["violations"]]

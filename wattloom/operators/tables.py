@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -30,14 +30,18 @@ def _write(
     mode: str,
     overwrite: str = "static",
     gather: bool = True,
+    observed: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
-    if not partition_by:
-        df.write.mode(mode).parquet(path)
-        return
-    if gather:
+    if gather and partition_by:
         # Brings the rows of a partition together, so that tasks do not each write a
         # sliver of every partition, and lets AQE split a large one over several tasks.
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    if observed:
+        # in the stage that writes, whose tasks count once even if earlier ones are repeated
+        df = df.observe(observed[0], *observed[1])
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
     df.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*partition_by).parquet(path)
 
 
@@ -93,15 +97,22 @@ def replacing(spark: SparkSession, path: str) -> Iterator[str]:
     spark.catalog.refreshByPath(path)
 
 
-def overwrite_table(df: DataFrame, dataset: Dataset, path: str, gather: bool = True) -> None:
+def overwrite_table(
+    df: DataFrame, dataset: Dataset, path: str, gather: bool = True, counts: Sequence[Column] = ()
+) -> dict[str, int] | None:
     """Rebuild the whole table. Whatever increments wrote since is replaced; a job that
     fails leaves the old table. ``df`` may read the table it replaces.
 
     ``gather=False`` writes rows from the tasks that read them, without a shuffle: for
     input whose files already hold few partitions each, such as files in day order.
+
+    ``counts`` are named aggregates over the rows written, taken by the write itself and
+    returned by name.
     """
+    observation = Observation()
     with replacing(df.sparkSession, path) as new:
-        _write(conform(df, dataset), dataset.partition_by, new, "overwrite", gather=gather)
+        _write(conform(df, dataset), dataset.partition_by, new, "overwrite", gather=gather, observed=(observation, counts) if counts else None)
+    return observation.get if counts else None
 
 
 def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
@@ -244,6 +255,7 @@ def _rewrite_touched(
     combine: Callable[[DataFrame, DataFrame], DataFrame],
     flat_path: str | None,
     changed: Callable[[DataFrame], None] | None = None,
+    touching: Callable[[list], None] | None = None,
 ) -> DataFrame:
     """Stage ``df``, combine it with the partitions it touches, replace only those."""
     spark = df.sparkSession
@@ -253,6 +265,8 @@ def _rewrite_touched(
         if near is not None:
             if changed:
                 changed(changed_keys(near.select(*dataset.columns), staged, dataset.key))
+            if touching:
+                touching(touched)
             combined = combine(near.select(*dataset.columns), staged)
             _write(combined, dataset.partition_by, path, "overwrite", "dynamic")
         if flat_path:
@@ -260,18 +274,26 @@ def _rewrite_touched(
     return _as_frame(spark, touched, dataset)
 
 
-def upsert_table(df: DataFrame, dataset: Dataset, path: str, updates: Sequence[str], flat_path: str | None = None) -> DataFrame:
+def upsert_table(
+    df: DataFrame,
+    dataset: Dataset,
+    path: str,
+    updates: Sequence[str],
+    flat_path: str | None = None,
+    touching: Callable[[list], None] | None = None,
+) -> DataFrame:
     """``merged`` into the stored table by its key. No rows, no change.
 
     The source is written once to the shared scratch folder, so it is computed once
     and its partitions are known; only those partitions are read and replaced.
     Returns the touched partitions; ``flat_path`` gets a flat copy of the source.
+    ``touching`` is given the touched partitions before the table is written.
     """
 
     def combine(target: DataFrame, staged: DataFrame) -> DataFrame:
         return merged(target, staged, dataset.key, updates)
 
-    return _rewrite_touched(df, dataset, path, combine, flat_path)
+    return _rewrite_touched(df, dataset, path, combine, flat_path, touching=touching)
 
 
 def replace_by_key(

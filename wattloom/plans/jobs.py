@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.regions import is_daily_file, parse_region_code, region_from_file_name
 from wattloom.functions.timeparts import instant, truncated
-from wattloom.operators.quality import enforce, series_summary
+from wattloom.operators.quality import DataQualityError, enforce, write_counts
 from wattloom.operators.ranges import affected_ranges, in_ranges, widened
 from wattloom.operators.slices import increment_slice, increment_slice_by_series, resolve_start, unknown_series
-from wattloom.operators.tables import flat_copy, overwrite_table, replace_by_key, replacing, upsert_table
+from wattloom.operators.summaries import gate_summary, partition_summary
+from wattloom.operators.tables import append_by_name, flat_copy, overwrite_table, replace_by_key, replacing, upsert_table
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
 from wattloom.plans.gold import FACT_COLUMNS, REACH_DAYS, build_fact
 from wattloom.plans.silver import SILVER_COLUMNS, build_silver
@@ -32,6 +33,7 @@ from wattloom.schemas import (
     FACT_UPDATES,
     HOLIDAYS,
     SILVER,
+    SILVER_SUMMARIES,
     SILVER_UPDATES,
     Dataset,
 )
@@ -39,7 +41,7 @@ from wattloom.session import delete_path, job_session, scratch
 from wattloom.sources.calendars import HOLIDAY_YEARS, dim_date, dim_region, holiday_calendar
 from wattloom.sources.consumption import read_raw_consumption
 from wattloom.sources.ledger import add_to_ledger, landed_files, of_newest_file, read_ledger, unread
-from wattloom.sources.tables import high_watermark, high_watermarks, partition_folders, partition_years, read_table
+from wattloom.sources.tables import high_watermark, high_watermarks, partition_folders, partition_values, partition_years, read_table, read_table_or_empty
 from wattloom.sources.tables import since as rows_since
 from wattloom.sources.weather import read_raw_weather
 
@@ -77,6 +79,10 @@ class Lake:
     def silver(self) -> str:
         return self.path("silver/hourly")
 
+    @property
+    def summaries(self) -> str:
+        return self.path("silver/summaries")
+
     @property
     def fact(self) -> str:
         return self.path("gold/fact_consommation_horaire")
@@ -248,6 +254,45 @@ def _stored_fact(fact: DataFrame) -> DataFrame:
     return fact.withColumn("year", F.year("date_heure"))
 
 
+SERIES, PART = ["region_code"], ["year"]
+
+
+def _summarised(silver: DataFrame) -> DataFrame:
+    return partition_summary(silver, SERIES, PART)
+
+
+def silver_summaries(spark: SparkSession, lake: Lake) -> DataFrame:
+    """One summary per (region, year) of silver. Those that no run has made since their
+    partition was written are made now, from these partitions alone."""
+    spark = job_session(spark)
+    stored = partition_values(spark, lake.silver, SILVER.partition_by)
+    known = partition_values(spark, lake.summaries, SILVER.partition_by)
+    missing = ["/".join(values) for values in stored if values not in known]
+    if missing:
+        named = F.concat_ws("/", *[F.col(c).cast("string") for c in SILVER.partition_by])
+        rows = read_table(spark, SILVER, lake.silver).filter(named.isin(missing))
+        append_by_name(_summarised(rows), SILVER_SUMMARIES, lake.summaries)
+    return read_table_or_empty(spark, SILVER_SUMMARIES, lake.summaries)
+
+
+def _gate(spark: SparkSession, lake: Lake, now) -> None:
+    enforce(gate_summary(silver_summaries(spark, lake), SERIES, PART, as_of=now))
+
+
+def forget_summaries(spark: SparkSession, lake: Lake) -> Callable[[list], None]:
+    """Delete the summaries of partitions that are about to be written, so that a run
+    which fails on the way leaves none that is out of date."""
+
+    def forget(touched: list) -> None:
+        known = partition_values(spark, lake.summaries, SILVER.partition_by)
+        for row in touched:
+            folder = known.get(tuple(str(row[c]) for c in SILVER.partition_by))
+            if folder:
+                delete_path(spark, folder)
+
+    return forget
+
+
 def rebuild(
     spark: SparkSession,
     lake: Lake,
@@ -264,9 +309,16 @@ def rebuild(
     """
     spark = job_session(spark)
     noted = partition_folders(spark, lake.changes, "batch")
-    with replacing(spark, lake.silver) as new:
-        overwrite_table(_silver_plan(spark, lake, None, calendar_tz, holidays), SILVER, new)
-        enforce(series_summary(read_table(spark, SILVER, new), ["region_code"], as_of=now))
+    with scratch(spark, "silver-summaries") as folder:
+        with replacing(spark, lake.silver) as new:
+            plan = _silver_plan(spark, lake, None, calendar_tz, holidays)
+            counts = overwrite_table(plan, SILVER, new, counts=write_counts(list(SILVER.key), "consommation"))
+            if not counts["nb"]:
+                raise DataQualityError("data quality checks failed: empty: 1 row(s)")
+            overwrite_table(_summarised(read_table(spark, SILVER, new)), SILVER_SUMMARIES, folder)
+            enforce(gate_summary(read_table(spark, SILVER_SUMMARIES, folder), SERIES, PART, as_of=now))
+            delete_path(spark, lake.summaries)
+        overwrite_table(read_table(spark, SILVER_SUMMARIES, folder), SILVER_SUMMARIES, lake.summaries)
     silver = read_silver(spark, lake)
     if flat_path:
         flat_copy(silver, flat_path)
@@ -284,11 +336,11 @@ def _upsert_layers(
     spark: SparkSession, lake: Lake, start: str | None, now, calendar_tz: str | None, flat_path: str | None, holidays: bool
 ) -> None:
     plan = _silver_plan(spark, lake, start, calendar_tz, holidays)
-    upsert_table(plan, SILVER, lake.silver, SILVER_UPDATES)
+    upsert_table(plan, SILVER, lake.silver, SILVER_UPDATES, touching=forget_summaries(spark, lake))
     silver = read_silver(spark, lake)
     if flat_path:
         flat_copy(silver if start is None else rows_since(silver, "date_heure", start), flat_path)
-    enforce(series_summary(silver, ["region_code"], as_of=now))
+    _gate(spark, lake, now)
     upsert_table(_stored_fact(build_fact(silver, since=start)), FACT, lake.fact, FACT_UPDATES)
 
 
@@ -351,7 +403,7 @@ def propagate(
     """
     spark = job_session(spark)
     noted = partition_folders(spark, lake.changes, "batch")
-    series, reach = ["region_code"], 24 * REACH_DAYS
+    series, reach = SERIES, 24 * REACH_DAYS
     if not noted:
         return affected_ranges(spark.createDataFrame([], CHANGES.schema), series)
     changed = spark.read.schema(CHANGES.schema).option("basePath", lake.changes).parquet(*noted)
@@ -367,8 +419,8 @@ def propagate(
             _calendar(spark, lake, None) if holidays else None,
             calendar_tz=calendar_tz,
         )
-        upsert_table(plan, SILVER, lake.silver, SILVER_UPDATES, flat_path)
-        enforce(series_summary(read_silver(spark, lake), series, as_of=now))
+        upsert_table(plan, SILVER, lake.silver, SILVER_UPDATES, flat_path, touching=forget_summaries(spark, lake))
+        _gate(spark, lake, now)
         read_from = widened(reached, reach)
         silver = in_ranges(read_table(spark, SILVER, lake.silver), read_from, series, "date_heure", SILVER.partition_by, slack_days=0)
         fact = in_ranges(build_fact(silver), reached, series)

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.functions.exact import exact_mean
 from wattloom.functions.regions import parse_region_code
 from wattloom.functions.timeparts import instant
 from wattloom.operators.series import per_instant, time_bucket
@@ -18,7 +19,7 @@ SILVER_COLUMNS = ["date_heure", "region_code", "consommation", "temperature_2m",
 Mean = Callable[[str], Column]
 
 
-def demand_by_hour(readings: DataFrame, on_bad_code: str = "fail", mean: Mean = F.avg) -> DataFrame:
+def demand_by_hour(readings: DataFrame, on_bad_code: str = "fail", mean: Mean = exact_mean) -> DataFrame:
     """Hourly consumption as a mean of per-instant means: an instant that was delivered
     twice weighs as much as any other."""
     coded = readings.withColumn("region_code", parse_region_code("code_insee_region", on_bad_code))
@@ -26,7 +27,7 @@ def demand_by_hour(readings: DataFrame, on_bad_code: str = "fail", mean: Mean =
     return time_bucket(per_instant(coded, ["region_code"], [measure]), ["region_code"], measure)
 
 
-def weather_by_instant(rows: DataFrame, mean: Mean = F.avg) -> DataFrame:
+def weather_by_instant(rows: DataFrame, mean: Mean = exact_mean) -> DataFrame:
     """Both measures per (region, instant); instants are not truncated."""
     measures = [mean(name).alias(name) for name in ("temperature_2m", "precipitation")]
     return per_instant(rows.withColumnRenamed("time", "date_heure"), ["region_code"], measures)
@@ -57,7 +58,7 @@ def build_silver(
     since: str | date | None = None,
     calendar_tz: str | None = None,
     on_bad_code: str = "fail",
-    mean: Mean = F.avg,
+    mean: Mean = exact_mean,
 ) -> DataFrame:
     """Consumption hours with the weather of the same hour and region, where known.
 

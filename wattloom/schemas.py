@@ -178,6 +178,24 @@ CHANGES = Dataset(
     partition_by=("batch",),
 )
 
+# What the gate knows of each partition of silver.
+SILVER_SUMMARIES = Dataset(
+    "silver_summaries",
+    _schema(
+        ("first_hour", LongType()),
+        ("last_hour", LongType()),
+        ("newest", _INSTANT),
+        ("nb", LongType()),
+        ("repeats", LongType()),
+        ("gaps", LongType()),
+        ("outliers", LongType()),
+        ("region_code", _INT, "required"),
+        ("year", _INT),
+    ),
+    key=("region_code", "year"),
+    partition_by=("region_code", "year"),
+)
+
 # Measures a matched row takes from the source (also when NULL); the rest stays.
 SILVER_UPDATES = ("consommation", "temperature_2m", "precipitation", "is_holiday")
 FACT_UPDATES = SILVER_UPDATES + ("conso_moyenne_mobile_7j", "conso_j_moins_7")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -81,6 +82,14 @@ def partition_folders(spark: SparkSession, path: str, column: str) -> list[str]:
     return [folder for _, folder in _subfolders(spark, path, column)]
 
 
+def partition_values(spark: SparkSession, path: str, columns: Sequence[str]) -> dict[tuple[str, ...], str]:
+    """The values of a table's partition columns and their folders, by listing alone."""
+    if not columns:
+        return {(): path}
+    below = [(value, partition_values(spark, folder, columns[1:])) for value, folder in _subfolders(spark, path, columns[0])]
+    return {(value, *rest): folder for value, found in below for rest, folder in found.items()}
+
+
 def partition_years(spark: SparkSession, path: str) -> list[int]:
     """Years with a folder in a table laid out by year first."""
     return sorted(int(value) for value, _ in _subfolders(spark, path, "year"))

@@ -207,6 +207,13 @@ def _gaps(table: str, series: str, time: str) -> str:
   FROM {table}) WHERE ecart_h > 2"""
 
 
+def _exact(column: str) -> str:
+    """The mean by whole numbers: parts of a 2**40th, added as integers."""
+    places = 1 << 40
+    parts = f"CAST(floor({column}) AS HUGEINT) * {places} + CAST(floor(({column} - floor({column})) * {places}::DOUBLE + 0.5::DOUBLE) AS HUGEINT)"
+    return f"CAST(CAST(sum({parts}) AS BIGINT) AS DOUBLE) / {places}::DOUBLE / count({column})"
+
+
 ORACLE = {
     "bronze_calendar_parts": f"""{_with(READINGS)}
 SELECT date_heure, CAST(local_day AS DATE) AS date, CAST(region_code AS VARCHAR) AS code_insee_region,
@@ -358,6 +365,28 @@ GROUP BY ALL""",
     "job_rebuild": JOB_FACT,
     "job_rolling_run": JOB_FACT,
     "job_merge_run": JOB_FACT,
+    "gap_bitmaps": f"""WITH rows AS (
+  SELECT {_region("user_id")} AS region_code, event_type, date_trunc('hour', ts) AS date_heure FROM events),
+hours AS (SELECT DISTINCT * FROM rows),
+steps AS (
+  SELECT *, date_diff('hour', lag(date_heure) OVER (PARTITION BY region_code, event_type ORDER BY date_heure), date_heure) AS ecart_h FROM hours)
+SELECT region_code, event_type, date_heure, ecart_h, 'gap' AS kind FROM steps WHERE ecart_h > 2
+UNION ALL
+SELECT region_code, event_type, NULL, count(*) - count(DISTINCT date_heure), 'repeats' FROM rows
+GROUP BY region_code, event_type HAVING count(*) > count(DISTINCT date_heure)""",
+    "gate_from_summaries": f"""{PLAIN_SILVER}
+SELECT 'duplicates' AS "check", count(*) AS violations FROM (SELECT 1 FROM silver GROUP BY date_heure, region_code HAVING count(*) > 1)
+UNION ALL SELECT 'gaps', count(*) FROM ({_gaps("silver", "region_code", "date_heure")})
+UNION ALL SELECT 'freshness', count(*) FROM (
+  SELECT 1 FROM silver GROUP BY region_code HAVING date_diff('hour', max(date_heure), TIMESTAMP '2024-02-02 00:00:00') > 48)
+UNION ALL SELECT 'empty', CAST(count(*) = 0 AS BIGINT) FROM silver""",
+    "observed_counts": f"""{PLAIN_SILVER}
+SELECT count(*) AS nb, CAST(0 AS BIGINT) AS null_keys,
+       count(*) FILTER (consommation IS NULL OR consommation < 500000 OR consommation > 2000000) AS outliers FROM silver""",
+    "exact_hourly_mean": f"""WITH readings AS (
+  SELECT {HALF_HOUR} AS date_heure, {_region("user_id")} AS region_code, value / 7 AS consommation FROM events),
+instants AS (SELECT region_code, date_heure, {_exact("consommation")} AS consommation FROM readings GROUP BY ALL)
+SELECT region_code, date_trunc('hour', date_heure) AS date_heure, {_exact("consommation")} AS consommation FROM instants GROUP BY 1, 2""",
     "increment_by_ledger": JOB_CONSUMPTION,
     "propagate_late_rows": JOB_FACT,
 }

@@ -20,7 +20,7 @@ from wattloom_checks.standins import (
     weather,
     whole,
 )
-from wattloom.operators import quality, series, slices, tables
+from wattloom.operators import presence, quality, series, slices, summaries, tables
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
 from wattloom.plans.gold import FACT_COLUMNS, build_fact
 from wattloom.plans.silver import build_silver, demand_by_hour, weather_by_instant
@@ -371,6 +371,51 @@ def dq_keys(spark, sf_dir):
     return quality.key_violations(rows.withColumn("region_code", known), ["date_heure", "region_code"])
 
 
+def _whole_hours(spark, sf_dir):
+    hours = table(spark, sf_dir, "events").select(region_of("user_id").alias("region_code"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("date_heure"), "event_type")
+    return hours
+
+
+def gap_bitmaps(spark, sf_dir):
+    """Gaps and repeated rows of every region and event type, from bitmaps of two halves
+    of the table that are merged."""
+    hours, by = _whole_hours(spark, sf_dir), ["region_code", "event_type"]
+    halves = [presence.presence(hours.filter(F.hour("date_heure") % 2 == n), by) for n in range(2)]
+    merged = presence.merged_presence(halves[0].unionByName(halves[1]), by)
+    gaps = presence.presence_gaps(merged, by).withColumn("kind", F.lit("gap"))
+    repeats = presence.presence_counts(merged, by).filter("repeats > 0")
+    told = repeats.select(*by, F.lit(None).cast("timestamp_ntz").alias("date_heure"), F.col("repeats").alias("ecart_h"), F.lit("repeats").alias("kind"))
+    return gaps.unionByName(told)
+
+
+def gate_from_summaries(spark, sf_dir):
+    """Silver in three upserts that overlap, judged by the summaries of its partitions,
+    of which only the touched ones are made anew."""
+    lake = _lake(spark)
+    silver = _silver(spark, sf_dir)
+    day = F.dayofmonth("date_heure")
+    for part in (silver.filter(day <= 12), silver.filter(day >= 20), silver.filter(day.between(10, 21))):
+        tables.upsert_table(part, SILVER, lake.silver, SILVER_UPDATES, touching=jobs.forget_summaries(session(spark), lake))
+        stored = jobs.silver_summaries(spark, lake)
+    return summaries.gate_summary(stored, jobs.SERIES, jobs.PART, as_of="2024-02-02 00:00:00")
+
+
+def observed_counts(spark, sf_dir):
+    """What the write of silver counted on its way: rows and values out of range."""
+    path = scratch_path(session(spark), "observed")
+    counts = quality.write_counts(["date_heure", "region_code"], "consommation", low=500_000, high=2_000_000)
+    found = tables.overwrite_table(_silver(spark, sf_dir), SILVER, path, counts=counts)
+    return session(spark).createDataFrame([(found["nb"], found["null_keys"], found["outliers"])], "nb long, null_keys long, outliers long")
+
+
+def exact_hourly_mean(spark, sf_dir):
+    """Unrounded means of unrounded values, equal to the last bit however rows are dealt."""
+    raw = table(spark, sf_dir, "events").select(
+        half_hour("ts").alias("date_heure"), region_of("user_id").cast("string").alias("code_insee_region"), (F.col("value") / 7).alias("consommation")
+    )
+    return demand_by_hour(raw.repartition(13, "consommation"))
+
+
 def dq_foreign_keys(spark, sf_dir):
     """Orders, every seventh of which names a customer that does not exist."""
     lost = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_custkey") + 1_000_000_000).otherwise(F.col("o_custkey"))
@@ -636,6 +681,10 @@ QUERIES = {
     "job_rebuild": job_rebuild,
     "job_rolling_run": job_rolling_run,
     "job_merge_run": job_merge_run,
+    "gap_bitmaps": gap_bitmaps,
+    "gate_from_summaries": gate_from_summaries,
+    "observed_counts": observed_counts,
+    "exact_hourly_mean": exact_hourly_mean,
     "increment_by_ledger": increment_by_ledger,
     "propagate_late_rows": propagate_late_rows,
 }
