@@ -23,15 +23,20 @@ from wattloom.session import delete_path, hadoop_path, scratch
 from wattloom.sources.tables import read_table, read_table_or_empty
 
 
+# Distinct values that a row group's Bloom filter is made for: some 2 KB each.
+BLOOM_VALUES = 1024
+
+
 def _write(
     df: DataFrame,
-    partition_by: Sequence[str],
+    dataset: Dataset,
     path: str,
     mode: str,
     overwrite: str = "static",
     gather: bool = True,
     observed: tuple[Observation, Sequence[Column]] | None = None,
 ) -> None:
+    partition_by = dataset.partition_by
     if gather and partition_by:
         # Brings the rows of a partition together, so that tasks do not each write a
         # sliver of every partition, and lets AQE split a large one over several tasks.
@@ -39,10 +44,15 @@ def _write(
     if observed:
         # in the stage that writes, whose tasks count once even if earlier ones are repeated
         df = df.observe(observed[0], *observed[1])
-    if not partition_by:
-        df.write.mode(mode).parquet(path)
-        return
-    df.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*partition_by).parquet(path)
+    if dataset.sort_by:
+        # the write sorts by the partition columns anyway
+        df = df.sortWithinPartitions(*partition_by, *dataset.sort_by)
+    writer = df.write.mode(mode)
+    for name in dataset.bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true").option(f"parquet.bloom.filter.expected.ndv#{name}", str(BLOOM_VALUES))
+    if partition_by:
+        writer = writer.option("partitionOverwriteMode", overwrite).partitionBy(*partition_by)
+    writer.parquet(path)
 
 
 def conform(df: DataFrame, dataset: Dataset) -> DataFrame:
@@ -111,7 +121,7 @@ def overwrite_table(
     """
     observation = Observation()
     with replacing(df.sparkSession, path) as new:
-        _write(conform(df, dataset), dataset.partition_by, new, "overwrite", gather=gather, observed=(observation, counts) if counts else None)
+        _write(conform(df, dataset), dataset, new, "overwrite", gather=gather, observed=(observation, counts) if counts else None)
     return observation.get if counts else None
 
 
@@ -123,7 +133,7 @@ def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
     """
     with _staged(df, dataset) as (staged, touched):
         if touched:
-            _write(staged, dataset.partition_by, path, "overwrite", "dynamic")
+            _write(staged, dataset, path, "overwrite", "dynamic")
     return _as_frame(df.sparkSession, touched, dataset)
 
 
@@ -144,10 +154,10 @@ def flat_copy(df: DataFrame, path: str, max_files: int | None = None) -> None:
 def append_by_name(df: DataFrame, dataset: Dataset, path: str) -> None:
     """Append rows as ``conform`` shapes them. Not idempotent: increments that may be
     re-run belong in ``replace_by_key`` or ``upsert_table``."""
-    _write(conform(df, dataset), dataset.partition_by, path, "append")
+    _write(conform(df, dataset), dataset, path, "append")
 
 
-def _checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fail on a NULL key, or on a key that occurs twice and so has no single new value."""
     seen = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     no_null = F.lit(True)
@@ -167,7 +177,7 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str], updates: S
 
     One full outer join on the key; the source's duplicate check shares its shuffle.
     """
-    checked = _checked_source(source.select(*target.columns), keys)
+    checked = checked_source(source.select(*target.columns), keys)
     t, s = target.withColumn("_in_target", F.lit(True)).alias("t"), checked.withColumn("_in_source", F.lit(True)).alias("s")
     same_key = [F.col(f"t.{key}") == F.col(f"s.{key}") for key in keys]
     in_source, in_target = F.col("s._in_source").isNotNull(), F.col("t._in_target").isNotNull()
@@ -238,7 +248,7 @@ def _staged(df: DataFrame, dataset: Dataset) -> Iterator[tuple[DataFrame, list]]
     spark = df.sparkSession
     with scratch(spark, f"staged-{dataset.name}") as folder:
         path = f"{folder}/rows"
-        _write(conform(df, dataset), dataset.partition_by, path, "overwrite")
+        _write(conform(df, dataset), dataset, path, "overwrite")
         staged = read_table(spark, dataset, path)
         yield staged, touched_partitions(staged, dataset.partition_by).collect()
 
@@ -268,7 +278,7 @@ def _rewrite_touched(
             if touching:
                 touching(touched)
             combined = combine(near.select(*dataset.columns), staged)
-            _write(combined, dataset.partition_by, path, "overwrite", "dynamic")
+            _write(combined, dataset, path, "overwrite", "dynamic")
         if flat_path:
             flat_copy(staged, flat_path)
     return _as_frame(spark, touched, dataset)

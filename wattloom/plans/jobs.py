@@ -13,7 +13,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.functions.regions import is_daily_file, parse_region_code, region_from_file_name
+from wattloom.functions.regions import REGIONS, is_daily_file, parse_region_code, region_from_file_name
 from wattloom.functions.timeparts import instant, truncated
 from wattloom.operators.quality import DataQualityError, enforce, write_counts
 from wattloom.operators.ranges import affected_ranges, in_ranges, widened
@@ -222,13 +222,17 @@ def build_dimensions(spark: SparkSession, lake: Lake) -> None:
 
 
 def _calendar(spark: SparkSession, lake: Lake, since: str | None) -> DataFrame:
-    """The stored holidays, which must hold every year that silver will."""
+    """The stored holidays, which must hold every year that silver will, for each region."""
     holidays = read_table(spark, HOLIDAYS, lake.holidays)
-    held = {row[0] for row in holidays.select(F.year("date")).distinct().collect()}
+    held = {tuple(row) for row in holidays.select(F.year("date"), "region_code").distinct().collect()}
     first = int(since[:4]) if since else 0
-    missing = [year for year in partition_years(spark, lake.consumption) if year >= first and year not in held]
+    wanted = [year for year in partition_years(spark, lake.consumption) if year >= first]
+    missing = [year for year in wanted if not any(year == held_year for held_year, _ in held)]
     if missing:
         raise ValueError(f"the holiday calendar lacks the years {missing}: run build_holidays for them")
+    regions = sorted({region[0] for region in REGIONS for year in wanted if (year, region[0]) not in held})
+    if regions:
+        raise ValueError(f"the holiday calendar lacks the regions {regions} in some years: run build_holidays for them")
     return holidays
 
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import (
     DoubleType,
     IntegerType,
     LongType,
+    MapType,
     StringType,
     StructField,
     StructType,
@@ -33,12 +34,16 @@ def _schema(*fields: tuple) -> StructType:
 @dataclass(frozen=True)
 class Dataset:
     """A stored table. ``partition_by`` columns are part of ``schema``, come last,
-    and must be functions of ``key`` so that one key never spans two partitions."""
+    and must be functions of ``key`` so that one key never spans two partitions. Files
+    are sorted by ``sort_by``, whose values then lie close together, and hold a Bloom
+    filter for each column of ``bloom``."""
 
     name: str
     schema: StructType
     key: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -67,6 +72,9 @@ RAW_WEATHER = StructType(
     ]
 )
 
+# The same documents, whatever arrays they have.
+ANY_WEATHER = StructType([StructField("hourly", MapType(_STRING, ArrayType(_STRING)))])
+
 # Partitioned by the source's own local day (`date`), not by the UTC day.
 BRONZE_CONSUMPTION = Dataset(
     "bronze_consumption",
@@ -83,6 +91,8 @@ BRONZE_CONSUMPTION = Dataset(
     ),
     key=("date_heure", "code_insee_region"),
     partition_by=("year", "month", "day"),
+    sort_by=("code_insee_region", "date_heure"),
+    bloom=("code_insee_region",),
 )
 
 BRONZE_WEATHER = Dataset(
@@ -98,6 +108,7 @@ BRONZE_WEATHER = Dataset(
     ),
     key=("time", "region_code"),
     partition_by=("region_code", "year", "month", "day"),
+    sort_by=("time",),
 )
 
 HOLIDAYS = Dataset(
@@ -124,6 +135,7 @@ SILVER = Dataset(
     ),
     key=("date_heure", "region_code"),
     partition_by=("region_code", "year"),
+    sort_by=("date_heure",),
 )
 
 # `year` exists in storage only, to prune and replace partitions.
@@ -143,6 +155,7 @@ FACT = Dataset(
     ),
     key=("date_heure", "region_code"),
     partition_by=("region_code", "year"),
+    sort_by=("date_heure",),
 )
 
 DIM_DATE = Dataset(

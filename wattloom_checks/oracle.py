@@ -362,9 +362,29 @@ SELECT region_nom, left(dayname(ts), 3) AS jour_semaine, CAST(year(ts) AS INTEGE
 FROM events JOIN regions ON {_region("user_id")} = region_code
 WHERE CAST(ts AS DATE) BETWEEN DATE '{DIM_DATE_START}' AND DATE '{DIM_DATE_START}' + {DIM_DATE_ROWS - 1}
 GROUP BY ALL""",
+    "dates_in_order": f"""WITH days AS (
+  SELECT CAST(DATE '{DIM_DATE_START}' + CAST(i AS INTEGER) AS DATE) AS date_key, CAST(i + 1 AS INTEGER) AS position FROM range({DIM_DATE_ROWS}) t(i)),
+counted AS (SELECT CAST(ts AS DATE) AS date_key, count(*) AS nb FROM events GROUP BY ALL)
+SELECT date_key, position, coalesce(nb, 0) AS nb FROM days LEFT JOIN counted USING (date_key)""",
     "job_rebuild": JOB_FACT,
     "job_rolling_run": JOB_FACT,
     "job_merge_run": JOB_FACT,
+    "weather_any_arrays": f"""{_with(WEATHER, WEATHER_HOURS)},
+placed AS (
+  SELECT *, CAST(hour(date_heure) AS DOUBLE) AS wind,
+         row_number() OVER (PARTITION BY region_code, CAST(date_heure AS DATE) ORDER BY date_heure DESC) AS from_last
+  FROM weather_hours),
+hours AS (SELECT * FROM placed WHERE from_last > 1)
+SELECT region_code, date_heure AS time, 'temperature_2m' AS measure, temperature_2m AS number FROM hours
+UNION ALL SELECT region_code, date_heure, 'precipitation', precipitation FROM hours
+UNION ALL SELECT region_code, date_heure, 'wind', wind FROM hours
+UNION ALL SELECT region_code, date_heure, 'gusts', wind FROM hours""",
+    "silver_join_bucketed": f"{PLAIN_SILVER} SELECT * FROM silver",
+    "region_day_lookup": f"""{_with(READINGS)}
+SELECT date_heure, CAST(local_day AS DATE) AS date, CAST(region_code AS VARCHAR) AS code_insee_region,
+       'region ' || region_code AS libelle_region, nature, consommation, CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month,
+       CAST(17 AS INTEGER) AS day
+FROM readings WHERE local_day = '2024-01-17' AND region_code = 44""",
     "gap_bitmaps": f"""WITH rows AS (
   SELECT {_region("user_id")} AS region_code, event_type, date_trunc('hour', ts) AS date_heure FROM events),
 hours AS (SELECT DISTINCT * FROM rows),

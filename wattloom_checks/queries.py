@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,16 +21,16 @@ from wattloom_checks.standins import (
     weather,
     whole,
 )
-from wattloom.operators import presence, quality, series, slices, summaries, tables
+from wattloom.operators import bucketed, presence, quality, series, slices, summaries, tables
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
 from wattloom.plans.gold import FACT_COLUMNS, build_fact
-from wattloom.plans.silver import build_silver, demand_by_hour, weather_by_instant
-from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, DIM_DATE, DIM_REGION, FACT, FACT_UPDATES, HOLIDAYS, RAW_WEATHER, SILVER, SILVER_UPDATES
+from wattloom.plans.silver import SILVER_COLUMNS, build_silver, demand_by_hour, weather_by_instant
+from wattloom.schemas import ANY_WEATHER, BRONZE_CONSUMPTION, BRONZE_WEATHER, DIM_DATE, DIM_REGION, FACT, FACT_UPDATES, HOLIDAYS, RAW_WEATHER, SILVER, SILVER_UPDATES, Dataset
 from wattloom.plans import jobs
 from wattloom.session import hadoop_path, scratch_path
 from wattloom.sources import calendars
 from wattloom.sources.tables import available_years, high_watermark, high_watermarks, read_table, year_ranges
-from wattloom.sources.weather import select_documents, weather_rows
+from wattloom.sources.weather import measure_rows, select_documents, weather_rows
 
 SINCE = "2024-01-20"
 UPSERT_FROM, UPSERT_UNTIL = "2024-01-21", "2024-01-26"
@@ -98,6 +99,28 @@ def silver_holidays(spark, sf_dir):
     return build_silver(order_readings(spark, sf_dir), order_weather(spark, sf_dir), holidays, mean=rounded_mean)
 
 
+def _keyed(name: str, *measures: str) -> Dataset:
+    """A table of some of silver's columns."""
+    columns = ("date_heure", "region_code", *measures)
+    return Dataset(name, type(SILVER.schema)([SILVER.schema[c] for c in columns]), key=SILVER.key)
+
+
+def silver_join_bucketed(spark, sf_dir):
+    """Silver from both sides stored in buckets of its key, the readings in two parts of
+    which the second is merged in."""
+    own, mark = session(spark), uuid.uuid4().hex
+    hours, measured = _keyed("hours", "consommation"), _keyed("weather_hours", "temperature_2m", "precipitation")
+    rows = _hours(spark, sf_dir)
+    wrong = rows.withColumn("consommation", F.lit(-1.0)).filter(F.col("date_heure") < UPSERT_UNTIL)
+    names = [f"{name}_{mark}" for name in ("first", "hours", "weather")]
+    bucketed.save_bucketed(wrong, hours, names[0], 8, scratch_path(own, "bucketed"))
+    bucketed.merge_bucketed(own, rows, hours, names[0], names[1], ["consommation"], 8, scratch_path(own, "bucketed"))
+    bucketed.save_bucketed(weather_by_instant(weather(spark, sf_dir), mean=rounded_mean), measured, names[2], 8, scratch_path(own, "bucketed"))
+    sides = bucketed.read_bucketed(own, hours, names[1]), bucketed.read_bucketed(own, measured, names[2])
+    joined = bucketed.join_bucketed(*sides, SILVER.key)
+    return joined.withColumns({"is_holiday": F.lit(0), "year": F.year("date_heure")}).select(*SILVER_COLUMNS)
+
+
 # --- gold --------------------------------------------------------------------------
 
 
@@ -242,6 +265,13 @@ def flat_copy(spark, sf_dir):
     return spark.read.schema(BRONZE_WEATHER.schema).parquet(path)
 
 
+def region_day_lookup(spark, sf_dir):
+    """One region's readings of one day, of a table whose files are sorted by region."""
+    path = _stored_consumption(spark, sf_dir, readings(spark, sf_dir))
+    stored = read_table(session(spark), BRONZE_CONSUMPTION, path)
+    return stored.filter("year = 2024 AND month = 1 AND day = 17 AND code_insee_region = '44'")
+
+
 # --- watermarks and increments -----------------------------------------------------
 
 
@@ -313,6 +343,20 @@ def weather_json_rows(spark, sf_dir):
     return weather_rows(select_documents(documents, daily=False))
 
 
+def weather_any_arrays(spark, sf_dir):
+    """Documents of one region and day with an array nobody declared and one that is an
+    hour short, as rows of measures: all arrays are cut to the shortest."""
+    hours = weather_by_instant(weather(spark, sf_dir), mean=rounded_mean).withColumn("wind", F.hour("date_heure").cast("double"))
+    hour = F.struct(F.date_format("date_heure", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature_2m", "precipitation", "wind")
+    by_day = hours.groupBy("region_code", F.to_date("date_heure").alias("day")).agg(F.array_sort(F.collect_list(hour)).alias("hours"))
+    arrays = [F.col(f"hours.{field}").alias(field) for field in ("time", "temperature_2m", "precipitation", "wind")]
+    short = F.slice(F.col("hours.wind"), F.lit(1), F.size("hours") - 1).alias("gusts")
+    name = F.concat(F.lit("openmeteo-"), "region_code", F.lit("-"), F.date_format("day", "yyyyMMdd"), F.lit(".json"))
+    texts = by_day.select(name.alias("file_name"), F.to_json(F.struct(F.struct(*arrays, short).alias("hourly"))).alias("text"))
+    documents = texts.select("file_name", F.from_json("text", ANY_WEATHER, {"mode": "FAILFAST"})["hourly"].alias("hourly"))
+    return measure_rows(documents).drop("value")
+
+
 # --- dimensions --------------------------------------------------------------------
 
 
@@ -551,6 +595,16 @@ def holidays_in_order(spark, sf_dir):
     return counted.fillna({"nb_orders": 0})
 
 
+def dates_in_order(spark, sf_dir):
+    """Where a day stands in the files of the stored dimension, with the events of that day."""
+    lake = _lake(spark)
+    jobs.build_dimensions(spark, lake)
+    stored = read_table(session(spark), DIM_DATE, lake.dates)
+    position = F.row_number().over(Window.orderBy("_metadata.file_name", "_metadata.row_index"))
+    events = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("date_key")).agg(F.count(F.lit(1)).alias("nb"))
+    return stored.select("date_key", position.alias("position")).join(events, "date_key", "left").fillna({"nb": 0})
+
+
 def _clock(last):
     return f"{last.isoformat()} 23:00:00"
 
@@ -678,9 +732,13 @@ QUERIES = {
     "job_holidays": job_holidays,
     "job_dimensions": job_dimensions,
     "holidays_in_order": holidays_in_order,
+    "dates_in_order": dates_in_order,
     "job_rebuild": job_rebuild,
     "job_rolling_run": job_rolling_run,
     "job_merge_run": job_merge_run,
+    "weather_any_arrays": weather_any_arrays,
+    "silver_join_bucketed": silver_join_bucketed,
+    "region_day_lookup": region_day_lookup,
     "gap_bitmaps": gap_bitmaps,
     "gate_from_summaries": gate_from_summaries,
     "observed_counts": observed_counts,
