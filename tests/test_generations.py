@@ -1,0 +1,103 @@
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from wattloom.operators import tables
+from wattloom.schemas import BRONZE_WEATHER, DIM_REGION, SILVER, SILVER_UPDATES
+from wattloom.sources import generations
+from wattloom.sources.generations import located, publishing
+from wattloom.sources.tables import partition_values, read_table
+
+
+def silver(spark, value, regions=(11, 44), year=2023):
+    data = spark.createDataFrame([(r,) for r in regions], "region_code int")
+    return data.select(
+        F.expr(f"timestamp_ntz'{year}-05-01 00:00:00'").alias("date_heure"),
+        F.lit(float(value)).alias("consommation"),
+        F.lit(None).cast("double").alias("temperature_2m"),
+        F.lit(None).cast("double").alias("precipitation"),
+        F.lit(0).alias("is_holiday"),
+        "region_code",
+        F.lit(year).alias("year"),
+    )
+
+
+def values(spark, path):
+    return rows(read_table(spark, SILVER, path), "region_code", "consommation")
+
+
+def test_a_reader_sees_the_old_table_until_the_new_one_is_whole(spark, folder):
+    path = f"{folder}/t"
+    tables.overwrite_table(silver(spark, 1), SILVER, path)
+    under_way = read_table(spark, SILVER, path)
+    seen = []
+    with publishing(spark, path) as new:
+        seen.append(values(spark, path))
+        tables.write_table(silver(spark, 2, regions=(11,)), SILVER, new)
+        seen.append(values(spark, path))
+    assert seen == [[(11, 1.0), (44, 1.0)]] * 2
+    assert values(spark, path) == [(11, 2.0)]
+    # a reader that began before goes on with what it began with
+    assert rows(under_way, "region_code", "consommation") == [(11, 1.0), (44, 1.0)]
+
+
+@pytest.mark.parametrize("step", ["write", "mark", "clean"])
+def test_failing_between_the_steps(spark, folder, monkeypatch, step):
+    path = f"{folder}/t"
+    tables.overwrite_table(silver(spark, 1), SILVER, path)
+
+    def fail(*_, **__):
+        raise OSError("lost")
+
+    if step == "write":
+        monkeypatch.setattr(tables, "_write", fail)
+    elif step == "mark":
+        monkeypatch.setattr(generations, "_marks", fail)
+    else:
+        monkeypatch.setattr(generations, "_clean", fail)
+    with pytest.raises(OSError):
+        tables.overwrite_table(silver(spark, 2), SILVER, path)
+    monkeypatch.undo()
+    # published or not, there is one whole table
+    assert values(spark, path) == [(11, 2.0 if step == "clean" else 1.0), (44, 2.0 if step == "clean" else 1.0)]
+    tables.overwrite_table(silver(spark, 3), SILVER, path)
+    assert values(spark, path) == [(11, 3.0), (44, 3.0)]
+
+
+def test_two_generations_stay(spark, folder):
+    path = f"{folder}/t"
+    for value in range(4):
+        tables.overwrite_table(silver(spark, value), SILVER, path)
+    assert sorted(name.split("-")[0].split(".")[0] for name in os.listdir(path) if not name.endswith(".crc")) == ["_current"] * 2 + ["generation"] * 2
+    assert values(spark, path) == [(11, 3.0), (44, 3.0)]
+
+
+def test_a_table_that_was_never_published(spark, folder):
+    path = f"{folder}/t"
+    assert located(spark, path) == path
+    tables.append_by_name(silver(spark, 1), SILVER, path)
+    assert located(spark, path) == path and values(spark, path) == [(11, 1.0), (44, 1.0)]
+    tables.overwrite_table(read_table(spark, SILVER, path).withColumn("consommation", F.lit(5.0)), SILVER, path)
+    assert values(spark, path) == [(11, 5.0), (44, 5.0)]
+    assert not [name for name in os.listdir(path) if name.startswith("region_code")]
+
+
+def test_upserts_and_appends_go_to_the_current_generation(spark, folder):
+    path = f"{folder}/t"
+    for value in (1, 2):
+        tables.overwrite_table(silver(spark, value), SILVER, path)
+    tables.upsert_table(silver(spark, 7, regions=(44, 93)), SILVER, path, SILVER_UPDATES)
+    tables.append_by_name(silver(spark, 8, regions=(11,), year=2024), SILVER, path)
+    assert values(spark, path) == [(11, 2.0), (11, 8.0), (44, 7.0), (93, 7.0)]
+    assert set(partition_values(spark, path, SILVER.partition_by)) == {("11", "2023"), ("11", "2024"), ("44", "2023"), ("93", "2023")}
+
+
+def test_empty_and_unpartitioned_tables(spark, folder):
+    region = spark.createDataFrame([(11, "x", 0.0, 0.0)], DIM_REGION.schema)
+    tables.overwrite_table(region, DIM_REGION, f"{folder}/r")
+    tables.overwrite_table(region.limit(0), DIM_REGION, f"{folder}/r")
+    assert read_table(spark, DIM_REGION, f"{folder}/r").count() == 0
+    tables.overwrite_table(spark.createDataFrame([], BRONZE_WEATHER.schema), BRONZE_WEATHER, f"{folder}/w")
+    assert read_table(spark, BRONZE_WEATHER, f"{folder}/w").count() == 0

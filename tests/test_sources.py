@@ -12,6 +12,7 @@ from wattloom.operators.tables import overwrite_table
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
 from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, HOLIDAYS
 from wattloom.sources.consumption import read_raw_consumption
+from wattloom.sources.generations import located
 from wattloom.sources.tables import (
     available_years,
     high_watermark,
@@ -150,12 +151,13 @@ def test_watermark_is_the_newest_partition(spark, folder):
     _bronze(spark, folder, ["2023-12-31", "2024-01-09", "2024-02-01", "2024-02-10"])
     assert high_watermark(spark, folder) == day("2024-02-10")
     # folder names alone count: files are not opened, and a folder without any is no day
-    newest = f"{folder}/year=2024/month=2"
+    stored = located(spark, folder)
+    newest = f"{stored}/year=2024/month=2"
     for file in os.listdir(f"{newest}/day=10"):
         with open(f"{newest}/day=10/{file}", "w") as broken:
             broken.write("not parquet")
     os.makedirs(f"{newest}/day=11")
-    os.makedirs(f"{folder}/year=2025/month=1/day=1")
+    os.makedirs(f"{stored}/year=2025/month=1/day=1")
     assert high_watermark(spark, folder) == day("2024-02-10")
     assert partition_years(spark, folder) == [2023, 2024, 2025]
 

@@ -1,5 +1,4 @@
 import math
-import os
 import random
 from datetime import datetime, timedelta
 from fractions import Fraction
@@ -80,11 +79,11 @@ def test_the_gate_reads_touched_partitions_alone(spark, lake, folder):  # noqa:
     expected = rows(jobs.silver_summaries(spark, lake))
     assert len(expected) == len(partition_values(spark, lake.silver, SILVER.partition_by)) == 4
     # what the gate needs of this folder is in its summary
-    broken = sorted(files_of(f"{lake.silver}/region_code=44/year=2023"))
+    broken = [f for f in files_of(lake.silver) if "region_code=44/year=2023" in f]
     for file in broken:
         with open(file, "wb") as out:
             out.write(b"no parquet")
-    untouched = files_of(f"{lake.summaries}/region_code=44/year=2023")
+    untouched = {f for f in files_of(lake.summaries) if "region_code=44/year=2023" in f}
     land_consumption(spark, f"{folder}/daily", "2024-01-03", "2024-01-04")
     jobs.increment_consumption(spark, lake, f"{folder}/daily", as_of="2024-01-04")
     consumption = read_table(spark, BRONZE_CONSUMPTION, lake.consumption).filter("code_insee_region = '11'")
@@ -93,7 +92,7 @@ def test_the_gate_reads_touched_partitions_alone(spark, lake, folder):  # noqa:
     after = rows(jobs.silver_summaries(spark, lake))
     assert [row for row in after if row[-2:] != (11, 2024)] == [row for row in expected if row[-2:] != (11, 2024)]
     assert [row for row in after if row[-2:] == (11, 2024)] != [row for row in expected if row[-2:] == (11, 2024)]
-    assert files_of(f"{lake.summaries}/region_code=44/year=2023") == untouched
+    assert untouched and untouched <= files_of(lake.summaries)
 
 
 def test_a_gap_between_partitions_is_found(spark, lake, folder):  # noqa: F811
@@ -113,7 +112,7 @@ def test_a_failed_write_leaves_no_stale_summary(spark, lake, monkeypatch):  # no
     write = tables._write
 
     def fail(df, partition_by, path, *options, **more):
-        if path == lake.silver:
+        if path.startswith(lake.silver):
             raise OSError("lost")
         return write(df, partition_by, path, *options, **more)
 
@@ -133,7 +132,7 @@ def test_counts_come_from_the_write(spark, folder):
         assert found == {"nb": 10, "null_keys": 0, "outliers": 4}
     assert tables.overwrite_table(df.limit(0), SILVER, f"{folder}/t", counts=quality.write_counts(["date_heure"], "consommation"))["nb"] == 0
     assert tables.overwrite_table(df, SILVER, f"{folder}/t") is None
-    assert os.path.isdir(f"{folder}/t/region_code=1")
+    assert any("region_code=1/" in f for f in files_of(f"{folder}/t"))
 
 
 def means(spark, values, parts=1):
@@ -157,6 +156,12 @@ def test_exact_means_do_not_depend_on_order(spark):
     assert means(spark, large) == pytest.approx(float(sum(map(Fraction, large)) / len(large)), rel=3e-16)
 
 
+@settings(max_examples=25, deadline=None)
+@given(st.floats(-1e9, 1e9).filter(lambda v: v == 0 or abs(v) >= 1e-3))
+def test_the_mean_of_one_value_is_that_value(spark, value):
+    assert means(spark, [value]) == means(spark, [value] * 4) == value
+
+
 def test_means_of_odd_values(spark):
     assert means(spark, [None, None]) is None
     assert means(spark, []) is None

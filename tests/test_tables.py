@@ -3,12 +3,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import plan_of, rows, ts
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from wattloom import session
 from wattloom.operators import tables
 from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, DIM_REGION, SILVER, SILVER_UPDATES
 from wattloom.session import PINNED, job_session
+from wattloom.sources.generations import located
 from wattloom.sources.tables import read_table
 
 COLUMNS = ["date_heure", "region_code", "consommation", "temperature_2m", "precipitation", "is_holiday", "year"]
@@ -42,6 +44,7 @@ def target(spark, folder):
 
 
 def files_under(path):
+    path = located(SparkSession.active(), path)
     return sorted(os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
 
 

@@ -2,13 +2,12 @@
 
 Parquet folders have no transactions. A write replaces the touched partitions at job
 commit: a failed job leaves them as they were, but readers may see some partitions
-replaced before others while the commit runs. A whole table is written beside the old
-one, which it takes the place of by renaming.
+replaced before others while the commit runs. A whole table is published at once, as a
+generation (``sources.generations``).
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
@@ -19,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from wattloom.schemas import Dataset
-from wattloom.session import delete_path, hadoop_path, scratch
+from wattloom.session import scratch
+from wattloom.sources.generations import located, publishing
 from wattloom.sources.tables import read_table, read_table_or_empty
 
 
@@ -80,51 +80,28 @@ def conform(df: DataFrame, dataset: Dataset) -> DataFrame:
     return df.select(*selected)
 
 
-@contextmanager
-def replacing(spark: SparkSession, path: str) -> Iterator[str]:
-    """A folder beside ``path`` that takes its place when the block ends, and is removed
-    if the block fails. The old folder is put back if the new one cannot be renamed."""
-    mark = uuid.uuid4().hex
-    new, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
-    try:
-        yield new
-        fs, place = hadoop_path(spark, path)
-        _, new_place = hadoop_path(spark, new)
-        _, old_place = hadoop_path(spark, old)
-        had = fs.exists(place)
-        if not had:
-            fs.mkdirs(place.getParent())
-        elif not fs.rename(place, old_place):
-            raise OSError(f"cannot move {path}")
-        if not fs.rename(new_place, place):
-            if had:
-                fs.rename(old_place, place)
-            raise OSError(f"cannot move {new} to {path}")
-    except BaseException:
-        delete_path(spark, new)
-        raise
-    delete_path(spark, old)
-    spark.catalog.refreshByPath(path)
-
-
-def overwrite_table(
-    df: DataFrame, dataset: Dataset, path: str, gather: bool = True, counts: Sequence[Column] = ()
-) -> dict[str, int] | None:
-    """Rebuild the whole table. Whatever increments wrote since is replaced; a job that
-    fails leaves the old table. ``df`` may read the table it replaces.
+def write_table(df: DataFrame, dataset: Dataset, folder: str, gather: bool = True, counts: Sequence[Column] = ()) -> dict[str, int] | None:
+    """Write all rows to an empty folder. ``counts`` are named aggregates over the rows,
+    taken by the write itself and returned by name.
 
     ``gather=False`` writes rows from the tasks that read them, without a shuffle: for
     input whose files already hold few partitions each, such as files in day order.
-
-    ``counts`` are named aggregates over the rows written, taken by the write itself and
-    returned by name.
     """
     observation = Observation()
-    with replacing(df.sparkSession, path) as new:
-        _write(conform(df, dataset), dataset, new, "overwrite", gather=gather, observed=(observation, counts) if counts else None)
+    _write(conform(df, dataset), dataset, folder, "overwrite", gather=gather, observed=(observation, counts) if counts else None)
     return observation.get if counts else None
 
 
+def overwrite_table(
+    df: DataFrame, dataset: Dataset, path: str, gather: bool = True, counts: Sequence[Column] = ()
+) -> dict[str, int] | None:
+    """``write_table`` as a new generation. Whatever increments wrote since the last one
+    is replaced; a job that fails leaves the old table, and readers see the old one until
+    the new one is whole. ``df`` may read the table it replaces."""
+    with publishing(df.sparkSession, path) as new:
+        return write_table(df, dataset, new, gather, counts)
+
+
 def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
     """Replace every partition that occurs in ``df``, which must hold all of its rows.
 
@@ -133,7 +110,7 @@ def replace_partitions(df: DataFrame, dataset: Dataset, path: str) -> DataFrame:
     """
     with _staged(df, dataset) as (staged, touched):
         if touched:
-            _write(staged, dataset, path, "overwrite", "dynamic")
+            _write(staged, dataset, located(staged.sparkSession, path), "overwrite", "dynamic")
     return _as_frame(df.sparkSession, touched, dataset)
 
 
@@ -154,7 +131,7 @@ def flat_copy(df: DataFrame, path: str, max_files: int | None = None) -> None:
 def append_by_name(df: DataFrame, dataset: Dataset, path: str) -> None:
     """Append rows as ``conform`` shapes them. Not idempotent: increments that may be
     re-run belong in ``replace_by_key`` or ``upsert_table``."""
-    _write(conform(df, dataset), dataset, path, "append")
+    _write(conform(df, dataset), dataset, located(df.sparkSession, path), "append")
 
 
 def checked_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -278,7 +255,7 @@ def _rewrite_touched(
             if touching:
                 touching(touched)
             combined = combine(near.select(*dataset.columns), staged)
-            _write(combined, dataset, path, "overwrite", "dynamic")
+            _write(combined, dataset, located(spark, path), "overwrite", "dynamic")
         if flat_path:
             flat_copy(staged, flat_path)
     return _as_frame(spark, touched, dataset)

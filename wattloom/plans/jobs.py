@@ -19,7 +19,7 @@ from wattloom.operators.quality import DataQualityError, enforce, write_counts
 from wattloom.operators.ranges import affected_ranges, in_ranges, widened
 from wattloom.operators.slices import increment_slice, increment_slice_by_series, resolve_start, unknown_series
 from wattloom.operators.summaries import gate_summary, partition_summary
-from wattloom.operators.tables import append_by_name, flat_copy, overwrite_table, replace_by_key, replacing, upsert_table
+from wattloom.operators.tables import append_by_name, flat_copy, overwrite_table, replace_by_key, upsert_table, write_table
 from wattloom.plans.bronze import bronze_consumption, bronze_weather
 from wattloom.plans.gold import FACT_COLUMNS, REACH_DAYS, build_fact
 from wattloom.plans.silver import SILVER_COLUMNS, build_silver
@@ -40,6 +40,7 @@ from wattloom.schemas import (
 from wattloom.session import delete_path, job_session, scratch
 from wattloom.sources.calendars import HOLIDAY_YEARS, dim_date, dim_region, holiday_calendar
 from wattloom.sources.consumption import read_raw_consumption
+from wattloom.sources.generations import publishing
 from wattloom.sources.ledger import add_to_ledger, landed_files, of_newest_file, read_ledger, unread
 from wattloom.sources.tables import high_watermark, high_watermarks, partition_folders, partition_values, partition_years, read_table, read_table_or_empty
 from wattloom.sources.tables import since as rows_since
@@ -314,9 +315,9 @@ def rebuild(
     spark = job_session(spark)
     noted = partition_folders(spark, lake.changes, "batch")
     with scratch(spark, "silver-summaries") as folder:
-        with replacing(spark, lake.silver) as new:
+        with publishing(spark, lake.silver) as new:
             plan = _silver_plan(spark, lake, None, calendar_tz, holidays)
-            counts = overwrite_table(plan, SILVER, new, counts=write_counts(list(SILVER.key), "consommation"))
+            counts = write_table(plan, SILVER, new, counts=write_counts(list(SILVER.key), "consommation"))
             if not counts["nb"]:
                 raise DataQualityError("data quality checks failed: empty: 1 row(s)")
             overwrite_table(_summarised(read_table(spark, SILVER, new)), SILVER_SUMMARIES, folder)

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from wattloom.functions.timeparts import has_columns, instant
 from wattloom.schemas import Dataset
 from wattloom.session import hadoop_path
+from wattloom.sources.generations import located
 
 
 def read_table(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
     """The table under its declared schema; partition columns come from directories."""
-    return spark.read.schema(dataset.schema).parquet(path)
+    return spark.read.schema(dataset.schema).parquet(located(spark, path))
 
 
 def read_table_or_empty(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
@@ -79,20 +80,20 @@ def _newest_day(spark: SparkSession, path: str, columns: tuple[str, ...] = ("yea
 
 def partition_folders(spark: SparkSession, path: str, column: str) -> list[str]:
     """Folders of a table's first partition column; none if the table does not exist."""
-    return [folder for _, folder in _subfolders(spark, path, column)]
+    return [folder for _, folder in _subfolders(spark, located(spark, path), column)]
 
 
 def partition_values(spark: SparkSession, path: str, columns: Sequence[str]) -> dict[tuple[str, ...], str]:
     """The values of a table's partition columns and their folders, by listing alone."""
-    if not columns:
-        return {(): path}
-    below = [(value, partition_values(spark, folder, columns[1:])) for value, folder in _subfolders(spark, path, columns[0])]
-    return {(value, *rest): folder for value, found in below for rest, folder in found.items()}
+    found: dict[tuple[str, ...], str] = {(): located(spark, path)}
+    for column in columns:
+        found = {(*values, value): below for values, folder in found.items() for value, below in _subfolders(spark, folder, column)}
+    return found
 
 
 def partition_years(spark: SparkSession, path: str) -> list[int]:
     """Years with a folder in a table laid out by year first."""
-    return sorted(int(value) for value, _ in _subfolders(spark, path, "year"))
+    return sorted(int(value) for value, _ in _subfolders(spark, located(spark, path), "year"))
 
 
 def high_watermark(spark: SparkSession, path: str) -> date:
@@ -101,7 +102,7 @@ def high_watermark(spark: SparkSession, path: str) -> date:
     Three listings of folder names, however long the history; no file is opened. A
     table without partitions fails: backfill it first.
     """
-    newest = _newest_day(spark, path)
+    newest = _newest_day(spark, located(spark, path))
     if newest is None:
         raise ValueError(NO_PARTITIONS)
     return date(*newest)
@@ -112,7 +113,7 @@ def high_watermarks(spark: SparkSession, path: str, dataset: Dataset) -> DataFra
     laid out by year, month and day. A table without partitions fails."""
     by = dataset.schema[dataset.partition_by[0]]
     kind = int if by.dataType.typeName() in ("integer", "long") else str
-    newest = [(kind(value), _newest_day(spark, folder)) for value, folder in _subfolders(spark, path, by.name)]
+    newest = [(kind(value), _newest_day(spark, folder)) for value, folder in _subfolders(spark, located(spark, path), by.name)]
     rows = [(value, date(*day)) for value, day in newest if day is not None]
     if not rows:
         raise ValueError(NO_PARTITIONS)

@@ -208,10 +208,13 @@ def _gaps(table: str, series: str, time: str) -> str:
 
 
 def _exact(column: str) -> str:
-    """The mean by whole numbers: parts of a 2**40th, added as integers."""
-    places = 1 << 40
-    parts = f"CAST(floor({column}) AS HUGEINT) * {places} + CAST(floor(({column} - floor({column})) * {places}::DOUBLE + 0.5::DOUBLE) AS HUGEINT)"
-    return f"CAST(CAST(sum({parts}) AS BIGINT) AS DOUBLE) / {places}::DOUBLE / count({column})"
+    """The mean by whole numbers: parts before the point, and 2**62ths after it."""
+    places = 1 << 62
+    whole = f"sum(CAST(floor({column}) AS HUGEINT))"
+    part = f"sum(CAST(floor(({column} - floor({column})) * {places}::DOUBLE + 0.5::DOUBLE) AS HUGEINT))"
+    carried = f"CAST(CAST({whole} + {part} // {places} AS BIGINT) AS DOUBLE)"
+    rest = f"CAST(CAST({part} % {places} AS BIGINT) AS DOUBLE) / {places}::DOUBLE"
+    return f"({carried} + {rest}) / count({column})"
 
 
 ORACLE = {
