@@ -96,8 +96,8 @@ def contamination(text, items, size=10):
         for at in range(len(words) - width + 1):
             if tuple(words[at : at + width]) in wanted:
                 hit.update(range(at, at + width))
-                found.add(str(item))
-    return len(words), len(hit), sorted(found)
+                found.add(None if item is None else str(item))
+    return len(words), len(hit), sorted(found, key=lambda i: (i is None, i or ""))
 
 
 def backoff(texts, order):

@@ -13,7 +13,7 @@ def words(n):
     return RNG.choice([" ", ", ", "\n"]).join(RNG.choice(WORDS) for _ in range(n))
 
 
-ITEMS = [(i, words(RNG.randrange(1, 25))) for i in range(12)] + [(20, ""), (21, None), (22, "..."), (23, "unique"), (24, "the"), (3, words(11))]
+ITEMS = [(i, words(RNG.randrange(1, 25))) for i in range(12)] + [(20, ""), (21, None), (22, "..."), (23, "unique"), (24, "the"), (3, words(11)), (None, words(12)), (None, "nameless")]
 
 
 def documents():
@@ -24,7 +24,7 @@ def documents():
             item = RNG.choice(ITEMS)[1] or ""
             text += " " + item[RNG.randrange(5) :].upper() + RNG.choice([" ", "_", "ß "]) + words(3)
         data.append((number, text))
-    return data + [(100, None), (101, ""), (None, ITEMS[0][1]), (5, data[6][1]), (5, data[6][1]), (102, "x y " * 60_000 + (ITEMS[1][1] or ""))]
+    return data + [(103, "a nameless one"), (100, None), (101, ""), (None, ITEMS[0][1]), (5, data[6][1]), (5, data[6][1]), (102, "x y " * 60_000 + (ITEMS[1][1] or ""))]
 
 
 def report(found):

@@ -83,3 +83,11 @@ def test_removal_keeps_rows_columns_and_whole_characters(spark):
     frame = spark.createDataFrame(data, "doc_id long, TEXT string, grp string")
     cleaned = rows(suffix_dedup.remove_repeats(frame, text_col="TEXT"))
     assert cleaned == sorted([(1, "x" + passage, "a"), (2, "yyz", "b"), (2, "yyz", "b"), (3, None, None), (None, "", "c")], key=repr)
+
+
+def test_columns_with_dots(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text, 5), (2, f"more {text}", 6)], "doc_id long, text string, `a.b` int")
+    found = suffix_dedup.remove_repeats(docs)
+    assert found.columns == docs.columns
+    assert sorted((r[0], r[1][:4], r[2]) for r in found.collect()) == [(1, "word", 5), (2, "more", 6)]

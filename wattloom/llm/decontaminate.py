@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import in_parts, utf8_slices
+from wattloom.llm.common import in_parts, quoted, utf8_slices
 
 WINDOW = 10
 # Words of windows in one block: some ten MB as a broadcast, whatever the benchmark's size.
@@ -50,12 +50,12 @@ class Block:
     vocabulary: dict[bytes, int]
     words: np.ndarray  # one row per distinct window, padded with -2
     lengths: np.ndarray
-    owners: list[list[str]]  # ids of the items that hold the window
+    owners: list[list[str | None]]  # ids of the items that hold the window
 
     @staticmethod
-    def of(items: list[tuple[str, bytes]], size: int = WINDOW) -> Block:
+    def of(items: list[tuple[str | None, bytes]], size: int = WINDOW) -> Block:
         vocabulary: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], list[str]] = {}
+        owners: dict[tuple[int, ...], list[str | None]] = {}
         for item, text in items:
             numbered = [[vocabulary.setdefault(w, len(vocabulary)) for w in window] for window in windows_of(words_of(text), size)]
             for window in dict.fromkeys(map(tuple, numbered)):
@@ -144,7 +144,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[Bloc
     """Items in blocks of bounded size, read one after another."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.encode(F.col(text_col).cast("string"), "UTF-8").alias("text"))
     # one of a kind, in an order that does not depend on the reading
-    items = items.filter("item IS NOT NULL AND text IS NOT NULL").distinct().orderBy("item", "text")
+    items = items.filter("text IS NOT NULL").distinct().orderBy("item", "text")
     held, words = [], 0
     for row in items.toLocalIterator():
         held.append((row["item"], bytes(row["text"])))
@@ -200,11 +200,12 @@ def contamination(
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_words``, ``spans`` (word positions, half open,
     that any window covers, as flat starts and stops) and ``items`` (ids of the items
-    with windows in it, sorted as strings).
+    with windows in it, sorted as strings, NULL last).
 
-    NULL texts have no words; repeated documents give a row each; items without id or
-    words match nothing, and items that share an id are one item. A benchmark larger
-    than one block makes a scan per block, merged by text.
+    NULL texts have no words; repeated documents give a row each; items without words
+    match nothing. Items that share an id are one item, and so are those without one,
+    which count as an item but have no name in the digest. A benchmark larger than one
+    block makes a scan per block, merged by text.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
@@ -263,7 +264,7 @@ def _matched(texts: list[bytes], matcher: Matcher | None, keyed: bool) -> list[t
         np.add.at(marks, start[a:b] - starts[i], 1)
         np.add.at(marks, stop[a:b] - starts[i], -1)
         spans = _spans(np.cumsum(marks)[:n] > 0)
-        items = sorted({item for w in set(window[a:b].tolist()) for item in matcher.block.owners[w]})
+        items = sorted({item for w in set(window[a:b].tolist()) for item in matcher.block.owners[w]}, key=lambda item: (item is None, item or ""))
         rows.append((key(text), n, spans.ravel().tolist(), items))
     return rows
 
@@ -290,7 +291,7 @@ def contamination_report(found: DataFrame) -> DataFrame:
                 batch.column(1),
                 pa.array(hits, pa.int64()),
                 pa.array([len(i) for i in items], pa.int64()),
-                pa.array([sha256(",".join(i).encode()).hexdigest() for i in items], pa.string()),
+                pa.array([sha256(",".join([x for x in i if x is not None]).encode()).hexdigest() for i in items], pa.string()),
                 pa.array([h > 0 for h in hits], pa.bool_()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
@@ -300,9 +301,13 @@ def contamination_report(found: DataFrame) -> DataFrame:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, in which no benchmark window occurs."""
+    """The rows of ``docs``, all columns, in which no benchmark window occurs.
+
+    Rows without words stay, repeated rows are judged one by one, items without an id
+    count like others. Without items every row stays; an empty table stays empty.
+    """
     spark = docs.sparkSession
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(quoted(text_col)).cast("string").alias("text"))
     blocks = [spark.sparkContext.broadcast(block) for block in _blocks(benchmark, "item_id", "text")]
     counts = _shingle_counts(texts, blocks) if blocks else []
     kept = docs

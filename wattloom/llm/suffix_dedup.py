@@ -483,7 +483,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     As ``repeated_spans``, but a code point goes only if all of its bytes do.
     """
-    names = docs.columns
+    # grouped tables cannot name columns with dots in them
+    names = [f"column_{i}" for i in range(len(docs.columns))]
+    original, docs = docs.columns, docs.toDF(*names)
+    id_col, text_col = names[original.index(id_col)], names[original.index(text_col)]
 
     def finish(table: pa.Table, spans: list[np.ndarray]) -> pa.Table:
         cleaned: list[bytes | None] = []
@@ -499,4 +502,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         texts = pa.array(cleaned, pa.binary()).cast(pa.string())
         return table.set_column(table.schema.get_field_index(text_col), text_col, texts).select(names)
 
-    return _with_spans(docs.withColumn(text_col, F.col(text_col).cast("string")), id_col, text_col, finish, docs.schema)
+    cleaned = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    return _with_spans(cleaned, id_col, text_col, finish, cleaned.schema).toDF(*original)
