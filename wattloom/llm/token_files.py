@@ -34,6 +34,7 @@ def read_flat_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TO
     """``file``, ``block`` (its number in the file) and ``tokens`` (bytes) of flat files.
 
     A file is read by one task and cut there, so shards of up to some hundred MB suit it.
+    An empty file has no block; a path without files fails.
     """
     width = np.dtype(dtype).itemsize * block_tokens
 
@@ -52,7 +53,10 @@ def read_flat_files(spark: SparkSession, path: str, block_tokens: int = BLOCK_TO
 def flatten_documents(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """``docs`` as blocks of flat token files, one file for each partition, as
     ``read_flat_files`` gives them, and ``ids``: of the documents whose separator lies
-    in the block, in order. Blocks do not respect documents."""
+    in the block, in order. Blocks do not respect documents.
+
+    NULL and empty texts are a separator alone; repeated and NULL ids are documents of
+    their own; a document longer than a block spans several. No rows give no block."""
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = dict(picked.dtypes)["doc_id"]
 
