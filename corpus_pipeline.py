@@ -19,28 +19,47 @@ from wattloom.session import scratch_path
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules, calibrated on the labels, keep."""
+    """Documents that the quality rules, calibrated on the labels, keep.
+
+    NULL, empty and short texts go by the base rule. Repeated rows are judged one by one;
+    rows without an id are judged but have no label. Without labels the base rule alone
+    rejects. No rows give none; other columns stay as they are.
+    """
     return quality_rules.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash neighbours: three-word shingles, two bits."""
+    """One document of each group of SimHash neighbours: three-word shingles, two bits.
+
+    The smallest id stays, of rows with one id the one with the smallest digest of its
+    text, of equal rows one. Rows without an id stay only if their group has no other;
+    NULL, empty and wordless texts are one group.
+    """
     return simhash.drop_copies(docs, size=3, radius=2)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that occurred in an earlier document cut out of later ones."""
+    """Passages that occurred in an earlier document cut out of later ones.
+
+    Every row stays, NULL texts as NULL. Rows equal in id and text are one document;
+    rows without an id come after all others.
+    """
     cut = suffix_dedup.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs.
+
+    Documents without words stay; repeated rows are judged one by one; items without an
+    id count, items without words match nothing.
+    """
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``ids`` and ``decoded`` text of what is left."""
+    """``doc_id``, ``ids`` and ``decoded`` text of what is left; NULL encodes as empty,
+    repeated rows give a row each."""
     return bpe.encode_documents(docs, vocabulary("word_bpe_49k.json"))
 
 
