@@ -42,7 +42,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Passages that occurred in an earlier document cut out of later ones.
 
     Every row stays, NULL texts as NULL. Rows equal in id and text are one document;
-    rows without an id come after all others.
+    rows without an id come before all others.
     """
     cut = suffix_dedup.remove_repeats(docs)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cut
