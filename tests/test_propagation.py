@@ -219,3 +219,20 @@ def test_weather_documents_are_parsed_once(spark, lake, folder):  # noqa: F811
     assert jobs.ingest_weather(spark, lake, raw, as_of="2024-01-05").count() == 3
     assert jobs.ingest_weather(spark, lake, raw, as_of="2024-01-05").count() == 0
     assert read_table(spark, BRONZE_WEATHER, lake.weather).filter("time >= '2024-01-03'").count() == 48
+
+
+def test_rounds_of_late_deliveries_equal_a_rebuild(spark, lake, folder):  # noqa: F811
+    rng = random.Random(11)
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    known = list(hours("2023-12-20", "2024-01-03"))
+    for number in range(3):
+        late = [(at, region, rng.randrange(1, 9000)) for at in rng.sample(known, 4) for region in rng.sample([11, 44], rng.randrange(1, 3))]
+        # half-hour readings and repeated instants as well
+        late += [(at + timedelta(minutes=30), region, v + 1) for at, region, v in late[:2]] + [(late[0][0], late[0][1], 17)]
+        land(spark, f"{folder}/late-{number}.parquet", late)
+        jobs.ingest_consumption(spark, lake, f"{folder}/late-*.parquet", as_of="2024-01-03")
+        if number != 1:  # the second delivery waits for the third
+            jobs.propagate(spark, lake, now="2024-01-03")
+    after = layers(spark, lake)
+    jobs.rebuild(spark, lake, now="2024-01-03")
+    assert layers(spark, lake) == after

@@ -182,3 +182,25 @@ def test_hours_of_readings_dealt_in_other_ways(spark):
     plain = F.expr("avg(consommation) OVER (ORDER BY date_heure ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
     for row in windowed.select(over.alias("a"), plain.alias("b")).collect():
         assert row["a"] == pytest.approx(row["b"], rel=1e-14)
+
+
+def test_a_rolling_run_reads_no_silver_of_untouched_years(spark, lake, folder):  # noqa: F811
+    land_consumption(spark, f"{folder}/daily", "2024-01-03", "2024-01-20")
+    jobs.increment_consumption(spark, lake, f"{folder}/daily", as_of="2024-01-20")
+    jobs.rebuild(spark, lake, now="2024-01-20")
+    for file in files_of(lake.silver):
+        if "year=2023" in file:
+            with open(file, "wb") as out:
+                out.write(b"no parquet")
+    land_consumption(spark, f"{folder}/later", "2024-01-19", "2024-01-21", version=2)
+    jobs.increment_consumption(spark, lake, f"{folder}/later", as_of="2024-01-21")
+    jobs.rolling_run(spark, lake, as_of=day("2024-01-21"), days=3, now="2024-01-21")
+    fact = jobs.read_fact(spark, lake)
+    assert fact.filter("date_heure >= '2024-01-20'").count() == 48
+    # a gap that reaches back into the unread year would still be found by its summary
+    assert dict(rows(summaries.gate_summary(jobs.silver_summaries(spark, lake), jobs.SERIES, jobs.PART, as_of="2024-01-21"))) == {
+        "duplicates": 0,
+        "gaps": 0,
+        "freshness": 0,
+        "empty": 0,
+    }
