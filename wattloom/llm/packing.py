@@ -11,10 +11,12 @@ and what is left of the last is cut into powers of two, which need no padding.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from bisect import insort
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -143,6 +145,19 @@ def in_powers(window: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, in
             yield part
 
 
+@contextmanager
+def uncollected() -> Iterator[None]:
+    """No search for cycles: what is made inside has none, and the search would go
+    through all remembered words again and again."""
+    collects = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collects:
+            gc.enable()
+
+
 class TwoAges:
     """A bounded memory: what was used since the last change of ages stays, and what
     was not used for a whole age is forgotten."""
@@ -334,10 +349,11 @@ def pack_documents(
         encoder = word_tokens(path)
         for batch in in_parts(batches, "text", TEXT_BYTES):
             id_type = batch.schema.field(0).type
-            texts = [text.decode("utf-8", "replace") for text in utf8_slices(batch.column(1))]
-            found: list[tuple] = []
-            for doc, data in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
-                found.extend(packer.add(doc, data + closing))
+            with uncollected():
+                texts = [text.decode("utf-8", "replace") for text in utf8_slices(batch.column(1))]
+                found: list[tuple] = []
+                for doc, data in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+                    found.extend(packer.add(doc, data + closing))
             if found:
                 yield rows(found)
         if found := list(packer.finish()):
