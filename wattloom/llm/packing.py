@@ -27,6 +27,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from wattloom.llm.bpe import WordBPE
 from wattloom.llm.common import in_parts, quoted, utf8_slices
@@ -188,13 +189,15 @@ def latin_pattern(pattern: str) -> re.Pattern:
 
 
 class WordTokens:
-    """Whole texts to token bytes. Encoded words are remembered; Arrow finds the different
-    words of many texts and puts their tokens one after another."""
+    """Whole texts to token bytes. The library's model encodes words, which are remembered;
+    Arrow finds the different words of many texts and puts their tokens one after another."""
 
     def __init__(self, path: str):
         self.bpe = WordBPE(path)
         self.special = {token: np.array([number], TOKEN).tobytes() for token, number in self.bpe.special.items()}
         self.latin = latin_pattern(self.bpe.words.pattern)
+        self.model = Tokenizer.from_file(path).model
+        self.shown = dict(enumerate(self.bpe.alphabet))
         self.known = TwoAges(WORDS)
 
     def _words(self, text: str) -> list[str]:
@@ -208,7 +211,10 @@ class WordTokens:
     def _tokens(self, words: list[str]) -> list[bytes]:
         """The tokens of different words."""
         new = self.known.unknown(words)
-        merged = self.bpe.merge_all(new)
+        tokenize, shown = self.model.tokenize, self.shown
+        # the vocabulary spells bytes as printable characters, printable ASCII as itself
+        spelled = [word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(shown) for word in new]
+        merged = [[token.id for token in tokenize(word)] for word in spelled]
         stops = (np.cumsum([0, *map(len, merged)]) * TOKEN.itemsize).tolist()
         data = np.fromiter(chain.from_iterable(merged), TOKEN).tobytes()
         young = self.known.young
