@@ -9,8 +9,9 @@ from test_jobs import lake  # noqa: F401
 
 from wattloom.operators import bucketed, tables
 from wattloom.plans import jobs
-from wattloom.schemas import BRONZE_CONSUMPTION, HOLIDAYS, SILVER, Dataset
-from wattloom.sources.tables import read_table
+from wattloom.plans.bronze import bronze_weather
+from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER, HOLIDAYS, SILVER, Dataset
+from wattloom.sources.tables import high_watermarks, partition_values, read_table
 from wattloom.sources.weather import measure_rows, read_raw_weather, read_weather_documents
 
 HOURS = Dataset("hours", type(SILVER.schema)([SILVER.schema[c] for c in ("date_heure", "region_code", "consommation")]), key=SILVER.key)
@@ -134,3 +135,33 @@ def test_a_calendar_without_a_region_fails(spark, lake):  # noqa: F811
     tables.overwrite_table(kept, HOLIDAYS, lake.holidays)
     with pytest.raises(ValueError, match=r"lacks the regions \[44\]"):
         jobs.rebuild(spark, lake, now="2024-01-03")
+
+
+def test_a_day_of_weather_is_one_folder(spark, folder):
+    # a folder for each region's 24 rows made backfills of long histories time out
+    hours = hours_of(spark, 3 * 24 * 2).selectExpr("date_heure time", "consommation temperature_2m", "0.5D precipitation", "region_code")
+    tables.overwrite_table(bronze_weather(hours), BRONZE_WEATHER, folder)
+    stored = read_table(spark, BRONZE_WEATHER, folder)
+    assert len(partition_values(spark, folder, BRONZE_WEATHER.partition_by)) == len(set(stored.inputFiles())) == 2
+    assert rows(high_watermarks(spark, folder, BRONZE_WEATHER)) == [(region, ts("2024-01-02").date()) for region in range(3)]
+    late = bronze_weather(hours.filter("region_code = 1 and time >= '2024-01-02'").withColumn("precipitation", F.lit(7.0)))
+    assert rows(tables.replace_by_key(late, BRONZE_WEATHER, folder)) == [(1, 2024, 1, 2)]
+    after = read_table(spark, BRONZE_WEATHER, folder)
+    assert after.count() == 144 and after.filter("precipitation = 7").count() == 24
+
+
+def test_staged_rows_have_no_folders(spark, folder, monkeypatch):
+    written, write = [], tables._write
+    monkeypatch.setattr(tables, "_write", lambda df, dataset, path, *more, **named: (written.append((path, dataset.partition_by)), write(df, dataset, path, *more, **named))[1])
+    tables.replace_by_key(readings(spark, 24), BRONZE_CONSUMPTION, folder)
+    assert [by for path, by in written if "/staged-" in path] == [()]
+    assert read_table(spark, BRONZE_CONSUMPTION, folder).count() == 24
+
+
+def test_documents_over_several_lines_keep_their_text(spark, folder):
+    with open(f"{folder}/openmeteo-11-2024.json", "w") as out:
+        out.write('{\n  "hourly": {\r\n "time": ["2024-01-01T00:00",\n"2024-01-01T01:00"],\n "gusts": [1.50, 1e2]\n }\n}\n')
+    found = measure_rows(read_weather_documents(spark, f"{folder}/*.json"))
+    assert rows(found, "value", "number") == [("1.50", 1.5), ("1e2", 100.0)]
+    # every file is one record in memory, and not a stream that is read again for each number
+    assert "multiLine" not in plan_of(found) and read_weather_documents(spark, folder).count() == 1

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 
@@ -219,19 +220,20 @@ def in_touched(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -
 @contextmanager
 def _staged(df: DataFrame, dataset: Dataset) -> Iterator[tuple[DataFrame, list]]:
     """``df`` written once to scratch, which is removed afterwards, and the partitions
-    it touches: as many short rows as the write has folders to commit."""
+    it touches, as short rows. Scratch has no partition folders: nothing there is read by
+    partition, and each folder costs more than its rows."""
     if not dataset.partition_by:
         raise ValueError(f"{dataset.name} has no partitions to replace: use overwrite_table")
     spark = df.sparkSession
     with scratch(spark, f"staged-{dataset.name}") as folder:
         path = f"{folder}/rows"
-        _write(conform(df, dataset), dataset, path, "overwrite")
+        _write(conform(df, dataset), replace(dataset, partition_by=(), sort_by=(), bloom=()), path, "overwrite")
         staged = read_table(spark, dataset, path)
-        yield staged, touched_partitions(staged, dataset.partition_by).collect()
+        yield staged, touched_partitions(staged, dataset.parts).collect()
 
 
 def _as_frame(spark: SparkSession, touched: list, dataset: Dataset) -> DataFrame:
-    fields = [dataset.schema[name] for name in dataset.partition_by]
+    fields = [dataset.schema[name] for name in dataset.parts]
     return spark.createDataFrame(touched, type(dataset.schema)(fields))
 
 

@@ -207,7 +207,7 @@ def ingest_weather(
 
 def read_empty(spark: SparkSession, dataset: Dataset) -> DataFrame:
     """No touched partition."""
-    return spark.createDataFrame([], dataset.schema).select(*dataset.partition_by)
+    return spark.createDataFrame([], dataset.schema).select(*dataset.parts)
 
 
 def build_holidays(spark: SparkSession, lake: Lake, first_year: int = HOLIDAY_YEARS[0], last_year: int = HOLIDAY_YEARS[1]) -> None:

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from wattloom.functions.timeparts import has_columns, instant
 from wattloom.schemas import Dataset
@@ -109,8 +110,23 @@ def high_watermark(spark: SparkSession, path: str) -> date:
 
 
 def high_watermarks(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
-    """``watermark`` per value of the table's first partition column, below which it is
-    laid out by year, month and day. A table without partitions fails."""
+    """``watermark``, the newest day, per series of a table laid out by year, month and
+    day: from folder names where the series is the first partition column, else from one
+    column of the files. A table without partitions fails."""
+    if dataset.series:
+        try:
+            stored = read_table(spark, dataset, path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            raise ValueError(NO_PARTITIONS) from None
+        newest_day = F.max(F.make_date("year", "month", "day")).alias("watermark")
+        # one short row per series, read once
+        found = stored.groupBy(*dataset.series).agg(newest_day).filter("watermark IS NOT NULL").collect()
+        if not found:
+            raise ValueError(NO_PARTITIONS)
+        fields = [dataset.schema[name] for name in dataset.series]
+        return spark.createDataFrame(found, StructType([*fields, StructField("watermark", DateType())]))
     by = dataset.schema[dataset.partition_by[0]]
     kind = int if by.dataType.typeName() in ("integer", "long") else str
     newest = [(kind(value), _newest_day(spark, folder)) for value, folder in _subfolders(spark, located(spark, path), by.name)]

@@ -11,13 +11,17 @@ from wattloom.schemas import ANY_WEATHER
 
 MEASURES = ("temperature_2m", "precipitation")
 
+# JSON text cannot hold this character unescaped, so each file is one record, parsed in
+# memory. With ``multiLine`` Spark goes back to the file for every number it returns as text.
+RECORD_SEPARATOR = "\x1e"
+
 
 def read_weather_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file_name, file, hourly) per file, ``hourly`` a map of whatever arrays the document
     has, their values as text. A file holds one region and one year at most, so reading it
     whole is bounded; files are spread over tasks. Broken JSON fails."""
     paths = [paths] if isinstance(paths, str) else paths
-    reader = spark.read.schema(ANY_WEATHER).option("multiLine", True).option("mode", "FAILFAST")
+    reader = spark.read.schema(ANY_WEATHER).option("lineSep", RECORD_SEPARATOR).option("mode", "FAILFAST")
     return reader.json(paths).select(F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file"), "hourly")
 
 

@@ -247,7 +247,7 @@ def partition_replace(spark, sf_dir):
 
 
 def touched_partitions(spark, sf_dir):
-    return tables.touched_partitions(_bronze_weather(spark, sf_dir), BRONZE_WEATHER.partition_by)
+    return tables.touched_partitions(_bronze_weather(spark, sf_dir), BRONZE_WEATHER.parts)
 
 
 def replace_keys(spark, sf_dir):
@@ -609,10 +609,15 @@ def _clock(last):
     return f"{last.isoformat()} 23:00:00"
 
 
+def _build_holidays(spark, lake, last):
+    """A calendar that holds the meter's years, which go on with its rows."""
+    jobs.build_holidays(spark, lake, last_year=max(calendars.HOLIDAY_YEARS[1], last.year))
+
+
 def job_rebuild(spark, sf_dir):
     lake, last, increments = _filled(spark, sf_dir)
     increments()
-    jobs.build_holidays(spark, lake)
+    _build_holidays(spark, lake, last)
     jobs.rebuild(spark, lake, now=_clock(last))
     return jobs.read_fact(session(spark), lake)
 
@@ -620,7 +625,7 @@ def job_rebuild(spark, sf_dir):
 def job_rolling_run(spark, sf_dir):
     """Rebuilt without the last days, which then arrive and are rolled in."""
     lake, last, increments = _filled(spark, sf_dir)
-    jobs.build_holidays(spark, lake)
+    _build_holidays(spark, lake, last)
     jobs.rebuild(spark, lake, now=_clock(last))
     increments()
     jobs.rolling_run(spark, lake, as_of=last + timedelta(days=1), days=5, now=_clock(last))
@@ -630,7 +635,7 @@ def job_rolling_run(spark, sf_dir):
 def job_merge_run(spark, sf_dir):
     """As the rolling run, but with all of bronze."""
     lake, last, increments = _filled(spark, sf_dir)
-    jobs.build_holidays(spark, lake)
+    _build_holidays(spark, lake, last)
     jobs.rebuild(spark, lake, now=_clock(last))
     increments()
     jobs.merge_run(spark, lake, now=_clock(last))
@@ -676,7 +681,7 @@ def propagate_late_rows(spark, sf_dir):
     early = hours.filter(late != 7).withColumn("consommation", F.when(late == 8, F.lit(1.0)).otherwise(F.col("consommation")))
     jobs.backfill_consumption(spark, lake, _land_consumption(early, lake.path("landed")))
     jobs.backfill_weather(spark, lake, _land_weather(spark, hours, lake.path("documents"), "2024"))
-    jobs.build_holidays(spark, lake)
+    _build_holidays(spark, lake, last)
     jobs.rebuild(spark, lake, now=_clock(last))
     jobs.ingest_consumption(spark, lake, _land_consumption(hours.filter(late.isin(7, 8)), lake.path("landed-late")))
     jobs.propagate(spark, lake, now=_clock(last))
