@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -99,3 +100,45 @@ def test_columns_with_dots(spark):
     dotted = docs.selectExpr("*", "1 as `a.b`", "2 as `lang.x`")
     assert q.keep_good(dotted, labels).columns == dotted.columns
     assert q.keep_good(dotted, labels).count() == q.keep_good(docs, labels).count()
+
+
+def greedy(values, good, cost, gain):
+    """The cutoffs of one stratum, all rows in memory."""
+    cutoffs, left = [math.inf] * values.shape[1], np.ones(len(good), bool)
+    n_good, n_bad = max(1, good.sum()), max(1, (~good).sum())
+    for _ in cutoffs:
+        best = (gain, -1, math.inf)
+        for s, cut in enumerate(cutoffs):
+            order = np.argsort(-values[left, s], kind="stable")
+            v, g = values[left, s][order], good[left][order]
+            worth = np.cumsum(~g) / n_bad - cost * np.cumsum(g) / n_good
+            for at in np.flatnonzero(v[:-1] > v[1:]) if cut == math.inf else []:
+                if worth[at] > best[0]:
+                    best = (worth[at], s, float((v[at] + v[at + 1]) / 2))
+        if best[1] < 0:
+            break
+        cutoffs[best[1]] = best[2]
+        left &= values[:, best[1]] <= best[2]
+    return cutoffs
+
+
+def test_cutoffs_come_from_all_labelled_texts(spark):
+    # more texts of a stratum than a sample of 1,000 would hold, in many parts
+    rng = np.random.default_rng(3)
+    frames = []
+    for stratum, n in (("=a", 3000), ("=b", 1500), ("none", 40), ("=same", 30)):
+        good = rng.random(n) < 0.7
+        values = np.round(rng.random((n, 5)) + np.where(good, 0, 0.3)[:, None] * rng.random(5), 3)
+        if stratum == "=same":
+            values[:] = 0.5
+        frames.append(pd.DataFrame(values, columns=q.SIGNALS).assign(stratum=stratum, good=good))
+    expected = {f["stratum"].iloc[0]: greedy(f[q.SIGNALS].to_numpy(), f["good"].to_numpy(bool), 3.0, 0.01) for f in frames}
+    expected = {stratum: cuts for stratum, cuts in expected.items() if min(cuts) < math.inf}
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = q.propose(spark.createDataFrame(pd.concat(frames)), 3.0, 0.01).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert {row["stratum"]: [row[name] for name in q.SIGNALS] for row in found} == expected
+    assert {"=a", "=b"} <= expected.keys() and "=same" not in expected

@@ -1,8 +1,8 @@
 """Quality rules whose cutoffs come with an exact bound on false rejections.
 
-Counts of a text become five signals. For each stratum a bounded sample of labelled
-documents proposes cutoffs; the other half of the labelled documents, all of it, then
-tests the proposed rules of that stratum as one: with ``k`` of ``n`` good documents
+Counts of a text become five signals. For each stratum one half of the labelled
+documents, all of it, proposes cutoffs; the other half, all of it, then tests the
+proposed rules of that stratum as one: with ``k`` of ``n`` good documents
 rejected, they are certified if ``P(Binomial(n, alpha) <= k)`` is at most ``delta``
 divided by the number of strata tested (Bonferroni). With probability ``1 - delta`` no
 certified stratum rejects more than ``alpha`` of its good documents. Rules of a stratum
@@ -114,33 +114,65 @@ def upper_bound(k: int, n: int, delta: float) -> float:
     return high
 
 
-def propose(values: np.ndarray, good: np.ndarray, cost: float, gain: float) -> list[float]:
-    """A cutoff per signal, or infinity; signals are taken greedily.
+def best_cutoffs(left: DataFrame, cost: float, gain: float) -> DataFrame:
+    """``stratum``, ``s`` and ``cut``: per stratum the signal and cutoff worth most, if
+    that is more than ``gain``.
 
-    A cutoff lies midway between neighbouring values and is worth the share of bad
-    documents it newly rejects, less ``cost`` times the share of good ones. A signal
-    whose best cutoff is worth less than ``gain`` stays off.
+    ``left`` has ``stratum``, ``good``, ``signals`` (NULL for those not wanted) and the
+    stratum's ``n_good`` and ``n_bad``. A cutoff lies midway between neighbouring values
+    and is worth the share of bad documents above it, less ``cost`` times the share of
+    good ones. Values are counted, dealt out in their order, and summed up within their
+    part and over parts, so that no stratum has to fit one task.
     """
-    n_signals = values.shape[1]
-    cutoffs, left = [math.inf] * n_signals, np.ones(len(good), bool)
-    n_good, n_bad = max(1, good.sum()), max(1, (~good).sum())
-    for _ in range(n_signals):
-        best = (gain, -1, math.inf)
-        for s in range(n_signals):
-            order = np.argsort(-values[left, s], kind="stable")
-            v, g = values[left, s][order], good[left][order]
-            worth = np.cumsum(~g) / n_bad - cost * np.cumsum(g) / n_good
-            cuts = np.flatnonzero(v[:-1] > v[1:]) if len(v) else []
-            if cutoffs[s] < math.inf or not len(cuts):
-                continue
-            at = cuts[np.argmax(worth[cuts])]
-            if worth[at] > best[0]:
-                best = (worth[at], s, float((v[at] + v[at + 1]) / 2))
-        if best[1] < 0:
+    each = left.select("stratum", "n_good", "n_bad", "good", F.posexplode("signals").alias("s", "v")).filter("v IS NOT NULL")
+    steps = each.groupBy("stratum", "n_good", "n_bad", "s", "v").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))
+    ranged = steps.repartitionByRange("stratum", "s", F.col("v").desc()).withColumn("part", F.spark_partition_id())
+    ranged = stored(ranged, "quality-steps")
+    parts = ranged.groupBy("stratum", "s", "part").agg(F.sum("g").alias("g"), F.sum("b").alias("b"), F.max("v").alias("top"))
+    following = Window.partitionBy("stratum", "s").orderBy("part")
+    earlier = following.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        "stratum",
+        "s",
+        "part",
+        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in ("g", "b")],
+        F.lead("top").over(following).alias("v_after"),
+    )
+    inside = Window.partitionBy("stratum", "s", "part").orderBy(F.col("v").desc())
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    g, b = (F.sum(n).over(so_far) + F.col(f"{n}_before") for n in ("g", "b"))
+    worth = b.cast("double") / F.col("n_bad") - F.lit(float(cost)) * g.cast("double") / F.col("n_good")
+    below = F.coalesce(F.lead("v").over(inside), F.col("v_after"))
+    cuts = ranged.join(offsets, ["stratum", "s", "part"]).select("stratum", "s", "v", worth.alias("worth"), below.alias("below"))
+    # of equal worth the first signal, and its greatest value
+    first = F.max(F.struct("worth", (-F.col("s")).alias("back"), "v", "below")).alias("best")
+    best = cuts.filter("below IS NOT NULL").groupBy("stratum").agg(first).filter(F.col("best.worth") > gain)
+    return best.select("stratum", (-F.col("best.back")).alias("s"), ((F.col("best.v") + F.col("best.below")) / 2).alias("cut"))
+
+
+def propose(labelled: DataFrame, cost: float, gain: float) -> DataFrame:
+    """``stratum`` and a cutoff per signal, or infinity, for strata with a rule; signals
+    are taken greedily, each on all rows of ``labelled`` that those before it leave. A
+    signal whose best cutoff is worth no more than ``gain`` stays off."""
+    sums = [F.greatest(F.count_if(c), F.lit(1)).cast("double").alias(n) for c, n in ((F.col("good"), "n_good"), (~F.col("good"), "n_bad"))]
+    left = labelled.select("stratum", "good", F.array(*SIGNALS).alias("signals")).join(labelled.groupBy("stratum").agg(*sums), "stratum")
+    found = []
+    for _ in SIGNALS:
+        # one short row per stratum
+        best = stored(best_cutoffs(left, cost, gain), "quality-cutoffs")
+        if best.isEmpty():
             break
-        cutoffs[best[1]] = best[2]
-        left &= values[:, best[1]] <= best[2]
-    return cutoffs
+        found.append(best)
+        passed = left.join(best, "stratum").filter(F.get("signals", F.col("s")) <= F.col("cut"))
+        signals_left = F.transform("signals", lambda v, i: F.when(i != F.col("s"), v)).alias("signals")
+        left = passed.select("stratum", "good", signals_left, "n_good", "n_bad")
+    if not found:
+        return labelled.sparkSession.createDataFrame([], "stratum string, " + ", ".join(f"{name} double" for name in SIGNALS))
+    taken = found[0]
+    for best in found[1:]:
+        taken = taken.unionByName(best)
+    cut = [F.coalesce(F.max(F.when(F.col("s") == i, F.col("cut"))), F.lit(math.inf)).alias(name) for i, name in enumerate(SIGNALS)]
+    return taken.groupBy("stratum").agg(*cut)
 
 
 def calibrate(
@@ -148,7 +180,6 @@ def calibrate(
     labels: DataFrame,
     alpha: float = 0.05,
     delta: float = 0.05,
-    per_stratum: int = 1_000,
     cost: float = 20.0,
     gain: float = 0.01,
 ) -> DataFrame:
@@ -160,8 +191,7 @@ def calibrate(
     only if all its labels say so, and a text that several documents hold counts once in
     its stratum, good only if all of them are: the bound needs independent cases, and
     copies on both sides would not be. Halves go by the digest. Cutoffs are proposed from
-    at most ``per_stratum`` labelled texts of one half in each stratum; the other half,
-    uncut, certifies them.
+    all labelled texts of one half, and certified by all of the other.
     """
     votes = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     column = lambda name: F.col(name)
@@ -174,17 +204,7 @@ def calibrate(
     )
     labelled = stored(labelled, "quality-labelled")
     half = F.pmod(F.xxhash64(F.col("digest"), F.lit("half")), F.lit(2))
-    first = Window.partitionBy("stratum").orderBy(F.xxhash64(F.col("digest"), F.lit("order")), "digest")
-    sample = labelled.filter(half == 0).withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= per_stratum)
-
-    def proposals(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["digest", *SIGNALS])
-        cutoffs = propose(frame[SIGNALS].to_numpy(float), frame["good"].to_numpy(bool), cost, gain)
-        return pd.DataFrame([[frame["stratum"].iloc[0], *cutoffs]], columns=["stratum", *SIGNALS])
-
-    cutoff_schema = "stratum string, " + ", ".join(f"{name} double" for name in SIGNALS)
-    proposed = sample.drop("_n").groupBy("stratum").applyInPandas(proposals, cutoff_schema)
-    proposed = proposed.filter(F.least(*SIGNALS) < F.lit(math.inf))
+    proposed = propose(labelled.filter(half == 0), cost, gain)
     cutoffs = proposed.select("stratum", *[F.col(name).alias(f"cut_{name}") for name in SIGNALS])
     rejected = F.lit(False)
     for name in SIGNALS:
