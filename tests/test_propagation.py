@@ -5,9 +5,11 @@ from datetime import datetime, timedelta
 import pytest
 from conftest import rows, ts
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from test_jobs import RAW, hours, lake, land_consumption, land_weather  # noqa: F401
 
 from wattloom.operators import ranges, tables
+from wattloom.operators.series import series_gaps
 from wattloom.plans import jobs
 from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER
 from wattloom.sources.generations import located
@@ -236,3 +238,15 @@ def test_rounds_of_late_deliveries_equal_a_rebuild(spark, lake, folder):  # noqa
     after = layers(spark, lake)
     jobs.rebuild(spark, lake, now="2024-01-03")
     assert layers(spark, lake) == after
+
+
+def test_late_hours_leave_no_gap_in_a_long_history(spark):
+    from wattloom_checks.queries import _lateness
+    from wattloom_checks.standins import region_of
+
+    hours = spark.range(100_000).select(
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id div 12 as int))").alias("date_heure"), region_of("id").alias("region_code")
+    )
+    early = hours.filter(_lateness() != 7)
+    assert 0 < hours.count() - early.count() < 2_000
+    assert series_gaps(early, ["region_code"]).count() == 0
