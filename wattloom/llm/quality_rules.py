@@ -155,7 +155,9 @@ def propose(labelled: DataFrame, cost: float, gain: float) -> DataFrame:
     are taken greedily, each on all rows of ``labelled`` that those before it leave. A
     signal whose best cutoff is worth no more than ``gain`` stays off."""
     sums = [F.greatest(F.count_if(c), F.lit(1)).cast("double").alias(n) for c, n in ((F.col("good"), "n_good"), (~F.col("good"), "n_bad"))]
-    left = labelled.select("stratum", "good", F.array(*SIGNALS).alias("signals")).join(labelled.groupBy("stratum").agg(*sums), "stratum")
+    # stored, so that Spark knows how short they are before it plans a join
+    totals = stored(labelled.groupBy("stratum").agg(*sums), "quality-totals")
+    left = labelled.select("stratum", "good", F.array(*SIGNALS).alias("signals")).join(totals, "stratum")
     found = []
     for _ in SIGNALS:
         # one short row per stratum
@@ -172,7 +174,7 @@ def propose(labelled: DataFrame, cost: float, gain: float) -> DataFrame:
     for best in found[1:]:
         taken = taken.unionByName(best)
     cut = [F.coalesce(F.max(F.when(F.col("s") == i, F.col("cut"))), F.lit(math.inf)).alias(name) for i, name in enumerate(SIGNALS)]
-    return taken.groupBy("stratum").agg(*cut)
+    return stored(taken.groupBy("stratum").agg(*cut), "quality-cutoffs")
 
 
 def calibrate(
