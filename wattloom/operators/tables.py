@@ -197,13 +197,13 @@ def changed_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
 def in_touched(df: DataFrame, touched: DataFrame, partition_by: Sequence[str]) -> DataFrame | None:
     """Rows of the touched partitions; None if no partition is touched.
 
-    The least and greatest value of every partition column, and of the date where year,
-    month and day are among them, make a predicate that prunes folders whatever the
-    number of partitions; a semi-join makes it exact.
+    The least and greatest value of every partition column, and of the date where year
+    and month are among them, make a predicate that prunes folders whatever the number
+    of partitions; a semi-join makes it exact.
     """
     columns = {name: F.col(name) for name in partition_by}
-    if {"year", "month", "day"} <= set(partition_by):
-        columns["_date"] = F.make_date("year", "month", "day")
+    if {"year", "month"} <= set(partition_by):
+        columns["_date"] = F.make_date("year", "month", F.col("day") if "day" in partition_by else F.lit(1))
     extremes = [e for name, c in columns.items() for e in (F.min(c).alias(f"min_{name}"), F.max(c).alias(f"max_{name}"))]
     bounds = touched.agg(F.count(F.lit(1)).alias("rows"), *extremes).first()
     if not bounds["rows"]:

@@ -42,16 +42,25 @@ from wattloom.sources.calendars import HOLIDAY_YEARS, dim_date, dim_region, holi
 from wattloom.sources.consumption import read_raw_consumption
 from wattloom.sources.generations import publishing
 from wattloom.sources.ledger import add_to_ledger, landed_files, of_newest_file, read_ledger, unread
-from wattloom.sources.tables import high_watermark, high_watermarks, partition_folders, partition_values, partition_years, read_table, read_table_or_empty
+from wattloom.sources.tables import high_watermark, high_watermarks, partition_folders, partition_values, partition_years, read_table, read_table_or_empty, stored_layout
 from wattloom.sources.tables import since as rows_since
 from wattloom.sources.weather import read_raw_weather
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the layers are stored, below one root folder."""
+    """Where the layers are stored, below one root folder.
+
+    Bronze has a folder per month: a day of twelve regions is a few hundred rows, and its
+    folder costs more than they do. With ``day_folders`` backfills give each day one, for
+    days of many rows; increments keep what they find.
+    """
 
     root: str
+    day_folders: bool = False
+
+    def bronze(self, dataset: Dataset) -> Dataset:
+        return dataset if self.day_folders else dataset.by_month()
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -97,6 +106,15 @@ class Lake:
         return self.path("gold/dim_region")
 
 
+def _consumption(spark: SparkSession, lake: Lake) -> Dataset:
+    """Bronze consumption in the folders it has, or will have where nothing is stored."""
+    return stored_layout(spark, BRONZE_CONSUMPTION, lake.consumption, lake.bronze(BRONZE_CONSUMPTION))
+
+
+def _weather(spark: SparkSession, lake: Lake) -> Dataset:
+    return stored_layout(spark, BRONZE_WEATHER, lake.weather, lake.bronze(BRONZE_WEATHER))
+
+
 def backfill_consumption(
     spark: SparkSession, lake: Lake, raw: str | list[str], flat_path: str | None = None, day_ordered: bool = False
 ) -> None:
@@ -104,7 +122,7 @@ def backfill_consumption(
     files are known to be ``day_ordered``."""
     spark = job_session(spark)
     rows = bronze_consumption(read_raw_consumption(spark, raw))
-    overwrite_table(rows, BRONZE_CONSUMPTION, lake.consumption, gather=not day_ordered)
+    overwrite_table(rows, lake.bronze(BRONZE_CONSUMPTION), lake.consumption, gather=not day_ordered)
     if flat_path:
         flat_copy(read_table(spark, BRONZE_CONSUMPTION, lake.consumption), flat_path)
 
@@ -112,7 +130,7 @@ def backfill_consumption(
 def backfill_weather(spark: SparkSession, lake: Lake, raw: str | list[str], flat_path: str | None = None) -> None:
     """Rebuild bronze weather from all landed documents but the daily ones."""
     spark = job_session(spark)
-    overwrite_table(bronze_weather(read_raw_weather(spark, raw)), BRONZE_WEATHER, lake.weather)
+    overwrite_table(bronze_weather(read_raw_weather(spark, raw)), lake.bronze(BRONZE_WEATHER), lake.weather)
     if flat_path:
         flat_copy(read_table(spark, BRONZE_WEATHER, lake.weather), flat_path)
 
@@ -123,7 +141,7 @@ def increment_consumption(spark: SparkSession, lake: Lake, raw: str | list[str],
     spark = job_session(spark)
     watermark = high_watermark(spark, lake.consumption)
     landed = increment_slice(read_raw_consumption(spark, raw), "date_heure", watermark, as_of)
-    return replace_by_key(bronze_consumption(landed), BRONZE_CONSUMPTION, lake.consumption)
+    return replace_by_key(bronze_consumption(landed), _consumption(spark, lake), lake.consumption)
 
 
 def increment_weather(
@@ -141,7 +159,7 @@ def increment_weather(
     if unknown:
         raise ValueError(f"no partitions found for regions {unknown}: run the backfill of this table first")
     landed = increment_slice_by_series(read_raw_weather(spark, raw, daily=True), marks, ["region_code"], "time", as_of)
-    return replace_by_key(bronze_weather(landed), BRONZE_WEATHER, lake.weather, flat_path)
+    return replace_by_key(bronze_weather(landed), _weather(spark, lake), lake.weather, flat_path)
 
 
 def _note_changes(lake: Lake, region: str, time: str) -> Callable[[DataFrame], None]:
@@ -184,7 +202,7 @@ def ingest_consumption(spark: SparkSession, lake: Lake, raw: str | list[str], as
     rows = read_raw_consumption(spark, [file["path"] for file in files], file_as="_file")
     newest = of_newest_file(_until(rows, "date_heure", as_of), files, list(BRONZE_CONSUMPTION.key), "_file")
     note = _note_changes(lake, "code_insee_region", "date_heure")
-    touched = replace_by_key(bronze_consumption(newest), BRONZE_CONSUMPTION, lake.consumption, changed=note)
+    touched = replace_by_key(bronze_consumption(newest), _consumption(spark, lake), lake.consumption, changed=note)
     add_to_ledger(spark, lake.files_read, _finished(rows, files, "date_heure", as_of))
     return touched
 
@@ -200,7 +218,7 @@ def ingest_weather(
         return read_empty(spark, BRONZE_WEATHER)
     rows = read_raw_weather(spark, [file["path"] for file in files], daily=daily, file_as="_file")
     newest = of_newest_file(_until(rows, "time", as_of), files, list(BRONZE_WEATHER.key), "_file")
-    touched = replace_by_key(bronze_weather(newest), BRONZE_WEATHER, lake.weather, changed=_note_changes(lake, "region_code", "time"))
+    touched = replace_by_key(bronze_weather(newest), _weather(spark, lake), lake.weather, changed=_note_changes(lake, "region_code", "time"))
     add_to_ledger(spark, lake.files_read, _finished(rows, files, "time", as_of))
     return touched
 
@@ -419,8 +437,8 @@ def propagate(
         found = spark.createDataFrame(reached.collect(), reached.schema)
         readings = read_table(spark, BRONZE_CONSUMPTION, lake.consumption).withColumn("region_code", parse_region_code("code_insee_region"))
         plan = build_silver(
-            in_ranges(readings, hours, series, "date_heure", BRONZE_CONSUMPTION.partition_by),
-            in_ranges(read_table(spark, BRONZE_WEATHER, lake.weather), hours, series, "time", BRONZE_WEATHER.partition_by),
+            in_ranges(readings, hours, series, "date_heure", _consumption(spark, lake).partition_by),
+            in_ranges(read_table(spark, BRONZE_WEATHER, lake.weather), hours, series, "time", _weather(spark, lake).partition_by),
             _calendar(spark, lake, None) if holidays else None,
             calendar_tz=calendar_tz,
         )

@@ -6,7 +6,7 @@ that is empty in one year cannot change type between runs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql.types import (
     ArrayType,
@@ -49,12 +49,17 @@ class Dataset:
 
     @property
     def parts(self) -> list[str]:
-        return [*self.series, *self.partition_by]
+        return [name for name in self.columns if name in (*self.series, *self.partition_by)]
 
     @property
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    def by_month(self) -> Dataset:
+        """The table with a folder per month. ``day`` is a column of the files then, and
+        tells touched partitions apart as before."""
+        return replace(self, partition_by=tuple(c for c in self.partition_by if c != "day"), series=(*self.series, "day"))
+
 
 RAW_CONSUMPTION = _schema(
     ("date_heure", _INSTANT),

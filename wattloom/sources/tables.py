@@ -17,8 +17,10 @@ from wattloom.sources.generations import located
 
 
 def read_table(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
-    """The table under its declared schema; partition columns come from directories."""
-    return spark.read.schema(dataset.schema).parquet(located(spark, path))
+    """The table under its declared schema; partition columns come from directories,
+    whichever of them have some."""
+    stored = spark.read.schema(dataset.schema).parquet(located(spark, path))
+    return stored if stored.columns == dataset.columns else stored.select(*dataset.columns)
 
 
 def read_table_or_empty(spark: SparkSession, dataset: Dataset, path: str) -> DataFrame:
@@ -35,7 +37,7 @@ def since(df: DataFrame, time: str, start: str | date | Column | None, slack_day
     """Rows at or after ``start``.
 
     Spark pushes the timestamp filter to row groups but cannot derive a partition
-    filter from it, so tables laid out by year/month/day, or by year, also get one.
+    filter from it, so tables laid out by year/month/day, year/month or year get one too.
     ``slack_days`` covers partitions named after a local day that differs from the
     UTC day, and undated rows are read as well; the timestamp filter alone decides which
     rows are returned.
@@ -45,23 +47,31 @@ def since(df: DataFrame, time: str, start: str | date | Column | None, slack_day
     bound = instant(start)
     first_day = F.date_sub(F.to_date(bound), slack_days)
     if has_columns(df, ["year"]):
-        dated = has_columns(df, ["month", "day"])
-        recent = F.make_date("year", "month", "day") >= first_day if dated else F.col("year") >= F.year(first_day)
-        df = df.filter(F.col("year").isNull() | recent)
+        if has_columns(df, ["month", "day"]):
+            # months apart, as days may have no folders
+            recent = [F.make_date("year", "month", F.lit(1)) >= F.trunc(first_day, "month"), F.make_date("year", "month", "day") >= first_day]
+        else:
+            recent = [F.col("year") >= F.year(first_day)]
+        for bounded in recent:
+            df = df.filter(F.col("year").isNull() | bounded)
     return df.filter(F.col(time) >= bound)
 
 
 NO_PARTITIONS = "no partitions found: run the backfill of this table before an increment"
 
 
-def _subfolders(spark: SparkSession, path: str, column: str) -> list[tuple[str, str]]:
-    """Values of a partition column and their folders; folders without a value are left out."""
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _subfolders(spark: SparkSession, path: str, column: str, undated: bool = False) -> list[tuple[str, str]]:
+    """Values of a partition column and their folders; those without a value only if
+    ``undated`` asks for them."""
     fs, place = hadoop_path(spark, path)
     if not fs.exists(place):
         return []
     names = [(status.getPath().getName(), status.getPath().toString()) for status in fs.listStatus(place) if status.isDirectory()]
     values = [(name.partition("=")[2], folder) for name, folder in names if name.startswith(f"{column}=")]
-    return [pair for pair in values if pair[0] != "__HIVE_DEFAULT_PARTITION__"]
+    return [pair for pair in values if undated or pair[0] != UNDATED]
 
 
 def _holds_files(spark: SparkSession, path: str) -> bool:
@@ -72,6 +82,12 @@ def _holds_files(spark: SparkSession, path: str) -> bool:
 def _newest_day(spark: SparkSession, path: str, columns: tuple[str, ...] = ("year", "month", "day")) -> list[int] | None:
     if not columns:
         return [] if _holds_files(spark, path) else None
+    if columns == ("day",) and not _subfolders(spark, path, "day", undated=True):
+        # a month in one folder: its newest day is in the files
+        if not _holds_files(spark, path):
+            return None
+        newest = spark.read.schema("day int").parquet(path).agg(F.max("day")).first()[0]
+        return None if newest is None else [newest]
     for value, folder in sorted(((int(v), f) for v, f in _subfolders(spark, path, columns[0])), reverse=True):
         found = _newest_day(spark, folder, columns[1:])
         if found is not None:
@@ -79,6 +95,21 @@ def _newest_day(spark: SparkSession, path: str, columns: tuple[str, ...] = ("yea
     return None
 
 
+def stored_layout(spark: SparkSession, dataset: Dataset, path: str, otherwise: Dataset) -> Dataset:
+    """``dataset``, which has a folder per day, if the stored table has them, else with a
+    folder per month; ``otherwise`` where nothing is stored.
+
+    Listings down to the first month that holds anything; no file is opened.
+    """
+    for _, year in _subfolders(spark, located(spark, path), "year", undated=True):
+        for _, month in _subfolders(spark, year, "month", undated=True):
+            if _subfolders(spark, month, "day", undated=True):
+                return dataset
+            if _holds_files(spark, month):
+                return dataset.by_month()
+    return otherwise
+
+
 def partition_folders(spark: SparkSession, path: str, column: str) -> list[str]:
     """Folders of a table's first partition column; none if the table does not exist."""
     return [folder for _, folder in _subfolders(spark, located(spark, path), column)]
@@ -98,10 +129,11 @@ def partition_years(spark: SparkSession, path: str) -> list[int]:
 
 
 def high_watermark(spark: SparkSession, path: str) -> date:
-    """The newest day of a table laid out by year, month and day.
+    """The newest day of a table laid out by year, month and day, or by year and month.
 
-    Three listings of folder names, however long the history; no file is opened. A
-    table without partitions fails: backfill it first.
+    Three listings of folder names, however long the history. No file is opened where
+    days have folders, else one column of the newest month's. A table without partitions
+    fails: backfill it first.
     """
     newest = _newest_day(spark, located(spark, path))
     if newest is None:
