@@ -42,3 +42,20 @@ def test_registered_query_scores_with_trigrams(spark):
 def test_packed_hashes(hashes):
     ordered = np.array(hashes, np.uint64)
     assert backoff.unpacked_hashes(backoff.packed_hashes(ordered)).tolist() == hashes
+
+
+@pytest.mark.parametrize("value", [b"", b"a", "é\n".encode() * 5000])
+def test_squeezed_bytes(value):
+    assert backoff.expanded(backoff.squeezed(value)) == value
+
+
+def test_what_is_sent_takes_the_room_of_its_entropy():
+    # repeats alone, as shuffles compress, leave six bytes of a hash and two thirds of a text
+    rng = np.random.default_rng(3)
+    words = np.array(["the", "model", "river", "of", "green", "data", "walks", "and"])
+    text = " ".join(rng.choice(words, 2000)).encode()
+    hashes = np.unique(rng.integers(0, 1 << 63, 30_000).astype(np.uint64))
+    assert len(backoff.squeezed(text)) < len(text) / 2
+    assert len(backoff.packed_hashes(hashes)) < 6.5 * len(hashes)
+    counts = rng.choice([1, 2, 3], 30_000, p=[0.94, 0.05, 0.01]).astype(np.int32)
+    assert len(backoff.planes(counts)) < len(counts) / 8

@@ -15,6 +15,7 @@ Counts leave out the scored document itself, or every n-gram would have been see
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import ASCII_LOWER, stored, utf8_slices, word_sequence
+from wattloom.llm.common import ASCII_LOWER, in_parts, stored, utf8_slices, word_sequence
 
 BACKOFF = 0.4
 # A word that no other document has counts as half an occurrence.
@@ -48,15 +49,25 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return value ^ (value >> np.uint64(31))
 
 
+def squeezed(value: bytes) -> bytes:
+    """``value`` as Zstandard, after its length. Shuffles compress by repeats alone;
+    this also codes frequent bytes in fewer bits."""
+    return len(value).to_bytes(8, "little") + pa.compress(value, codec="zstd", asbytes=True)
+
+
+def expanded(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
 def planes(values: np.ndarray) -> bytes:
-    """All first bytes, then all second ones and so on: bytes that are nearly always
-    zero lie together, and shuffles compress them to nothing."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    """All first bytes, then all second ones and so on, compressed: bytes that are nearly
+    always zero lie together and take no room."""
+    return squeezed(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
 
 
 def from_planes(packed: bytes, kind: type) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(packed, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
+    return np.ascontiguousarray(np.frombuffer(expanded(packed), np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
 def packed_hashes(ordered: np.ndarray) -> bytes:
@@ -131,10 +142,19 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP_BYTES))
     # repeated rows of one id spread as well
     deal = F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.substring("text", 1, 64)), F.lit(groups)).cast("int")
-    dealt = picked.withColumn("grp", deal).repartition(groups, "grp")
+    kind = dict(picked.dtypes)["doc_id"]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_parts(batches, "text"):
+            texts = pa.array([squeezed(text) for text in utf8_slices(batch.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, batch.column("grp")], names=["doc_id", "packed", "grp"])
+
+    # texts are sent once and read twice
+    packed = picked.withColumn("grp", deal).mapInArrow(pack, f"doc_id {kind}, packed binary, grp int")
+    dealt = packed.repartition(groups, "grp")
 
     def hashes_of(table: pa.Table) -> list[np.ndarray]:
-        return [word_hashes(text) for text in utf8_slices(table.column("text"))]
+        return [word_hashes(expanded(value)) for value in utf8_slices(table.column("packed"))]
 
     def explode(table: pa.Table) -> pa.Table:
         hashed = hashes_of(table)
@@ -175,7 +195,6 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
         columns = [table.column("doc_id"), pa.array(n_words), pa.array(value), pa.array(terms.astype(np.int64))]
         return pa.table(columns, names=["doc_id", "n_words", "value", "terms"])
 
-    kind = dict(picked.dtypes)["doc_id"]
     exploded = dealt.groupBy("grp").applyInArrow(explode, "size int, part int, grp int, hashes binary, times binary")
     totals = exploded.groupBy("size", "part").applyInArrow(add_up, "size int, part int, grp int, totals binary")
     summed = dealt.groupBy("grp").cogroup(totals.groupBy("grp")).applyInArrow(sum_up, f"doc_id {kind}, n_words long, value double, terms long")
