@@ -3,7 +3,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows, ts
+from conftest import plan_of, rows, ts
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from test_jobs import RAW, hours, lake, land_consumption, land_weather  # noqa: F401
@@ -12,8 +12,9 @@ from wattloom.operators import ranges, tables
 from wattloom.operators.series import series_gaps
 from wattloom.plans import jobs
 from wattloom.schemas import BRONZE_CONSUMPTION, BRONZE_WEATHER
+from wattloom.sources.consumption import read_raw_consumption
 from wattloom.sources.generations import located
-from wattloom.sources.ledger import landed_files, read_ledger
+from wattloom.sources.ledger import landed_files, of_newest_file, read_ledger
 from wattloom.sources.tables import read_table
 
 START = datetime(2023, 12, 30)
@@ -206,6 +207,51 @@ def test_deliveries_in_one_run_or_several(spark, lake, folder, together):  # noq
     assert new_rows(spark, lake, "code_insee_region", "consommation") == [("11", 4.0), ("11", 5.0), ("44", 3.0)]
 
 
+def test_rows_are_not_gathered_by_their_file(spark, folder):
+    # a shuffle by file gave a delivery of few files to as few tasks
+    land(spark, f"{folder}/a.parquet", [(ts("2024-01-03 05:00"), 11, 1)])
+    files = landed_files(spark, f"{folder}/a.parquet").collect()
+    read = read_raw_consumption(spark, f"{folder}/a.parquet", file_as="_file")
+    newest = of_newest_file(read, files, list(BRONZE_CONSUMPTION.key), "_file")
+    # by size alone these few rows would be broadcast
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = plan_of(newest)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("hashpartitioning(date_heure") == plan.count("hashpartitioning") > 0
+    assert rows(newest, "consommation") == [(1.0,)]
+
+
+def test_a_delivery_lands_a_file_per_year(spark, folder):
+    # as one file it passed through one task, whatever its size
+    from wattloom_checks.queries import _land_delivery
+
+    def landed():
+        names = sorted(name for name in os.listdir(f"{folder}/landed") if name.endswith(".parquet"))
+        return {name: os.stat(f"{folder}/landed/{name}").st_ino for name in names}
+
+    def read():
+        return rows(read_raw_consumption(spark, f"{folder}/landed/*.parquet"), "date_heure", "consommation")
+
+    instants = list(hours("2023-12-31 20:00", "2024-01-01 03:00"))
+    frame = spark.createDataFrame([(at, 11, 1.0) for at in instants], "date_heure timestamp_ntz, region_code int, consommation double")
+    _land_delivery(spark, frame, f"{folder}/landed", "a")
+    first = landed()
+    assert list(first) == ["a-2023.parquet", "a-2024.parquet"]
+    assert read() == [(at, 1.0) for at in instants]
+    assert spark.read.parquet(f"{folder}/landed/a-2023.parquet").count() == 4
+    # a second one of that name takes its place
+    _land_delivery(spark, frame.withColumn("consommation", F.lit(2.0)), f"{folder}/landed", "a")
+    assert list(landed()) == list(first) and not set(landed().values()) & set(first.values())
+    assert read() == [(at, 2.0) for at in instants]
+    # one without rows is still a delivery, however often
+    for _ in range(2):
+        _land_delivery(spark, frame.limit(0), f"{folder}/landed", "b")
+    assert list(landed()) == [*first, "b.parquet"]
+    assert read() == [(at, 2.0) for at in instants]
+
+
 def test_listing_opens_no_file(spark, folder):
     os.makedirs(f"{folder}/a folder")
     with open(f"{folder}/a folder/x 1.parquet", "wb") as file:

@@ -48,9 +48,12 @@ def add_to_ledger(spark: SparkSession, path: str, files: list[Row]) -> None:
 def of_newest_file(rows: DataFrame, files: list[Row], keys: list[str], file: str) -> DataFrame:
     """For each key only the rows of the file that was modified last, of equally old
     ones the last by name. So what a key holds does not depend on whether its deliveries
-    are read in one run or in several."""
+    are read in one run or in several.
+
+    The list of files, which the driver holds, is broadcast: a shuffle by file would bring
+    all rows of a file to one task."""
     ages = rows.sparkSession.createDataFrame([(row["file"], row["modified"]) for row in files], "_aged string, _modified timestamp")
-    dated = rows.join(ages, F.col(file) == F.col("_aged"))
+    dated = rows.join(F.broadcast(ages), F.col(file) == F.col("_aged"))
     age = F.struct("_modified", file)
     newest = F.max(age).over(Window.partitionBy(*keys))
     return dated.withColumn("_newest", newest).filter(F.col("_newest") == age).select(*rows.columns)

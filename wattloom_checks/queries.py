@@ -480,9 +480,9 @@ def _lake(spark: SparkSession) -> jobs.Lake:
     return jobs.Lake(scratch_path(session(spark), "lake"))
 
 
-def _land_consumption(hours: DataFrame, folder: str) -> str:
-    """Hours as a landed file, with zone-aware instants as some feeds have them."""
-    raw = hours.select(
+def _raw_consumption(hours: DataFrame) -> DataFrame:
+    """Hours as they land, with zone-aware instants as some feeds have them."""
+    return hours.select(
         F.col("date_heure").cast("timestamp").alias("date_heure"),
         F.date_format(_local_time(), "yyyy-MM-dd").alias("date"),
         F.col("region_code").cast("string").alias("code_insee_region"),
@@ -490,7 +490,11 @@ def _land_consumption(hours: DataFrame, folder: str) -> str:
         F.lit("hourly").alias("nature"),
         "consommation",
     )
-    raw.write.parquet(folder)
+
+
+def _land_consumption(hours: DataFrame, folder: str) -> str:
+    """Hours as landed files."""
+    _raw_consumption(hours).write.parquet(folder)
     return folder
 
 
@@ -642,15 +646,21 @@ def job_merge_run(spark, sf_dir):
     return jobs.read_fact(session(spark), lake)
 
 
-def _land_file(spark: SparkSession, hours: DataFrame, path: str) -> None:
-    """One landed file under a name of its own, in the place of an older one."""
-    written = f"{path}.written"
-    _land_consumption(hours.coalesce(1), written)
+def _land_delivery(spark: SparkSession, hours: DataFrame, landed: str, name: str) -> None:
+    """Landed files of one year each, written by as many tasks as there are years, under
+    names of their own, in the place of older ones. Without rows it is one empty file."""
+    written = f"{landed}/{name}.written"
+    raw = _raw_consumption(hours).withColumn("_year", F.year("date_heure"))
+    raw.repartition("_year").write.partitionBy("_year").parquet(written)
     fs, folder = hadoop_path(spark, written)
-    [part] = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("part-")]
-    _, place = hadoop_path(spark, path)
-    fs.delete(place, False)
-    fs.rename(part, place)
+    files = {f"{name}-{s.getPath().getName().partition('=')[2]}": s.getPath() for s in fs.listStatus(folder) if s.isDirectory()}
+    if not files:
+        _, files[name] = hadoop_path(spark, _land_consumption(hours.limit(0), f"{written}/empty"))
+    for label, below in files.items():
+        [part] = [s.getPath() for s in fs.listStatus(below) if s.getPath().getName().startswith("part-")]
+        _, place = hadoop_path(spark, f"{landed}/{label}.parquet")
+        fs.delete(place, False)
+        fs.rename(part, place)
     fs.delete(folder, True)
 
 
@@ -659,15 +669,15 @@ def _wrong(hours: DataFrame) -> DataFrame:
 
 
 def increment_by_ledger(spark, sf_dir):
-    """Three deliveries into one folder, of which the last replaces a file of the first
-    under its name; only new files are read."""
+    """Three deliveries into one folder, of which the last replaces files of the first
+    under their names; only new files are read."""
     lake = _lake(spark)
     hours = meter(spark, sf_dir).withColumn("part", F.hour("date_heure") % 3)
     landed = lake.path("landed")
     first, second, third = [hours.filter(F.col("part") == n).drop("part") for n in range(3)]
     for delivery in ({"a": _wrong(first), "b": second}, {"c": third}, {"a": first}):
         for name, rows in delivery.items():
-            _land_file(spark, rows, f"{landed}/{name}.parquet")
+            _land_delivery(spark, rows, landed, name)
         jobs.ingest_consumption(spark, lake, f"{landed}/*.parquet")
     return read_table(session(spark), BRONZE_CONSUMPTION, lake.consumption)
 
