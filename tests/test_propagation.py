@@ -16,6 +16,7 @@ from wattloom.sources.consumption import read_raw_consumption
 from wattloom.sources.generations import located
 from wattloom.sources.ledger import landed_files, of_newest_file, read_ledger
 from wattloom.sources.tables import read_table
+from wattloom.sources.weather import read_raw_weather
 
 START = datetime(2023, 12, 30)
 
@@ -252,6 +253,26 @@ def test_a_delivery_lands_a_file_per_year(spark, folder):
     assert read() == [(at, 2.0) for at in instants]
 
 
+def test_weather_lands_a_document_per_region_and_year(spark, folder):
+    # as one per region, a task held a region's whole history, and so did its reader
+    from wattloom_checks.queries import _land_weather
+
+    instants = list(hours("2023-12-31 20:00", "2024-01-01 03:00"))
+    data = [(at, region, float(at.hour), None if at.hour == 23 else 0.5) for at in instants for region in (11, 44)]
+    frame = spark.createDataFrame(data, "date_heure timestamp_ntz, region_code int, temperature_2m double, precipitation double")
+    glob = _land_weather(spark, frame, f"{folder}/landed")
+    landed = [name for name in sorted(os.listdir(f"{folder}/landed")) if name.endswith(".json") and name[0] != "."]
+    assert landed == [f"openmeteo-{region}-{year}.json" for region in (11, 44) for year in (2023, 2024)]
+    read = read_raw_weather(spark, glob).select("time", "region_code", "temperature_2m", "precipitation")
+    assert rows(read) == sorted(data, key=repr)
+    # each is whole in itself
+    assert read_raw_weather(spark, f"{folder}/landed/openmeteo-44-2023.json").count() == 4
+    # under a label there is one per region, beside the others
+    _land_weather(spark, frame.filter("region_code = 11"), f"{folder}/landed", "daily")
+    assert rows(read_raw_weather(spark, glob, daily=True).select("time"), "time") == [(at,) for at in instants]
+    assert read_raw_weather(spark, glob).count() == len(data)
+
+
 def test_listing_opens_no_file(spark, folder):
     os.makedirs(f"{folder}/a folder")
     with open(f"{folder}/a folder/x 1.parquet", "wb") as file:

@@ -498,26 +498,25 @@ def _land_consumption(hours: DataFrame, folder: str) -> str:
     return folder
 
 
-def _land_weather(spark: SparkSession, hours: DataFrame, folder: str, label: str) -> str:
-    """Hours as one JSON document per region and label; returns their glob."""
+def _land_weather(spark: SparkSession, hours: DataFrame, folder: str, label: str | None = None) -> str:
+    """Hours as one JSON document per region and year, or per region under a label, which
+    is for a few days; returns their glob. A document is made and read as a whole."""
     hour = F.struct(F.date_format("date_heure", "yyyy-MM-dd'T'HH:mm").alias("time"), "temperature_2m", "precipitation")
     arrays = [F.col(f"hours.{field}").alias(field) for field in ("time", "temperature_2m", "precipitation")]
-    name = F.concat(F.lit("openmeteo-"), "region_code", F.lit(f"-{label}.json"))
+    name = F.concat(F.lit("openmeteo-"), "region_code", F.lit("-"), F.lit(label) if label else F.year("date_heure"), F.lit(".json"))
     documents = (
         hours.groupBy(name.alias("name"))
         .agg(F.array_sort(F.collect_list(hour)).alias("hours"))
         .select("name", F.to_json(F.struct(F.struct(*arrays).alias("hourly"))).alias("value"))
     )
-    documents.repartition("name").write.partitionBy("name").text(f"{folder}/{label}")
+    written = f"{folder}/{label or 'years'}"
+    documents.repartition("name").write.partitionBy("name").text(written)
     # Spark names its files itself: give each document the name that says its region
-    fs, place = hadoop_path(spark, f"{folder}/{label}")
-    for status in fs.listStatus(place):
-        if not status.isDirectory():
-            continue
-        target = status.getPath().getName().partition("=")[2]
-        for file in fs.listStatus(status.getPath()):
-            if file.getPath().getName().startswith("part-"):
-                fs.rename(file.getPath(), hadoop_path(spark, f"{folder}/{target}")[1])
+    fs, parts = hadoop_path(spark, f"{written}/name=*/part-*")
+    for status in fs.globStatus(parts):
+        file = status.getPath()
+        target = file.getParent().getName().partition("=")[2]
+        fs.rename(file, hadoop_path(spark, f"{folder}/{target}")[1])
     return f"{folder}/openmeteo-*.json"
 
 
@@ -537,7 +536,7 @@ def job_backfill_consumption(spark, sf_dir):
 
 def job_backfill_weather(spark, sf_dir):
     lake = _lake(spark)
-    raw = _land_weather(spark, meter(spark, sf_dir), lake.path("landed"), "2024")
+    raw = _land_weather(spark, meter(spark, sf_dir), lake.path("landed"))
     jobs.backfill_weather(spark, lake, raw)
     return read_table(session(spark), BRONZE_WEATHER, lake.weather)
 
@@ -548,7 +547,7 @@ def _filled(spark, sf_dir):
     hours, last, middle = _days(spark, sf_dir)
     early, late = hours.filter(F.col("date_heure") < F.lit(middle)), hours.filter(F.col("date_heure") >= F.lit(middle - timedelta(days=1)))
     jobs.backfill_consumption(spark, lake, _land_consumption(early, lake.path("landed")))
-    jobs.backfill_weather(spark, lake, _land_weather(spark, early, lake.path("documents"), "2024"))
+    jobs.backfill_weather(spark, lake, _land_weather(spark, early, lake.path("documents")))
 
     def increments():
         after = last + timedelta(days=1)
@@ -697,7 +696,7 @@ def propagate_late_rows(spark, sf_dir):
     late = _lateness()
     early = hours.filter(late != 7).withColumn("consommation", F.when(late == 8, F.lit(1.0)).otherwise(F.col("consommation")))
     jobs.backfill_consumption(spark, lake, _land_consumption(early, lake.path("landed")))
-    jobs.backfill_weather(spark, lake, _land_weather(spark, hours, lake.path("documents"), "2024"))
+    jobs.backfill_weather(spark, lake, _land_weather(spark, hours, lake.path("documents")))
     _build_holidays(spark, lake, last)
     jobs.rebuild(spark, lake, now=_clock(last))
     jobs.ingest_consumption(spark, lake, _land_consumption(hours.filter(late.isin(7, 8)), lake.path("landed-late")))
